@@ -1,10 +1,11 @@
 """MinHash near-duplicate detection with odd sketches.
 
 Documents are sets of word shingles. A pass over the texts gives each set its size, a fingerprint, MinHash band keys
-and an odd sketch: the MinHash samples folded into a parity bitmap, so that the population count of the XOR of two
-sketches counts differing samples. Equal sets are merged by fingerprint first. Then:
+and an odd sketch: MinHash samples of 256 bins folded into a parity bitmap, so that the population count of the XOR
+of two sketches counts differing samples. Equal sets are merged by fingerprint first. Then:
 
-1. star: in each band bucket every set is paired with the bucket's least doc_id;
+1. star: in each band bucket every set is paired with the bucket's pivot, the set that shares most buckets (the
+   original of edited copies shares more with them than they do with each other);
 2. rest: buckets that still hold more than one component pair all their sets across components, block against block.
 
 Pairs whose sketches differ too much go; every other pair is confirmed on the full shingle sets. A link that was
@@ -30,8 +31,9 @@ from .shared import Scratch
 from .textarrays import LOWER, U64, keyed, mix, row_bounds, signed, slices, span_hashes, words
 
 BANDS, ROWS = 16, 4
-SKETCH_LONGS = 4
-BLOCK = 100
+BINS = 256
+SKETCH_LONGS = 16
+BLOCK = 256
 _PAD = U64(0x5851F42D4C957F2D)
 MEMBER_BITS = 1 << 26
 
@@ -85,17 +87,27 @@ def signatures(sets: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
                 bands[full, b] = key
             prints[full, 0] = np.add.reduceat(sets, starts)
             prints[full, 1] = np.bitwise_xor.reduceat(mix(sets + U64(77)), starts)
-            bit = mix(mins + keyed(BANDS * ROWS, 4)[:, None]) % U64(64 * SKETCH_LONGS)
-        for j in range(BANDS * ROWS):
-            sketch[full, (bit[j] // U64(64)).astype(np.int64)] ^= U64(1) << (bit[j] % U64(64))
+            row = np.repeat(np.arange(n), size)
+            slot = row * BINS + (mix(sets + U64(99)) % U64(BINS)).astype(np.int64)
+            # Sets are sorted, so a bin's first entry is its least hash.
+            order = np.argsort(slot, kind="stable")
+            first = order[np.append(True, slot[order][1:] != slot[order][:-1])]
+            bit = row[first] * 64 * SKETCH_LONGS + (mix(sets[first] * U64(0x9E3779B97F4A7C15) + U64(13)) % U64(64 * SKETCH_LONGS)).astype(np.int64)
+        odd = np.bincount(bit, minlength=n * 64 * SKETCH_LONGS) & 1
+        sketch = np.packbits(odd.astype(bool).reshape(n, -1), axis=1, bitorder="little").view(U64)
     return {"n_shingles": size, "prints": prints, "bands": bands, "sketch": sketch}
 
 
-def sketch_limit(similarity: float) -> int:
-    """The largest XOR population count that a pair of this similarity shows: the mean of differing samples plus 5 sd."""
-    k, bits = BANDS * ROWS, 64 * SKETCH_LONGS
-    d = min(k, k * (1 - similarity) + 5 * np.sqrt(k * similarity * (1 - similarity)))
-    return int(np.ceil(bits * (1 - (1 - 2 / bits) ** (2 * d)) / 2))
+def _most_bits(similarity: float, size, power, root):
+    """The largest XOR population count that a linked pair shows whose larger set has `size` shingles.
+
+    Of the bins that the pair's union fills (at most size / similarity shingles over BINS bins), a share 1 - similarity
+    differs, give or take 5 standard deviations; a bin that differs flips two bits at most, and bits may meet.
+    """
+    bits = 64 * SKETCH_LONGS
+    filled = BINS * (1 - power(1 - 1 / BINS, size / similarity))
+    differ = filled * (1 - similarity) + 5 * root(filled * similarity * (1 - similarity)) + 1
+    return bits * (1 - power(1 - 2 / bits, 2 * differ)) / 2 + 1
 
 
 def _sign(k: int):
@@ -152,8 +164,9 @@ def _confirm(num: int, den: int):
     return run
 
 
-def _similar(a: str, b: str, limit: int, num: int, den: int):
+def _similar(a: str, b: str, num: int, den: int):
     """Sketches near enough, and sizes that the threshold allows."""
+    limit = _most_bits(num / den, F.greatest(f"{a}.n_shingles", f"{b}.n_shingles"), lambda x, y: F.pow(F.lit(x), y), F.sqrt)
     bits = sum((F.bit_count(F.col(f"{a}.o{j}").bitwiseXOR(F.col(f"{b}.o{j}"))) for j in range(1, SKETCH_LONGS)), F.bit_count(F.col(f"{a}.o0").bitwiseXOR(F.col(f"{b}.o0"))))
     return (bits <= limit) & (F.least(f"{a}.n_shingles", f"{b}.n_shingles") * den >= F.greatest(f"{a}.n_shingles", f"{b}.n_shingles") * num)
 
@@ -165,7 +178,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, f0 long, f1 long, bands array<long>, " + ", ".join(f"o{j} long" for j in range(SKETCH_LONGS))
     signs = scratch.write(texts.mapInArrow(_sign(k), schema), "signs")
-    limit = sketch_limit(num / den)
 
     live = signs.where("doc_id is not null and n_shingles > 0")
     same = scratch.write(live.groupBy("n_shingles", "f0", "f1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "same")
@@ -173,13 +185,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     sketches = scratch.write(reps.select("doc_id", "n_shingles", *(f"o{j}" for j in range(SKETCH_LONGS))), "sketches")
 
     keys = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("other")).where("pivot < other").select("key", "pivot")
-    buckets = scratch.write(keys.join(shared, "key"), "buckets")
+    sized = keys.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("least < most").select("key", "n")
+    shared = scratch.write(keys.join(sized, "key"), "shared")
+    weight = scratch.write(shared.groupBy("doc_id").agg(F.sum("n").alias("weight")), "weight")
+    heavy = shared.join(weight, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("pivot"))
+    buckets = scratch.write(shared.select("key", "doc_id").join(heavy, "key"), "buckets")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Of pairs (u, v): those whose sketches agree and whose full sets confirm the link."""
         a, b = sketches.alias("a"), sketches.alias("b")
-        near = pairs.join(a, F.col("u") == F.col("a.doc_id")).join(b, F.col("v") == F.col("b.doc_id")).where(_similar("a", "b", limit, num, den)).select("u", "v").distinct()
+        near = pairs.join(a, F.col("u") == F.col("a.doc_id")).join(b, F.col("v") == F.col("b.doc_id")).where(_similar("a", "b", num, den)).select("u", "v").distinct()
         return confirmed(scratch.write(near, f"{name}-near"), name)
 
     def confirmed(near: DataFrame, name: str) -> DataFrame:
@@ -192,7 +207,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         scratch.drop(f"{name}-sets")
         return out
 
-    star = buckets.where("doc_id <> pivot").select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")).distinct()
+    star = buckets.where("doc_id <> pivot").select(F.least("pivot", "doc_id").alias("u"), F.greatest("pivot", "doc_id").alias("v")).distinct()
     links = linked(star, "star")
     parts = components(links, scratch, "star-parts")
 
@@ -203,7 +218,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     cells = left.withColumn("n_blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id", "key"), F.col("n_blocks")).cast("int"))
     cells = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     cells = cells.select("key", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "own", "doc_id", "part", "n_shingles", *(f"o{x}" for x in range(SKETCH_LONGS)))
-    rest = scratch.write(cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cell_pairs(limit, num, den), "u long, v long").distinct(), "rest-pairs")
+    rest = scratch.write(cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cell_pairs(num, den), "u long, v long").distinct(), "rest-pairs")
     rest = rest.join(star, ["u", "v"], "left_anti")
     more = confirmed(scratch.write(rest, "rest-near"), "rest")
     parts = components(links.union(more), scratch, "parts")
@@ -214,7 +229,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _cell_pairs(limit: int, num: int, den: int):
+def _cell_pairs(num: int, den: int):
     """Pairs across components within each cell (key, i, j), by XOR population counts; rows come sorted by cell."""
 
     def pairs(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +242,7 @@ def _cell_pairs(limit: int, num: int, den: int):
                 ok &= c["own"][y] != c["own"][x]
             bits = sum(np.bitwise_count(c[f"o{q}"][y] ^ c[f"o{q}"][x]).astype(np.int64) for q in range(SKETCH_LONGS))
             sizes = c["n_shingles"]
-            ok &= (bits <= limit) & (np.minimum(sizes[y], sizes[x]) * den >= np.maximum(sizes[y], sizes[x]) * num)
+            ok &= (bits <= _most_bits(num / den, np.maximum(sizes[y], sizes[x]), np.power, np.sqrt)) & (np.minimum(sizes[y], sizes[x]) * den >= np.maximum(sizes[y], sizes[x]) * num)
             if ok.any():
                 other = c["doc_id"][y][ok]
                 us.append(np.minimum(other, c["doc_id"][x]))
