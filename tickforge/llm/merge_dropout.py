@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .textarrays import U64, mix, slices
 
@@ -305,7 +306,7 @@ def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: s
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=pc.is_null(text.slice(lo, hi - lo)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), lists], names=[*names, "ids"])
 
-    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", "array<int>"))
+    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, out: str = "decoded", model: str | None = None) -> DataFrame:
@@ -327,4 +328,4 @@ def decode(encoded: DataFrame, out: str = "decoded", model: str | None = None) -
                 text = pc.if_else(pc.is_null(ids), pa.scalar(None, pa.string()), text.cast(pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*names, out])
 
-    return encoded.mapInArrow(run, encoded.select(*names).schema.add(out, "string"))
+    return encoded.mapInArrow(run, encoded.select(*names).schema.add(out, T.StringType()))
