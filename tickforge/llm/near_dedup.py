@@ -6,11 +6,12 @@ of two sketches counts differing samples. Equal sets are merged by fingerprint f
 
 1. star: in each band bucket every set is paired with the bucket's pivot, the set that shares most buckets (the
    original of edited copies shares more with them than they do with each other);
-2. rest: buckets that still hold more than one component pair all their sets across components, block against block.
+2. rest: in buckets that still hold more than one component, blocks of at most `BLOCK` sets meet pairwise. Sets whose
+   sketches come near another component's are written as differences from the pivot's set, from which a cell gets
+   the exact similarity of all its pairs at once; it returns what its links join, a row a set at most.
 
-Pairs whose sketches differ too much go; every other pair is confirmed on the full shingle sets. A link that was
-never paired lies inside one component already, so components are those of all confirmed links; what can be missed
-is only what no band caught (below 1e-4 at the threshold).
+Star pairs whose sketches differ too much go; the others are confirmed on the full shingle sets. Components are those
+of all confirmed links; what can be missed is only what no band caught (below 1e-4 at the threshold).
 
 Edge cases: null text is empty; a text without words has no shingles, size 0 and links with nothing; a text with
 fewer words than `k` is one shingle; a null doc_id takes no part (component null, kept); rows that repeat a doc_id
@@ -33,7 +34,8 @@ from .textarrays import LOWER, U64, keyed, mix, row_bounds, signed, slices, span
 BANDS, ROWS = 16, 4
 BINS = 256
 SKETCH_LONGS = 16
-BLOCK = 256
+BLOCK = 512
+SKETCH = [f"o{j}" for j in range(SKETCH_LONGS)]
 _PAD = U64(0x5851F42D4C957F2D)
 MEMBER_BITS = 1 << 26
 
@@ -119,7 +121,7 @@ def _sign(k: int):
                 cols += [pa.array(signed(s["prints"][:, j])) for j in range(2)]
                 cols += [pa.FixedSizeListArray.from_arrays(pa.array(signed(s["bands"].ravel())), BANDS).cast(pa.list_(pa.int64()))]
                 cols += [pa.array(signed(s["sketch"][:, j])) for j in range(SKETCH_LONGS)]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "f0", "f1", "bands", *(f"o{j}" for j in range(SKETCH_LONGS))])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "f0", "f1", "bands", *SKETCH])
 
     return run
 
@@ -176,13 +178,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, f0 long, f1 long, bands array<long>, " + ", ".join(f"o{j} long" for j in range(SKETCH_LONGS))
+    schema = "doc_id long, n_shingles long, f0 long, f1 long, bands array<long>, " + ", ".join(f"{o} long" for o in SKETCH)
     signs = scratch.write(texts.mapInArrow(_sign(k), schema), "signs")
 
     live = signs.where("doc_id is not null and n_shingles > 0")
     same = scratch.write(live.groupBy("n_shingles", "f0", "f1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "same")
     reps = live.join(same.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sketches = scratch.write(reps.select("doc_id", "n_shingles", *(f"o{j}" for j in range(SKETCH_LONGS))), "sketches")
+    sketches = scratch.write(reps.select("doc_id", "n_shingles", *SKETCH), "sketches")
 
     keys = reps.select("doc_id", F.explode("bands").alias("key"))
     sized = keys.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("least < most").select("key", "n")
@@ -197,31 +199,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         near = pairs.join(a, F.col("u") == F.col("a.doc_id")).join(b, F.col("v") == F.col("b.doc_id")).where(_similar("a", "b", num, den)).select("u", "v").distinct()
         return confirmed(scratch.write(near, f"{name}-near"), name)
 
-    def confirmed(near: DataFrame, name: str) -> DataFrame:
-        ids = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-        bitmap = spark.sparkContext.broadcast(_member_filter(ids))
+    def with_sets(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (u, v) with the shingle sets su and sv. Only the texts of documents in pairs are read to sets."""
+        bitmap = spark.sparkContext.broadcast(_member_filter(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()))
         sets = texts.where("doc_id is not null").select("doc_id", "text", _member_bit().alias("bit")).mapInArrow(_sets(k, bitmap), "doc_id long, shingles binary")
         sets = scratch.write(sets, f"{name}-sets")
-        pairs = near.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
-        out = scratch.write(pairs.select("u", "v", "su", "sv").mapInArrow(_confirm(num, den), "u long, v long").distinct(), f"{name}-links")
-        scratch.drop(f"{name}-sets")
-        return out
+        joined = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
+        return joined.select("u", "v", "su", "sv")
+
+    def confirmed(near: DataFrame, name: str) -> DataFrame:
+        return scratch.write(with_sets(near, name).mapInArrow(_confirm(num, den), "u long, v long").distinct(), f"{name}-links")
+
+    def cells(rows: DataFrame, names: list[str]) -> DataFrame:
+        """The blocks of a bucket (n rows) meet pairwise: a row goes to the cells (own, j) and (i, own) of its bucket."""
+        cut = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
+        cut = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cut = cut.select("key", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "doc_id", *names)
+        return cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id")
 
     star = buckets.where("doc_id <> pivot").select(F.least("pivot", "doc_id").alias("u"), F.greatest("pivot", "doc_id").alias("v")).distinct()
     links = linked(star, "star")
     parts = components(links, scratch, "star-parts")
 
-    placed = buckets.select("key", "doc_id").join(parts, buckets.doc_id == parts.node, "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+    placed = buckets.select("key", "pivot", "doc_id").join(parts, buckets.doc_id == parts.node, "left").select("key", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("part"))
     open_ = placed.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("n")).where("p0 < p1 and n > 2").select("key", "n")
     left = scratch.write(placed.join(open_, "key").join(sketches, "doc_id"), "left")
-    # Blocks of a bucket meet pairwise: each row goes to the cells (own, j) and (i, own), so no task gets a whole bucket.
-    cells = left.withColumn("n_blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id", "key"), F.col("n_blocks")).cast("int"))
-    cells = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    cells = cells.select("key", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "own", "doc_id", "part", "n_shingles", *(f"o{x}" for x in range(SKETCH_LONGS)))
-    rest = scratch.write(cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cell_pairs(num, den), "u long, v long").distinct(), "rest-pairs")
-    rest = rest.join(star, ["u", "v"], "left_anti")
-    more = confirmed(scratch.write(rest, "rest-near"), "rest")
-    parts = components(links.union(more), scratch, "parts")
+    seen = cells(left, ["pivot", "part", "n_shingles", *SKETCH]).mapInArrow(_by_cell(_near_across(num, den), ["key", "doc_id"]), "key long, doc_id long").distinct()
+    seen = scratch.write(seen.join(left.select("key", "doc_id", "pivot", "part"), ["key", "doc_id"]).distinct(), "seen")
+    deltas = scratch.write(with_sets(seen.select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")).distinct(), "rest").mapInArrow(_deltas, "pivot long, doc_id long, added binary, removed binary, n_shingles long"), "deltas")
+    counted = seen.join(seen.groupBy("key").agg(F.count("*").alias("n")), "key").join(deltas, ["pivot", "doc_id"])
+    exact = cells(counted, ["part", "n_shingles", "added", "removed"]).mapInArrow(_by_cell(_linked_exactly(num, den), ["u", "v"]), "u long, v long").distinct()
+    parts = components(links.union(scratch.write(exact, "rest-links")), scratch, "parts")
 
     rep = same.join(parts, same.rep == parts.node, "left").select("n_shingles", "f0", "f1", F.coalesce("component", "rep").alias("part"))
     own = signs.select("doc_id", "n_shingles", "f0", "f1").join(rep, ["n_shingles", "f0", "f1"], "left")
@@ -229,49 +237,102 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _cell_pairs(num: int, den: int):
-    """Pairs across components within each cell (key, i, j), by XOR population counts; rows come sorted by cell."""
-
-    def pairs(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        us, vs = [], []
-        n = len(c["doc_id"])
-        for x in range(n - 1):
-            y = slice(x + 1, n)
-            ok = c["part"][y] != c["part"][x]
-            if c["i"][x] != c["j"][x]:
-                ok &= c["own"][y] != c["own"][x]
-            bits = sum(np.bitwise_count(c[f"o{q}"][y] ^ c[f"o{q}"][x]).astype(np.int64) for q in range(SKETCH_LONGS))
-            sizes = c["n_shingles"]
-            ok &= (bits <= _most_bits(num / den, np.maximum(sizes[y], sizes[x]), np.power, np.sqrt)) & (np.minimum(sizes[y], sizes[x]) * den >= np.maximum(sizes[y], sizes[x]) * num)
-            if ok.any():
-                other = c["doc_id"][y][ok]
-                us.append(np.minimum(other, c["doc_id"][x]))
-                vs.append(np.maximum(other, c["doc_id"][x]))
-        return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
+def _near_across(num: int, den: int):
+    """Of a cell: the rows whose sketch is near enough that of a row of another component."""
+
+    def run(t: pa.Table) -> dict[str, np.ndarray]:
+        ids, part, size = (t.column(c).to_numpy() for c in ("doc_id", "part", "n_shingles"))
+        sketch = np.stack([t.column(c).to_numpy() for c in SKETCH], axis=1).view(U64)
+        hit = np.zeros(len(ids), bool)
+        for x in range(len(ids) - 1):
+            y = slice(x + 1, len(ids))
+            big = np.maximum(size[y], size[x])
+            ok = (part[y] != part[x]) & (np.minimum(size[y], size[x]) * den >= big * num)
+            ok &= np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64) <= _most_bits(num / den, big, np.power, np.sqrt)
+            hit[y] |= ok
+            hit[x] |= ok.any()
+        return {"key": t.column("key").to_numpy()[hit], "doc_id": ids[hit]}
+
+    return run
+
+
+def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a set has beyond its bucket's pivot, and what it lacks of it: exact, and short where both are alike."""
+    for batch in batches:
+        out = []
+        for a, b in zip(batch.column("su"), batch.column("sv"), strict=True):
+            a, b = (np.frombuffer(x.as_buffer(), U64) for x in (a, b))
+            out.append((np.setdiff1d(b, a, assume_unique=True).tobytes(), np.setdiff1d(a, b, assume_unique=True).tobytes(), len(b)))
+        added, removed, size = zip(*out, strict=True) if out else ((), (), ())
+        cols = [batch.column("u"), batch.column("v"), pa.array(added, pa.binary()), pa.array(removed, pa.binary()), pa.array(size, pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, names=["pivot", "doc_id", "added", "removed", "n_shingles"])
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections; elements of one set alone play no part."""
+    size = [len(x) for x in sets]
+    row = np.repeat(np.arange(len(sets)), size)
+    _, col, count = np.unique(np.concatenate([*sets, np.zeros(0, U64)]), return_inverse=True, return_counts=True)
+    shared = count > 1
+    row, col = row[shared[col]], (np.cumsum(shared) - 1)[col[shared[col]]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for a in range(0, int(shared.sum()), 2048):
+        lo, hi = np.searchsorted(col, [a, a + 2048])
+        m = np.zeros((len(sets), 2048), np.float32)
+        m[row[lo:hi], col[lo:hi] - a] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def _linked_exactly(num: int, den: int):
+    """Of a cell: rows of other components that exact links inside the cell join, as (least row, row)."""
+
+    def run(t: pa.Table) -> dict[str, np.ndarray]:
+        ids, part, size = (t.column(c).to_numpy() for c in ("doc_id", "part", "n_shingles"))
+        added, removed = ([np.frombuffer(x.as_buffer(), U64) for c in t.column(name).chunks for x in c] for name in ("added", "removed"))
+        lacks = np.array([len(x) for x in removed])
+        pivot = size[0] - len(added[0]) + lacks[0]
+        both = pivot - (lacks[:, None] + lacks[None, :] - _common(removed)) + _common(added)
+        linked = den * both >= num * (size[:, None] + size[None, :] - both)
+        label = np.arange(len(ids))
+        while True:
+            new = np.where(linked, label[None, :], len(ids)).min(axis=1)
+            new = np.minimum(np.minimum(new, label), label[np.minimum(new, label)])
+            if (new == label).all():
+                break
+            label = new
+        far = part[label] != part
+        return {"u": np.minimum(ids[label], ids)[far], "v": np.maximum(ids[label], ids)[far]}
+
+    return run
+
+
+def _by_cell(each, out: list[str]):
+    """Applies a function to the rows of each cell (key, i, j); rows come sorted by cell, and one cell is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
+        cell = None
 
-        def flush(t: pa.Table):
-            c = {name: t.column(name).to_numpy() for name in t.column_names}
-            for q in range(SKETCH_LONGS):
-                c[f"o{q}"] = c[f"o{q}"].view(U64)
-            cut = np.flatnonzero((c["key"][1:] != c["key"][:-1]) | (c["i"][1:] != c["i"][:-1]) | (c["j"][1:] != c["j"][:-1])) + 1
-            found = [pairs({k: v[a:b] for k, v in c.items()}) for a, b in zip([0, *cut], [*cut, len(c["key"])], strict=True)]
-            u, v = (np.concatenate([f[s] for f in found]) for s in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        def flush():
+            found = each(pa.Table.from_batches(held))
+            return pa.RecordBatch.from_arrays([pa.array(found[v], pa.int64()) for v in out], names=out)
 
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            held = t if held is None else pa.concat_tables([held, t])
-            last = tuple(held.column(x)[-1].as_py() for x in ("key", "i", "j"))
-            same = np.logical_and.reduce([held.column(x).to_numpy() == y for x, y in zip(("key", "i", "j"), last, strict=True)])
-            first = int(np.argmax(same))
-            if first:
-                yield flush(held.slice(0, first))
-                held = held.slice(first)
-        if held is not None and held.num_rows:
-            yield flush(held)
+            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                now = tuple(at[:, a].tolist()) if b > a else cell
+                if held and now != cell:
+                    yield flush()
+                    held = []
+                cell = now
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield flush()
 
     return run
 
