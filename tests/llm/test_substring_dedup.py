@@ -47,14 +47,14 @@ def brute_spans(rows, min_words):
     for d, t in rows:
         b = (t or "").encode()
         s = brute_chunks(b)
-        for a, e in zip(s, [*s[1:], len(b)], strict=True):
+        for a, e in zip(s, [*s[1:], len(b)], strict=False):
             seen.setdefault(b[a:e], (d, a))
             seen[b[a:e]] = min(seen[b[a:e]], (d, a))
     for d, t in rows:
         b = (t or "").encode()
         s = brute_chunks(b)
         run = None
-        for a, e in [*zip(s, [*s[1:], len(b)], strict=True), (None, None)]:
+        for a, e in [*zip(s, [*s[1:], len(b)], strict=False), (None, None)]:
             if a is not None and seen[b[a:e]] < (d, a):
                 run = (run[0] if run else a, e, min(run[2] if run else d, seen[b[a:e]][0]))
                 continue

@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning: sentence scores joined by noisy-or, learnt from document labels.
 
-A sentence's score is the logistic of a bias and the weights of its distinct hashed words. A document is toxic unless
-all its sentences are clean: P = 1 - prod(1 - p). Gradients of the document loss train the sentence weights, with an
-L1 step that leaves weights only on words that explain labels; the same scores then locate offending sentences.
-Fitting uses a bounded sample (`labelled.MAX_PER_CLASS` documents a class); scoring reads every whole text.
+A sentence's score is the logistic of a bias and the weights of its distinct hashed features: words, and beginnings of
+words, which stay when endings change. A document is toxic unless
+all its sentences are clean: P = 1 - prod(1 - p). Gradients of the document loss train the sentence weights: first with an
+L1 step that leaves weights only on words that explain labels, then over these words alone. The same scores locate
+offending sentences.
+Fitting uses a bounded sample (`PER_CLASS` documents a class); scoring reads every whole text.
 
 Edge cases: null, empty and wordless texts have score 0; labels other than 0 and 1 are ignored, a document labelled
 twice counts as toxic if one label says so; without both classes every score is 0; a null doc_id is scored, is never
@@ -17,14 +19,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import MAX_PER_CLASS, training_rows
+from .labelled import training_rows
 from .textarrays import LOWER, U64, runs, slices, span_hashes
 
-BUCKETS = 1 << 20
-EPOCHS, RATE, L1, BIAS = 80, 0.3, 4e-4, -4.0
+#: Most labelled documents of either class that are fitted on.
+PER_CLASS = 2000
+BUCKETS = 1 << 22
+PREFIXES = (4, 5, 6)
+MIN_DOCUMENTS = 3
+CHOOSE_EPOCHS, CHOOSE_RATE, L1, BIAS = 60, 0.3, 1e-3, -4.0
+SET_EPOCHS, SET_RATE, L2 = 500, 0.1, 1e-4
 THRESHOLD = 0.3
 
 WORD = np.zeros(256, bool)
@@ -40,90 +48,133 @@ class Model:
     weights: np.ndarray
 
 
-def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: bucket, start, end, row and sentence; sentences are numbered over the slice and end at . ! ? or a newline."""
-    low = LOWER[data]
+def sentences(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: start, end, row and sentence; sentences are numbered over the slice and end at . ! ? or a newline."""
     starts, ends, row = runs(WORD[low], offsets)
-    bucket = (span_hashes(low, starts, ends) % U64(BUCKETS)).astype(np.int64)
-    stops = np.flatnonzero(STOP[data])
-    raw = np.searchsorted(stops, starts) + row
+    raw = np.searchsorted(np.flatnonzero(STOP[low]), starts) + row
     new = np.ones(len(raw), bool)
     new[1:] = (raw[1:] != raw[:-1]) | (row[1:] != row[:-1])
-    return bucket, starts, ends, row, np.cumsum(new) - 1
+    return starts, ends, row, np.cumsum(new) - 1
+
+
+def features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word) of every feature: the word, and its first bytes where it is longer."""
+    word = np.arange(len(starts))
+    found = [(span_hashes(low, starts, ends), word)]
+    for n in PREFIXES:
+        long = np.flatnonzero(ends - starts > n)
+        found.append((span_hashes(low, starts[long], starts[long] + n) ^ U64(n), long))
+    bucket, word = (np.concatenate(x) for x in zip(*found, strict=True))
+    return (bucket % U64(BUCKETS)).astype(np.int64), word
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: label, and its distinct (sentence, bucket) pairs."""
     for batch in batches:
         for lo, hi, data, offsets in slices(batch.column("text")):
-            bucket, _, _, row, sentence = sentences(data, offsets)
-            n = hi - lo
-            pair = np.unique(np.stack([row, sentence, bucket]), axis=1) if len(row) else np.zeros((3, 0), np.int64)
-            bounds = pa.array(np.searchsorted(pair[0], np.arange(n + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(pair[i], pa.int64())) for i in (1, 2)]
+            low, n = LOWER[data], hi - lo
+            starts, ends, row, sentence = sentences(low, offsets)
+            bucket, word = features(low, starts, ends)
+            pair = np.unique(sentence[word] * BUCKETS + bucket)
+            of = np.zeros(int(sentence[-1]) + 1 if len(sentence) else 0, np.int64)
+            of[sentence] = row
+            bounds = pa.array(np.searchsorted(of[pair // BUCKETS], np.arange(n + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in (pair // BUCKETS, pair % BUCKETS)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), batch.column("label").slice(lo, n), *lists], names=["doc_id", "label", "sentence", "bucket"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = MAX_PER_CLASS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = PER_CLASS) -> Model:
     rows = training_rows(docs, labels, "toxic", held_out, per_class)
-    table = rows.mapInArrow(_featurise, "doc_id long, label int, sentence array<long>, bucket array<long>").toArrow().sort_by("doc_id")
+    table = rows.mapInArrow(_featurise, "doc_id long, label int, sentence array<int>, bucket array<int>").toArrow().sort_by("doc_id")
     y = table.column("label").to_numpy().astype(bool)
-    sizes = [np.array([len(x) for x in table.column("bucket")], np.int64)]
-    words = table.column("bucket").combine_chunks().flatten().to_numpy() if len(y) else np.zeros(0, np.int64)
-    local = table.column("sentence").combine_chunks().flatten().to_numpy() if len(y) else np.zeros(0, np.int64)
-    return train(words, local, np.repeat(np.arange(len(y)), sizes[0]), y)
+    if not len(y):
+        return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), y)
+    size = pc.list_value_length(table.column("bucket")).to_numpy()
+    words, local = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("bucket", "sentence"))
+    return train(words, local, np.repeat(np.arange(len(y)), size), y)
 
 
 def train(words: np.ndarray, local: np.ndarray, doc: np.ndarray, y: np.ndarray) -> Model:
-    """Full-batch proximal AdaGrad on the noisy-or log loss. words: buckets; local: sentence within the document; doc ascends."""
+    """Two fits of the noisy-or log loss: one with an L1 step chooses words, one over these alone sets weights and bias.
+
+    words: buckets; local: sentence within the document; doc ascends.
+    """
     if not len(words) or y.all() or not y.any():
         return Model(-50.0, np.zeros(0, np.int64), np.zeros(0))
-    names, words = np.unique(words, return_inverse=True)
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (local[1:] != local[:-1])
-    sentence = np.cumsum(new) - 1
-    doc_of = doc[new]
-    n = len(y)
+    sentence, doc_of = np.cumsum(new) - 1, doc[new]
+    names, words = np.unique(words, return_inverse=True)
+    # Features of few documents can't be told from chance.
+    often = np.bincount(np.unique(words * len(y) + doc) // len(y), minlength=len(names)) >= MIN_DOCUMENTS
+    keep = often[words]
+    words, in_sentence = (np.cumsum(often) - 1)[words[keep]], sentence[keep]
+    names = names[often]
     share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
-    w, b, gw, gb = np.zeros(len(names)), BIAS, np.full(len(names), 1e-10), 1e-10
-    for _ in range(EPOCHS):
-        z = b + np.bincount(sentence, weights=w[words], minlength=len(doc_of))
-        q = np.bincount(doc_of, weights=np.logaddexp(0, z), minlength=n)
-        slope = np.where(y, -1 / np.maximum(np.expm1(np.minimum(q, 500)), 1e-6), 1.0) * share
-        d = slope[doc_of] / (1 + np.exp(-np.clip(z, -500, 500)))
-        g = np.bincount(words, weights=d[sentence], minlength=len(names))
+    w, b = np.zeros(len(names)), BIAS
+    gw = np.full(len(names), 1e-10)
+    plain = np.ones(len(doc_of))
+    for _ in range(CHOOSE_EPOCHS):
+        g, gb = _gradient(w, b, words, in_sentence, doc_of, plain, y, share)
         gw += g * g
-        gb += d.sum() ** 2
-        step = RATE / np.sqrt(gw)
+        step = CHOOSE_RATE / np.sqrt(gw)
         w -= step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
-        b -= RATE / np.sqrt(gb) * d.sum()
+        b -= 3 * gb
     some = np.flatnonzero(w)
-    return Model(float(b), names[some], w[some])
-
-
-def sentence_scores(model: Model, bucket: np.ndarray, sentence: np.ndarray) -> np.ndarray:
-    """softplus(z) of every sentence of a slice: -log of the chance that it is clean."""
-    n = int(sentence[-1]) + 1 if len(sentence) else 0
+    if not len(some):
+        return Model(-50.0, np.zeros(0, np.int64), np.zeros(0))
+    # Sentences without a chosen word differ in nothing: one stands for all of a document, with their number.
+    keep = np.isin(words, some)
+    words, sentence = np.searchsorted(some, words[keep]), in_sentence[keep]
+    with_word, sentence = np.unique(sentence, return_inverse=True)
+    rest = np.bincount(doc_of, minlength=len(y)) - np.bincount(doc_of[with_word], minlength=len(y))
+    doc_of = np.concatenate([doc_of[with_word], np.arange(len(y))])
+    times = np.concatenate([np.ones(len(with_word)), rest])
+    x = np.append(w[some], b)
+    mean, square = np.zeros(len(x)), np.zeros(len(x))
+    for k in range(1, SET_EPOCHS + 1):
+        g = np.append(*_gradient(x[:-1], x[-1], words, sentence, doc_of, times, y, share))
+        g[:-1] += L2 * x[:-1]
+        mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
+        x = x - SET_RATE * (mean / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
+    return Model(float(x[-1]), names[some], x[:-1])
+
+
+def _gradient(w, b, words, sentence, doc_of, times, y, share) -> tuple[np.ndarray, float]:
+    """Of the mean loss by word weights and bias. Sentence i stands `times[i]` times in its document."""
+    z = b + np.bincount(sentence, weights=w[words], minlength=len(doc_of))
+    q = np.bincount(doc_of, weights=times * np.logaddexp(0, z), minlength=len(y))
+    slope = np.where(y, -1 / np.maximum(np.expm1(np.minimum(q, 500)), 1e-6), 1.0) * share
+    d = slope[doc_of] * times / (1 + np.exp(-np.clip(z, -500, 500)))
+    return np.bincount(words, weights=d[sentence], minlength=len(w)), float(d.sum())
+
+
+def sentence_scores(model: Model, bucket: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
+    """softplus(z) of every sentence of a slice: -log of the chance that it is clean. bucket, sentence: of each feature."""
     z = np.full(n, model.bias)
     if len(model.buckets):
         at = np.minimum(np.searchsorted(model.buckets, bucket), len(model.buckets) - 1)
         hit = model.buckets[at] == bucket
-        pair = np.unique(np.stack([sentence[hit], at[hit]]), axis=1)
-        z += np.bincount(pair[0], weights=model.weights[pair[1]], minlength=n)[:n]
+        pair = np.unique(sentence[hit] * len(model.buckets) + at[hit])
+        z += np.bincount(pair // len(model.buckets), weights=model.weights[pair % len(model.buckets)], minlength=n)
     return np.logaddexp(0, z)
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        known = np.zeros(BUCKETS, bool)
+        known[model.buckets] = True
         cut = -np.log1p(-0.5)
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
-                n = hi - lo
-                bucket, starts, ends, row, sentence = sentences(data, offsets)
-                q = sentence_scores(model, bucket, sentence)
+                n, low = hi - lo, LOWER[data]
+                starts, ends, row, sentence = sentences(low, offsets)
+                bucket, word = features(low, starts, ends)
+                some = known[bucket]
                 first = np.flatnonzero(np.diff(sentence, prepend=-1))
+                q = sentence_scores(model, bucket[some], sentence[word[some]], len(first))
                 owner = row[first]
                 total = np.bincount(owner, weights=q, minlength=n)
                 bad = np.bincount(owner, weights=q >= cut, minlength=n).astype(np.int64)
@@ -133,8 +184,7 @@ def _score(shared):
                 where = np.full((2, n), -1)
                 where[0, owner[worst]] = starts[first[worst]] - offsets[owner[worst]]
                 where[1, owner[worst]] = ends[last[worst]] - offsets[owner[worst]]
-                show = bad > 0
-                cols = [pa.array(-np.expm1(-total)), pa.array(bad), *(pa.array(x, pa.int64(), mask=~show) for x in where)]
+                cols = [pa.array(-np.expm1(-total)), pa.array(bad), *(pa.array(x, pa.int64(), mask=bad == 0) for x in where)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), *cols], names=["doc_id", "score", "offending_sentences", "worst_start", "worst_end"])
 
     return run
