@@ -4,7 +4,7 @@ Edit distance counts inserted, deleted and replaced words (lower-cased runs of l
 A document leaks an item of n words where some window of it is within floor(rate * n) edits of the item.
 
 1. Each word position of a document starts a window for every item length n. A match keeps at least n - 1 - 2d of
-   the item's word pairs, so windows with fewer pairs known to the benchmark (a bitmap of fixed size) can't match.
+   the item's word pairs, so windows with fewer pairs known from items of n words (a bitmap of fixed size) can't match.
 2. The CGK walk embeds a window: at step j it emits the current word and moves on if the word's j-th random bit is
    set, so windows few edits apart agree at most steps. A repeat samples some steps as its LSH key. The number of
    repeats follows from the collision rate measured on edited items at the largest distance and the target recall.
@@ -33,7 +33,7 @@ MIN_WORDS = 5
 SAMPLES = 3
 MAX_REPEATS = 64
 MAP_BITS = 1 << 24
-CALIBRATION_ITEMS = 48
+CALIBRATION_ITEMS = 24
 _PAD = U64(0x2545F4914F6CDD1D)
 
 WORD_BYTE = np.zeros(256, bool)
@@ -52,6 +52,12 @@ def _pairs(h: np.ndarray) -> np.ndarray:
         return mix(h[:-1] * U64(0x9E3779B97F4A7C15) + h[1:])
 
 
+def _of_length(pairs: np.ndarray, n: int) -> np.ndarray:
+    """The pair's entry in the bitmap for items of n words."""
+    with np.errstate(over="ignore"):
+        return mix(pairs + U64(n) * U64(0xD1342543DE82EF95))
+
+
 def edits(n: int, rate: float) -> int:
     return math.floor(rate * n + 1e-9)
 
@@ -93,7 +99,7 @@ def repeats_for(items: list[np.ndarray], rate: float, recall: float) -> int:
     """How many repeats reach the recall, by the collision rate of the items with the most edits allowed."""
     rng = np.random.default_rng(5)
     hits = tries = 0
-    trial = 128
+    trial = 48
     for item in items:
         n, d = len(item), edits(len(item), rate)
         if not d:
@@ -122,7 +128,7 @@ def _bit_test(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(values: DataFrame) -> bytes:
-    """A 2 MB bitmap of the 64-bit values (column v), whatever their number; a full one only prunes less."""
+    """A bitmap (2 MB) of the 64-bit values (column v), whatever their number; a full one only prunes less."""
     b = values.select((F.expr(f"cast(pmod(v, {MAP_BITS}) as bigint)") + 1).alias("b"))
     out = bytearray(MAP_BITS // 8)
     for r in b.groupBy(F.expr("bitmap_bucket_number(b)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(b))").alias("m")).collect():
@@ -183,11 +189,16 @@ def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
                 h, bounds = tokens(data, offsets)
                 if len(h) < 2:
                     continue
-                known = _bit_test(pairs_known, _pairs(h))
+                pairs = _pairs(h)
+                some = _bit_test(pairs_known, pairs)
                 cross = bounds[1:-1]
-                known[cross[(cross > 0) & (cross < len(h))] - 1] = False
+                some[cross[(cross > 0) & (cross < len(h))] - 1] = False
+                some = np.flatnonzero(some)
+                pairs = pairs[some]
                 ids = batch.column("doc_id").slice(lo, hi - lo)
                 for n in lengths:
+                    known = np.zeros(len(h) - 1, bool)
+                    known[some] = _bit_test(pairs_known, _of_length(pairs, n))
                     starts, sizes, rows = windows(h, bounds, known, n, rate)
                     for a in range(0, len(starts), 4096):
                         s, m, r = starts[a : a + 4096], sizes[a : a + 4096], rows[a : a + 4096]
@@ -195,13 +206,13 @@ def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
                         wide = np.where(np.arange(n) < m[:, None], h[np.minimum(at, len(h) - 1)], _PAD)
                         k = keys(wide, n, repeats)
                         hit = _bit_test(keys_known, k)
-                        some = np.flatnonzero(hit.any(axis=1))
-                        if not len(some):
+                        of = np.flatnonzero(hit.any(axis=1))
+                        if not len(of):
                             continue
-                        counts = hit[some].sum(axis=1)
-                        key_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(signed(k[some][hit[some]])))
-                        word_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[some])]), pa.int32()), pa.array(signed(wide[some][np.arange(n) < m[some][:, None]])))
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r[some])), pa.array(s[some] - bounds[r[some]]), pa.array(m[some].astype(np.int64)), word_list, key_list], names=names)
+                        counts = hit[of].sum(axis=1)
+                        key_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(signed(k[of][hit[of]])))
+                        word_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[of])]), pa.int32()), pa.array(signed(wide[of][np.arange(n) < m[of][:, None]])))
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r[of])), pa.array(s[of] - bounds[r[of]]), pa.array(m[of].astype(np.int64)), word_list, key_list], names=names)
 
     return run
 
@@ -246,7 +257,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, recall: flo
 def _item_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for words in batch.column("words"):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(_pairs(words.values.to_numpy().view(U64))))], names=["v"])
+            pairs = _pairs(words.values.to_numpy().view(U64))
+            both = np.concatenate([pairs, _of_length(pairs, len(words))])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(both))], names=["v"])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, recall: float = RECALL) -> DataFrame:
