@@ -51,7 +51,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.library = Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size()
@@ -60,6 +60,12 @@ class WordEncoder:
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.splitter, self.split_id = next(iter(special.items()))
         kind = json.loads(self.library.to_str())
+        suffix = kind["model"].get("end_of_word_suffix")
+        self.plain, self.word_end = Tokenizer.from_file(path), None
+        if suffix:
+            self.plain.normalizer = normalizers.Sequence([])
+            self.word_end = np.zeros(max(self.library.get_vocab().values()) + 1, bool)
+            self.word_end[[i for piece, i in self.library.get_vocab().items() if piece.endswith(suffix)]] = True
         # Words apart equal words together only where white space is dropped and nothing is put around a text.
         self.by_words = "Lowercase" in json.dumps(kind["normalizer"]) and "\\\\s+" in json.dumps(kind["normalizer"]) and kind["pre_tokenizer"]["pretokenizers"][0]["behavior"] == "Removed"
 
@@ -67,19 +73,22 @@ class WordEncoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encodes new words in one text each some thousand, split by a special token that no word contains."""
+        """Encodes new words, some thousand in one text: words of plain letters parted by blanks, others by a special token."""
         if len(self.kept) + len(words) > KEPT_WORDS:
             self.kept.clear()
-        groups = [words[i : i + 2000] for i in range(0, len(words), 2000)]
-        for group, e in zip(groups, self.library.encode_batch_fast([self.splitter.join(w.decode() for w in g) for g in groups], add_special_tokens=False), strict=True):
+        texts = {w: w.decode() for w in words}
+        # Letters below U+0250 in lower case: normalising leaves them as they are, and each is one pre-token.
+        plain = [w for w, t in texts.items() if t.isalpha() and (t.isascii() or max(t) < "\u0250" and t == t.lower())] if self.word_end is not None else []
+        rest = list(texts.keys() - set(plain))
+        for group, tool, joint in [*((plain[i : i + 2000], self.plain, " ") for i in range(0, len(plain), 2000)), *((rest[i : i + 2000], self.library, self.splitter) for i in range(0, len(rest), 2000))]:
+            e = tool.encode_batch_fast([joint.join(texts[w] for w in group)], add_special_tokens=False)[0]
             ids = np.array(e.ids, np.int64)
-            cuts = np.flatnonzero(ids == self.split_id)
-            if len(cuts) != len(group) - 1:
-                raise ValueError("a word spells a special token")
-            flat = ids.astype(self.dtype).tobytes()
-            size = self.dtype.itemsize
-            for w, a, b in zip(group, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                self.kept[w] = flat[a * size : b * size]
+            ends = np.flatnonzero(self.word_end[ids]) + 1 if joint == " " else np.append(np.flatnonzero(ids == self.split_id), len(ids))
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer joins or splits words in another way than thought")
+            starts = np.append(0, ends[:-1] + (joint != " "))
+            flat, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            self.kept.update((w, flat[a:b]) for w, a, b in zip(group, (starts * size).tolist(), (ends * size).tolist(), strict=True))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
         """Ids of each row of a slice, and how many."""
@@ -98,10 +107,10 @@ class WordEncoder:
             marks = np.concatenate([apart, offsets[1:-1]])
             text = np.insert(b, marks, np.where(np.arange(len(marks)) < len(apart), 32, 10)).tobytes() if len(marks) else low
             words = text.split()
-            new = list(dict.fromkeys(w for w in words if w not in self.kept))
-            short = len(self.kept) + len(new) > KEPT_WORDS
+            own = set(words)
+            new = own.difference(self.kept)
             if new:
-                self._learn(new if not short else list(dict.fromkeys(words)))
+                self._learn(list(new if len(self.kept) + len(new) <= KEPT_WORDS else own))
             got = list(map(self.kept.__getitem__, words))
             padded = np.frombuffer(text, np.uint8)
             inside = ~IS_SPACE[padded]
