@@ -76,8 +76,9 @@ def test_clean_keeps_what_leaks_nothing(spark):
     assert dc.leaks(table.limit(0), bench).count() == 0 == dc.leaks(table, bench.limit(0)).count()
 
 
-def test_edit_distance():
+def test_edit_distances():
     rng = random.Random(1)
     for _ in range(60):
-        a, b = ([rng.randrange(4) for _ in range(rng.randrange(12))] for _ in range(2))
-        assert dc.edit_distance(np.array(a), np.array(b)) == distance(a, b)
+        a, b = ([[rng.randrange(4) for _ in range(n)] for _ in range(5)] for n in (rng.randrange(12), rng.randrange(12)))
+        got = dc.edit_distances(*(np.array(x, np.int64).reshape(5, -1) for x in (a, b)))
+        assert got.tolist() == [distance(x, y) for x, y in zip(a, b, strict=True)]

@@ -32,6 +32,7 @@ RATE, RECALL = 0.2, 0.99
 MIN_WORDS = 5
 SAMPLES = 3
 MAX_REPEATS = 64
+KEY_ROWS = 256
 MAP_BITS = 1 << 24
 CALIBRATION_ITEMS = 24
 _PAD = U64(0x2545F4914F6CDD1D)
@@ -63,36 +64,46 @@ def edits(n: int, rate: float) -> int:
 
 
 def keys(windows: np.ndarray, n: int, repeats: int) -> np.ndarray:
-    """LSH keys (rows, repeats) of windows given as rows of word hashes, padded with _PAD to the item length n."""
-    rows = len(windows)
-    wide = np.concatenate([windows, np.full((rows, 1), _PAD, U64)], axis=1)
-    out = np.empty((rows, repeats), U64)
-    at_row = np.arange(rows)
-    with np.errstate(over="ignore"):
-        for r, salt in enumerate(keyed(repeats, 41)):
-            sampled = np.sort((keyed(SAMPLES, int(salt % U64(1 << 32))) % U64(2 * n)).astype(np.int64))
-            key = np.full(rows, salt + U64(n), U64)
-            at = np.zeros(rows, np.int64)
-            bits = mix(wide + salt)
-            for j in range(int(sampled[-1]) + 1):
-                if j and j % 64 == 0:
-                    bits = mix(wide + salt + U64(j))
-                for _ in range(int((sampled == j).sum())):
-                    key = mix(key * U64(0x9E3779B97F4A7C15) + wide[at_row, at])
-                at = np.minimum(at + ((bits[at_row, at] >> U64(j % 64)) & U64(1)).astype(np.int64), n)
-            out[:, r] = key
+    """LSH keys (rows, repeats) of windows given as rows of word hashes, padded with _PAD to the item length n.
+
+    All repeats walk at once: an array of places by row and repeat moves on step by step.
+    """
+    salts = keyed(repeats, 41)
+    sampled = np.sort(np.stack([(keyed(SAMPLES, int(x % U64(1 << 32))) % U64(2 * n)).astype(np.int64) for x in salts]), axis=1)
+    takes = [np.nonzero(sampled == j) for j in range(int(sampled.max()) + 1)]
+    out = np.empty((len(windows), repeats), U64)
+    for lo in range(0, len(windows), KEY_ROWS):
+        part = windows[lo : lo + KEY_ROWS]
+        rows = len(part)
+        wide = np.concatenate([part, np.full((rows, 1), _PAD, U64)], axis=1)
+        at = np.zeros((rows, repeats), np.int64)
+        row, own = np.arange(rows)[:, None], np.arange(repeats)[None, :]
+        seen = np.empty((rows, repeats, SAMPLES), U64)
+        with np.errstate(over="ignore"):
+            for j, (r, k) in enumerate(takes):
+                if j % 64 == 0:
+                    bits = mix(wide[:, :, None] + salts[None, None, :] + U64(j))
+                if len(r):
+                    seen[:, r, k] = wide[row, at[:, r]]
+                at += ((bits[row, at, own] >> U64(j % 64)) & U64(1)).astype(np.int64)
+                np.minimum(at, n, out=at)
+            key = np.broadcast_to(salts + U64(n), (rows, repeats))
+            for k in range(SAMPLES):
+                key = mix(key * U64(0x9E3779B97F4A7C15) + seen[:, :, k])
+        out[lo : lo + KEY_ROWS] = key
     return out
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
-    """Levenshtein distance of two sequences; a row of the table at a time."""
-    steps = np.arange(len(b) + 1)
-    row = steps.copy()
-    for i, x in enumerate(a, 1):
-        new = np.minimum(row[1:] + 1, row[:-1] + (b != x))
-        new = np.concatenate([[i], new]) - steps
-        row = np.minimum.accumulate(new) + steps
-    return int(row[-1])
+def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Levenshtein distances of the rows of a (k, m) and b (k, n), a row of the table at a time for all of them."""
+    steps = np.arange(b.shape[1] + 1)
+    row = np.broadcast_to(steps, (len(a), len(steps))).copy()
+    for i in range(1, a.shape[1] + 1):
+        new = np.empty_like(row)
+        new[:, 0] = i
+        np.minimum(row[:, 1:] + 1, row[:, :-1] + (b != a[:, i - 1 : i]), out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+    return row[:, -1]
 
 
 def repeats_for(items: list[np.ndarray], rate: float, recall: float) -> int:
@@ -183,9 +194,24 @@ def windows(h: np.ndarray, bounds: np.ndarray, known: np.ndarray, n: int, rate:
 def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs_known, keys_known = (np.frombuffer(m.value, np.uint8) for m in (pair_map, key_map))
-        names = ["doc_id", "start", "n", "words", "keys"]
+
+        def flush(n: int, found: list) -> pa.RecordBatch | None:
+            """The windows whose keys may be an item's. found: (words, lengths, document, place in the document)."""
+            wide, m, ids, starts = (np.concatenate(x) for x in zip(*found, strict=True))
+            k = keys(wide, n, repeats)
+            hit = _bit_test(keys_known, k)
+            of = np.flatnonzero(hit.any(axis=1))
+            wide, m, hit = wide[of], m[of], hit[of]
+            key_list = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(hit.sum(axis=1))), pa.int32()), pa.array(signed(k[of][hit])))
+            word_list = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(m)), pa.int32()), pa.array(signed(wide[np.arange(n) < m[:, None]])))
+            return pa.RecordBatch.from_arrays([pa.array(ids[of]), pa.array(starts[of]), pa.array(m.astype(np.int64)), word_list, key_list], names=["doc", "start", "n", "words", "keys"])
+
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            # Windows of one length are embedded together, some thousand at a time.
+            held: dict[int, list] = {n: [] for n in lengths}
+            waiting = dict.fromkeys(lengths, 0)
+            done: list[pa.RecordBatch] = []
+            for lo, _, data, offsets in slices(batch.column("text")):
                 h, bounds = tokens(data, offsets)
                 if len(h) < 2:
                     continue
@@ -195,24 +221,23 @@ def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
                 some[cross[(cross > 0) & (cross < len(h))] - 1] = False
                 some = np.flatnonzero(some)
                 pairs = pairs[some]
-                ids = batch.column("doc_id").slice(lo, hi - lo)
                 for n in lengths:
                     known = np.zeros(len(h) - 1, bool)
-                    known[some] = _bit_test(pairs_known, _of_length(pairs, n))
+                    known[some[_bit_test(pairs_known, _of_length(pairs, n))]] = True
+                    if known.sum() < n - 1 - 2 * edits(n, rate):
+                        continue
                     starts, sizes, rows = windows(h, bounds, known, n, rate)
                     for a in range(0, len(starts), 4096):
                         s, m, r = starts[a : a + 4096], sizes[a : a + 4096], rows[a : a + 4096]
-                        at = s[:, None] + np.arange(n)
-                        wide = np.where(np.arange(n) < m[:, None], h[np.minimum(at, len(h) - 1)], _PAD)
-                        k = keys(wide, n, repeats)
-                        hit = _bit_test(keys_known, k)
-                        of = np.flatnonzero(hit.any(axis=1))
-                        if not len(of):
-                            continue
-                        counts = hit[of].sum(axis=1)
-                        key_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(signed(k[of][hit[of]])))
-                        word_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[of])]), pa.int32()), pa.array(signed(wide[of][np.arange(n) < m[of][:, None]])))
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r[of])), pa.array(s[of] - bounds[r[of]]), pa.array(m[of].astype(np.int64)), word_list, key_list], names=names)
+                        wide = np.where(np.arange(n) < m[:, None], h[np.minimum(s[:, None] + np.arange(n), len(h) - 1)], _PAD)
+                        held[n].append((wide, m, lo + r, s - bounds[r]))
+                        waiting[n] += len(s)
+                        if waiting[n] >= 4096:
+                            done.append(flush(n, held[n]))
+                            held[n], waiting[n] = [], 0
+            for out in [*done, *(flush(n, x) for n, x in held.items() if x)]:
+                if out.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(out.column("doc")), *out.columns[1:]], names=["doc_id", *out.schema.names[1:]])
 
     return run
 
@@ -221,10 +246,17 @@ def _verify(rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("words"), batch.column("item_words")
-            far = [edit_distance(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(a, b, strict=True)]
-            most = [edits(len(y), rate) for y in b]
-            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), batch.column("n"), pa.array(far, pa.int64())], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
-            yield out.filter(pa.array([f <= m for f, m in zip(far, most, strict=True)], pa.bool_()))
+            m, n = (np.asarray(x.value_lengths()).astype(np.int64) for x in (a, b))
+            flat_a, flat_b = a.flatten().to_numpy(), b.flatten().to_numpy()
+            at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
+            far = np.zeros(len(m), np.int64)
+            shape = m * (1 << 32) + n
+            for x in np.unique(shape):
+                of = np.flatnonzero(shape == x)
+                far[of] = edit_distances(flat_a[at_a[of][:, None] + np.arange(m[of[0]])], flat_b[at_b[of][:, None] + np.arange(n[of[0]])])
+            most = np.array([edits(int(x), rate) for x in n])
+            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), batch.column("n"), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
+            yield out.filter(pa.array(far <= most))
 
     return run
 
