@@ -100,12 +100,18 @@ def read_candles(spark: SparkSession, path: str, spec: InstrumentSpec) -> DataFr
 
 
 def list_hours(spark: SparkSession, path: str) -> DataFrame:
-    """The landing zone: instrument, hour_us, size, has_file, has_absent_marker (an `.absent` file beside the hour's)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    """The landing zone: instrument, hour_us, size, has_file, has_absent_marker (an `.absent` file beside the hour's).
+
+    Scans leave out files without bytes, so names come from the source's file index and sizes from the scan.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     pattern = TICK_PATH.replace(r"\.bi5$", r"\.bi5(\.absent)?$")
+    # Both sides write the store's name in their own way; the end of the path is the same.
+    end = F.regexp_extract("path", pattern, 0).alias("path")
+    names = spark.createDataFrame([(x,) for x in files.inputFiles()], "path string").select(end).join(files.select(end, "length"), "path", "left")
     part = [F.regexp_extract("path", pattern, i) for i in range(1, 7)]
     days = F.datediff(F.make_date(part[1].cast("int"), part[2].cast("int"), part[3].cast("int")), F.lit("1970-01-01").cast("date")).cast("long") * (24 * HOUR)
-    rows = files.where(F.col("path").rlike(pattern)).select(part[0].alias("instrument"), (days + part[4].cast("long") * HOUR).alias("hour_us"), "length", (part[5] != "").alias("marker"))
+    rows = names.where(F.col("path").rlike(pattern)).select(part[0].alias("instrument"), (days + part[4].cast("long") * HOUR).alias("hour_us"), F.coalesce("length", F.lit(0)).alias("length"), (part[5] != "").alias("marker"))
     return rows.groupBy("instrument", "hour_us").agg(
         F.sum(F.when(~F.col("marker"), F.col("length")).otherwise(0)).alias("size"), F.bool_or(~F.col("marker")).alias("has_file"), F.bool_or("marker").alias("has_absent_marker")
     )

@@ -109,11 +109,16 @@ def positions(rows: DataFrame, offset_hours: float, symbol: str | None = None) -
     return shaped.where(F.col("symbol") == symbol) if symbol else shaped
 
 
+#: What Windows-1252 has where Latin-1 has control characters.
+_C1 = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
 def decode_text(files: DataFrame) -> DataFrame:
     """binaryFile rows with `text`: UTF-16 by its mark, else UTF-8 with or without mark, else Windows-1252."""
-    head = F.hex(F.substring("content", 1, 2))
-    utf8 = F.when(F.expr("is_valid_utf8(cast(content as string))"), F.decode("content", "UTF-8"))
-    text = F.when(head.isin("FFFE", "FEFF"), F.decode("content", "UTF-16")).otherwise(F.coalesce(F.regexp_replace(utf8, "^﻿", ""), F.decode("content", "windows-1252")))
+    utf16 = F.hex(F.substring("content", 1, 2)).isin("FFFE", "FEFF")
+    utf8 = F.when(F.expr("is_valid_utf8(cast(content as string))"), F.col("content").cast("string"))
+    western = F.translate(F.decode("content", "iso-8859-1"), "".join(_C1), "".join(_C1.values()))
+    text = F.when(utf16, F.decode("content", "utf-16")).otherwise(F.coalesce(F.regexp_replace(utf8, "^\ufeff", ""), western))
     return files.withColumn("text", text)
 
 
