@@ -50,8 +50,8 @@ def _words(text: Column) -> Column:
 
 
 def _bigrams(words: Column) -> Column:
-    pairs = F.zip_with(words, F.slice(words, 2, 2**31 - 1), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def license_matches(docs: DataFrame, templates: DataFrame | None = None, threshold: float = DICE) -> DataFrame:
