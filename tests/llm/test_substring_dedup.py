@@ -107,6 +107,20 @@ def test_planted_passages_are_cut_and_clean_documents_stay(spark, rows):
     assert out[200].text.split() == [] or len(out[200].text.split()) < 30
 
 
+def test_long_words_are_cut_whole(spark):
+    """Repeated passages that begin or end inside words longer than chunks."""
+    rng = random.Random(11)
+    long = lambda n: "".join(rng.choice("éüñaß") for _ in range(n))
+    core = text(rng, 60)
+    a, b = long(90), long(90)
+    rows = [(i, f"{text(rng, 20)} {long(rng.randrange(1, 60))}{a} {core} {b}{long(rng.randrange(1, 60))} {text(rng, 20)}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, sd.repeated_spans(docs).collect())) == brute_spans(rows, sd.MIN_WORDS)
+    words_of = {d: set(t.split()) for d, t in rows}
+    for r in sd.without_repeats(docs).collect():
+        assert set(r.text.split()) <= words_of[r.doc_id]
+
+
 def test_edge_cases(spark):
     long = "lorem ipsum dolor " * 60
     docs = spark.createDataFrame([(None, long), (1, long), (1, long), (2, None)], "doc_id long, text string")

@@ -110,9 +110,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = scratch.write(shared.select("digest", "first"), "shared")
     places = texts.mapInArrow(_places, "digest long, doc_id long, place long, count long")
     hits = places.join(shared, "digest").where("doc_id > first or count % 2 = 1")
-    start, size = F.expr("shiftright(place, 24)"), F.expr("shiftright(place, 16) & 255")
+    start, size, lead, trail = F.expr("shiftright(place, 24)"), F.expr("shiftright(place, 16) & 255"), F.expr("shiftright(place, 8) & 255"), F.expr("place & 255")
+    # A chunk inside one word has no word's start or end to offer.
     hits = hits.select(
-        "doc_id", "first", start.alias("start"), (start + size).alias("end"), (start + F.expr("shiftright(place, 8) & 255")).alias("from"), (start + size - F.expr("place & 255")).alias("to"),
+        "doc_id", "first", start.alias("start"), (start + size).alias("end"), F.when(lead < size, start + lead).alias("from"), F.when(trail < size, start + size - trail).alias("to"),
         F.expr("shiftright(count, 10)").alias("w0"), F.expr("shiftright(count, 10) + (shiftright(count, 1) & 511) - 1").alias("w1"),
     )
     hits = scratch.write(hits, "hits")
