@@ -6,6 +6,10 @@ word bigrams. A Dice coefficient of t needs sizes within t / (2 - t) of each oth
 all templates go before any bigram is made, and a template is a unit's candidate only within its own bounds. Shared
 bigrams are counted by an equi-join on the bigram.
 
+From the same bound a match shares m * t / (2 - t) of a template's m bigrams at least. Words that touch more than the
+rest of them are chosen for each template, common ones last and longest first: a unit without any of them can't match, nor can a text, so
+one regular expression leaves out most texts before they are taken apart.
+
 Edge cases: null, empty and one-word units have no bigram and match nothing; templates without bigrams are ignored;
 of equal templates each is reported; a null doc_id is reported as null; repeated rows count as further units of their
 doc_id; extra columns are ignored.
@@ -13,6 +17,8 @@ doc_id; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +26,9 @@ DICE = 0.8
 #: Templates (bigrams) up to this number are sent to every executor; beyond, the join shuffles.
 BROADCAST_BIGRAMS = 100_000
 
+#: Words that say little about a text.
+COMMON = {"a", "and", "by", "for", "in", "is", "of", "the", "this", "to", "under", "with"}
+
 #: Notices by which texts name a licence.
 NOTICES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -54,6 +63,20 @@ def _bigrams(words: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
+def required_words(templates: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every match of any template has one. templates: the bigrams of each."""
+    chosen: set[str] = set()
+    for grams in templates:
+        pairs = [tuple(g.split(" ")) for g in grams]
+        spare = len(pairs) * (1 - threshold / (2 - threshold))
+        covered = lambda: sum(a in chosen or b in chosen for a, b in pairs)  # noqa: B023, E731
+        for word in sorted({w for p in pairs for w in p}, key=lambda w: (w in COMMON, -len(w), w)):
+            if covered() > spare + 1e-9:
+                break
+            chosen.add(word)
+    return sorted(chosen)
+
+
 def license_matches(docs: DataFrame, templates: DataFrame | None = None, threshold: float = DICE) -> DataFrame:
     """One row per document and licence whose notice or text it holds: doc_id, license, dice (the largest), n_units."""
     spark = docs.sparkSession
@@ -64,13 +87,17 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None, thresho
         least, most, total = 1, 0, 0
     reach = threshold / (2 - threshold)
     grams = known.select("template_id", "license", "t_size", F.explode("grams").alias("gram"))
+    may_match = F.lit(True)
     if total <= BROADCAST_BIGRAMS:
         grams = F.broadcast(grams)
+        words = required_words([r.grams for r in known.select("grams").collect()], threshold)
+        # Case-blind like the normalised text, or more so; a word found inside a longer one only lets a unit pass.
+        may_match = F.col("text").rlike("(?iu)" + "|".join(re.escape(w) for w in words)) if words else F.lit(False)
 
     text = F.col("text").cast("string")
     sentences = F.split(F.regexp_replace(text, r"([.;!?])\s+", "$1\n"), "\n")
-    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.posexplode(F.array_distinct(F.concat(sentences, F.split(text, "\n"), F.array(text)))).alias("pos", "unit"))
-    units = units.where(F.length("unit") > 0).select("doc_id", "uid", "pos", _words(F.col("unit")).alias("words"))
+    units = docs.where(may_match).select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.posexplode(F.array_distinct(F.concat(sentences, F.split(text, "\n"), F.array(text)))).alias("pos", "unit"))
+    units = units.withColumnRenamed("unit", "text").where(may_match).withColumnRenamed("text", "unit").select("doc_id", "uid", "pos", _words(F.col("unit")).alias("words"))
     # A set of n bigrams needs n + 1 words at least; more words than the upper bound can only be repeats of bigrams, seen below.
     units = units.where(F.size("words") - 1 >= F.lit(least * reach)).select("doc_id", "uid", "pos", _bigrams(F.col("words")).alias("grams")).withColumn("size", F.size("grams"))
     units = units.where(F.col("size").between(F.lit(least * reach), F.lit(most / reach)))
