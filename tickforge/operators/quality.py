@@ -75,13 +75,10 @@ def completeness(calendar: DataFrame, listing: DataFrame) -> DataFrame:
 
 def completeness_counts(states: DataFrame, by: list[str] | None = None, listed: int = 200) -> DataFrame:
     """Counts by state, the first `listed` failed hours, and whether nothing failed."""
-    by = by or []
     count = [F.count_if(F.col("state") == s).alias(s) for s in ("presente", "vazio", "ausente", "falhou")]
-    failed = states.where("state = 'falhou'").withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy("hour_us"))).where(F.col("__n") <= listed) if by else states.where("state = 'falhou'").orderBy("hour_us").limit(listed)
-    out = states.groupBy(*by).agg(*count)
-    named = failed.groupBy(*by).agg(F.sort_array(F.collect_list("hour_us")).alias("missing"))
-    out = out.join(named, by, "left") if by else out.crossJoin(F.broadcast(named))
-    return out.withColumns({"missing": F.coalesce("missing", F.array().cast("array<bigint>")), "complete": F.col("falhou") == 0})
+    failed = F.sort_array(F.collect_list(F.when(F.col("state") == "falhou", F.col("hour_us"))))  # hours of a calendar
+    out = states.groupBy(*(by or [])).agg(*count, F.slice(failed, 1, listed).alias("missing"))
+    return out.withColumn("complete", F.col("falhou") == 0)
 
 
 def per_day_counts(states: DataFrame) -> DataFrame:

@@ -165,33 +165,38 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
 def superiority(values: DataFrame, column: str, is_a: str) -> DataFrame:
     """P(a < b) + P(a = b) / 2 over finite values: one row p, n_a, n_b.
 
-    By counts of each distinct value, so pairs are never formed.
+    By counts of each distinct value, so pairs are never formed. Values are cut into bins; what lies below a value is
+    the bins before and the part of its own bin before it.
     """
     v = values.where(finite(F.col(column).cast("double"))).groupBy(F.col(column).cast("double").alias("x")).agg(F.sum(F.col(is_a).cast("long")).alias("a"), F.sum((~F.col(is_a)).cast("long")).alias("b"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = v.withColumn("a_below", F.coalesce(F.sum("a").over(w), F.lit(0)))
-    out = ranked.agg(F.sum(F.col("b") * (F.col("a_below") + F.col("a") / 2)).alias("u"), F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
-    return out.select((F.col("u") / (F.col("n_a") * F.col("n_b"))).alias("p"), "n_a", "n_b")
+    low, high = v.agg(F.min("x"), F.max("x")).first()
+    if low is None:
+        return values.sparkSession.createDataFrame([(None, 0, 0)], "p double, n_a long, n_b long")
+    v = v.withColumn("bin", F.floor((F.col("x") - low) / ((high - low) or 1.0) * 1024).cast("int"))
+    bins = v.groupBy("bin").agg(F.sum("a").alias("t"))
+    bins = bins.select("bin", F.coalesce(F.sum("t").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.coalesce(F.sum("a").over(Window.partitionBy("bin").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = v.withColumn("own", own).join(F.broadcast(bins), "bin")  # 1025 bins at most
+    out = ranked.agg(F.sum(F.col("b") * (F.col("before") + F.col("own") + F.col("a") / 2)).alias("u"), F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    return out.select(F.try_divide("u", F.col("n_a") * F.col("n_b")).alias("p"), "n_a", "n_b")
 
 
 def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode", n: int = 1000, seed: int = 0) -> DataFrame:
     """CI95 of the superiority by resampling episodes: lo, hi, episodes; null below 3 episodes or 10 finite values.
 
-    Superiority counts of each pair of episodes are computed once; a replicate is the sum of its episodes' pairs, weighted
-    by how often each was drawn. Draws are hashes of seed, replicate and place.
+    A replicate counts each episode as often as it was drawn and ranks its values like `superiority`. Draws are hashes
+    of seed, replicate and place; replicates are worked on apart from each other.
     """
-    ok = values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).alias("is_a"), F.col(episode).alias("e"))
-    a = ok.where("is_a").groupBy(F.col("e").alias("ea"), F.col("x").alias("xa")).agg(F.count("*").alias("na"))
-    b = ok.where("not is_a").groupBy(F.col("e").alias("eb"), F.col("x").alias("xb")).agg(F.count("*").alias("nb"))
-    score = F.when(F.col("xa") < F.col("xb"), 1.0).when(F.col("xa") == F.col("xb"), 0.5).otherwise(0.0)
-    matrix = a.crossJoin(b).groupBy("ea", "eb").agg(F.sum(score * F.col("na") * F.col("nb")).alias("u"), F.sum(F.col("na") * F.col("nb")).alias("pairs"))
-    names = ok.select("e").distinct().withColumn("no", F.row_number().over(Window.orderBy("e")) - 1)
+    ok = values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), F.col(episode).alias("e"))
+    names = ok.select("e").distinct()
+    names = names.withColumn("no", F.row_number().over(Window.orderBy("e")) - 1)
     total = names.count()
     if total < 3 or ok.count() < 10:
         return values.sparkSession.createDataFrame([(None, None, total)], "lo double, hi double, episodes long")
     draws = values.sparkSession.range(n).withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(total - 1))))
     draws = draws.select("id", F.pmod(F.xxhash64(F.lit(seed), "id", "place"), F.lit(total)).cast("int").alias("no")).groupBy("id", "no").agg(F.count("*").alias("times")).join(names, "no")
-    left = draws.select("id", F.col("e").alias("ea"), F.col("times").alias("ta"))
-    right = draws.select("id", F.col("e").alias("eb"), F.col("times").alias("tb"))
-    each = left.join(matrix, "ea").join(right, ["id", "eb"]).groupBy("id").agg((F.sum(F.col("u") * F.col("ta") * F.col("tb")) / F.sum(F.col("pairs") * F.col("ta") * F.col("tb"))).alias("p"))
+    drawn = ok.groupBy("e", "x").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).join(draws, "e")
+    drawn = drawn.groupBy("id", "x").agg(F.sum(F.col("a") * F.col("times")).alias("a"), F.sum(F.col("b") * F.col("times")).alias("b"))
+    below = F.coalesce(F.sum("a").over(Window.partitionBy("id").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    each = drawn.withColumn("below", below).groupBy("id").agg(F.try_divide(F.sum(F.col("b") * (F.col("below") + F.col("a") / 2)), F.sum("a") * F.sum("b")).alias("p"))
     return each.agg(F.percentile("p", F.lit(0.025)).alias("lo"), F.percentile("p", F.lit(0.975)).alias("hi"), F.lit(total).cast("long").alias("episodes"))
