@@ -341,11 +341,11 @@ z AS (SELECT entry_id, side, start_ts, round(mae, 6) AS mae_usd_oz, round((green
   CASE WHEN start_ts + {72 * HOUR} <= (SELECT max(label) FROM b) THEN coalesce(green <= start_ts + {72 * HOUR}, false) END AS verde_72 FROM r)"""
 
 
-@query(_STUDY + " SELECT * FROM z")
+@query(_STUDY + " SELECT * REPLACE (coalesce(CAST(verde_24 AS VARCHAR), 'censored') AS verde_24, coalesce(CAST(verde_72 AS VARCHAR), 'censored') AS verde_72) FROM z")
 def mae_green(spark, sf_dir):
     r = _evaluated(spark, sf_dir)
     num = {c: F.round(c, 6) + F.lit(0.0) for c in ("mae_usd_oz", "horas_ate_verde", "horas_ate_verde_liq", "swap_usd_oz")}
-    green = {f"verde_{h}": F.element_at("verde_em", F.lit(float(h))) for h in (24, 72)}
+    green = {f"verde_{h}": F.coalesce(F.element_at("verde_em", F.lit(float(h))).cast("string"), F.lit("censored")) for h in (24, 72)}
     return r.withColumns(num | green).select("entry_id", "side", "start_ts", *num, *green)
 
 
