@@ -87,3 +87,9 @@ def test_round_trip_seeds_and_edge_cases(spark, texts):
     assert other != [r.ids for r in one]
     assert [r.ids for r in md.encode(docs.repartition(5), 0.2, seed=1).orderBy("doc_id").collect()] == [r.ids for r in md.encode(docs, 0.2, seed=1).orderBy("doc_id").collect()]
     assert md.encode(docs.limit(0)).count() == 0
+
+
+def test_one_pass_equals_two(spark, texts):
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (None, "abc def")], "doc_id long, text string")
+    assert md.encode(docs, 0.2, decoded="decoded").collect() == md.decode(md.encode(docs, 0.2)).collect()
+    assert md.encode(docs.limit(0), decoded="decoded").count() == 0

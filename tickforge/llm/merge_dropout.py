@@ -30,7 +30,7 @@ from .textarrays import U64, mix, slices
 
 DROPOUT, SEED = 0.1, 7
 BLANK = 0x2581
-SLICE = 1 << 19
+SLICE = 1 << 18
 MATRIX = 32
 NEVER = np.int32(2**31 - 1)
 OTHER = 0xFFFFFFFF
@@ -290,11 +290,21 @@ def _salts(ids: pa.Array, seed: int) -> np.ndarray:
         return mix(np.asarray(pc.fill_null(ids.cast(pa.int64()), 0)).view(U64) * U64(0xD1342543DE82EF95) + mix(np.array([seed], U64)))
 
 
-def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: str | None = None) -> DataFrame:
-    """`docs` (doc_id, text and any others) with `ids` added: array<int>."""
+def _texts(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray, null: pa.Array) -> pa.Array:
+    data, offsets = decode_slice(v, ids, bounds)
+    text = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    return pc.if_else(null, pa.scalar(None, pa.string()), text.cast(pa.binary()).cast(pa.string()))
+
+
+def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: str | None = None, decoded: str | None = None) -> DataFrame:
+    """`docs` (doc_id, text and any others) with `ids` added: array<int>; and, where `decoded` names a column, the text
+    that the ids decode to, in the same pass and worker."""
     path = model or default_model()
     names = docs.columns
     id_at, text_at = names.index("doc_id"), names.index("text")
+    schema = docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
@@ -303,10 +313,13 @@ def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: s
             salts = _salts(batch.column(id_at), seed)
             for lo, hi, data, offsets in slices(text, SLICE):
                 ids, bounds = encode_slice(v, data, offsets, salts[lo:hi], dropout)
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=pc.is_null(text.slice(lo, hi - lo)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), lists], names=[*names, "ids"])
+                null = pc.is_null(text.slice(lo, hi - lo))
+                cols = [*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=null)]
+                if decoded:
+                    cols.append(_texts(v, ids, bounds, null))
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType())))
+    return docs.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, out: str = "decoded", model: str | None = None) -> DataFrame:
@@ -323,9 +336,7 @@ def decode(encoded: DataFrame, out: str = "decoded", model: str | None = None) -
                 ids = part.column(at)
                 empty = pc.fill_null(ids, pa.scalar([], ids.type))
                 bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(empty).to_numpy(zero_copy_only=False))]).astype(np.int64)
-                data, offsets = decode_slice(v, empty.flatten().to_numpy(zero_copy_only=False).astype(np.int64), bounds)
-                text = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
-                text = pc.if_else(pc.is_null(ids), pa.scalar(None, pa.string()), text.cast(pa.binary()).cast(pa.string()))
+                text = _texts(v, empty.flatten().to_numpy(zero_copy_only=False).astype(np.int64), bounds, pc.is_null(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*names, out])
 
     return encoded.mapInArrow(run, encoded.select(*names).schema.add(out, T.StringType()))

@@ -37,7 +37,7 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the check values of the text that they decode to."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = merge_dropout.decode(merge_dropout.encode(docs))
+    out = merge_dropout.encode(docs, decoded="decoded")
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
