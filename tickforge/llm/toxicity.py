@@ -91,7 +91,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = P
         return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), y)
     size = pc.list_value_length(table.column("bucket")).to_numpy()
     words, local = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("bucket", "sentence"))
-    return train(words, local, np.repeat(np.arange(len(y)), size), y)
+    del table
+    return train(words, local, np.repeat(np.arange(len(y), dtype=np.int32), size), y)
 
 
 def train(words: np.ndarray, local: np.ndarray, doc: np.ndarray, y: np.ndarray) -> Model:
@@ -103,13 +104,16 @@ def train(words: np.ndarray, local: np.ndarray, doc: np.ndarray, y: np.ndarray)
         return Model(-50.0, np.zeros(0, np.int64), np.zeros(0))
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (local[1:] != local[:-1])
-    sentence, doc_of = np.cumsum(new) - 1, doc[new]
-    names, words = np.unique(words, return_inverse=True)
-    # Features of few documents can't be told from chance.
-    often = np.bincount(np.unique(words * len(y) + doc) // len(y), minlength=len(names)) >= MIN_DOCUMENTS
-    keep = often[words]
-    words, in_sentence = (np.cumsum(often) - 1)[words[keep]], sentence[keep]
-    names = names[often]
+    sentence, doc_of = np.cumsum(new, dtype=np.int32) - 1, doc[new]
+    # Features of few documents can't be told from chance. Counted a document at a time, which holds no second copy of all pairs.
+    count = np.zeros(int(words.max()) + 1, np.int32)
+    bounds = np.searchsorted(doc, np.arange(len(y) + 1))
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        count[np.unique(words[lo:hi])] += 1
+    often = count >= MIN_DOCUMENTS
+    names, keep = np.flatnonzero(often), often[words]
+    words, in_sentence = (np.cumsum(often, dtype=np.int32) - 1)[words[keep]].astype(np.int64), sentence[keep].astype(np.int64)
+    del new, sentence, local, doc, count, often, keep
     share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
     w, b = np.zeros(len(names)), BIAS
     gw = np.full(len(names), 1e-10)
