@@ -82,3 +82,21 @@ def test_edit_distances():
         a, b = ([[rng.randrange(4) for _ in range(n)] for _ in range(5)] for n in (rng.randrange(12), rng.randrange(12)))
         got = dc.edit_distances(*(np.array(x, np.int64).reshape(5, -1) for x in (a, b)))
         assert got.tolist() == [distance(x, y) for x, y in zip(a, b, strict=True)]
+
+
+def test_no_leak_at_the_largest_distance_is_missed(spark):
+    """Copies with every edit allowed, of short and long items, keep few steps of any walk."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((5, 9, 16, 40, 59, 120, 300))]
+    docs, want = [], set()
+    for i, w in items:
+        for k in range(20):
+            copy = list(w)
+            for at in rng.sample(range(len(w)), dc.edits(len(w), dc.RATE)):
+                copy[at] = word()
+            docs.append((100 * i + k, " ".join([word() for _ in range(k)] + copy + [word() for _ in range(20 - k)])))
+            want.add((100 * i + k, i, dc.edits(len(w), dc.RATE), k))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.leaks(table, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.edits, r.start_word) for r in got} == want

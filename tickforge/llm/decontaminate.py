@@ -1,18 +1,19 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit check.
+"""Benchmark decontamination: candidates by shared word pairs, exact edit check. Nothing is missed.
 
 Edit distance counts inserted, deleted and replaced words (lower-cased runs of letters, digits and non-ASCII bytes).
-A document leaks an item of n words where some window of it is within floor(rate * n) edits of the item.
+A document leaks an item of n words where some window of n words (fewer at the document's end) is within
+d = floor(rate * n) edits of the item.
 
-1. Each word position of a document starts a window for every item length n. A match keeps at least n - 1 - 2d of
-   the item's word pairs, so windows with fewer pairs known from items of n words (a bitmap of fixed size) can't match.
-2. The CGK walk embeds a window: at step j it emits the current word and moves on if the word's j-th random bit is
-   set, so windows few edits apart agree at most steps. A repeat samples some steps as its LSH key. The number of
-   repeats follows from the collision rate measured on edited items at the largest distance and the target recall.
-3. Windows that share a key with an item of their length are joined with it and verified by exact edit distance.
+1. An edit touches at most two of the item's n - 1 word pairs, so a match keeps n - 1 - 2d of them within n + d words.
+   Places of a document without so many pairs known from items of n words (a bitmap of fixed size) can't match.
+2. Of any 2d + 1 pairs of an item a match keeps one. The 2d + 1 rarest in the benchmark are the item's keys; a kept key
+   tells where the item begins in the document to within d words.
+3. Places that share a key with an item of their length are joined with it, and verified by exact edit distance.
 
 Edge cases: null texts are empty and leak nothing; items of fewer than `MIN_WORDS` words identify nothing and are
 left out; a null doc_id or item_id is reported as null; rows that repeat a doc_id or item_id are told apart only by
-their texts; empty tables give no rows; extra columns are ignored.
+their texts; empty tables give no rows; extra columns are ignored. A rate of 0.4 or more leaves short items without
+pairs and is refused.
 """
 
 from __future__ import annotations
@@ -22,19 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .textarrays import LOWER, U64, keyed, mix, row_bounds, runs, signed, slices, span_hashes
+from .textarrays import LOWER, U64, mix, row_bounds, runs, signed, slices, span_hashes
 
-RATE, RECALL = 0.2, 0.99
+RATE = 0.2
 MIN_WORDS = 5
-SAMPLES = 3
-MAX_REPEATS = 64
-KEY_ROWS = 256
 MAP_BITS = 1 << 24
-CALIBRATION_ITEMS = 24
+VERIFY_ROWS = 1024
 _PAD = U64(0x2545F4914F6CDD1D)
 
 WORD_BYTE = np.zeros(256, bool)
@@ -63,39 +61,8 @@ def edits(n: int, rate: float) -> int:
     return math.floor(rate * n + 1e-9)
 
 
-def keys(windows: np.ndarray, n: int, repeats: int) -> np.ndarray:
-    """LSH keys (rows, repeats) of windows given as rows of word hashes, padded with _PAD to the item length n.
-
-    All repeats walk at once: an array of places by row and repeat moves on step by step.
-    """
-    salts = keyed(repeats, 41)
-    sampled = np.sort(np.stack([(keyed(SAMPLES, int(x % U64(1 << 32))) % U64(2 * n)).astype(np.int64) for x in salts]), axis=1)
-    takes = [np.nonzero(sampled == j) for j in range(int(sampled.max()) + 1)]
-    out = np.empty((len(windows), repeats), U64)
-    for lo in range(0, len(windows), KEY_ROWS):
-        part = windows[lo : lo + KEY_ROWS]
-        rows = len(part)
-        wide = np.concatenate([part, np.full((rows, 1), _PAD, U64)], axis=1)
-        at = np.zeros((rows, repeats), np.int64)
-        row, own = np.arange(rows)[:, None], np.arange(repeats)[None, :]
-        seen = np.empty((rows, repeats, SAMPLES), U64)
-        with np.errstate(over="ignore"):
-            for j, (r, k) in enumerate(takes):
-                if j % 64 == 0:
-                    bits = mix(wide[:, :, None] + salts[None, None, :] + U64(j))
-                if len(r):
-                    seen[:, r, k] = wide[row, at[:, r]]
-                at += ((bits[row, at, own] >> U64(j % 64)) & U64(1)).astype(np.int64)
-                np.minimum(at, n, out=at)
-            key = np.broadcast_to(salts + U64(n), (rows, repeats))
-            for k in range(SAMPLES):
-                key = mix(key * U64(0x9E3779B97F4A7C15) + seen[:, :, k])
-        out[lo : lo + KEY_ROWS] = key
-    return out
-
-
-def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of the rows of a (k, m) and b (k, n), a row of the table at a time for all of them."""
+def _last_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Levenshtein distances of the rows of a (k, m) to all beginnings of the rows of b (k, n), a row of the table at a time for all of them."""
     steps = np.arange(b.shape[1] + 1)
     row = np.broadcast_to(steps, (len(a), len(steps))).copy()
     for i in range(1, a.shape[1] + 1):
@@ -103,34 +70,12 @@ def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         new[:, 0] = i
         np.minimum(row[:, 1:] + 1, row[:, :-1] + (b != a[:, i - 1 : i]), out=new[:, 1:])
         row = np.minimum.accumulate(new - steps, axis=1) + steps
-    return row[:, -1]
-
-
-def repeats_for(items: list[np.ndarray], rate: float, recall: float) -> int:
-    """How many repeats reach the recall, by the collision rate of the items with the most edits allowed."""
-    rng = np.random.default_rng(5)
-    hits = tries = 0
-    trial = 48
-    for item in items:
-        n, d = len(item), edits(len(item), rate)
-        if not d:
-            continue
-        copy = list(item)
-        for _ in range(d):
-            p, kind = int(rng.integers(len(copy))), int(rng.integers(3))
-            word = U64(rng.integers(1 << 63))
-            if kind == 0:
-                copy[p] = word
-            elif kind == 1:
-                copy.insert(p, word)
-            elif len(copy) > 1:
-                del copy[p]
-        copy = (copy + [_PAD] * n)[:n]
-        both = keys(np.array([item, copy], U64), n, trial)
-        hits += int((both[0] == both[1]).sum())
-        tries += trial
-    p = min(max(hits / tries, 1e-3), 1 - 1e-9) if tries else 1 - 1e-9
-    return int(min(MAX_REPEATS, max(4, math.ceil(math.log(1 - recall) / math.log(1 - p)))))
+    return row
+
+
+def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Levenshtein distances of the rows of a (k, m) and b (k, n)."""
+    return _last_rows(a, b)[:, -1]
 
 
 def _bit_test(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -156,61 +101,39 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("item_id").slice(lo, hi - lo), pa.array(n), words], names=["item_id", "n", "words"])
 
 
-def _item_keys(repeats: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for item, n, words in zip(batch.column("item"), batch.column("n").to_pylist(), batch.column("words"), strict=True):
-                k = keys(words.values.to_numpy().view(U64)[None, :], n, repeats)[0]
-                yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * repeats, pa.int64()), pa.array(signed(k))], names=["item", "key"])
+def _item_keys(items: DataFrame, rate: float) -> DataFrame:
+    """key, item, n, p: the pairs that every match of the item has one of, with their places in the item."""
+    pairs = items.select("item", "n", "words").mapInArrow(_placed_pairs, "item long, n long, p long, key long")
+    often = pairs.groupBy("key").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("often", "key", "p"))
+    return pairs.join(often, "key").withColumn("rank", rank).where(F.col("rank") <= 2 * F.floor(F.col("n") * rate + 1e-9) + 1).select("key", "item", "n", "p")
 
-    return run
 
+def _placed_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item, words in zip(batch.column("item").to_pylist(), batch.column("words"), strict=True):
+            n = len(words)
+            key = _of_length(_pairs(words.values.to_numpy().view(U64)), n)
+            yield pa.RecordBatch.from_arrays([pa.array([item] * (n - 1), pa.int64()), pa.array([n] * (n - 1), pa.int64()), pa.array(np.arange(n - 1)), pa.array(signed(key))], names=["item", "n", "p", "key"])
 
-def windows(h: np.ndarray, bounds: np.ndarray, known: np.ndarray, n: int, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, lengths and rows of the windows for items of n words that keep enough known pairs.
-
-    A window has n words, or at least n - d where its document ends.
-    """
-    d = edits(n, rate)
-    need = n - 1 - 2 * d
-    count = np.zeros(len(h) + 1, np.int32)
-    np.cumsum(known, out=count[1 : len(known) + 1])
-    count[len(known) + 1 :] = count[len(known)]
-    row_of = lambda s: np.searchsorted(bounds, s, side="right") - 1
-    whole = np.flatnonzero(count[n - 1 : len(h)] - count[: len(h) - n + 1] >= need) if len(h) >= n else np.zeros(0, np.int64)
-    rows = row_of(whole)
-    fits = whole + n <= bounds[rows + 1]
-    whole, rows = whole[fits], rows[fits]
-    lengths = np.full(len(whole), n)
-    for m in range(max(n - d, 1), n):
-        starts = bounds[1:] - m
-        own = np.flatnonzero(starts >= bounds[:-1])
-        starts = starts[own]
-        ok = count[np.maximum(starts + m - 1, starts)] - count[starts] >= need
-        whole, rows, lengths = (np.concatenate(x) for x in ((whole, starts[ok]), (rows, own[ok]), (lengths, np.full(int(ok.sum()), m))))
-    return whole, lengths, rows
-
-
-def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs_known, keys_known = (np.frombuffer(m.value, np.uint8) for m in (pair_map, key_map))
 
-        def flush(n: int, found: list) -> pa.RecordBatch | None:
-            """The windows whose keys may be an item's. found: (words, lengths, document, place in the document)."""
-            wide, m, ids, starts = (np.concatenate(x) for x in zip(*found, strict=True))
-            k = keys(wide, n, repeats)
-            hit = _bit_test(keys_known, k)
-            of = np.flatnonzero(hit.any(axis=1))
-            wide, m, hit = wide[of], m[of], hit[of]
-            key_list = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(hit.sum(axis=1))), pa.int32()), pa.array(signed(k[of][hit])))
-            word_list = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(m)), pa.int32()), pa.array(signed(wide[np.arange(n) < m[:, None]])))
-            return pa.RecordBatch.from_arrays([pa.array(ids[of]), pa.array(starts[of]), pa.array(m.astype(np.int64)), word_list, key_list], names=["doc", "start", "n", "words", "keys"])
+def crowded(at: np.ndarray, need: int, width: int) -> np.ndarray:
+    """Which of the ascending places lie with `need` of them in some stretch of `width`."""
+    out = np.zeros(len(at) + 1, np.int64)
+    if len(at) < need:
+        return out[1:] > 0
+    first = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] < width)
+    np.add.at(out, first, 1)
+    np.add.at(out, first + need, -1)
+    return np.cumsum(out)[:-1] > 0
+
 
+def _scan(lengths: list[int], pair_map, key_map, rate: float):
+    """Stretches of documents around the keys: doc_id, n, at (first word's number), words, and the keys with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs_known, keys_known = (np.frombuffer(m.value, np.uint8) for m in (pair_map, key_map))
         for batch in batches:
-            # Windows of one length are embedded together, some thousand at a time.
-            held: dict[int, list] = {n: [] for n in lengths}
-            waiting = dict.fromkeys(lengths, 0)
-            done: list[pa.RecordBatch] = []
             for lo, _, data, offsets in slices(batch.column("text")):
                 h, bounds = tokens(data, offsets)
                 if len(h) < 2:
@@ -222,65 +145,102 @@ def _scan(lengths: list[int], pair_map, key_map, repeats: int, rate: float):
                 some = np.flatnonzero(some)
                 pairs = pairs[some]
                 for n in lengths:
-                    known = np.zeros(len(h) - 1, bool)
-                    known[some[_bit_test(pairs_known, _of_length(pairs, n))]] = True
-                    if known.sum() < n - 1 - 2 * edits(n, rate):
+                    d = edits(n, rate)
+                    tagged = _of_length(pairs, n)
+                    known = _bit_test(pairs_known, tagged)
+                    at, key = some[known], tagged[known]
+                    held = crowded(at, n - 1 - 2 * d, n + d - 1)
+                    at, key = at[held], key[held]
+                    held = _bit_test(keys_known, key)
+                    at, key = at[held], key[held]
+                    if not len(at):
                         continue
-                    starts, sizes, rows = windows(h, bounds, known, n, rate)
-                    for a in range(0, len(starts), 4096):
-                        s, m, r = starts[a : a + 4096], sizes[a : a + 4096], rows[a : a + 4096]
-                        wide = np.where(np.arange(n) < m[:, None], h[np.minimum(s[:, None] + np.arange(n), len(h) - 1)], _PAD)
-                        held[n].append((wide, m, lo + r, s - bounds[r]))
-                        waiting[n] += len(s)
-                        if waiting[n] >= 4096:
-                            done.append(flush(n, held[n]))
-                            held[n], waiting[n] = [], 0
-            for out in [*done, *(flush(n, x) for n, x in held.items() if x)]:
-                if out.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(out.column("doc")), *out.columns[1:]], names=["doc_id", *out.schema.names[1:]])
+                    rows = np.searchsorted(bounds, at, side="right") - 1
+                    reach = n + 2 * d + 1
+                    first = np.flatnonzero(np.append(True, (np.diff(at) > 2 * reach) | (np.diff(rows) > 0)))
+                    last = np.append(first[1:], len(at)) - 1
+                    starts = np.maximum(at[first] - reach, bounds[rows[first]])
+                    ends = np.minimum(at[last] + reach + 1, bounds[rows[first] + 1])
+                    own = rows[first]
+                    size = ends - starts
+                    ends_of = np.append(0, np.cumsum(size))
+                    words = h[np.repeat(starts - ends_of[:-1], size) + np.arange(ends_of[-1])]
+                    split = pa.array(np.append(first, len(at)), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").take(pa.array(lo + own)), pa.array(np.full(len(own), n)), pa.array(starts - bounds[own]), pa.ListArray.from_arrays(pa.array(ends_of, pa.int32()), pa.array(signed(words))),
+                            pa.ListArray.from_arrays(split, pa.array(signed(key))), pa.ListArray.from_arrays(split, pa.array(at - bounds[rows])),
+                        ], names=["doc_id", "n", "at", "words", "keys", "places"],
+                    )
 
     return run
 
 
+def _whole_windows(item: np.ndarray, wide: np.ndarray, size: np.ndarray, starts: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, start, words) of the window of n words, or fewer at the document's end, that is nearest to the item."""
+    n = item.shape[1]
+    best = np.full(len(item), n + 1), np.zeros(len(item), np.int64), np.full(len(item), n)
+    for s in range(int(starts.max(initial=0))):
+        m = np.minimum(n, size - s)
+        of = np.flatnonzero((m >= n - d) & (s < starts))
+        far = _last_rows(item[of], wide[of, s : s + n])[np.arange(len(of)), m[of]]
+        nearer = far < best[0][of]
+        for x, new in zip(best, (far, s, m[of]), strict=True):
+            x[of[nearer]] = new[nearer] if isinstance(new, np.ndarray) else new
+    return best
+
+
 def _verify(rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("words"), batch.column("item_words")
-            m, n = (np.asarray(x.value_lengths()).astype(np.int64) for x in (a, b))
-            flat_a, flat_b = a.flatten().to_numpy(), b.flatten().to_numpy()
-            at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
-            far = np.zeros(len(m), np.int64)
-            shape = m * (1 << 32) + n
-            for x in np.unique(shape):
-                of = np.flatnonzero(shape == x)
-                far[of] = edit_distances(flat_a[at_a[of][:, None] + np.arange(m[of[0]])], flat_b[at_b[of][:, None] + np.arange(n[of[0]])])
-            most = np.array([edits(int(x), rate) for x in n])
-            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), batch.column("n"), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
-            yield out.filter(pa.array(far <= most))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, VERIFY_ROWS):
+                batch = whole.slice(lo, VERIFY_ROWS)
+                a, b = batch.column("words"), batch.column("item_words")
+                m, n = (np.asarray(x.value_lengths()).astype(np.int64) for x in (a, b))
+                flat_a, flat_b = (x.flatten().to_numpy().view(U64) for x in (a, b))
+                at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
+                starts, at = batch.column("starts").to_numpy(), batch.column("at").to_numpy()
+                far, start, size = (np.zeros(len(m), np.int64) for _ in range(3))
+                for x in np.unique(n).tolist():
+                    of = np.flatnonzero(n == x)
+                    item = flat_b[at_b[of][:, None] + np.arange(x)]
+                    place = np.arange(int(max(m[of].max(), (starts[of] + x).max())))
+                    wide = np.where(place < m[of][:, None], flat_a[np.minimum(at_a[of][:, None] + place, len(flat_a) - 1)], _PAD)
+                    far[of], start[of], size[of] = _whole_windows(item, wide, m[of], starts[of], edits(x, rate))
+                most = np.array([edits(int(x), rate) for x in n])
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item"), pa.array(at + start), pa.array(size), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
+                yield out.filter(pa.array(far <= most))
 
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, recall: float = RECALL) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per document and leaked item, its nearest window: doc_id, item_id, start_word, n_words, edits."""
+    if not 0 <= rate < 0.4:
+        raise ValueError("rate is at least 0 and less than 0.4")
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.mapInArrow(_items, "item_id long, n long, words array<long>").where(F.col("n") >= MIN_WORDS)
     items = scratch.write(items.withColumn("item", F.xxhash64("words")), "items")
     lengths = sorted(r.n for r in items.select("n").distinct().collect())
-    sample = items.dropDuplicates(["item"]).orderBy("item").limit(CALIBRATION_ITEMS).collect()
-    repeats = repeats_for([np.array(r.words, np.int64).view(U64) for r in sample], rate, recall)
     distinct = items.dropDuplicates(["item"])
-    item_keys = scratch.write(distinct.select("item", "n", "words").mapInArrow(_item_keys(repeats), "item long, key long"), "keys")
+    item_keys = scratch.write(_item_keys(distinct, rate), "keys")
     pairs = items.select("words").mapInArrow(_item_pairs, "v long")
     maps = [spark.sparkContext.broadcast(_bitmap(x)) for x in (pairs, item_keys.select(F.col("key").alias("v")))]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(_scan(lengths, *maps, repeats, rate), "doc_id long, start long, n long, words array<long>, keys array<long>")
-    found = scratch.write(found, "windows")
-    near = found.select("doc_id", "start", "n", "words", F.explode("keys").alias("key")).join(item_keys, "key").drop("key").distinct()
-    near = near.join(distinct.select("item", F.col("words").alias("item_words")), "item")
-    near = near.withColumn("item_id", F.col("item")).mapInArrow(_verify(rate), "doc_id long, item_id long, start_word long, n_words long, edits long")
+    found = texts.mapInArrow(_scan(lengths, *maps, rate), "doc_id long, n long, at long, words array<long>, keys array<long>, places array<long>")
+    found = scratch.write(found.withColumn("id", F.monotonically_increasing_id()), "stretches")
+    # Where the item would begin, give or take d words; beginnings less than d + 1 apart are verified together.
+    near = found.select("id", F.explode(F.arrays_zip("keys", "places")).alias("k")).select("id", F.col("k.keys").alias("key"), F.col("k.places").alias("q")).join(item_keys, "key")
+    d = F.floor(F.col("n") * rate + 1e-9)
+    near = near.select("id", "item", F.floor((F.col("q") - F.col("p")) / (d + 1)).alias("b")).distinct()
+    near = near.join(found.select("id", "doc_id", "n", "at", "words"), "id").join(distinct.select("item", F.col("words").alias("item_words")), "item")
+    least = F.greatest(F.col("b") * (d + 1) - d, F.col("at"))
+    end = F.col("b") * (d + 1) + d + F.col("n") + d
+    near = near.withColumns({"least": least, "end": end})
+    near = near.select("doc_id", "item", F.col("least").alias("at"), F.expr("slice(words, cast(least - at + 1 as int), cast(end - least as int))").alias("words"), (F.col("end") - F.col("n") - F.col("least") + 1).alias("starts"), "item_words")
+    near = near.mapInArrow(_verify(rate), "doc_id long, item_id long, start_word long, n_words long, edits long")
     best = near.groupBy("doc_id", F.col("item_id").alias("item")).agg(F.min(F.struct("edits", "start_word", "n_words")).alias("best"))
     named = items.select("item", "item_id")
     return best.join(named, "item").select("doc_id", "item_id", "best.start_word", "best.n_words", "best.edits").distinct()
@@ -294,7 +254,7 @@ def _item_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(signed(both))], names=["v"])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, recall: float = RECALL) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The documents that leak no item; rows without doc_id stay."""
-    gone = leaks(docs, benchmark, rate, recall).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = leaks(docs, benchmark, rate).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
