@@ -100,3 +100,36 @@ def test_no_leak_at_the_largest_distance_is_missed(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     got = dc.leaks(table, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id, r.edits, r.start_word) for r in got} == want
+
+
+def brute_any_length(docs, items, rate):
+    """(edits, start, words) of the nearest window of any length, by a plain distance to every one of them."""
+    out = {}
+    for d, t in docs:
+        w = word_list(t)
+        for i, it in items:
+            n = word_list(it)
+            most = dc.edits(len(n), rate)
+            sizes = range(len(n) - most, len(n) + most + 1)
+            near = [(distance(n, w[s : s + m]), s, m) for s in range(len(w)) for m in sizes if s + m <= len(w)] if len(n) >= dc.MIN_WORDS else []
+            if near and min(near)[0] <= most:
+                out[d, i] = min(near)
+    return out
+
+
+def test_dropped_and_inserted_words_cost_one_edit_each(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(4))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((5, 9, 12, 20))] + [(8, ["a", "b"] * 6)]
+    docs = []
+    for i, w in items:
+        d = dc.edits(len(w), dc.RATE)
+        for k in range(-d - 1, d + 2):
+            copy = w[:1] + w[1 - k :] if k < 0 else w[:1] + [word() for _ in range(k)] + w[1:]
+            docs.append((100 * i + k + 50, " ".join([word() for _ in range(rng.randrange(4))] + copy + [word() for _ in range(rng.randrange(6))])))
+    items = [(i, " ".join(w)) for i, w in items]
+    want = brute_any_length(docs, items, dc.RATE)
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.edits, r.start_word, r.n_words) for r in dc.leaks(table, bench, free_ends=True).collect()}
+    assert got == want
+    assert set(brute(docs, items, dc.RATE)) < set(want)

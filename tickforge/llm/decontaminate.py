@@ -1,8 +1,9 @@
 """Benchmark decontamination: candidates by shared word pairs, exact edit check. Nothing is missed.
 
 Edit distance counts inserted, deleted and replaced words (lower-cased runs of letters, digits and non-ASCII bytes).
-A document leaks an item of n words where some window of n words (fewer at the document's end) is within
-d = floor(rate * n) edits of the item.
+A document leaks an item of n words where some window of it is within d = floor(rate * n) edits of the item. With
+`free_ends` (the queries) windows have any length, so words dropped or inserted cost one edit each; without, they have
+n words (fewer at the document's end), and what a copy drops or inserts is paid again at its end.
 
 1. An edit touches at most two of the item's n - 1 word pairs, so a match keeps n - 1 - 2d of them within n + d words.
    Places of a document without so many pairs known from items of n words (a bitmap of fixed size) can't match.
@@ -190,7 +191,25 @@ def _whole_windows(item: np.ndarray, wide: np.ndarray, size: np.ndarray, starts:
     return best
 
 
-def _verify(rate: float):
+def _free_windows(item: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, start, words) of the window of any length that is nearest to the item; of equal ones the first, then the shortest.
+
+    The table of `_last_rows` with a free start: a cell holds its edits and, in the lower bits, where its window began.
+    """
+    one = np.int64(1 << 32)
+    steps = np.arange(wide.shape[1] + 1) * one
+    row = np.broadcast_to(np.arange(wide.shape[1] + 1), (len(item), wide.shape[1] + 1)).copy()
+    for i in range(1, item.shape[1] + 1):
+        new = np.empty_like(row)
+        new[:, 0] = i * one
+        np.minimum(row[:, 1:] + one, row[:, :-1] + (wide != item[:, i - 1 : i]) * one, out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+    end = row.argmin(axis=1)
+    least = row[np.arange(len(row)), end]
+    return least >> 32, least & (one - 1), end - (least & (one - 1))
+
+
+def _verify(rate: float, free_ends: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, VERIFY_ROWS):
@@ -206,7 +225,7 @@ def _verify(rate: float):
                     item = flat_b[at_b[of][:, None] + np.arange(x)]
                     place = np.arange(int(max(m[of].max(), (starts[of] + x).max())))
                     wide = np.where(place < m[of][:, None], flat_a[np.minimum(at_a[of][:, None] + place, len(flat_a) - 1)], _PAD)
-                    far[of], start[of], size[of] = _whole_windows(item, wide, m[of], starts[of], edits(x, rate))
+                    far[of], start[of], size[of] = _free_windows(item, wide) if free_ends else _whole_windows(item, wide, m[of], starts[of], edits(x, rate))
                 most = np.array([edits(int(x), rate) for x in n])
                 out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item"), pa.array(at + start), pa.array(size), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
                 yield out.filter(pa.array(far <= most))
@@ -214,7 +233,7 @@ def _verify(rate: float):
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, free_ends: bool = False) -> DataFrame:
     """One row per document and leaked item, its nearest window: doc_id, item_id, start_word, n_words, edits."""
     if not 0 <= rate < 0.4:
         raise ValueError("rate is at least 0 and less than 0.4")
@@ -240,7 +259,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFram
     end = F.col("b") * (d + 1) + d + F.col("n") + d
     near = near.withColumns({"least": least, "end": end})
     near = near.select("doc_id", "item", F.col("least").alias("at"), F.expr("slice(words, cast(least - at + 1 as int), cast(end - least as int))").alias("words"), (F.col("end") - F.col("n") - F.col("least") + 1).alias("starts"), "item_words")
-    near = near.mapInArrow(_verify(rate), "doc_id long, item_id long, start_word long, n_words long, edits long")
+    near = near.mapInArrow(_verify(rate, free_ends), "doc_id long, item_id long, start_word long, n_words long, edits long")
     best = near.groupBy("doc_id", F.col("item_id").alias("item")).agg(F.min(F.struct("edits", "start_word", "n_words")).alias("best"))
     named = items.select("item", "item_id")
     return best.join(named, "item").select("doc_id", "item_id", "best.start_word", "best.n_words", "best.edits").distinct()
@@ -254,7 +273,7 @@ def _item_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(signed(both))], names=["v"])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, free_ends: bool = False) -> DataFrame:
     """The documents that leak no item; rows without doc_id stay."""
-    gone = leaks(docs, benchmark, rate).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = leaks(docs, benchmark, rate, free_ends).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

@@ -20,7 +20,7 @@ def _judged(scores: DataFrame, held_out, threshold: float, *more: str) -> DataFr
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), free_ends=True)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
