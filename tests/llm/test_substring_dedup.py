@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -127,3 +128,40 @@ def test_edge_cases(spark):
     assert {r.doc_id for r in sd.repeated_spans(docs).collect()} == {1}
     assert sd.repeated_spans(docs.limit(0)).count() == 0
     assert sd.without_repeats(docs).where("doc_id is null").first().text == long
+
+
+def brute_passages(rows, n):
+    """Words of every window of n words that stands in a lesser document or earlier in its own, joined to passages."""
+    split = {d: [m.span() for m in re.finditer(rb"[^ \t-\r]+", (t or "").encode())] for d, t in rows}
+    seen, out = {}, []
+    for d, t in sorted(rows):
+        b, w, run = (t or "").encode(), split[d], None
+        for i in range(len(w) - n + 1):
+            first = seen.setdefault(b[w[i][0] : w[i + n - 1][1]], d)
+            if first == d:
+                key = b[w[i][0] : w[i + n - 1][1]]
+                if seen.setdefault((d, key), i) == i:
+                    continue
+            if run and i <= run[1] + n:
+                run = (run[0], i, min(run[2], first))
+            else:
+                out += [(d, w[run[0]][0], w[run[1] + n - 1][1], run[1] + n - run[0], run[2])] if run else []
+                run = (i, i, first)
+        out += [(d, w[run[0]][0], w[run[1] + n - 1][1], run[1] + n - run[0], run[2])] if run else []
+    return sorted(out)
+
+
+def test_no_passage_of_fifty_words_is_missed(spark, rows):
+    rng = random.Random(5)
+    plain = lambda n: " ".join("".join(rng.choice("abcdefghijklm") for _ in range(5)) for _ in range(n))
+    more = []
+    for i in range(300):
+        passage = plain(50 + i % 4)
+        more += [(1000 + 2 * i + k, " ".join([plain(rng.randrange(1, 60)), passage, plain(rng.randrange(1, 60))])) for k in (0, 1)]
+    more += [(2000, "ab " * 200), (2001, plain(49)), (2003, "\n\n" + rows[0][1] + " é")]
+    want = brute_passages(rows + more, 50)
+    assert {1001 + 2 * i for i in range(300)} <= {d for d, *_ in want}
+    docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+    assert sorted(map(tuple, sd.repeated_passages(docs).collect())) == want
+    cut = {r.doc_id: r.text for r in sd.without_repeats(docs).collect()}
+    assert all(len(cut[1001 + 2 * i].split()) <= len(more[2 * i + 1][1].split()) - 50 for i in range(300))

@@ -80,14 +80,14 @@ def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _bit_test(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = (values % U64(MAP_BITS)).astype(np.int64)
+    at = (values % U64(8 * len(bitmap))).astype(np.int64)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _bitmap(values: DataFrame) -> bytes:
+def _bitmap(values: DataFrame, bits: int = MAP_BITS) -> bytes:
     """A bitmap (2 MB) of the 64-bit values (column v), whatever their number; a full one only prunes less."""
-    b = values.select((F.expr(f"cast(pmod(v, {MAP_BITS}) as bigint)") + 1).alias("b"))
-    out = bytearray(MAP_BITS // 8)
+    b = values.select((F.expr(f"cast(pmod(v, {bits}) as bigint)") + 1).alias("b"))
+    out = bytearray(bits // 8)
     for r in b.groupBy(F.expr("bitmap_bucket_number(b)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(b))").alias("m")).collect():
         out[(r.k - 1) * 4096 : r.k * 4096] = r.m
     return bytes(out)

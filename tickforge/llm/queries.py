@@ -60,7 +60,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_spans(_table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

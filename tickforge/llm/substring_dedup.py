@@ -1,10 +1,14 @@
-"""Substring dedup by content-defined chunking with a gear rolling hash.
+"""Substring dedup: exact passages of `PASSAGE_WORDS` words (`repeated_passages`), and runs of gear chunks (`repeated_spans`).
 
-A gear hash of the last 16 bytes decides where a chunk ends, so equal passages get equal chunks wherever they stand
-and an insertion shifts only the chunks beside it. Chunks are deduplicated by their 64-bit digest: the occurrence in
-the least doc_id (and there the first) stays, every other one is repeated. Runs of neighbouring repeated chunks with
-at least `min_words` whole words are the repeated passages; up to a chunk at either end of a passage is not part of
-its run, so `min_words` is to be some 15 words below the length of the passages that must be caught.
+Passages: a window of n words is repeated where it stands, byte for byte, in a lesser doc_id or earlier in its own row;
+overlapping and neighbouring repeated windows are one passage. Of each window the least hash of its 20-word shingles is
+kept (windows with equal words keep equal shingles), shingles that occur more than once fill a bitmap of fixed size, and
+only windows whose shingle is in it are hashed whole and counted. The bitmap prunes alone, so no passage is missed.
+
+Chunks: a gear hash of the last 16 bytes decides where a chunk ends, so equal passages get equal chunks wherever they
+stand. The occurrence of a digest in the least doc_id (and there the first) stays. Runs of neighbouring repeated chunks
+with at least `min_words` whole words are reported; cuts may meet only some chunks inside a passage, so runs miss some
+passages that are little longer.
 
 Edge cases: null texts are empty and repeat nothing; within one document later occurrences are repeated too; a null
 doc_id takes no part; rows that repeat a doc_id are one document's, each keeps its first occurrence; texts of any
@@ -21,12 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .decontaminate import _bit_test, _bitmap
 from .shared import Scratch
-from .textarrays import keyed, signed, slices, span_hashes, words
+from .textarrays import U64, keyed, signed, slices, span_hashes, words
 
 WINDOW, MIN_CHUNK, MAX_CHUNK = 16, 16, 240
 CUT_BITS = 4
 MIN_WORDS = 32
+PASSAGE_WORDS, SHINGLE = 50, 20
+SHINGLE_BITS = 1 << 26
+_PLACE = U64((1 << 28) - 1)
 _GEAR = keyed(256, 23).astype(np.uint32)
 
 
@@ -123,6 +131,79 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return runs.where((F.col("n_words") >= min_words) & (F.col("end") > F.col("start"))).select("doc_id", "start", "end", "n_words", "first_doc_id")
 
 
+def _word_windows(data: np.ndarray, offsets: np.ndarray, n: int):
+    """Word starts, ends and rows; the first words of the windows of n words within a row; the shingles' hashes and the number of each window's shingle."""
+    w0, w1, row = words(data, offsets)
+    if len(w0) < n:
+        z = np.zeros(0, np.int64)
+        return w0, w1, row, z, np.zeros(0, U64), z
+    k = min(SHINGLE, n)
+    h = span_hashes(data, w0[: len(w0) - k + 1], w1[k - 1 :])
+    # The least of n - k + 1 neighbours by doubling; the place in the lower bits tells equal shingles apart.
+    low = h & ~_PLACE | np.arange(len(h), dtype=U64) & _PLACE
+    width, span = 1, n - k + 1
+    while 2 * width <= span:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    if span > width:
+        low = np.minimum(low[: width - span], low[span - width :])
+    first = np.flatnonzero(row[: len(w0) - n + 1] == row[n - 1 :])
+    return w0, w1, row, first, h, (low[first] & _PLACE).astype(np.int64)
+
+
+def _shingles(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column("text")):
+                *_, h, own = _word_windows(data, offsets, n)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(h[np.unique(own)]))], names=["v"])
+
+    return run
+
+
+def _repeatable(n: int, shared):
+    """The windows whose shingle may occur elsewhere. `place` packs the first word's number and whether the row had the window before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            for lo, _, data, offsets in slices(batch.column("text")):
+                w0, w1, row, first, h, own = _word_windows(data, offsets, n)
+                first = first[_bit_test(known, h[own])] if len(first) else first
+                if not len(first):
+                    continue
+                start, end, rows = w0[first], w1[first + n - 1], row[first]
+                digest = span_hashes(data, start, end)
+                before = np.zeros(len(first), bool)
+                order = np.lexsort((first, digest, rows))
+                before[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (rows[order[1:]] == rows[order[:-1]])
+                number = first - np.searchsorted(row, rows)
+                ids = batch.column("doc_id").take(pa.array(lo + rows))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), ids, pa.array(number << 1 | before), pa.array(start - offsets[rows]), pa.array(end - start)], names=["digest", "doc_id", "place", "start", "size"])
+
+    return run
+
+
+def repeated_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """Per repeated passage of min_words words or more that is not its first occurrence: doc_id, start, end (UTF-8 bytes), n_words, first_doc_id."""
+    scratch = Scratch(docs.sparkSession, "substrings")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    twice = texts.mapInArrow(_shingles(min_words), "v long").groupBy("v").agg(F.count("*").alias("n")).where("n > 1")
+    known = docs.sparkSession.sparkContext.broadcast(_bitmap(twice.select("v"), SHINGLE_BITS))
+    places = texts.mapInArrow(_repeatable(min_words, known), "digest long, doc_id long, place long, start long, size long")
+    shared = places.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = scratch.write(shared.select("digest", "first"), "shared")
+    hits = places.join(shared, "digest").where("doc_id > first or place % 2 = 1")
+    hits = hits.select("doc_id", "first", F.expr("shiftright(place, 1)").alias("word"), "start", (F.col("start") + F.col("size")).alias("end"))
+    w = Window.partitionBy("doc_id").orderBy("word", "start")
+    before = F.lag("word").over(w)
+    opened = hits.withColumn("new", (before.isNull() | (F.col("word") > before + min_words)).cast("int"))
+    runs = opened.withColumn("run", F.sum("new").over(w)).groupBy("doc_id", "run")
+    runs = runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + min_words).alias("n_words"), F.min("first").alias("first_doc_id"))
+    return runs.select("doc_id", "start", "end", "n_words", "first_doc_id")
+
+
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the spans (ascending)."""
     out, at = [], 0
@@ -132,13 +213,13 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
     """`docs` with the repeated passages cut out of `text`, and `n_chars` (where there is one) counted again.
 
     The texts of other documents and rows without doc_id pass as they are.
     """
     scratch = Scratch(docs.sparkSession, "substrings")
-    spans = scratch.write(repeated_spans(docs, min_words).groupBy(F.col("doc_id").alias("__doc")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")), "spans")
+    spans = scratch.write(repeated_passages(docs, min_words).groupBy(F.col("doc_id").alias("__doc")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")), "spans")
     names = docs.columns
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
