@@ -52,7 +52,8 @@ def agenda(v, text, salt, dropout):
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(3)
-    return TEXTS + [" ".join("".join(rng.choice("abcdeinrstéñ") for _ in range(rng.randrange(1, 40))) for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    blanks = [f"a{' ' * n}b{' ' * (n + 31)}c" for n in range(2, 40)]
+    return TEXTS + blanks + [" ".join("".join(rng.choice("abcdeinrstéñ") for _ in range(rng.randrange(1, 40))) for _ in range(rng.randrange(1, 30))) for _ in range(60)]
 
 
 def encoded(texts, dropout, salts):
@@ -68,13 +69,26 @@ def test_without_dropout_ids_are_the_librarys(texts):
     assert [g for t, g in zip(texts, got, strict=True) if "▁" not in t] == [model.encode(t) for t in texts if "▁" not in t]
 
 
-@pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
+@pytest.mark.parametrize("dropout", [0.1, 0.3, 1.0])
 def test_equals_the_agenda(texts, dropout):
     salts = np.arange(len(texts)).astype(U64) * U64(977)
     v, got = encoded(texts, dropout, salts)
     assert got == [agenda(v, t, int(s), dropout) for t, s in zip(texts, salts, strict=True)]
 
 
+def test_long_and_short_words_merge_by_one_rule():
+    v = md.vocabulary(md.default_model())
+    for n in range(2, md.MATRIX + 1):
+        sym = np.full(n, v.char_ids[md.BLANK], np.int32)
+        for dropout in (0.0, 0.1, 0.3):
+            salts = mix(np.arange(20, dtype=U64))
+            short = md._merge_matrix(v, np.repeat(sym[:, None], 20, axis=1), salts, md._limit(dropout))
+            for i in range(20):
+                ids, at = md.merge_long(v, sym, int(salts[i]), dropout)
+                left = np.flatnonzero(short[:, i] != -2)
+                assert (left.tolist(), short[left, i].tolist()) == (at.tolist(), ids.tolist())
+
+
 def test_round_trip_seeds_and_edge_cases(spark, texts):
     rows = [(i, t, "k") for i, t in enumerate(texts)] + [(None, "abc def", "k"), (900, None, "k"), (901, "lang " * 20000, "k"), (901, "lang " * 20000, "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")

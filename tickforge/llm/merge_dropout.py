@@ -5,7 +5,8 @@ merged apart from each other. Among a word's candidate merges the best score goe
 Every candidate is judged once, when it arises: a hash keyed by seed, document, word number, position and merged
 piece skips it with the given probability. This equals an agenda that pops candidates and passes over the skipped
 ones. Words of one length form a matrix, and each round makes the next merge of all of them, so the work is NumPy
-over arrays, not a loop over words. Words above `MATRIX` characters, which are few, go through a heap.
+over arrays, not a loop over words. Words above `MATRIX` characters, which are few, go through a heap; both choose by
+score, then place.
 
 With probability 0 the ids are the library's own, except that U+2581 (the model's blank) in a text goes to byte
 pieces, so that it is told from a blank. Characters without a piece are bytes too; hence decoding returns the text.
@@ -31,7 +32,7 @@ from .textarrays import U64, mix, slices
 DROPOUT, SEED = 0.1, 7
 BLANK = 0x2581
 SLICE = 1 << 18
-MATRIX = 32
+MATRIX, PLACE_BITS = 32, 5
 NEVER = np.int32(2**31 - 1)
 OTHER = 0xFFFFFFFF
 
@@ -60,10 +61,10 @@ class Vocabulary:
             if len(p) == 1:
                 self.char_ids[ord(p)] = i
         scores = np.array([model.get_score(i) for i in range(n)])
-        self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
+        self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
         merges = [(ids[p[:k]], ids[p[k:]], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
-        if n > 1 << 15 or self.rank.max() >= 1 << 15:
-            raise ValueError("a candidate packs rank and piece into 15 bits each")
+        if n > 1 << 20 or self.rank.max() >= 1 << (31 - PLACE_BITS):
+            raise ValueError("a pair packs two pieces of 20 bits, a candidate its rank above the place")
         self._hash([a << 20 | b for a, b, _ in merges], [c for _, _, c in merges])
         self.lengths = np.array([len(t) for t in text], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
@@ -160,62 +161,62 @@ def merge_long(v: Vocabulary, symbols: np.ndarray, salt: int, dropout: float) ->
     return np.array(sym)[left], left
 
 
-def _judge(v: Vocabulary, a: np.ndarray, b: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
-    """Candidates (rank, piece) packed into 30 bits for left and right symbols; NEVER if there is none or it is skipped."""
+def _judge(v: Vocabulary, a: np.ndarray, b: np.ndarray, key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which, piece, order) of the candidates that left and right symbols make and their hash doesn't skip."""
     m = v.merged(a, b)
     some = np.flatnonzero(m >= 0)
-    out = np.full(len(a), NEVER)
+    m = m[some]
     if limit:
         with np.errstate(over="ignore"):
-            some = some[mix(key[some] ^ (m[some].astype(U64) * U64(0x9E3779B97F4A7C15))) >= U64(limit)]
-    out[some] = v.rank[m[some]] << 15 | m[some]
-    return out
+            kept = mix(key[some] ^ (m.astype(U64) * U64(0x9E3779B97F4A7C15))) >= U64(limit)
+        some, m = some[kept], m[kept]
+    return some, m, v.rank[m]
 
 
-def _merge_matrix(v: Vocabulary, sym: np.ndarray, salts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, positions) after all merges of words of one length, a word a column; what merging freed is -2 at the end."""
+def _merge_matrix(v: Vocabulary, sym: np.ndarray, salts: np.ndarray, limit: int) -> np.ndarray:
+    """Symbols after all merges of words of one length, a word a column; a piece stands where its first character stood, the
+    rest of its places hold -2. Candidates are ordered by score, then by place, as in `merge_long`."""
     size, n = sym.shape
-    out, out_pos = np.full((size, n), -2, np.int32), np.zeros((size, n), np.int16)
+    out = np.full((size, n), -2, np.int32)
     word = np.arange(n)
-    pos = np.repeat(np.arange(size, dtype=np.int16)[:, None], n, axis=1)
-    left = np.full(n, size)
-    cand = np.full((size, n), NEVER)
+    # Flat, place by place; a last row stands for the words' ends.
+    sym = np.concatenate([sym, np.full((1, n), -9, np.int32)]).ravel()
+    after = np.repeat(np.arange(1, size + 2, dtype=np.int32), n)
+    before = np.repeat(np.arange(-1, size, dtype=np.int32), n)
+    cand, piece = np.full(size * n, NEVER), np.zeros(size * n, np.int32)
     with np.errstate(over="ignore"):
-        key_of = lambda w, p: mix(salts[w] + p.astype(U64))
-        for i in range(size - 1):
-            cand[i] = _judge(v, sym[i], sym[i + 1], key_of(word, pos[i]) if limit else word, limit)
-        while n:
-            best = cand.min(axis=0)
-            over = best == NEVER
-            if over.any():
-                out[:size, word[over]], out_pos[:size, word[over]] = sym[:, over], pos[:, over]
-                live = np.flatnonzero(~over)
-                n = len(live)
-                if not n:
-                    break
-                best, word, left = best[live], word[live], left[live]
-                size = int(left.max())
-                sym, pos, cand = (x[:size].take(live, axis=1) for x in (sym, pos, cand))
-            win = np.zeros(n, np.int64)
-            for i in range(size - 2, -1, -1):
-                np.copyto(win, i, where=cand[i] == best)
-            col = np.arange(n)
-            sym[win, col] = best & 0x7FFF
-            for i in range(1, size - 1):
-                after = win < i
-                for x in (sym, pos, cand):
-                    np.copyto(x[i], x[i + 1], where=after)
-            left -= 1
-            sym[left, col] = -2
-            cand[left, col] = NEVER
-            cand[win, col] = NEVER
-            right = np.flatnonzero(win + 1 < left)
-            w = win[right]
-            cand[w, right] = _judge(v, sym[w, right], sym[w + 1, right], key_of(word[right], pos[w, right]), limit)
-            before = np.flatnonzero(win > 0)
-            w = win[before] - 1
-            cand[w, before] = _judge(v, sym[w, before], sym[w + 1, before], key_of(word[before], pos[w, before]), limit)
-    return out, out_pos
+        keys = mix(salts[None, :] + np.arange(size, dtype=U64)[:, None]).ravel() if limit else np.zeros(size * n, U64)
+        some, m, rank = _judge(v, sym[: (size - 1) * n], sym[n : size * n], keys, limit)
+    cand[some], piece[some] = rank << PLACE_BITS | some // n, m
+    while True:
+        best = cand.reshape(size, -1).min(axis=0)
+        live = np.flatnonzero(best != NEVER)
+        if len(live) < 0.7 * len(best):
+            over = np.flatnonzero(best == NEVER)
+            out[:, word[over]] = sym.reshape(size + 1, -1)[:size].take(over, axis=1)
+            sym, after, before, cand, piece, keys = (x.reshape(-1, len(best)).take(live, axis=1).ravel() for x in (sym, after, before, cand, piece, keys))
+            word, best, live = word[live], best[live], np.arange(len(live))
+        n = len(word)
+        if not n:
+            return out
+        win = best[live] & ((1 << PLACE_BITS) - 1)
+        at = win * n + live
+        right = after[at] * n + live
+        beyond = after[right]
+        sym[at], sym[right], after[at] = piece[at], -2, beyond
+        beyond = beyond * n + live
+        before[beyond] = win
+        cand[at] = NEVER
+        whole = beyond < size * n
+        cand[right[right < size * n]] = NEVER
+        left = before[at]
+        has = left >= 0
+        left = left[has] * n + live[has]
+        cand[left] = NEVER
+        first, second = np.concatenate([left, at[whole]]), np.concatenate([at[has], beyond[whole]])
+        some, m, rank = _judge(v, sym[first], sym[second], keys[first], limit)
+        first = first[some]
+        cand[first], piece[first] = rank << PLACE_BITS | first // n, m
 
 
 def encode_slice(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +250,7 @@ def encode_slice(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, salts: np
         if not len(words):
             continue
         where = starts[words] + np.arange(length)[:, None]
-        ids, pos = _merge_matrix(v, sym[where], salt[words], limit)
-        put = ids != -2
-        done[(starts[words] + pos)[put]] = ids[put]
+        done[where] = _merge_matrix(v, sym[where], salt[words], limit)
     for w in by_size[cuts[-1] :].tolist():
         ids, pos = merge_long(v, sym[starts[w] : starts[w] + size[w]], int(salt[w]), dropout)
         done[starts[w] + pos] = ids
