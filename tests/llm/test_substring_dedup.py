@@ -11,70 +11,47 @@ def text(rng, n):
     return " ".join("".join(rng.choice("abcdefghijklmnopé") for _ in range(rng.randrange(2, 9))) for _ in range(n))
 
 
-def gear_cuts(b):
-    """The gear hash byte by byte, in the usual form."""
-    h, out = 0, []
-    for i, x in enumerate(b):
-        h = ((h << 1) + int(sd._GEAR[x])) & 0xFFFFFFFF
-        low = sum(int(sd._GEAR[b[i - k]]) << k for k in range(min(i + 1, sd.WINDOW))) & 0xFFFFFFFF
-        if (low >> (sd.WINDOW - sd.CUT_BITS)) & (2**sd.CUT_BITS - 1) == 0:
-            assert (h - low) % (1 << sd.WINDOW) == 0
-            out.append(i + 1)
-    return out
-
-
 def brute_chunks(b):
-    starts, start = [0] if b else [], 0
-    wanted = set(gear_cuts(b))
+    """Cuts byte by byte: by the gear hash in its usual form, or before a word where none came for long."""
+    h, hashed, cuts = 0, [], []
     for i in range(1, len(b)):
-        if (i in wanted and i - start >= sd.MIN_CHUNK) or i - start == sd.MAX_CHUNK:
-            start = i
-            starts.append(i)
-    return starts
+        h = ((h << 1) + int(sd._GEAR[b[i - 1]])) & 0xFFFFFFFF
+        low = sum(int(sd._GEAR[b[i - 1 - k]]) << k for k in range(min(i, sd.WINDOW))) & 0xFFFFFFFF
+        assert (h - low) % (1 << sd.WINDOW) == 0
+        if i >= sd.WINDOW and (low >> (sd.WINDOW - sd.CUT_BITS)) & (2**sd.CUT_BITS - 1) == 0:
+            hashed.append(i)
+            cuts.append((i, sd.WINDOW))
+        elif i >= sd.WINDOW + sd.DRY and not [x for x in hashed if x > i - sd.DRY] and b[i - 1] in b" \t\n\r\x0b\x0c" and b[i] not in b" \t\n\r\x0b\x0c":
+            cuts.append((i, sd.WINDOW + sd.DRY))
+    return [(x, y, r) for (x, r), (y, _) in zip(cuts, cuts[1:], strict=False)]
 
 
 def test_chunks_match_the_byte_loop():
     rng = random.Random(1)
-    texts = ["", text(rng, 80), "a" * 1000, text(rng, 3), "x", text(rng, 400), "ab " * 200]
+    texts = ["", text(rng, 80), "a" * 1000, text(rng, 3), "x", text(rng, 400), "ab " * 200, "ha " * 5 + text(rng, 40) + " ha" * 90]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
-    starts, rows = sd.chunks(data, offsets)
+    starts, ends, reach = sd.chunks(data, offsets)
+    row = np.searchsorted(offsets, starts, side="right") - 1
     for i, t in enumerate(texts):
-        assert (starts[rows == i] - offsets[i]).tolist() == brute_chunks(t.encode())
-
-
-def brute_spans(rows, min_words):
-    seen, out = {}, []
-    for d, t in rows:
-        b = (t or "").encode()
-        s = brute_chunks(b)
-        for a, e in zip(s, [*s[1:], len(b)], strict=False):
-            seen.setdefault(b[a:e], (d, a))
-            seen[b[a:e]] = min(seen[b[a:e]], (d, a))
-    for d, t in rows:
-        b = (t or "").encode()
-        s = brute_chunks(b)
-        run = None
-        for a, e in [*zip(s, [*s[1:], len(b)], strict=False), (None, None)]:
-            if a is not None and seen[b[a:e]] < (d, a):
-                run = (run[0] if run else a, e, min(run[2] if run else d, seen[b[a:e]][0]))
-                continue
-            if run:
-                x, y = run[0], run[1]
-                spaces = b" \n\t\r\x0b\x0c"
-                while 0 < x < y and b[x - 1] not in spaces:
-                    x += 1
-                while x < y and b[x] in spaces:
-                    x += 1
-                while y > x and y < len(b) and b[y] not in spaces and b[y - 1] not in spaces:
-                    y -= 1
-                while y > x and b[y - 1] in spaces:
-                    y -= 1
-                n = len(b[x:y].split())
-                if n >= min_words:
-                    out.append((d, x, y, n, run[2]))
-                run = None
-    return sorted(out)
+        mine = row == i
+        assert list(zip((starts[mine] - offsets[i]).tolist(), (ends[mine] - offsets[i]).tolist(), reach[mine].tolist(), strict=True)) == brute_chunks(t.encode())
+
+
+def test_chunks_of_a_passage_stand_after_any_other_text():
+    """What a chunk's reach promises: within a passage the same chunks come, whatever stands before and behind."""
+    rng = random.Random(8)
+    for core in (text(rng, 60), "ab " * 60, "a b " * 40 + text(rng, 30), "x " * 99):
+        core = core.strip()
+        found = []
+        for _ in range(6):
+            before = text(rng, rng.randrange(1, 40)) + " "
+            data = np.frombuffer(f"{before}{core} {text(rng, 20)}".encode(), np.uint8)
+            starts, ends, reach = sd.chunks(data, np.array([0, len(data)]))
+            at = len(before.encode())
+            inside = (starts - reach >= at) & (ends <= at + len(core.encode()))
+            found.append(list(zip((starts[inside] - at).tolist(), (ends[inside] - at).tolist(), strict=True)))
+        assert found == found[:1] * 6
 
 
 @pytest.fixture(scope="module")
@@ -87,47 +64,32 @@ def rows():
     return rows
 
 
-def test_matches_brute_force(spark, rows):
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(map(tuple, sd.repeated_spans(docs).collect())) == brute_spans(rows, sd.MIN_WORDS)
-
-
-def test_planted_passages_are_cut_and_clean_documents_stay(spark, rows):
-    docs = spark.createDataFrame([(d, t, 0 if t is None else len(t), "x") for d, t in rows], "doc_id long, text string, n_chars long, start string")
-    out = {r.doc_id: r for r in sd.without_repeats(docs).collect()}
-    assert len(out) == len(rows)
-    spans = {s[0] for s in brute_spans(rows, sd.MIN_WORDS)}
-    assert spans == {*range(6 if 40 > 6 else 0, 40)} & spans | {200, 201} | spans
-    assert len({d for d, _ in rows if d < 40} - spans) <= 6
-    for d, t in rows:
-        if d not in spans:
-            assert out[d].text == t
-        else:
-            assert len(out[d].text.split()) <= len(t.split()) - sd.MIN_WORDS
-            assert out[d].n_chars == len(out[d].text)
-    assert out[200].text.split() == [] or len(out[200].text.split()) < 30
-
-
-def test_long_words_are_cut_whole(spark):
-    """Repeated passages that begin or end inside words longer than chunks."""
-    rng = random.Random(11)
-    long = lambda n: "".join(rng.choice("éüñaß") for _ in range(n))
-    core = text(rng, 60)
-    a, b = long(90), long(90)
-    rows = [(i, f"{text(rng, 20)} {long(rng.randrange(1, 60))}{a} {core} {b}{long(rng.randrange(1, 60))} {text(rng, 20)}") for i in range(30)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(map(tuple, sd.repeated_spans(docs).collect())) == brute_spans(rows, sd.MIN_WORDS)
-    words_of = {d: set(t.split()) for d, t in rows}
-    for r in sd.without_repeats(docs).collect():
-        assert set(r.text.split()) <= words_of[r.doc_id]
-
-
 def test_edge_cases(spark):
     long = "lorem ipsum dolor " * 60
     docs = spark.createDataFrame([(None, long), (1, long), (1, long), (2, None)], "doc_id long, text string")
-    assert {r.doc_id for r in sd.repeated_spans(docs).collect()} == {1}
-    assert sd.repeated_spans(docs.limit(0)).count() == 0
+    assert {r.doc_id for r in sd.repeated_passages(docs).collect()} == {1}
+    assert sd.repeated_passages(docs.limit(0)).count() == 0
+    assert sd.without_repeats(docs.limit(0)).count() == 0
     assert sd.without_repeats(docs).where("doc_id is null").first().text == long
+    assert len({r.text for r in sd.without_repeats(docs).where("doc_id = 1").collect()}) == 1
+
+
+def test_rows_of_one_doc_id_are_cut_each_for_itself(spark):
+    rng = random.Random(4)
+    passage, other = text(rng, 120), " ".join("日本語é" + text(rng, 1) for _ in range(300))
+    docs = spark.createDataFrame([(1, passage, "a"), (2, "é " + passage, "b"), (2, other, "c"), (2, passage + " tail", "d")], "doc_id long, text string, text_hash string")
+    out = {r.text_hash: r.text for r in sd.without_repeats(docs).collect()}
+    assert out["a"] == passage and out["c"] == other
+    assert out["b"].split() == ["é"] and out["d"].split() == ["tail"]
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(6)
+    passage = text(rng, 60)
+    long = " ".join([text(rng, 150_000), passage, text(rng, 1000)])
+    docs = spark.createDataFrame([(1, passage), (2, long)], "doc_id long, text string")
+    (span,) = sd.repeated_passages(docs).collect()
+    assert (span.doc_id, span.n_words, long.encode()[span.start : span.end].decode()) == (2, 60, passage)
 
 
 def brute_passages(rows, n):
@@ -158,10 +120,14 @@ def test_no_passage_of_fifty_words_is_missed(spark, rows):
     for i in range(300):
         passage = plain(50 + i % 4)
         more += [(1000 + 2 * i + k, " ".join([plain(rng.randrange(1, 60)), passage, plain(rng.randrange(1, 60))])) for k in (0, 1)]
-    more += [(2000, "ab " * 200), (2001, plain(49)), (2003, "\n\n" + rows[0][1] + " é")]
+    more += [(2000, "ab " * 200), (2001, plain(49)), (2003, "\n\n" + rows[0][1] + " é"), (2004, plain(5) + " ab" * 70), (2005, "x " * 51 + plain(4)), (2006, plain(3) + " x" * 55)]
     want = brute_passages(rows + more, 50)
     assert {1001 + 2 * i for i in range(300)} <= {d for d, *_ in want}
     docs = spark.createDataFrame(rows + more, "doc_id long, text string")
-    assert sorted(map(tuple, sd.repeated_passages(docs).collect())) == want
-    cut = {r.doc_id: r.text for r in sd.without_repeats(docs).collect()}
+    assert sorted(map(tuple, sd.repeated_passages(docs).drop("text_hash").collect())) == want
+    both = docs.selectExpr("doc_id", "text", "length(text) as n_chars", "'x' as start")
+    kept = sd.without_repeats(both).collect()
+    cut = {r.doc_id: r.text for r in kept}
+    assert len(kept) == len(rows) + len(more) and all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept)
+    assert all(cut[d] == t for d, t in rows + more if d not in {x for x, *_ in want})
     assert all(len(cut[1001 + 2 * i].split()) <= len(more[2 * i + 1][1].split()) - 50 for i in range(300))

@@ -1,18 +1,18 @@
-"""Substring dedup: exact passages of `PASSAGE_WORDS` words (`repeated_passages`), and runs of gear chunks (`repeated_spans`).
-
-Passages: a window of n words is repeated where it stands, byte for byte, in a lesser doc_id or earlier in its own row;
-overlapping and neighbouring repeated windows are one passage. Of each window the least hash of its 20-word shingles is
-kept (windows with equal words keep equal shingles), shingles that occur more than once fill a bitmap of fixed size, and
-only windows whose shingle is in it are hashed whole and counted. The bitmap prunes alone, so no passage is missed.
-
-Chunks: a gear hash of the last 16 bytes decides where a chunk ends, so equal passages get equal chunks wherever they
-stand. The occurrence of a digest in the least doc_id (and there the first) stays. Runs of neighbouring repeated chunks
-with at least `min_words` whole words are reported; cuts may meet only some chunks inside a passage, so runs miss some
-passages that are little longer.
-
-Edge cases: null texts are empty and repeat nothing; within one document later occurrences are repeated too; a null
-doc_id takes no part; rows that repeat a doc_id are one document's, each keeps its first occurrence; texts of any
-length work chunk by chunk; extra columns are ignored or kept.
+"""Substring dedup: content-defined chunks with a gear rolling hash find what repeats, exact windows say how far.
+
+1. A gear hash of the last `WINDOW` bytes decides where a chunk ends, so equal passages get equal chunks wherever they
+   stand, and an insertion moves no other chunk. Where no cut came for `DRY` bytes (periodic text), words are chunks. No
+   least or greatest length is enforced, so that cuts depend on the bytes just before them alone.
+2. Chunks are deduplicated by digest: digests that occur more than once fill a bitmap of fixed size.
+3. A window of `min_words` words can occur elsewhere only if every chunk that its own bytes determine is such a chunk.
+   Those windows are hashed whole and counted. One is repeated where it stands, byte for byte, in a lesser doc_id or
+   earlier in its own row; overlapping and neighbouring repeated windows are one passage. Chunks prune alone, so no
+   passage is missed, whatever the bitmap's size; a fuller one only prunes less.
+
+Edge cases: null texts are empty and repeat nothing; within one text later occurrences are repeated too; a null doc_id
+takes no part; rows that share a doc_id don't repeat each other and each keeps its first occurrence, `text_hash` (32
+bits of a hash of the text) tells their passages apart; rows with equal doc_id and text count as one; texts of any
+length are worked on as a whole, one at a time; extra columns are ignored or kept.
 """
 
 from __future__ import annotations
@@ -22,186 +22,121 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .decontaminate import _bit_test, _bitmap
 from .shared import Scratch
-from .textarrays import U64, keyed, signed, slices, span_hashes, words
-
-WINDOW, MIN_CHUNK, MAX_CHUNK = 16, 16, 240
-CUT_BITS = 4
-MIN_WORDS = 32
-PASSAGE_WORDS, SHINGLE = 50, 20
-SHINGLE_BITS = 1 << 26
-_PLACE = U64((1 << 28) - 1)
+from .textarrays import IS_SPACE, U64, keyed, signed, slices, span_hashes, words
+
+WINDOW, DRY = 16, 64
+CUT_BITS = 5
+PASSAGE_WORDS = 50
+DIGEST_BITS = 1 << 26
 _GEAR = keyed(256, 23).astype(np.uint32)
 
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Positions after which the gear hash asks for a cut."""
+def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, reach): where chunks begin inside rows, and how many bytes before a place decide that it is one."""
     h = _GEAR[data]
     shift = 1
     while shift < WINDOW:
         h[shift:] += h[:-shift] << np.uint32(shift)
         shift *= 2
-    return np.flatnonzero((h >> np.uint32(WINDOW - CUT_BITS)) & np.uint32((1 << CUT_BITS) - 1) == 0) + 1
-
-
-def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, rows) of the chunks; a row's last chunk ends where the row ends."""
-    wanted = cuts(data)
-    at = np.searchsorted(wanted, offsets)
-    starts, rows = [], []
-    for row in range(len(offsets) - 1):
-        start, end = int(offsets[row]), int(offsets[row + 1])
-        if start == end:
-            continue
-        own = [start]
-        for cut in wanted[at[row] : at[row + 1]].tolist():
-            while cut - start > MAX_CHUNK:
-                start += MAX_CHUNK
-                own.append(start)
-            if cut - start >= MIN_CHUNK and cut < end:
-                start = cut
-                own.append(start)
-        while end - start > MAX_CHUNK:
-            start += MAX_CHUNK
-            own.append(start)
-        starts += own
-        rows.append(np.full(len(own), row))
-    return np.array(starts, np.int64), np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    at = np.flatnonzero((h >> np.uint32(WINDOW - CUT_BITS)) & np.uint32((1 << CUT_BITS) - 1) == 0) + 1
+    begin = offsets[np.searchsorted(offsets, at, side="right") - 1]
+    at = at[at - begin >= WINDOW]
+    # Gaps of more than DRY bytes, of a row's own: there the beginnings of words cut.
+    bound = np.union1d(at, offsets)
+    wide = np.flatnonzero(np.diff(bound) > DRY)
+    if not len(wide):
+        return at, np.full(len(at), WINDOW)
+    own_row = np.isin(bound[wide], offsets)
+    lo, hi = bound[wide] + np.where(own_row, DRY + WINDOW, DRY), bound[wide + 1]
+    size = np.maximum(hi - lo, 0)
+    place = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+    dry = place[IS_SPACE[data[place - 1]] & ~IS_SPACE[data[place]]]
+    both = np.concatenate([at, dry])
+    order = np.argsort(both, kind="stable")
+    return both[order], np.concatenate([np.full(len(at), WINDOW), np.full(len(dry), WINDOW + DRY)])[order]
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, reach) of the chunks between two cuts of a row; its first and last bytes, which no two cuts enclose, are none."""
+    at, reach = cuts(data, offsets)
+    row = np.searchsorted(offsets, at, side="right")
+    inner = row[1:] == row[:-1]
+    return at[:-1][inner], at[1:][inner], reach[:-1][inner]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's distinct digests."""
+    """Digests of the chunks of a slice of documents, and whether a digest occurs there more than once."""
     for batch in batches:
-        for lo, hi, data, offsets in slices(batch.column("text")):
-            starts, rows = chunks(data, offsets)
-            if not len(starts):
-                continue
-            digest = span_hashes(data, starts, np.append(starts[1:], len(data)))
-            ids = batch.column("doc_id").slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), ids.take(pa.array(rows))], names=["digest", "doc_id"])
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each chunk with its place. `place` packs start, length, and how far the whole words lie inside its two ends;
-    `count` packs the number of the first whole word, how many there are (plus 1) and whether the document had the digest before."""
-    for batch in batches:
-        for lo, hi, data, offsets in slices(batch.column("text")):
-            starts, rows = chunks(data, offsets)
-            if not len(starts):
-                continue
-            ends = np.append(starts[1:], len(data))
-            digest = span_hashes(data, starts, ends)
-            w0, w1, _ = words(data, offsets)
-            first, last = np.searchsorted(w0, starts), np.searchsorted(w1, ends, side="right")
-            lead = np.minimum(np.append(w0, len(data))[first] - starts, ends - starts)
-            trail = np.minimum(ends - np.where(last > 0, w1[np.maximum(last - 1, 0)], 0), ends - starts)
-            before = np.zeros(len(starts), bool)
-            order = np.lexsort((starts, digest, rows))
-            before[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (rows[order[1:]] == rows[order[:-1]])
-            base = np.searchsorted(w0, offsets[rows])
-            place = (starts - offsets[rows]) << 24 | (ends - starts) << 16 | lead << 8 | trail
-            count = (first - base) << 10 | (last - first + 1) << 1 | before
-            ids = batch.column("doc_id").slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), ids.take(pa.array(rows)), pa.array(place), pa.array(count)], names=["digest", "doc_id", "place", "count"])
-
-
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Per repeated passage that is not its first occurrence: doc_id, start, end (UTF-8 bytes), n_words, first_doc_id."""
-    scratch = Scratch(docs.sparkSession, "substrings")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.mapInArrow(_digests, "digest long, doc_id long")
-    shared = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("n > 1")
-    shared = scratch.write(shared.select("digest", "first"), "shared")
-    places = texts.mapInArrow(_places, "digest long, doc_id long, place long, count long")
-    hits = places.join(shared, "digest").where("doc_id > first or count % 2 = 1")
-    start, size, lead, trail = F.expr("shiftright(place, 24)"), F.expr("shiftright(place, 16) & 255"), F.expr("shiftright(place, 8) & 255"), F.expr("place & 255")
-    # A chunk inside one word has no word's start or end to offer.
-    hits = hits.select(
-        "doc_id", "first", start.alias("start"), (start + size).alias("end"), F.when(lead < size, start + lead).alias("from"), F.when(trail < size, start + size - trail).alias("to"),
-        F.expr("shiftright(count, 10)").alias("w0"), F.expr("shiftright(count, 10) + (shiftright(count, 1) & 511) - 1").alias("w1"),
-    )
-    hits = scratch.write(hits, "hits")
-    w = Window.partitionBy("doc_id").orderBy("start", "end")
-    opened = hits.withColumn("new", (F.col("start") > F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))).cast("int"))
-    runs = opened.withColumn("run", F.sum("new").over(w)).groupBy("doc_id", "run").agg(F.min("from").alias("start"), F.max("to").alias("end"), (F.max("w1") - F.min("w0")).alias("n_words"), F.min("first").alias("first_doc_id"))
-    return runs.where((F.col("n_words") >= min_words) & (F.col("end") > F.col("start"))).select("doc_id", "start", "end", "n_words", "first_doc_id")
-
-
-def _word_windows(data: np.ndarray, offsets: np.ndarray, n: int):
-    """Word starts, ends and rows; the first words of the windows of n words within a row; the shingles' hashes and the number of each window's shingle."""
-    w0, w1, row = words(data, offsets)
-    if len(w0) < n:
-        z = np.zeros(0, np.int64)
-        return w0, w1, row, z, np.zeros(0, U64), z
-    k = min(SHINGLE, n)
-    h = span_hashes(data, w0[: len(w0) - k + 1], w1[k - 1 :])
-    # The least of n - k + 1 neighbours by doubling; the place in the lower bits tells equal shingles apart.
-    low = h & ~_PLACE | np.arange(len(h), dtype=U64) & _PLACE
-    width, span = 1, n - k + 1
-    while 2 * width <= span:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if span > width:
-        low = np.minimum(low[: width - span], low[span - width :])
-    first = np.flatnonzero(row[: len(w0) - n + 1] == row[n - 1 :])
-    return w0, w1, row, first, h, (low[first] & _PLACE).astype(np.int64)
-
-
-def _shingles(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
-                *_, h, own = _word_windows(data, offsets, n)
-                if len(own):
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(h[np.unique(own)]))], names=["v"])
-
-    return run
+        for _, _, data, offsets in slices(batch.column("text")):
+            starts, ends, _ = chunks(data, offsets)
+            if len(starts):
+                digest, n = np.unique(span_hashes(data, starts, ends), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), pa.array(np.minimum(n, 2).astype(np.int32))], names=["v", "n"])
 
 
 def _repeatable(n: int, shared):
-    """The windows whose shingle may occur elsewhere. `place` packs the first word's number and whether the row had the window before."""
+    """The windows of n words that may occur elsewhere. `place` packs the text's hash, the first word's number and whether the row had the window before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for lo, _, data, offsets in slices(batch.column("text")):
-                w0, w1, row, first, h, own = _word_windows(data, offsets, n)
-                first = first[_bit_test(known, h[own])] if len(first) else first
+                w0, w1, row = words(data, offsets)
+                if len(w0) < n:
+                    continue
+                first = np.flatnonzero(row[: len(w0) - n + 1] == row[n - 1 :])
+                start, end = w0[first], w1[first + n - 1]
+                begins, stops, reach = chunks(data, offsets)
+                once = ~_bit_test(known, span_hashes(data, begins, stops)) if len(begins) else np.zeros(0, bool)
+                free = np.ones(len(first), bool)
+                for r in (WINDOW, WINDOW + DRY):
+                    a, b = begins[once & (reach == r)] - r, stops[once & (reach == r)]
+                    free &= np.searchsorted(b, end, side="right") <= np.searchsorted(a, start)
+                first, start, end = first[free], start[free], end[free]
                 if not len(first):
                     continue
-                start, end, rows = w0[first], w1[first + n - 1], row[first]
+                rows = row[first]
                 digest = span_hashes(data, start, end)
                 before = np.zeros(len(first), bool)
                 order = np.lexsort((first, digest, rows))
                 before[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (rows[order[1:]] == rows[order[:-1]])
                 number = first - np.searchsorted(row, rows)
-                ids = batch.column("doc_id").take(pa.array(lo + rows))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), ids, pa.array(number << 1 | before), pa.array(start - offsets[rows]), pa.array(end - start)], names=["digest", "doc_id", "place", "start", "size"])
+                own = pa.array(lo + rows)
+                place = np.asarray(batch.column("text_hash").take(own)) << 32 | number << 1 | before
+                yield pa.RecordBatch.from_arrays([pa.array(signed(digest)), batch.column("doc_id").take(own), pa.array(place), pa.array(start - offsets[rows]), pa.array(end - start)], names=["digest", "doc_id", "place", "start", "size"])
 
     return run
 
 
+def _text_hash() -> Column:
+    """32 bits, so that a place holds it beside the number of a word."""
+    return F.shiftright(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), 32)
+
+
 def repeated_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
-    """Per repeated passage of min_words words or more that is not its first occurrence: doc_id, start, end (UTF-8 bytes), n_words, first_doc_id."""
+    """Per repeated passage of min_words words or more that is not its first occurrence: doc_id, text_hash, start, end (UTF-8 bytes), n_words, first_doc_id."""
     scratch = Scratch(docs.sparkSession, "substrings")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    twice = texts.mapInArrow(_shingles(min_words), "v long").groupBy("v").agg(F.count("*").alias("n")).where("n > 1")
-    known = docs.sparkSession.sparkContext.broadcast(_bitmap(twice.select("v"), SHINGLE_BITS))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_hash().alias("text_hash"))
+    twice = texts.select("text").mapInArrow(_digests, "v long, n int").groupBy("v").agg(F.sum("n").alias("n")).where("n > 1")
+    known = docs.sparkSession.sparkContext.broadcast(_bitmap(twice.select("v"), DIGEST_BITS))
     places = texts.mapInArrow(_repeatable(min_words, known), "digest long, doc_id long, place long, start long, size long")
     shared = places.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     shared = scratch.write(shared.select("digest", "first"), "shared")
-    hits = places.join(shared, "digest").where("doc_id > first or place % 2 = 1")
-    hits = hits.select("doc_id", "first", F.expr("shiftright(place, 1)").alias("word"), "start", (F.col("start") + F.col("size")).alias("end"))
-    w = Window.partitionBy("doc_id").orderBy("word", "start")
+    hits = places.join(shared, "digest").where("doc_id > first or place % 2 <> 0")
+    hits = hits.select("doc_id", F.expr("shiftright(place, 32)").alias("text_hash"), "first", F.expr("shiftright(place & 4294967295, 1)").alias("word"), "start", (F.col("start") + F.col("size")).alias("end"))
+    # Rows with equal doc_id and text give equal windows: once is enough.
+    row = ["doc_id", "text_hash"]
+    w = Window.partitionBy(*row).orderBy("word", "start")
     before = F.lag("word").over(w)
     opened = hits.withColumn("new", (before.isNull() | (F.col("word") > before + min_words)).cast("int"))
-    runs = opened.withColumn("run", F.sum("new").over(w)).groupBy("doc_id", "run")
+    runs = opened.withColumn("run", F.sum("new").over(w)).groupBy(*row, "run")
     runs = runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + min_words).alias("n_words"), F.min("first").alias("first_doc_id"))
-    return runs.select("doc_id", "start", "end", "n_words", "first_doc_id")
+    return runs.select(*row, "start", "end", "n_words", "first_doc_id")
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -216,10 +151,11 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def without_repeats(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
     """`docs` with the repeated passages cut out of `text`, and `n_chars` (where there is one) counted again.
 
-    The texts of other documents and rows without doc_id pass as they are.
+    Texts without repeats and rows without doc_id pass as they are.
     """
     scratch = Scratch(docs.sparkSession, "substrings")
-    spans = scratch.write(repeated_passages(docs, min_words).groupBy(F.col("doc_id").alias("__doc")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")), "spans")
+    spans = repeated_passages(docs, min_words).groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
+    spans = scratch.write(spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")), "spans")
     names = docs.columns
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
@@ -234,4 +170,6 @@ def without_repeats(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFram
                 cols[chars_at] = pc.replace_with_mask(cols[chars_at], hit, pa.array([len(t) for t in texts], cols[chars_at].type))
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.join(spans, docs["doc_id"] == spans["__doc"], "left").drop("__doc").mapInArrow(run, docs.schema)
+    mine = docs.withColumn("__own", _text_hash())
+    mine = mine.join(spans, (mine["doc_id"] == spans["__doc"]) & (mine["__own"] == spans["__hash"]), "left")
+    return mine.select(*(mine[c] for c in names), "__spans").mapInArrow(run, docs.schema)
