@@ -35,7 +35,7 @@ def test_tick_files(spark, tmp_path):
     out = binary.read_ticks(spark, root, GOLD).orderBy("ts_us", "seq").collect()
     assert [(r.ts_us - (T0 - HOUR), r.bid) for r in out[:4]] == [(100000, 3301.0), (100000, 3305.0), (1500000, 3300.0), (3599999000, 3302.0)]
     assert (out[2].ask, out[2].bid_vol, out[2].ask_vol) == (3300.3, 2.5, 1.5) and len(out) == 5
-    listed = {(r.hour_us - T0) // HOUR: (r.size > 0, r.has_file, r.has_absent_marker) for r in binary.list_hours(spark, root).collect()}
+    listed = {(r.hour_us - T0) // HOUR: (r.size > 0, r.has_file, r.has_absent_marker) for r in binary.list_hours(spark, root, "XAUUSD", 2026, 7).collect()}
     assert listed == {-1: (True, True, False), 0: (False, True, False), 1: (True, True, False), 2: (False, False, True)}
 
 

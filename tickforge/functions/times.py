@@ -69,6 +69,21 @@ def pretty_duration(seconds: Column) -> Column:
     )
 
 
+def month_start(ts: Column) -> Column:
+    return micros(F.trunc(date_of(ts), "month"))
+
+
+def last_complete_month(now: Column) -> Column:
+    """struct(first_us, end_us): the last whole month before `now`, its end left out."""
+    end = month_start(now)
+    return F.struct(month_start(end - 1).alias("first_us"), end.alias("end_us"))
+
+
+def least_time_left(pending: Column, interval_s: float) -> Column:
+    """The least a queue can take, as text: what is pending times the interval between requests."""
+    return pretty_duration(pending * F.lit(float(interval_s)))
+
+
 def months_between(first: str, last: str) -> list[tuple[int, int]]:
     """(year, month) from 'YYYY-MM' to 'YYYY-MM', both inclusive."""
     try:

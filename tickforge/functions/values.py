@@ -11,6 +11,23 @@ FILLING_BITS = {"FOK": 1, "IOC": 2, "BOC": 4}
 WEEKDAYS = {"monday": 0, "tuesday": 1, "wednesday": 2, "thursday": 3, "friday": 4, "saturday": 5, "sunday": 6}
 
 
+#: Names of a terminal's codes, by number from 0.
+CODES = {
+    "swap_mode": ("DISABLED", "POINTS", "CURRENCY_SYMBOL", "CURRENCY_MARGIN", "CURRENCY_DEPOSIT", "INTEREST_CURRENT", "INTEREST_OPEN", "REOPEN_CURRENT", "REOPEN_BID"),
+    "day": ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"),
+    "margin_mode": ("netting", "exchange", "hedging"),
+    "trade_mode": ("disabled", "longonly", "shortonly", "closeonly", "full"),
+    "calc_mode": ("forex", "futures", "cfd", "cfdindex", "cfdleverage", "forex_no_leverage"),
+}
+#: What a code without a name is called.
+UNNAMED = {"calc_mode": "OUTRO"}
+
+
+def code_name(kind: str, code: Column) -> Column:
+    names = F.array(*map(F.lit, CODES[kind]))
+    return F.coalesce(F.when(code >= 0, F.get(names, code.cast("int"))), F.when(code.isNotNull(), UNNAMED.get(kind, "DESCONHECIDO")))
+
+
 def price(scaled: Column, decimals: int) -> Column:
     """An integer price as a double; the divisor is a literal so the division is one IEEE operation."""
     return scaled / F.lit(float(10**decimals))
@@ -44,6 +61,12 @@ def short_hash(text: Column, length: int = 12) -> Column:
     return F.substring(F.sha2(text, 256), 1, length)
 
 
+def dice(sides: Column | int, *parts: Column) -> Column:
+    """0 to sides - 1 by a digest of the parts, the same in every engine that has MD5."""
+    digits = F.substring(F.md5(F.concat_ws("|", *(p.cast("string") for p in parts))), 1, 15)
+    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(sides) if isinstance(sides, int) else sides)
+
+
 def filling_names(mask: Column) -> Column:
     return F.filter(F.array(*(F.when(mask.bitwiseAND(bit) != 0, F.lit(name)) for name, bit in FILLING_BITS.items())), lambda x: x.isNotNull())
 

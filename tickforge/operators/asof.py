@@ -18,15 +18,16 @@ def _asof(probes: DataFrame, rows: DataFrame, values: list[str], key: str, forwa
     seq = F.col("seq") if "seq" in rows.columns else F.lit(0).cast("long")
     right_rows = rows.select(key, "ts_us", F.lit(1 if forward else 0).alias("__turn"), seq.alias("__seq"), right.alias("__row"))
     both = left.unionByName(right_rows, allowMissingColumns=True).withColumn("__chunk", chunk_of(F.col("ts_us"), chunk_us))
-    order = ["ts_us", "__turn", "__seq"]
-    w = Window.partitionBy(key, "__chunk").orderBy(*order)
-    own = F.first("__row", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) if forward else F.last("__row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    # Looking forward is looking back in the opposite order: a running last is linear, a frame that shrinks is not.
+    turned = F.desc if forward else F.asc
+    w = Window.partitionBy(key, "__chunk").orderBy(*map(turned, ("ts_us", "__turn", "__seq")))
+    own = F.last("__row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     at = F.when(F.col("__row").isNotNull(), F.struct("ts_us", "__seq"))
     pick = (F.min_by if forward else F.max_by)("__row", at)
     # A row a chunk; the window over chunks carries the nearest match into chunks that have none.
     ends = both.groupBy(key, "__chunk").agg(pick.alias("__end"))
-    wc = Window.partitionBy(key).orderBy("__chunk")
-    carry = F.first("__end", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)) if forward else F.last("__end", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1))
+    wc = Window.partitionBy(key).orderBy(turned("__chunk"))
+    carry = F.last("__end", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1))
     ends = ends.select(key, "__chunk", carry.alias("__carry"))
     found = both.withColumn("__own", own).where(F.col("__probe").isNotNull()).join(ends, [key, "__chunk"]).withColumn("__m", F.coalesce("__own", "__carry"))
     return found.select(*(F.col("__probe")[n].alias(n) for n in names), *(F.col("__m")[n].alias(n) for n in ["match_ts", *values]))
@@ -48,14 +49,23 @@ def forward(probes: DataFrame, rows: DataFrame, values: list[str], key: str = "i
     return joined.select(*probes.columns, *(F.when(F.col("match_ts").isNull(), F.col("__last")[n]).otherwise(F.col(n)).alias(n) for n in ["match_ts", *values]))
 
 
-def in_path(entries: DataFrame, bars: DataFrame, horizon_us: int, key: str = "instrument", bucket_us: int = DAY) -> DataFrame:
-    """Range join: each entry (its `start_ts`) with the bars of [start_ts, start_ts + horizon_us], both ends included. Entries go to the
-    time buckets that they reach, so that the join has an equi-key and isn't a nested loop."""
+def in_path(entries: DataFrame, bars: DataFrame, horizon_us: int, key: str = "instrument", bucket_us: int = DAY, before_us: int = 0, until: str | None = None) -> DataFrame:
+    """Range join: each entry (its `start_ts`) with the bars of [start_ts - before_us, start_ts + horizon_us], both ends included; `until`
+    names a column that ends it earlier. Entries go to the time buckets that they reach, so that the join has an equi-key and isn't a
+    nested loop."""
     cut = lambda c: chunk_of(c, bucket_us)
-    spread = entries.withColumn("__b", F.explode(F.sequence(cut(F.col("start_ts")), cut(F.col("start_ts") + horizon_us))))
+    start, end = F.col("start_ts") - before_us, F.col("start_ts") + horizon_us
+    if until:
+        end = F.least(end, F.col(until))
+    spread = entries.withColumn("__b", F.explode(F.sequence(cut(start), cut(end))))
     cells = bars.withColumn("__b", cut(F.col("ts_us"))).withColumnRenamed("ts_us", "bar_ts")
     near = spread.join(cells, [key, "__b"])
-    return near.where(F.col("bar_ts").between(F.col("start_ts"), F.col("start_ts") + horizon_us)).drop("__b")
+    return near.where(F.col("bar_ts").between(start, end)).drop("__b")
+
+
+def around(entries: DataFrame, ticks: DataFrame, minutes: int = 15, key: str = "instrument") -> DataFrame:
+    """The raw ticks `minutes` either side of each entry (`start_ts`), with the entry's columns; what is stored beside a trade."""
+    return in_path(entries, ticks, minutes * 60_000_000, key, HOUR, before_us=minutes * 60_000_000)
 
 
 def rollovers(first_us: int, last_us: int, spark, hour: int = 21, triple_weekday: int | None = None) -> DataFrame:

@@ -30,14 +30,25 @@ def aggregate(ticks: DataFrame, seconds: int | dict[str, int], price: str = "bid
     bars = laid.groupBy("instrument", F.col("g.timeframe").alias("timeframe"), F.col("g.seconds").alias("seconds"), F.col("label").alias("ts_us")).agg(
         F.min_by(px, at).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"), F.max_by(px, at).alias("close"), F.count("*").alias("n_ticks")
     )
-    # The last tick of a series names its forming bar; a row an instrument, so the join broadcasts by its size.
-    newest = ticks.groupBy("instrument").agg(F.max("ts_us").alias("newest"))
-    closed = bars.join(newest, bars["instrument"].eqNullSafe(newest["instrument"])).drop(newest["instrument"])
-    closed = closed.where(F.col("ts_us") < floor_to(F.col("newest"), F.col("seconds"))).withColumn("range_usd_oz", F.col("high") - F.col("low"))
+    closed = _closed(bars, ["instrument", "timeframe"]).withColumn("range_usd_oz", F.col("high") - F.col("low"))
     names = ["instrument", *(["timeframe"] if None not in grids else []), "ts_us", "open", "high", "low", "close", "range_usd_oz", "n_ticks"]
     return closed.select(*names)
 
 
+def _closed(bars: DataFrame, series: list[str]) -> DataFrame:
+    """Without each series' last bar, which is still forming.
+
+    The newest label comes from the aggregated bars. Its aggregate reads all their columns, so that both sides of the
+    join are one exchange of one scan.
+    """
+    newest = bars.groupBy(*(F.col(c).alias(f"__{c}") for c in series)).agg(F.max(F.struct("ts_us", *(c for c in bars.columns if c != "ts_us"))).alias("__newest"))
+    same = None
+    for c in series:
+        each = bars[c].eqNullSafe(newest[f"__{c}"])
+        same = each if same is None else same & each
+    return bars.join(newest, same).where(F.col("ts_us") < F.col("__newest.ts_us")).drop("__newest", *(f"__{c}" for c in series))
+
+
 def aggregate_tf(ticks: DataFrame, timeframe: str, price: str = "bid") -> DataFrame:
     if timeframe not in TIMEFRAMES:
         raise ValueError(f"no such timeframe: {timeframe}")
@@ -58,8 +69,7 @@ def both_sides(ticks: DataFrame, seconds: int = 60) -> DataFrame:
     bars = ticks.groupBy("instrument", floor_to(F.col("ts_us"), seconds).alias("label")).agg(
         F.max("bid").alias("bid_high"), F.min("bid").alias("bid_low"), F.max("ask").alias("ask_high"), F.min("ask").alias("ask_low")
     )
-    newest = ticks.groupBy("instrument").agg(F.max("ts_us").alias("newest"))
-    return bars.join(newest, "instrument").where(F.col("label") < floor_to(F.col("newest"), seconds)).withColumnRenamed("label", "ts_us").drop("newest")
+    return _closed(bars.withColumnRenamed("label", "ts_us"), ["instrument"])
 
 
 def with_partitions(rows: DataFrame) -> DataFrame:

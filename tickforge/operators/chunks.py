@@ -38,6 +38,17 @@ def with_overlap(df: DataFrame, overlap_us: int, ts: str = "ts_us", chunk_us: in
     return df.withColumn("__chunk", F.explode(F.sequence(first, last))).withColumn("__own", F.col("__chunk") == first)
 
 
+def with_rows_before(df: DataFrame, key: list[str], order: list[str], rows: int, ts: str = "ts_us", chunk_us: int = DAY, block: int = 4096) -> DataFrame:
+    """Each row in its own block of `block` rows of the series (`__own` true), and the last `rows` of a block in the next one too:
+    a window of so many rows before is then a window over (key, `__block`)."""
+    if not 0 <= rows <= block:
+        raise ValueError(f"between 0 and {block} rows")
+    laid = running_sum(df.withColumn("__one", F.lit(1).cast("long")), key, order, "__one", "__no", ts, chunk_us).drop("__one")
+    own, place = F.floor((F.col("__no") - 1) / block), F.pmod(F.col("__no") - 1, F.lit(block))
+    blocks = F.when(place >= block - rows, F.array(own, own + 1)).otherwise(F.array(own))
+    return laid.withColumn("__block", F.explode(blocks)).withColumn("__own", F.col("__block") == own).drop("__no")
+
+
 def running_sum(df: DataFrame, key: list[str], order: list[str], value: str, name: str, ts: str = "ts_us", chunk_us: int = DAY) -> DataFrame:
     """Sum of `value` from the start of the series to the row itself."""
     cut = df.withColumn("__chunk", chunk_of(F.col(ts), chunk_us))

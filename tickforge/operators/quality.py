@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.times import DAY, HOUR, SECOND, floor_to, hour_of
 from tickforge.schemas import InstrumentSpec
+from tickforge.staging import staged
 
 from .chunks import with_previous
+from .ranks import quantiles
 
 #: Seconds above which gaps are counted.
 GAP_LIMITS = (60, 300, 3600, 14400)
@@ -19,12 +21,12 @@ SCALE_FACTORS = (0.001, 0.01, 0.1, 10.0, 100.0, 1000.0)
 def summarize(ticks: DataFrame) -> DataFrame:
     """Per instrument: count, first and last time, extremes of bid, spread min/p50/p95/max, negative spreads."""
     s = F.col("ask") - F.col("bid")
-    q = F.percentile(s, F.array(F.lit(0.5), F.lit(0.95)))
     out = ticks.groupBy("instrument").agg(
         F.count("*").alias("n"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"), F.min("bid").alias("bid_min"), F.max("bid").alias("bid_max"),
-        F.min(s).alias("spread_min"), q.alias("q"), F.max(s).alias("spread_max"), F.count_if(s < 0).alias("spread_negative"),
+        F.min(s).alias("spread_min"), F.max(s).alias("spread_max"), F.count_if(s < 0).alias("spread_negative"),
     )
-    return out.withColumns({"spread_p50": F.col("q")[0], "spread_p95": F.col("q")[1]}).drop("q")
+    q = quantiles(ticks.select("instrument", s.alias("s")), ["instrument"], "s", {"spread_p50": 0.5, "spread_p95": 0.95})
+    return out.join(q, "instrument", "left")
 
 
 def ticks_per_hour(ticks: DataFrame) -> DataFrame:
@@ -39,12 +41,13 @@ def gaps(ticks: DataFrame) -> DataFrame:
 
 def gap_stats(ticks: DataFrame) -> DataFrame:
     """Per instrument: n (ticks), p50/p95/p99/max of the gaps and how many exceed each limit; `sem_dados` below two ticks."""
-    q = F.percentile("gap_s", F.array(*(F.lit(x) for x in (0.5, 0.95, 0.99))))
     over = [F.count_if(F.col("gap_s") > s).alias(f"above_{s}") for s in GAP_LIMITS]
-    found = gaps(ticks).groupBy("instrument").agg(F.count("*").alias("gaps"), q.alias("q"), F.max("gap_s").alias("gap_max"), *over)
+    between = staged(gaps(ticks), "gaps")
+    found = between.groupBy("instrument").agg(F.max("gap_s").alias("gap_max"), *over)
+    q = quantiles(between, ["instrument"], "gap_s", {"gap_p50": 0.5, "gap_p95": 0.95, "gap_p99": 0.99})
     n = ticks.groupBy("instrument").agg(F.count("*").alias("n"))
-    out = n.join(found, "instrument", "left").withColumns({f"gap_p{p}": F.col("q")[i] for i, p in enumerate((50, 95, 99))})
-    return out.withColumn("status", F.when(F.col("n") < 2, "sem_dados").otherwise("ok")).drop("q", "gaps")
+    out = n.join(found, "instrument", "left").join(q, "instrument", "left")
+    return out.withColumn("status", F.when(F.col("n") < 2, "sem_dados").otherwise("ok"))
 
 
 def largest_gaps(ticks: DataFrame, top: int = 10) -> DataFrame:
@@ -81,6 +84,11 @@ def completeness_counts(states: DataFrame, by: list[str] | None = None, listed:
     return out.withColumn("complete", F.col("falhou") == 0)
 
 
+def tally(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """How many files came to which outcome (column `outcome`)."""
+    return outcomes.groupBy(*(by or []), "outcome").agg(F.count("*").alias("n"))
+
+
 def per_day_counts(states: DataFrame) -> DataFrame:
     day = F.floor(F.col("hour_us") / DAY).cast("int")
     return states.groupBy(day.alias("day")).agg(*(F.count_if(F.col("state") == s).alias(s) for s in ("presente", "vazio", "ausente", "falhou")))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.times import HOUR, SECOND, day_of, floor_to, hour_of, minute_of_day, weekday_of
 
-from .asof import backward
-from .chunks import with_previous
+from .asof import backward, forward
+from .chunks import with_previous, with_rows_before
+from .ranks import counted, numbered, quantiles, tile
 
 STATES = ((0.25, "CALM"), (0.5, "NORMAL"), (0.75, "EXPANDING"))
 COST_CLASSES = ((0.10, "A"), (0.20, "B"))
@@ -48,8 +49,9 @@ def atr(bars: DataFrame, n: int = 14) -> DataFrame:
     """Adds true_range and atr, the mean true range of the bar and the n - 1 before it."""
     cut = with_previous(bars, ["instrument"], ["ts_us"], {"__c": "close"}, chunk_us=365 * 24 * HOUR)
     move = F.greatest(F.col("high") - F.col("low"), F.coalesce(F.abs(F.col("high") - F.col("__c")), F.lit(0.0)), F.coalesce(F.abs(F.col("low") - F.col("__c")), F.lit(0.0)))
-    w = Window.partitionBy("instrument").orderBy("ts_us").rowsBetween(-(n - 1), 0)
-    return cut.withColumn("true_range", move).withColumn("atr", F.avg("true_range").over(w)).drop("__c")
+    blocks = with_rows_before(cut.withColumn("true_range", move).drop("__c"), ["instrument"], ["ts_us"], n - 1, chunk_us=365 * 24 * HOUR)
+    w = Window.partitionBy("instrument", "__block").orderBy("ts_us").rowsBetween(-(n - 1), 0)
+    return blocks.withColumn("atr", F.avg("true_range").over(w)).where("__own").drop("__own", "__block")
 
 
 def normalised(value: Column, usual: Column) -> Column:
@@ -69,12 +71,44 @@ def state_of(value: Column) -> Column:
     return out.otherwise("CLIMAX")
 
 
-def sensor_rows(components: DataFrame, baseline: DataFrame, warm_up: int = 10) -> DataFrame:
-    """components (rg, er, tr ...) with their day-and-minute baseline (`baseline`): value, state, dq, conf."""
+def sensor_rows(components: DataFrame, baseline: DataFrame, macro: DataFrame | None = None, alpha: float = 0.7, warm_up: int = 10, now_us: int | None = None) -> DataFrame:
+    """components (rg, er, tr ...) with their day-and-minute baseline (`baseline`): base_rg, raw_value, value, state, dq, conf, fresh_ms.
+
+    macro: the components of a longer window (instrument, ts_us, seq, rg), mixed in with 1 - alpha; without it micro
+    stands alone. fresh_ms counts from the reading to now_us, or to the next reading of the instrument (null for its last).
+    """
     keyed = components.withColumns({"day": day_of(F.col("ts_us")), "minute": minute_of_day(F.col("ts_us"))})
-    out = keyed.join(baseline, ["instrument", "day", "minute"], "left").withColumn("value", normalised(F.col("rg"), F.col("baseline") * 2))
-    conf = F.least(F.lit(1.0), F.col("tr") / warm_up) * F.when(F.col("baseline").isNull(), 0.0).otherwise(1.0)
-    return out.withColumns({"state": state_of(F.col("value")), "dq": F.col("er"), "conf": conf}).drop("day", "minute")
+    out = keyed.join(baseline.withColumnRenamed("baseline", "base_rg"), ["instrument", "day", "minute"], "left").drop("day", "minute")
+    if macro is None:
+        out = out.withColumn("raw_value", F.col("rg"))
+    else:
+        longer = macro.select("instrument", "ts_us", "seq", F.col("rg").alias("__macro"))
+        out = out.join(longer, ["instrument", "ts_us", "seq"], "left").withColumn("raw_value", raw_value(F.col("rg"), F.coalesce("__macro", "rg"), alpha)).drop("__macro")
+    out = out.withColumn("value", normalised(F.col("raw_value"), F.col("base_rg") * 2))
+    conf = F.least(F.lit(1.0), F.col("tr") / warm_up) * F.when(F.col("base_rg").isNull(), 0.0).otherwise(1.0)
+    out = out.withColumns({"state": state_of(F.col("value")), "dq": F.col("er"), "conf": conf})
+    if now_us is not None:
+        return out.withColumn("fresh_ms", (F.lit(now_us) - F.col("ts_us")) / 1000)
+    back = with_previous(out.withColumn("__t", -F.col("ts_us")).withColumn("__s", -F.col("seq")), ["instrument"], ["__t", "__s"], {"__next": "__t"}, ts="__t")
+    return back.withColumn("fresh_ms", (-F.col("__next") - F.col("ts_us")) / 1000).drop("__t", "__s", "__next")
+
+
+def detection_latency(rows: DataFrame, events: DataFrame, state: str = "CLIMAX", within_s: float = 300.0) -> DataFrame:
+    """Per instrument: events (instrument, ts_us), how many saw the state within the time, and the median seconds until it."""
+    hits = rows.where(F.col("state") == state).select("instrument", "ts_us").withColumn("seq", F.lit(0).cast("long"))
+    met = forward(events, hits, [], clip=False).withColumn("after_s", (F.col("match_ts") - F.col("ts_us")) / SECOND)
+    met = met.withColumn("after_s", F.when(F.col("after_s") <= within_s, F.col("after_s")))
+    seen = met.groupBy("instrument").agg(F.count("*").alias("events"), F.count("after_s").alias("detected"))
+    return seen.join(quantiles(met, ["instrument"], "after_s", {"latency_p50_s": 0.5}), "instrument", "left")
+
+
+def agreement(ours: DataFrame, theirs: DataFrame, value: str, tolerance: float = 1e-4) -> DataFrame:
+    """Two computations of one sensor (instrument, ts_us, seq, value), row by row: common, only_ours, only_theirs, largest difference, and whether all is within the tolerance."""
+    on = ["instrument", "ts_us", "seq"]
+    both = ours.select(*on, F.col(value).alias("__a")).join(theirs.select(*on, F.col(value).alias("__b")), on, "full")
+    far = F.abs(F.col("__a") - F.col("__b"))
+    out = both.agg(F.count(far).alias("common"), F.count_if(F.col("__b").isNull()).alias("only_ours"), F.count_if(F.col("__a").isNull()).alias("only_theirs"), F.max(far).alias("largest"))
+    return out.withColumn("agrees", (F.col("common") > 0) & (F.col("only_ours") + F.col("only_theirs") == 0) & (F.col("largest") <= tolerance))
 
 
 def step_size(base_rg: Column, k: float) -> Column:
@@ -97,20 +131,22 @@ def logged(rows: DataFrame, every_s: int = 5) -> DataFrame:
 
 def spearman(rows: DataFrame, a: str, b: str, key: str) -> DataFrame:
     """Rank correlation per key, average ranks on ties."""
-
-    def ranked(name: str, out: str) -> DataFrame:
-        each = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(key, name).agg(F.count("*").alias("n"))
-        below = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return each.select(key, F.col(name), (below + (F.col("n") + 1) / 2).alias(out))
-
-    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(key, a, b).join(ranked(a, "ra"), [key, a]).join(ranked(b, "rb"), [key, b])
-    return both.groupBy(key).agg(F.corr("ra", "rb").alias("rho"), F.count("*").alias("n"))
+    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(key, a, b).agg(F.count("*").alias("pairs"))
+    ranked = lambda name, out: counted(both, [key], name, {"n": F.sum("pairs")}).select(key, name, (F.col("n_below") + (F.col("n") + 1) / 2).alias(out))
+    w = F.col("pairs")
+    each = both.join(ranked(a, "ra"), [key, a]).join(ranked(b, "rb"), [key, b])
+    sums = each.groupBy(key).agg(F.sum(w).alias("n"), F.sum(w * F.col("ra")).alias("sa"), F.sum(w * F.col("rb")).alias("sb"))
+    mean = each.join(sums, key).withColumns({"da": F.col("ra") - F.col("sa") / F.col("n"), "db": F.col("rb") - F.col("sb") / F.col("n")})
+    out = mean.groupBy(key, "n").agg(F.sum(w * F.col("da") * F.col("db")).alias("ab"), F.sum(w * F.col("da") * F.col("da")).alias("aa"), F.sum(w * F.col("db") * F.col("db")).alias("bb"))
+    return out.select(key, F.try_divide("ab", F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"), "n")
 
 
 def quintiles(rows: DataFrame, by: str, outcome: str, key: str, order: str) -> DataFrame:
     """Mean outcome in each fifth of the key's rows by `by` (ties by `order`): monotone if the sensor means anything."""
-    q = F.ntile(5).over(Window.partitionBy(key).orderBy(by, order))
-    return rows.select(key, q.alias("quintile"), outcome).groupBy(key, "quintile").agg(F.avg(outcome).alias("mean"), F.count("*").alias("n"))
+    placed = numbered(rows.select(key, by, order, outcome), [key], by, order, "place")
+    total = rows.groupBy(key).agg(F.count("*").alias("total"))
+    laid = placed.join(total, key).withColumn("quintile", tile(F.col("place"), F.col("total"), 5))
+    return laid.groupBy(key, "quintile").agg(F.avg(outcome).alias("mean"), F.count("*").alias("n"))
 
 
 def variation(rows: DataFrame, value: str, key: str) -> DataFrame:
@@ -137,12 +173,11 @@ def cost_class(usd_oz: Column) -> Column:
 def feed_offset(ours: DataFrame, theirs: DataFrame, hours: range = range(-12, 13)) -> DataFrame:
     """The hour offset of another feed's clock, by the least dispersion of price differences: instrument, offset_h, dispersion, n.
 
-    ours, theirs: instrument, ts_us, bid, seq. The offsets are a fixed list, exploded; each offset is a series of its own for the as-of join.
+    ours, theirs: instrument, ts_us, bid, seq. The offsets are a fixed list; only the other feed's rows are copied for each.
     """
-    shifted = theirs.withColumn("offset_h", F.explode(F.array(*(F.lit(h) for h in hours)))).withColumn("series", F.concat_ws("@", "instrument", "offset_h"))
-    probes = shifted.select("series", "instrument", "offset_h", (F.col("ts_us") - F.col("offset_h") * HOUR).alias("ts_us"), F.col("bid").alias("their_bid"))
-    rows = ours.withColumn("offset_h", F.explode(F.array(*(F.lit(h) for h in hours)))).select(F.concat_ws("@", "instrument", "offset_h").alias("series"), "ts_us", "seq", "bid")
-    met = backward(probes, rows, ["bid"], key="series").where(F.col("match_ts") >= F.col("ts_us") - 60 * SECOND)
+    probes = theirs.withColumn("offset_h", F.explode(F.array(*(F.lit(h) for h in hours))))
+    probes = probes.select("instrument", "offset_h", (F.col("ts_us") - F.col("offset_h") * HOUR).alias("ts_us"), F.col("bid").alias("their_bid"))
+    met = backward(probes, ours, ["bid"]).where(F.col("match_ts") >= F.col("ts_us") - 60 * SECOND)
     each = met.groupBy("instrument", "offset_h").agg(F.stddev_samp(F.col("bid") - F.col("their_bid")).alias("dispersion"), F.count("*").alias("n"))
     best = each.where(F.col("dispersion").isNotNull()).groupBy("instrument").agg(F.min(F.struct("dispersion", "offset_h", "n")).alias("b"))
     return best.select("instrument", "b.offset_h", "b.dispersion", "b.n")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.functions.times import HOUR, MINUTE, SECOND, hour_of, weekday_of
-from tickforge.functions.values import finite, side_sign
+from tickforge.functions.times import DAY, HOUR, MINUTE, SECOND, hour_of, weekday_of
+from tickforge.functions.values import dice, finite, side_sign
 from tickforge.schemas import OvernightCost
+from tickforge.staging import staged
 
 from .asof import in_path, nights
-from .chunks import running_sum, with_previous
+from .chunks import chunk_of, running_sum, with_previous
+from .ranks import counted, numbered, quantiles
 
 HORIZONS_H = (24, 72, 168)
 EPISODE_GAPS_MIN = (5, 15, 60, 240)
@@ -19,24 +21,23 @@ SCHEMES = ("aleatorio", "horario", "volatilidade")
 MIN_POOL, MIN_DECILE = 10, 5
 
 
-def episodes(entries: DataFrame, gap_min: float, key: list[str] | None = None) -> DataFrame:
-    """Adds `episode`: a new one begins where the side changes or the gap to the entry before exceeds gap_min (equal stays)."""
+def episodes(entries: DataFrame, gap_min: float | Column, key: list[str] | None = None) -> DataFrame:
+    """Adds `episode`: a new one begins where the side changes or the gap to the entry before exceeds gap_min minutes (equal stays)."""
     key = key or []
     tag = entries.withColumn("__all", F.lit(0))
     cut = with_previous(tag, [*key, "__all"], ["ts_us", "entry_id"], {"__ts": "ts_us", "__side": "side"})
-    starts = F.col("__ts").isNull() | (F.col("__side") != F.col("side")) | (F.col("ts_us") - F.col("__ts") > int(gap_min * MINUTE))
+    starts = F.col("__ts").isNull() | (F.col("__side") != F.col("side")) | (F.col("ts_us") - F.col("__ts") > F.lit(gap_min).cast("double") * MINUTE)
     cut = cut.withColumn("__new", starts.cast("long"))
     return running_sum(cut, [*key, "__all"], ["ts_us", "entry_id"], "__new", "episode").drop("__new", "__ts", "__side", "__all")
 
 
 def episode_sizes(entries: DataFrame, gaps_min: tuple[float, ...] = EPISODE_GAPS_MIN) -> DataFrame:
     """Per gap: episodes, largest and median size."""
-    out = None
-    for gap in gaps_min:
-        sizes = episodes(entries, gap).groupBy("episode").agg(F.count("*").alias("size"))
-        row = sizes.agg(F.lit(float(gap)).alias("gap_min"), F.count("*").alias("episodes"), F.max("size").alias("max_size"), F.percentile("size", F.lit(0.5)).alias("p50_size"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    each = entries.withColumn("gap_min", F.explode(F.array(*(F.lit(float(g)) for g in gaps_min))))
+    sizes = episodes(each, F.col("gap_min"), ["gap_min"]).groupBy("gap_min", "episode").agg(F.count("*").alias("size"))
+    sizes = staged(sizes, "sizes")
+    out = sizes.groupBy("gap_min").agg(F.count("*").alias("episodes"), F.max("size").alias("max_size"))
+    return out.join(quantiles(sizes, ["gap_min"], "size", {"p50_size": 0.5}), "gap_min")
 
 
 def swap_paid(from_us: Column, to_us: Column, side: Column, cost: OvernightCost) -> Column:
@@ -55,38 +56,37 @@ def evaluate(entries: DataFrame, bars: DataFrame, cost: OvernightCost, horizons_
         raise ValueError("horizons are positive hours")
     sign = side_sign(F.col("side"))
     long = F.col("side") == "buy"
-    path = in_path(entries, bars, int(max(horizons_h) * HOUR), key)
-    path = path.withColumns({
-        "gain": sign * (F.when(long, F.col("bid_high")).otherwise(F.col("ask_low")) - F.col("price")),
-        "loss": sign * (F.when(long, F.col("bid_low")).otherwise(F.col("ask_high")) - F.col("price")),
-        "swap": swap_paid(F.col("start_ts"), F.col("bar_ts"), F.col("side"), cost),
-    })
-    # First pass: when each entry turns green. Second: what happened up to then. Both are plain aggregates over the path.
     keys = [key, "entry_id", "side", "start_ts", "price"]
+    carry = lambda to: swap_paid(F.col("start_ts"), F.col(to), F.col("side"), cost)
+    # First pass: when each entry turns green. Second: the worst up to then. Both are plain aggregates over a range join.
+    gain = sign * (F.when(long, F.col("bid_high")).otherwise(F.col("ask_low")) - F.col("price"))
+    path = in_path(entries.select(*keys), bars, int(max(horizons_h) * HOUR), key).withColumn("gain", gain)
     turned = path.groupBy(*keys).agg(
-        F.min(F.when(F.col("gain") > 0, F.col("bar_ts"))).alias("green"), F.min(F.when(F.col("gain") - F.col("swap") > 0, F.col("bar_ts"))).alias("green_net"),
-        F.sort_array(F.collect_list(F.struct("bar_ts", "loss", "swap"))).alias("path"),
-    )
-    seen = F.filter("path", lambda b: F.col("green").isNull() | (b["bar_ts"] <= F.col("green")))
+        F.min(F.when(F.col("gain") > 0, F.col("bar_ts"))).alias("green"), F.min(F.when(F.col("gain") - carry("bar_ts") > 0, F.col("bar_ts"))).alias("green_net"), F.max("bar_ts").alias("last_bar")
+    )
+    turned = turned.withColumn("until", F.coalesce("green", "last_bar"))
+    kept = [*keys, "green", "green_net", "until"]
+    loss = sign * (F.when(long, F.col("bid_low")).otherwise(F.col("ask_high")) - F.col("price"))
+    worst = in_path(turned.select(*kept), bars, int(max(horizons_h) * HOUR), key, until="until").groupBy(*kept).agg(F.min(loss).alias("loss"))
     if coverage is None:
         coverage = bars.groupBy(key).agg(F.max("ts_us").alias("covered"))
-    out = turned.withColumn("seen", seen).join(coverage, key)
+    out = worst.join(coverage, key)
     hours = lambda c: (F.col(c) - F.col("start_ts")) / HOUR
     green = F.map_from_entries(F.array(*(
         F.struct(F.lit(float(h)).alias("h"), F.when(F.col("start_ts") + int(h * HOUR) <= F.col("covered"), F.coalesce(F.col("green") <= F.col("start_ts") + int(h * HOUR), F.lit(False))).alias("green"))
         for h in horizons_h
     )))
     return out.select(
-        key, "entry_id", "side", "start_ts", F.greatest(F.lit(0.0), -F.array_min(F.transform("seen", lambda b: b["loss"]))).alias("mae_usd_oz"), hours("green").alias("horas_ate_verde"),
-        hours("green_net").alias("horas_ate_verde_liq"), F.element_at("seen", -1)["swap"].alias("swap_usd_oz"), green.alias("verde_em"),
+        key, "entry_id", "side", "start_ts", F.greatest(F.lit(0.0), -F.col("loss")).alias("mae_usd_oz"), hours("green").alias("horas_ate_verde"),
+        hours("green_net").alias("horas_ate_verde_liq"), carry("until").alias("swap_usd_oz"), green.alias("verde_em"),
     )
 
 
-def describe(values: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
-    """n, p50, p90, max of the values that are not null."""
-    q = F.percentile(column, F.array(F.lit(0.5), F.lit(0.9)))
-    out = values.where(F.col(column).isNotNull()).groupBy(*(by or [])).agg(F.count("*").alias("n"), q.alias("q"), F.max(column).alias("max"))
-    return out.select(*(by or []), "n", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p90"), "max")
+def describe(values: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """by, n, p50, p90, max of the values that are not null."""
+    out = values.where(F.col(column).isNotNull())
+    q = quantiles(out.select(*by, column), by, column, {"p50": 0.5, "p90": 0.9})
+    return out.groupBy(*by).agg(F.count("*").alias("n"), F.max(column).alias("max")).join(q, by).select(*by, "n", "p50", "p90", "max")
 
 
 def not_green(results: DataFrame, horizon_h: float) -> DataFrame:
@@ -95,15 +95,26 @@ def not_green(results: DataFrame, horizon_h: float) -> DataFrame:
     return results.agg(F.avg((~v).cast("double")).alias("fraction"), F.count(v).alias("judged"), F.count_if(v.isNull()).alias("censored"))
 
 
+MEASURES = ("mae_usd_oz", "horas_ate_verde", "horas_ate_verde_liq", "swap_usd_oz")
+
+
 def summary(results: DataFrame, horizons_h: tuple[float, ...] = HORIZONS_H, by: list[str] | None = None) -> DataFrame:
     """One row (per group): n, and n/p50/p90/max of the four measures, and the share not green at each horizon."""
+    by = by or []
+    keyed = staged(results.withColumn("__all", F.lit(0)), "results")
+    group = [*by, "__all"]
     aggs = [F.count("*").alias("n")]
-    for c in ("mae_usd_oz", "horas_ate_verde", "horas_ate_verde_liq", "swap_usd_oz"):
-        aggs += [F.count(c).alias(f"{c}_n"), F.percentile(c, F.lit(0.5)).alias(f"{c}_p50"), F.percentile(c, F.lit(0.9)).alias(f"{c}_p90"), F.max(c).alias(f"{c}_max")]
     for h in horizons_h:
         v = F.element_at("verde_em", F.lit(float(h)))
         aggs += [F.avg((~v).cast("double")).alias(f"not_green_{h}h"), F.count_if(v.isNull()).alias(f"censored_{h}h")]
-    return results.groupBy(*(by or [])).agg(*aggs)
+    out = keyed.groupBy(*group).agg(*aggs)
+    # All measures in one pass: each value is counted under its measure's name.
+    long = keyed.select(*group, F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("x")) for c in MEASURES))).alias("m"))
+    each = describe(long.select(*group, "m.measure", "m.x"), "x", [*group, "measure"])
+    for c in MEASURES:
+        mine = each.where(F.col("measure") == c).select(*group, F.col("n").alias(f"{c}_n"), F.col("p50").alias(f"{c}_p50"), F.col("p90").alias(f"{c}_p90"), F.col("max").alias(f"{c}_max"))
+        out = out.join(mine, group, "left").withColumn(f"{c}_n", F.coalesce(f"{c}_n", F.lit(0)))
+    return out.drop("__all")
 
 
 def pool(bars: DataFrame, horizon_h: float, key: str = "instrument") -> DataFrame:
@@ -119,7 +130,9 @@ def with_cells(bars: DataFrame, value: str = "pre_range") -> DataFrame:
     """
     laid = bars.withColumns({"weekday": weekday_of(F.col("ts_us")), "hour": hour_of(F.col("ts_us"))})
     ok = finite(F.col(value))
-    cuts = laid.where(ok).groupBy("weekday", "hour").agg(F.percentile(value, F.array(*(F.lit(k / 10) for k in range(1, 10)))).alias("cuts"), F.count("*").alias("finite_n"))
+    fine = laid.where(ok)
+    cuts = quantiles(fine, ["weekday", "hour"], value, {f"c{k}": k / 10 for k in range(1, 10)}).join(fine.groupBy("weekday", "hour").agg(F.count("*").alias("finite_n")), ["weekday", "hour"])
+    cuts = cuts.select("weekday", "hour", "finite_n", F.array(*(f"c{k}" for k in range(1, 10))).alias("cuts"))
     # 168 cells at most.
     out = laid.join(F.broadcast(cuts), ["weekday", "hour"], "left")
     decile = F.when(ok & (F.col("finite_n") >= MIN_POOL), F.size(F.filter("cuts", lambda c: c <= F.col(value))))
@@ -140,8 +153,8 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
     levels = {"volatilidade": ["volatilidade", "horario", "aleatorio"], "horario": ["horario", "aleatorio"], "aleatorio": ["aleatorio"]}[scheme]
     label = lambda level: F.concat_ws("/", F.lit(level), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in names[level]))
     levelled = candidates.select("ts_us", F.explode(F.array(*(label(x) for x in levels))).alias("cell"))
-    # Places inside cells by buckets of a hash: counts of earlier buckets plus a rank in the own one.
-    bucketed = levelled.withColumn("b", F.pmod(F.xxhash64("ts_us"), F.lit(256)))
+    # Places inside cells by buckets of time: counts of earlier buckets plus a rank in the own one.
+    bucketed = levelled.withColumn("b", chunk_of(F.col("ts_us"), 30 * DAY))
     sizes = bucketed.groupBy("cell", "b").agg(F.count("*").alias("c"))
     before = sizes.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("cell").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
     numbered = bucketed.withColumn("r", F.row_number().over(Window.partitionBy("cell", "b").orderBy("ts_us"))).join(before, ["cell", "b"])
@@ -155,29 +168,31 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
     able = lambda x: F.col(f"n_{x}").isNotNull() & (F.col("decile").isNotNull() if x == "volatilidade" else F.lit(True))
     chosen = F.coalesce(*(F.when(able(x), F.struct(F.col(f"cell_{x}").alias("cell"), F.col(f"n_{x}").alias("n"), F.lit(x != scheme).alias("fallback"))) for x in levels))
     picked = cells.withColumn("pick", chosen).where(F.col("pick").isNotNull()).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(k))))
-    dice = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), "entry_id", "draw")
-    picked = picked.withColumn("no", F.pmod(dice(1), F.col("pick.n")) + 1)
+    roll = lambda salt, n: dice(n, F.lit(seed), F.lit(salt), F.col("entry_id"), F.col("draw"))
+    picked = picked.withColumn("no", roll(1, F.col("pick.n")) + 1)
     out = picked.join(numbered, (F.col("pick.cell") == F.col("c_cell")) & (F.col("no") == F.col("c_no")))
-    jitter = F.pmod(dice(2), F.lit(60)) * SECOND
+    jitter = roll(2, 60) * SECOND
     return out.select(*entries.columns, "draw", (F.col("c_ts") + jitter).alias("cand_ts"), F.col("c_ts").alias("cand_bar"), F.col("pick.fallback").alias("fallback"))
 
 
+def synthetic(spark: SparkSession, legs: list[tuple[int, float]], start_us: int, first: float, spread: float, instrument: str = "synthetic") -> DataFrame:
+    """Ticks a second apart that go from `first` in straight legs of (seconds, end price): a series whose results are known."""
+    out, at, px = spark.range(1).select(F.lit(0).cast("long").alias("n"), F.lit(float(first)).alias("bid")), 0, float(first)
+    for seconds, end in legs:
+        share = (F.col("id") + 1) / F.lit(float(seconds))
+        out = out.unionByName(spark.range(seconds).select((F.col("id") + 1 + at).alias("n"), (F.lit(px) + F.lit(end - px) * share).alias("bid")))
+        at, px = at + seconds, float(end)
+    return out.select(F.lit(instrument).alias("instrument"), (F.lit(start_us) + F.col("n") * SECOND).alias("ts_us"), F.col("n").alias("seq"), "bid", (F.col("bid") + spread).alias("ask"))
+
+
 def superiority(values: DataFrame, column: str, is_a: str) -> DataFrame:
     """P(a < b) + P(a = b) / 2 over finite values: one row p, n_a, n_b.
 
-    By counts of each distinct value, so pairs are never formed. Values are cut into bins; what lies below a value is
-    the bins before and the part of its own bin before it.
+    By counts of each distinct value, so pairs are never formed.
     """
-    v = values.where(finite(F.col(column).cast("double"))).groupBy(F.col(column).cast("double").alias("x")).agg(F.sum(F.col(is_a).cast("long")).alias("a"), F.sum((~F.col(is_a)).cast("long")).alias("b"))
-    low, high = v.agg(F.min("x"), F.max("x")).first()
-    if low is None:
-        return values.sparkSession.createDataFrame([(None, 0, 0)], "p double, n_a long, n_b long")
-    v = v.withColumn("bin", F.floor((F.col("x") - low) / ((high - low) or 1.0) * 1024).cast("int"))
-    bins = v.groupBy("bin").agg(F.sum("a").alias("t"))
-    bins = bins.select("bin", F.coalesce(F.sum("t").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = F.coalesce(F.sum("a").over(Window.partitionBy("bin").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = v.withColumn("own", own).join(F.broadcast(bins), "bin")  # 1025 bins at most
-    out = ranked.agg(F.sum(F.col("b") * (F.col("before") + F.col("own") + F.col("a") / 2)).alias("u"), F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    ok = values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"))
+    ranked = counted(ok.withColumn("all", F.lit(0)), ["all"], "x", {"a": F.sum("a"), "b": F.sum("b")})
+    out = ranked.agg(F.sum(F.col("b") * (F.col("a_below") + F.col("a") / 2)).alias("u"), F.coalesce(F.sum("a"), F.lit(0)).alias("n_a"), F.coalesce(F.sum("b"), F.lit(0)).alias("n_b"))
     return out.select(F.try_divide("u", F.col("n_a") * F.col("n_b")).alias("p"), "n_a", "n_b")
 
 
@@ -185,18 +200,32 @@ def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode
     """CI95 of the superiority by resampling episodes: lo, hi, episodes; null below 3 episodes or 10 finite values.
 
     A replicate counts each episode as often as it was drawn and ranks its values like `superiority`. Draws are hashes
-    of seed, replicate and place; replicates are worked on apart from each other.
+    of seed, replicate and place, a row each; replicates are worked on apart from each other.
     """
-    ok = values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), F.col(episode).alias("e"))
-    names = ok.select("e").distinct()
-    names = names.withColumn("no", F.row_number().over(Window.orderBy("e")) - 1)
-    total = names.count()
-    if total < 3 or ok.count() < 10:
+    ok = staged(values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), F.col(episode).alias("e")), "values")
+    names = numbered(ok.select("e").distinct().withColumn("all", F.lit(0)), ["all"], "e", "e", "no").select("e", "no")
+    total, rows = ok.agg(F.count_distinct("e"), F.count("*")).first()
+    if total < 3 or rows < 10:
         return values.sparkSession.createDataFrame([(None, None, total)], "lo double, hi double, episodes long")
-    draws = values.sparkSession.range(n).withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(total - 1))))
-    draws = draws.select("id", F.pmod(F.xxhash64(F.lit(seed), "id", "place"), F.lit(total)).cast("int").alias("no")).groupBy("id", "no").agg(F.count("*").alias("times")).join(names, "no")
+    place = values.sparkSession.range(n * total).select(F.expr(f"id div {total}").alias("id"), F.pmod("id", F.lit(total)).alias("place"))
+    draws = place.select("id", dice(total, F.lit(seed), F.col("id"), F.col("place")).alias("no")).groupBy("id", "no").agg(F.count("*").alias("times")).join(names, "no")
     drawn = ok.groupBy("e", "x").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).join(draws, "e")
     drawn = drawn.groupBy("id", "x").agg(F.sum(F.col("a") * F.col("times")).alias("a"), F.sum(F.col("b") * F.col("times")).alias("b"))
     below = F.coalesce(F.sum("a").over(Window.partitionBy("id").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     each = drawn.withColumn("below", below).groupBy("id").agg(F.try_divide(F.sum(F.col("b") * (F.col("below") + F.col("a") / 2)), F.sum("a") * F.sum("b")).alias("p"))
-    return each.agg(F.percentile("p", F.lit(0.025)).alias("lo"), F.percentile("p", F.lit(0.975)).alias("hi"), F.lit(total).cast("long").alias("episodes"))
+    return each.agg(F.percentile("p", F.lit(0.025)).alias("lo"), F.percentile("p", F.lit(0.975)).alias("hi"), F.lit(total).cast("long").alias("episodes"))  # n values
+
+
+def compare(real: DataFrame, drawn: DataFrame, column: str, treat_missing: str = "drop", n: int = 1000, seed: int = 0) -> DataFrame:
+    """Real entries against drawn ones: p (a real value is less than a drawn one), lo, hi, episodes, n_real, n_drawn.
+
+    real and drawn: episode and the measure. An entry that never turned green has no time to it: `drop` leaves it out,
+    so the comparison is among those that did; `worst` lets it lose against every other.
+    """
+    if treat_missing not in ("drop", "worst"):
+        raise ValueError("treat_missing is drop or worst")
+    never = F.lit(1e300) if treat_missing == "worst" else F.lit(None).cast("double")
+    pick = lambda df, a: df.select("episode", F.coalesce(F.col(column).cast("double"), never).alias("x"), F.lit(a).alias("is_a"))
+    both = staged(pick(real, True).unionByName(pick(drawn, False)).where("x is not null"), "compared")
+    p = superiority(both, "x", "is_a").select("p", F.col("n_a").alias("n_real"), F.col("n_b").alias("n_drawn"))
+    return p.join(bootstrap(both, "x", "is_a", n=n, seed=seed), F.lit(True))  # a row each

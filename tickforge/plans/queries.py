@@ -16,6 +16,7 @@ from tickforge.operators import asof, bars, manifest, quality, sensor_spec, stud
 from tickforge.operators.chunks import with_previous
 from tickforge.schemas import InstrumentSpec, OvernightCost
 from tickforge.sources import sinks, tables
+from tickforge.staging import shared_dir, staged
 from tickforge.streaming import stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,10 @@ def query(sql: str | None = None):
     return add
 
 
+def _folder(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _ticks(spark, sf_dir):
     return tables.ticks_from_events(spark, sf_dir)
 
@@ -116,13 +121,17 @@ _GAPS = f"WITH {TICKS}, l AS (SELECT instrument, ts_us, lag(ts_us) OVER (PARTITI
 
 
 @query(
-    _GAPS + ", n AS (SELECT instrument, count(*) AS n FROM t GROUP BY 1) SELECT instrument, n.n, max(gap_s) AS gap_max, count(*) FILTER (gap_s > 60) AS above_60, count(*) FILTER (gap_s > 300) AS above_300, "
-    "count(*) FILTER (gap_s > 3600) AS above_3600, count(*) FILTER (gap_s > 14400) AS above_14400, round(quantile_cont(gap_s, 0.5), 6) AS gap_p50, round(quantile_cont(gap_s, 0.95), 6) AS gap_p95, "
-    "round(quantile_cont(gap_s, 0.99), 6) AS gap_p99, 'ok' AS status FROM g JOIN n USING (instrument) GROUP BY ALL"
+    _GAPS.replace("l AS (", "u AS (SELECT * FROM t UNION ALL SELECT 'alone', ts_us, seq, bid, ask FROM t WHERE seq = 1), l AS (", 1).replace("FROM t), g AS", "FROM u), g AS", 1)
+    + ", n AS (SELECT instrument, count(*) AS n FROM u GROUP BY 1) SELECT instrument, n.n, max(gap_s) AS gap_max, count(gap_s) FILTER (gap_s > 60) AS above_60, count(gap_s) FILTER (gap_s > 300) AS above_300, "
+    "count(gap_s) FILTER (gap_s > 3600) AS above_3600, count(gap_s) FILTER (gap_s > 14400) AS above_14400, round(quantile_cont(gap_s, 0.5), 6) AS gap_p50, round(quantile_cont(gap_s, 0.95), 6) AS gap_p95, "
+    "round(quantile_cont(gap_s, 0.99), 6) AS gap_p99, CASE WHEN n.n < 2 THEN 'sem_dados' ELSE 'ok' END AS status FROM n LEFT JOIN g USING (instrument) GROUP BY ALL"
 )
 def gap_stats(spark, sf_dir):
-    out = quality.gap_stats(_ticks(spark, sf_dir))
-    return out.withColumns({c: F.round(c, 6) for c in ("gap_p50", "gap_p95", "gap_p99")})
+    """With an instrument of a single tick, which has no gaps to describe."""
+    t = _ticks(spark, sf_dir)
+    out = quality.gap_stats(t.unionByName(t.where("seq = 1").withColumn("instrument", F.lit("alone"))))
+    counts = {c: F.coalesce(c, F.lit(0)) for c in out.columns if c.startswith("above_")}
+    return out.withColumns({c: F.round(c, 6) for c in ("gap_p50", "gap_p95", "gap_p99")} | counts)
 
 
 @query(_GAPS + " SELECT instrument, from_us, to_us, gap_s, CAST(row_number() OVER (PARTITION BY instrument ORDER BY gap_s DESC, from_us) AS INTEGER) AS rank FROM g QUALIFY rank <= 10")
@@ -180,9 +189,17 @@ def scale_check(spark, sf_dir):
     return quality.scale_check(_ticks(spark, sf_dir), SPEC).withColumn("ratio", F.round("ratio", 9))
 
 
-@query(f"WITH {TICKS}, l AS (SELECT *, lag(ts_us) OVER (PARTITION BY instrument ORDER BY seq) AS last FROM t) SELECT instrument, count(*) AS disordered FROM l WHERE last > ts_us GROUP BY 1")
+_LATE = f"WITH {TICKS}, d AS (SELECT instrument, seq, bid, ts_us - CASE WHEN seq % 23 = 0 THEN {3 * HOUR} ELSE 0 END AS ts_us FROM t)"
+
+
+def _disordered(spark, sf_dir):
+    """Every 23rd tick comes three hours late."""
+    return _ticks(spark, sf_dir).withColumn("ts_us", F.col("ts_us") - F.when(F.col("seq") % 23 == 0, 3 * HOUR).otherwise(0))
+
+
+@query(_LATE + ", l AS (SELECT *, lag(ts_us) OVER (PARTITION BY instrument ORDER BY seq) AS last FROM d) SELECT instrument, count(*) AS disordered FROM l WHERE last > ts_us GROUP BY 1")
 def disorder(spark, sf_dir):
-    return windows.disorder(_ticks(spark, sf_dir)).groupBy("instrument").agg(F.count("*").alias("disordered"))
+    return windows.disorder(_disordered(spark, sf_dir)).groupBy("instrument").agg(F.count("*").alias("disordered"))
 
 
 @query(f"WITH {TICKS} SELECT instrument, seq, ts_us FROM t WHERE ts_us >= {JANUARY[0]} - 31 * {DAY} AND ts_us < {JANUARY[0]} + 72 * {HOUR}")
@@ -203,8 +220,8 @@ m AS (SELECT coalesce(b.instrument, r.instrument) AS instrument, coalesce(b.ts_u
 
 
 @query(
-    _PAIR + " SELECT count(*) FILTER (o AND f) AS comuns, count(*) FILTER (o AND NOT f) AS so_nossas, count(*) FILTER (f AND NOT o) AS so_referencia, round(max(d_open), 6) AS max_open, round(max(d_high), 6) AS max_high, "
-    "round(max(d_low), 6) AS max_low, round(max(d_close), 6) AS max_close, 'high' AS worst_field, (SELECT ts_us FROM m WHERE o AND f ORDER BY d_high DESC, ts_us LIMIT 1) AS worst_us, round(max(d_high), 6) AS worst FROM m"
+    _PAIR + ", x AS (SELECT * FROM (SELECT ts_us, unnest(['open', 'high', 'low', 'close']) AS k, unnest([d_open, d_high, d_low, d_close]) AS d FROM m WHERE o AND f) ORDER BY d DESC, ts_us LIMIT 1) SELECT count(*) FILTER (o AND f) AS comuns, count(*) FILTER (o AND NOT f) AS so_nossas, count(*) FILTER (f AND NOT o) AS so_referencia, round(max(d_open), 6) AS max_open, round(max(d_high), 6) AS max_high, "
+    "round(max(d_low), 6) AS max_low, round(max(d_close), 6) AS max_close, (SELECT k FROM x) AS worst_field, (SELECT ts_us FROM x) AS worst_us, (SELECT round(d, 6) FROM x) AS worst FROM m"
 )
 def ohlc_diff(spark, sf_dir):
     b = _h1(spark, sf_dir)
@@ -243,7 +260,7 @@ def svc_components(spark, sf_dir):
 
 @query(_SENSOR)
 def svc_deque(spark, sf_dir):
-    return _rounded(windows.components_deque(_ticks(spark, sf_dir), _W))
+    return _rounded(windows.components_blocks(_ticks(spark, sf_dir), _W))
 
 
 def _probes(spark, sf_dir):
@@ -404,16 +421,85 @@ def _drawn(spark, sf_dir, scheme):
     return study.draw(entries.select("entry_id", "ts_us", "side", "weekday", "hour", "decile"), study.pool(candidates, 24), scheme, 20, seed=1)
 
 
-@query()
+_DICE = lambda n, *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT) % {n}"
+_DRAWS = f"""WITH {TICKS}, {_ENTRIES}, {_closed_sql(HOUR)}, r AS (SELECT ts_us, max(high) OVER w - min(low) OVER w AS r FROM b WHERE instrument = 'view' WINDOW w AS (ORDER BY ts_us RANGE BETWEEN {4 * HOUR - 1} PRECEDING AND CURRENT ROW)),
+pr AS (SELECT ts_us, lag(r) OVER (ORDER BY ts_us) AS x, CAST((ts_us // {DAY} + 3) % 7 AS INTEGER) AS weekday, CAST(ts_us % {DAY} // {HOUR} AS INTEGER) AS hour FROM r),
+cut AS (SELECT weekday, hour, quantile_cont(x, [{", ".join(str(k / 10) for k in range(1, 10))}]) AS cuts, count(x) AS n FROM pr GROUP BY ALL),
+cand AS (SELECT ts_us, weekday, hour, CASE WHEN x IS NOT NULL AND n >= 10 THEN len(list_filter(cuts, lambda c: c <= x)) END AS decile FROM pr JOIN cut USING (weekday, hour)),
+lv AS (SELECT ts_us, unnest(['aleatorio', 'horario/' || weekday || '/' || hour, 'volatilidade/' || weekday || '/' || hour || '/' || coalesce(CAST(decile AS VARCHAR), '-')]) AS cell FROM cand WHERE ts_us <= (SELECT max(ts_us) FROM pr) - {24 * HOUR}),
+num AS (SELECT cell, ts_us AS c_ts, row_number() OVER (PARTITION BY cell ORDER BY ts_us) AS no FROM lv), cnt AS (SELECT cell, count(*) AS n FROM lv GROUP BY 1),
+en AS (SELECT e.entry_id, e.ts_us, e.side, c.weekday, c.hour, c.decile FROM e ASOF JOIN cand c ON c.ts_us <= e.ts_us),
+ec AS (SELECT *, 'horario/' || weekday || '/' || hour AS ch, 'volatilidade/' || weekday || '/' || hour || '/' || coalesce(CAST(decile AS VARCHAR), '-') AS cv FROM en),
+en_n AS (SELECT ec.*, a.n AS na, h.n AS nh, CASE WHEN decile IS NOT NULL AND v.n >= 5 THEN v.n END AS nv FROM ec JOIN cnt a ON a.cell = 'aleatorio' LEFT JOIN cnt h ON h.cell = ch LEFT JOIN cnt v ON v.cell = cv),
+ch AS (SELECT entry_id, side, ts_us, 'aleatorio' AS scheme, 'aleatorio' AS cell, na AS n, false AS fallback FROM en_n
+  UNION ALL SELECT entry_id, side, ts_us, 'horario', CASE WHEN nh IS NOT NULL THEN ch ELSE 'aleatorio' END, coalesce(nh, na), nh IS NULL FROM en_n
+  UNION ALL SELECT entry_id, side, ts_us, 'volatilidade', CASE WHEN nv IS NOT NULL THEN cv WHEN nh IS NOT NULL THEN ch ELSE 'aleatorio' END, coalesce(nv, nh, na), nv IS NULL FROM en_n),
+dr AS (SELECT ch.*, draw, {_DICE("n", "1", "1", "entry_id", "draw")} + 1 AS no, {_DICE("60", "1", "2", "entry_id", "draw")} * 1000000 AS jitter FROM ch, (SELECT range AS draw FROM range(1, 21)))"""
+
+
+def _all_draws(spark, sf_dir):
+    """20 drawn entries for each real one under every scheme."""
+    candidates = windows.pre_range(_h1(spark, sf_dir).where("instrument = 'view'"), 240)
+    candidates = staged(study.with_cells(candidates, "pre_range"), "candidates")
+    entries = asof.backward(_probes(spark, sf_dir), candidates, ["weekday", "hour", "decile"]).where("match_ts is not null")
+    entries = staged(entries.select("entry_id", "ts_us", "side", "weekday", "hour", "decile"), "entries")
+    pool = study.pool(candidates, 24)
+    drawn = [study.draw(entries, pool, s, 20, seed=1).withColumn("scheme", F.lit(s)) for s in study.SCHEMES]
+    return drawn[0].unionByName(drawn[1]).unionByName(drawn[2])
+
+
+@query(_DRAWS + " SELECT scheme, entry_id, draw, c_ts AS cand_bar, c_ts + jitter AS cand_ts, fallback FROM dr JOIN num USING (cell, no)")
 def matched_draws(spark, sf_dir):
-    out = [_drawn(spark, sf_dir, s).withColumn("scheme", F.lit(s)) for s in study.SCHEMES]
-    return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("scheme").agg(F.count("*").alias("drawn"), F.count_if("fallback").alias("fallbacks"), F.count_distinct("entry_id").alias("entries"))
+    return _all_draws(spark, sf_dir).select("scheme", "entry_id", F.col("draw").cast("long").alias("draw"), "cand_bar", "cand_ts", "fallback")
+
 
+_BOOT = f"""WITH {TICKS}, {_ENTRIES}, {_episode_sql(240, "x")}, v AS (SELECT x.episode, t.bid AS x, x.side = 'buy' AS a FROM x JOIN t ON t.seq = x.entry_id),
+names AS (SELECT episode, row_number() OVER (ORDER BY episode) - 1 AS no FROM (SELECT DISTINCT episode FROM v)), total AS (SELECT count(*) AS total FROM names),
+dr AS (SELECT id, {_DICE("total", "0", "id", "place")} AS no FROM total, (SELECT range AS id FROM range(1000)), range((SELECT count(*) FROM names)) p(place)),
+tm AS (SELECT id, no, count(*) AS times FROM dr GROUP BY ALL),
+w AS (SELECT id, x, sum(times) FILTER (a) AS a, sum(times) FILTER (NOT a) AS b FROM tm JOIN names USING (no) JOIN v USING (episode) GROUP BY ALL),
+z AS (SELECT id, coalesce(a, 0)::DOUBLE AS a, coalesce(b, 0)::DOUBLE AS b, coalesce(sum(coalesce(a, 0)) OVER (PARTITION BY id ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below FROM w),
+p AS (SELECT id, sum(b * (below + a / 2)) / (sum(a) * sum(b)) AS p FROM z GROUP BY 1)"""
 
-@query()
+
+@query(_BOOT + " SELECT round(quantile_cont(p, 0.025), 9) AS lo, round(quantile_cont(p, 0.975), 9) AS hi, (SELECT total FROM total) AS episodes FROM p")
 def bootstrap_ci(spark, sf_dir):
     real = study.episodes(tables.entries_from_events(spark, sf_dir), 240).join(_ticks(spark, sf_dir).select(F.col("seq").alias("entry_id"), "bid"), "entry_id")
-    return study.bootstrap(real.withColumn("is_a", F.col("side") == "buy").withColumn("episode", F.pmod("episode", F.lit(40))), "bid", "is_a", n=200)
+    out = study.bootstrap(real.withColumn("is_a", F.col("side") == "buy"), "bid", "is_a")
+    return out.select(F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"), "episodes")
+
+
+def _judged(entries: DataFrame, ticks: DataFrame, covered: DataFrame) -> DataFrame:
+    """entries (instrument, entry_id, ts_us, side) on their bar, at the first tick's price, evaluated over 24 and 72 hours."""
+    at_bar = asof.backward(entries, covered, ["bid_high"]).select("entry_id", "ts_us", "side", "instrument", F.col("match_ts").alias("start_ts"))
+    inside = at_bar.join(covered.groupBy("instrument").agg(F.max("ts_us").alias("last_bar")), "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
+    priced = asof.forward(inside, ticks, ["bid", "ask"])
+    placed = priced.select("instrument", "entry_id", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
+    return study.evaluate(placed, covered, COST, (24, 72))
+
+
+def study_report(spark, sf_dir):
+    """Real entries against drawn ones, a row a scheme and measure: p, its interval by episodes, n, fallbacks, entries outside coverage."""
+    ticks = staged(_ticks(spark, sf_dir).where("instrument = 'view'"), "ticks")
+    covered = staged(bars.both_sides(ticks, 3600), "bars")
+    probes = staged(study.episodes(_probes(spark, sf_dir), 240), "probes")
+    real = staged(_judged(probes.drop("episode"), ticks, covered).join(probes.select("entry_id", "episode"), "entry_id"), "real")
+    drawn = staged(_all_draws(spark, sf_dir).select("scheme", F.col("entry_id").alias("of"), "side", F.col("cand_ts").alias("ts_us"), "fallback").withColumn("entry_id", F.monotonically_increasing_id()), "drawn")
+    judged = _judged(drawn.select("entry_id", "ts_us", "side", F.lit("view").alias("instrument")), ticks, covered)
+    # A drawn entry belongs to the episode of the real one that it was drawn for.
+    judged = judged.join(drawn.select("entry_id", "scheme", "of", "fallback"), "entry_id").join(probes.select(F.col("entry_id").alias("of"), "episode"), "of")
+    judged = staged(judged, "judged")
+    out = None
+    for scheme in study.SCHEMES:
+        mine = judged.where(F.col("scheme") == scheme)
+        more = mine.agg(F.count_if("fallback").alias("fallbacks"), (F.lit(probes.count()) - F.lit(real.count())).alias("discarded"))
+        for measure in ("mae_usd_oz", "horas_ate_verde"):
+            row = study.compare(real, mine, measure, n=200).join(more, F.lit(True)).select(F.lit(scheme).alias("scheme"), F.lit(measure).alias("measure"), "*")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+QUERIES["study_report"] = study_report
 
 
 _ROWS = r"""WITH r AS (SELECT page_id, regexp_extract_all(html, '(?is)<(?:nav)\b[^>]*>(.*?)</(?:nav)>', 1) AS rows FROM pages), x AS (SELECT page_id, unnest(rows) AS row, generate_subscripts(rows, 1) - 1 AS n FROM r),
@@ -519,16 +605,23 @@ def hold_costs(spark, sf_dir):
     return grid.withColumn("hold_cost", F.round(study.swap_paid(F.lit(start), F.lit(start) + F.col("hours") * HOUR, F.col("side"), COST), 6) + F.lit(0.0))
 
 
-@query()
+@query(
+    f"WITH {TICKS}, v AS (SELECT * FROM t WHERE instrument = 'view'), p AS (SELECT h AS offset_h, ts_us + {3 * HOUR} - h * {HOUR} AS ts_us, bid AS theirs FROM v, (SELECT range AS h FROM range(-4, 5))), "
+    "m AS (SELECT p.offset_h, p.theirs, p.ts_us, v.ts_us AS m, v.bid FROM p ASOF JOIN v ON v.ts_us <= p.ts_us), d AS (SELECT offset_h, stddev_samp(bid - theirs) AS dispersion, count(*) AS n FROM m WHERE m >= ts_us - 60000000 GROUP BY 1) "
+    "SELECT 'view' AS instrument, CAST(offset_h AS INTEGER) AS offset_h, round(dispersion, 9) AS dispersion, n FROM d WHERE dispersion IS NOT NULL ORDER BY dispersion, offset_h LIMIT 1"
+)
 def feed_offset(spark, sf_dir):
     """The feed against itself, its clock set back by three hours."""
     t = _ticks(spark, sf_dir).where("instrument = 'view'")
     return sensor_spec.feed_offset(t, t.withColumn("ts_us", F.col("ts_us") + 3 * HOUR), range(-4, 5)).withColumn("dispersion", F.round("dispersion", 9))
 
 
-@query("SELECT stage, count(*) AS n FROM (SELECT 'A' AS stage FROM range(20) UNION ALL SELECT 'B' FROM range(3) UNION ALL SELECT 'C' FROM range(9)) GROUP BY 1")
+@query(
+    "SELECT 'A' AS stage, w AS window_s, m::DOUBLE AS micro_scale, NULL::DOUBLE AS alpha, NULL::INTEGER AS days, NULL::DOUBLE AS quantile FROM (VALUES (10), (20), (30), (60)) a(w), (VALUES (0.5), (1), (2), (4), (8)) b(m) "
+    "UNION ALL SELECT 'B', NULL, NULL, a::DOUBLE, NULL, NULL FROM (VALUES (0.6), (0.7), (0.8)) c(a) UNION ALL SELECT 'C', NULL, NULL, NULL, d, q::DOUBLE FROM (VALUES (10), (20), (40)) e(d), (VALUES (0.5), (0.75), (0.9)) f(q)"
+)
 def variant_grid(spark, sf_dir):
-    return sensor_spec.variants(spark).groupBy("stage").agg(F.count("*").alias("n"))
+    return sensor_spec.variants(spark)
 
 
 @query("SELECT c_custkey, substr(sha256(CAST(c_custkey AS VARCHAR)), 1, 12) AS account_hash FROM customer")
@@ -555,25 +648,46 @@ def filling_flags(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber", F.array_join(values.filling_names(F.col("l_linenumber")), "|").alias("filling"))
 
 
-@query()
+#: A manifest and a server's report that agree, by path.
+DECLARED = {
+    "is_demo": "false", "symbol.resolve": "SILVER|SILVER.x", "symbol.contract_oz": "5000", "symbol.digits": "2", "symbol.volume_min": "0.1", "symbol.volume_max": "50", "symbol.volume_step": "0.1",
+    "symbol.stops_level_points": "20", "execution.filling": "FOK|IOC", "execution.account_mode": "hedging", "account.currency": "EUR", "account.profit_currency": "USD",
+    "swap.buy_points": "-6.25", "swap.sell_points": "1.5", "swap.triple_day": "friday",
+}
+OFFERED = {
+    "schema": "symbol-specs/1", "symbol": "SILVER.x", "account.source": "real", "account.currency": "eur", "account.margin_mode": "Hedging", "specs.digits": "2", "specs.point": "0.01", "specs.trade_contract_size": "5000.0",
+    "specs.trade_tick_size": "0.01", "specs.trade_stops_level": "20", "specs.volume_min": "0.1", "specs.volume_max": "50.0", "specs.volume_step": "0.1", "specs.filling_mode": "FOK|IOC", "specs.currency_profit": "USD",
+    "swap.long": "-6.25", "swap.short": "1.5", "swap.mode": "POINTS", "swap.rollover3days": "Friday",
+}
+#: document, the path of the server's report that is changed there, and its value.
+_CHANGED = [("digits", "specs.digits", "3"), ("mode", "swap.mode", "INTEREST_OPEN"), ("filling", "specs.filling_mode", "FOK|BOC"), ("account", "account.source", "demo"), ("swap", "swap.short", "2.5")]
+
+
+def _documents(spark):
+    rows = [("same", side, p, v) for side, of in (("manifest", DECLARED), ("specs", OFFERED)) for p, v in of.items()]
+    for doc, path, value in _CHANGED:
+        rows += [(doc, side, p, v) for side, of in (("manifest", DECLARED), ("specs", {**OFFERED, path: value})) for p, v in of.items()]
+    return spark.createDataFrame(rows, "doc string, side string, path string, value string")
+
+
+_FINDINGS = """(VALUES ('account', 'is_demo', 'false', 'demo', 'erro'), ('digits', 'specs.point', '0.001', '0.01', 'erro'), ('digits', 'symbol.digits', '2', '3', 'erro'), ('filling', 'execution.filling', 'FOK|IOC', 'IOC', 'erro'),
+  ('filling', 'execution.filling', 'FOK|IOC', 'BOC', 'info'), ('mode', 'swap.mode', 'POINTS', 'INTEREST_OPEN', 'erro'), ('swap', 'swap.sell_points', '1.5', '2.5', 'erro')) f(doc, campo, manifesto, servidor, severidade)"""
+
+
+@query(f"SELECT * FROM {_FINDINGS}")
 def manifest_check(spark, sf_dir):
-    """A coherent pair of documents and the same with one field changed each."""
-    m = {
-        "id": "x", "is_demo": False, "symbol": {"resolve": ["XAUUSD", "XAUUSDm"], "contract_oz": 100, "digits": 3, "volume_min": 0.01, "volume_max": 200, "volume_step": 0.01, "stops_level_points": 0},
-        "execution": {"filling": ["FOK", "IOC"], "account_mode": "hedging"}, "account": {"currency": "USD", "profit_currency": "USD"}, "swap": {"buy_points": -523.8, "sell_points": 0.0, "triple_day": "wednesday"},
-    }
-    s = {
-        "schema": "symbol-specs/1", "symbol": "XAUUSDm", "account": {"source": "real", "currency": "USD", "margin_mode": "Hedging"},
-        "specs": {"digits": 3, "point": 0.001, "trade_contract_size": 100.0, "trade_tick_size": 0.001, "trade_stops_level": 0, "volume_min": 0.01, "volume_max": 200.0, "volume_step": 0.01, "filling_mode": ["FOK", "IOC"], "currency_profit": "USD"},
-        "swap": {"long": -523.8, "short": 0.0, "mode": "POINTS", "rollover3days": "Wednesday"},
-    }
-    changed = [("digits", {**s, "specs": {**s["specs"], "digits": 2}}), ("mode", {**s, "swap": {**s["swap"], "mode": "CURRENCY_DEPOSIT"}}), ("filling", {**s, "specs": {**s["specs"], "filling_mode": ["FOK", "BOC"]}})]
-    docs = None
-    for name, specs in [("same", s), *changed]:
-        for side, d in (("manifest", m), ("specs", specs)):
-            p = manifest.paths(spark, {name: d}).withColumn("side", F.lit(side))
-            docs = p if docs is None else docs.unionByName(p)
-    return manifest.verify(docs)
+    """A coherent pair of documents, and the same with one field changed each."""
+    return manifest.verify(_documents(spark)).drop("nota")
+
+
+@query(f"SELECT severidade, count(*) AS n FROM {_FINDINGS} GROUP BY 1")
+def manifest_counts(spark, sf_dir):
+    return manifest.counts(manifest.verify(_documents(spark)))
+
+
+@query("SELECT doc, d AS point_usd_oz, 5000 * d AS point_usd_lot, 6.25 * d AS swap_buy_usd_oz, -s * d AS swap_sell_usd_oz FROM (VALUES ('same', 0.01::DOUBLE, 1.5), ('digits', 0.001, 1.5), ('mode', 0.01, 1.5), ('filling', 0.01, 1.5), ('account', 0.01, 1.5), ('swap', 0.01, 2.5)) v(doc, d, s)")
+def manifest_numbers(spark, sf_dir):
+    return manifest.human_numbers(_documents(spark)).drop("spread_usd_oz")
 
 
 @query(f"WITH {TICKS}, {_closed_sql(HOUR)} SELECT * FROM b")
@@ -584,12 +698,7 @@ def stream_bars(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ticks = events.select(F.col("event_type").alias("instrument"), times.micros(F.col("ts")).alias("ts_us"), times.micros(F.col("ts")).alias("seq"), F.col("value").alias("bid"))
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = f"file://{tempfile.mkdtemp(prefix='tickforge-stream-')}"
-    root = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = _folder(spark, "stream")
     run = stateful.bars(ticks, 3600).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/bars")
     run.awaitTermination()
     try:

@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.functions.times import HOUR
+from tickforge.functions.times import HOUR, floor_to
 from tickforge.schemas import CANDLE, TICK, InstrumentSpec
+from tickforge.staging import hadoop_path
 
 #: Fixed record layouts.
 TICK_RECORD = np.dtype([("ms", ">u4"), ("ask", ">u4"), ("bid", ">u4"), ("ask_vol", ">f4"), ("bid_vol", ">f4")])
@@ -90,6 +91,53 @@ def _decoded(files: DataFrame, decode, spec: InstrumentSpec, schema) -> DataFram
     return files.select("path", "content", "instrument", "at_us").mapInPandas(run, schema)
 
 
+def decode_tick_files(files: DataFrame, spec: InstrumentSpec) -> DataFrame:
+    """files: path, content, instrument, at_us (the hour)."""
+    return _decoded(files, decode_ticks, spec, TICK)
+
+
+def decode_candle_files(files: DataFrame, spec: InstrumentSpec) -> DataFrame:
+    """files: path, content, instrument, at_us (the day)."""
+    return _decoded(files, decode_candles, spec, CANDLE)
+
+
+def _packed(rows: DataFrame, at: Column, layout: np.dtype, columns: dict[str, Column], order: list[str]) -> DataFrame:
+    """path, content, instrument, at_us: a file's bytes for each instrument and `at`; rows in the given order."""
+    names = [*columns, *order]
+    laid = rows.select("instrument", at.alias("at_us"), *(c.alias(n) for n, c in columns.items()), *(F.col(c).alias(f"__{c}") for c in order))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([f"__{c}" for c in order], kind="stable")
+        out = np.zeros(len(pdf), layout)
+        for n in names[: len(columns)]:
+            out[n] = pdf[n].to_numpy()
+        head = pdf.iloc[0]
+        return pd.DataFrame({"path": [f"{head['instrument']}/{head['at_us']}"], "content": [lzma.compress(out.tobytes(), lzma.FORMAT_ALONE)], "instrument": [head["instrument"]], "at_us": [head["at_us"]]})
+
+    return laid.groupBy("instrument", "at_us").applyInPandas(run, "path string, content binary, instrument string, at_us long")
+
+
+def pack_ticks(ticks: DataFrame, spec: InstrumentSpec) -> DataFrame:
+    """Ticks as hourly files' bytes, the inverse of `decode_tick_files` up to milliseconds and the price's decimals."""
+    whole = lambda c: F.round(F.col(c) * spec.divisor).cast("long")
+    volume = lambda c: (F.col(c) if c in ticks.columns else F.lit(1.0)).cast("float")
+    cols = {"ms": F.floor(F.pmod("ts_us", F.lit(HOUR)) / 1000), "ask": whole("ask"), "bid": whole("bid"), "ask_vol": volume("ask_vol"), "bid_vol": volume("bid_vol")}
+    return _packed(ticks, floor_to(F.col("ts_us"), 3600), TICK_RECORD, cols, ["ts_us", "seq"])
+
+
+def pack_candles(bars: DataFrame, spec: InstrumentSpec) -> DataFrame:
+    """Bars as daily files' bytes; their tick counts are the volumes."""
+    whole = lambda c: F.round(F.col(c) * spec.divisor).cast("int")
+    cols = {"secs": F.floor(F.pmod("ts_us", F.lit(24 * HOUR)) / 1_000_000)} | {c: whole(c) for c in ("open", "close", "low", "high")} | {"volume": F.col("n_ticks").cast("float")}
+    return _packed(bars, floor_to(F.col("ts_us"), 86400), CANDLE_RECORD, cols, ["ts_us"])
+
+
+def read_month(spark: SparkSession, path: str, spec: InstrumentSpec, year: int, month: int) -> DataFrame:
+    """One instrument's month of tick files; hours without a file are skipped, a month without any has no rows."""
+    fs, at = hadoop_path(spark, folder := f"{path}/{spec.name}/{year:04d}/{month:02d}")
+    return read_ticks(spark, folder, spec) if fs.exists(at) else spark.createDataFrame([], TICK)
+
+
 def read_ticks(spark: SparkSession, path: str, spec: InstrumentSpec) -> DataFrame:
     """All hourly files below path as ticks. Empty files give no rows."""
     return _decoded(_located(spark, path, TICK_PATH, 5), decode_ticks, spec, TICK)
@@ -99,12 +147,20 @@ def read_candles(spark: SparkSession, path: str, spec: InstrumentSpec) -> DataFr
     return _decoded(_located(spark, path, CANDLE_PATH, 4), decode_candles, spec, CANDLE)
 
 
-def list_hours(spark: SparkSession, path: str) -> DataFrame:
-    """The landing zone: instrument, hour_us, size, has_file, has_absent_marker (an `.absent` file beside the hour's).
+HOURS = "instrument string, hour_us long, size long, has_file boolean, has_absent_marker boolean"
+
 
-    Scans leave out files without bytes, so names come from the source's file index and sizes from the scan.
+def no_hours(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], HOURS)
+
+
+def list_hours(spark: SparkSession, path: str, instrument: str, year: int, month: int) -> DataFrame:
+    """The landing zone of a month: instrument, hour_us, size, has_file, has_absent_marker (an `.absent` file beside the hour's).
+
+    Scans leave out files without bytes, so names come from the source's file index and sizes from the scan. A month
+    has 744 hours at most, so the names that pass through the driver are bounded.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/{instrument}/{year:04d}/{month:02d}")
     pattern = TICK_PATH.replace(r"\.bi5$", r"\.bi5(\.absent)?$")
     # Both sides write the store's name in their own way; the end of the path is the same.
     end = F.regexp_extract("path", pattern, 0).alias("path")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.times import iso_millis
+from tickforge.layout import NO_ACCOUNT
 from tickforge.operators.bars import with_partitions
 from tickforge.schemas import BAR, DEAL, LOG, TICK
 
@@ -56,11 +57,12 @@ def envelope(run_id: str, src: str, comp: str, level: str, config: str = "", bui
 
 
 def write_log(rows: DataFrame, path: str) -> None:
-    """JSON lines by component and UTC day; nulls are written. Errors must carry `error_code`."""
+    """JSON lines by component, account and UTC day; nulls are written. Errors must carry `error_code`."""
     if "error_code" in rows.columns:
         ok = (F.col("lvl") != "error") | F.col("error_code").isNotNull()
         rows = rows.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("an error without a code")).cast("boolean")))
-    rows.withColumn("day", F.substring("ts", 1, 10)).write.mode("append").option("ignoreNullFields", "false").partitionBy("comp", "day").json(path)
+    laid = rows.withColumns({"account": F.coalesce("account_hash", F.lit(NO_ACCOUNT)), "day": F.substring("ts", 1, 10)})
+    laid.write.mode("append").option("ignoreNullFields", "false").partitionBy("comp", "account", "day").json(path)
 
 
 def write_report(head: dict, body: DataFrame, path: str) -> None:

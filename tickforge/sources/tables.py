@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.functions.times import micros, parse_server_time
+from tickforge.functions.times import DAY, micros, parse_server_time
 from tickforge.functions.values import plain_text
-from tickforge.schemas import BAR, DEAL, SPECS, SPECS_ID, TICK, InstrumentSpec
+from tickforge.schemas import BAR, DEAL, SPECS, SPECS_ID, TICK, FeedConfig, InstrumentSpec
 
 
 def read_partitioned(spark: SparkSession, path: str, kind: str, instrument: str | None = None, first: str | None = None, last: str | None = None) -> DataFrame:
@@ -23,11 +25,22 @@ def read_partitioned(spark: SparkSession, path: str, kind: str, instrument: str
     return rows.where(F.col("instrument") == instrument) if instrument else rows
 
 
+def month_bounds(year: int, month: int) -> tuple[int, int]:
+    """[first, end) of a month in microseconds."""
+    days = lambda y, m: (date(y, m, 1) - date(1970, 1, 1)).days
+    return days(year, month) * DAY, days(year + month // 12, month % 12 + 1) * DAY
+
+
+def require_rows(rows: DataFrame, what: str) -> DataFrame:
+    """`rows`, or an error if there are none: an empty range is a wrong one."""
+    if rows.isEmpty():
+        raise ValueError(f"nothing to read: {what}")
+    return rows
+
+
 def month_with_overlap(ticks: DataFrame, year: int, month: int, overlap_h: float = 72.0) -> DataFrame:
     """A month's ticks and the first hours of the next month: one filter on the continuous series."""
-    start = micros(F.make_timestamp_ntz(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
-    y, m = (year + 1, 1) if month == 12 else (year, month + 1)
-    end = micros(F.make_timestamp_ntz(F.lit(y), F.lit(m), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    start, end = month_bounds(year, month)
     return ticks.where((F.col("ts_us") >= start) & (F.col("ts_us") < end + int(overlap_h * 3_600_000_000)))
 
 
@@ -87,6 +100,12 @@ def instrument_spec(document: dict) -> InstrumentSpec:
     return InstrumentSpec(document["name"], int(document["price_decimals"]), document.get("unit", "usd_oz"), (float(low), float(high)))
 
 
+def feed_config(document: dict) -> FeedConfig:
+    """Times in `history_starts` are ISO dates; here microseconds."""
+    starts = {k: (date.fromisoformat(str(v)[:10]) - date(1970, 1, 1)).days * DAY for k, v in (document.get("history_starts") or {}).items()}
+    return FeedConfig(document["base_url"], document["path_template"], starts)
+
+
 def html_rows(pages: DataFrame, key: str = "page_id", html: str = "html", row: str = "tr", cell: str = "t[dh]") -> DataFrame:
     """(key, row_no, cells): the elements `row` of pages and the plain text of their elements `cell` (both regular expressions)."""
     found = lambda column, tag: F.regexp_extract_all(column, F.lit(rf"(?is)<(?:{tag})\b[^>]*>(.*?)</(?:{tag})>"), 1)

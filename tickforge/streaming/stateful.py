@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickforge.operators.windows import RollingSensor
+from tickforge.operators.windows import rolling
 
 BAR_SCHEMA = "instrument string, ts_us long, open double, high double, low double, close double, range_usd_oz double, n_ticks long, late boolean"
 BAR_STATE = "label long, last_us long, open double, high double, low double, close double, n long"
@@ -60,19 +61,19 @@ def sensor(ticks: DataFrame, window_s: float, price: str = "bid") -> DataFrame:
         raise ValueError("the window must be positive")
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ts0, px0 = state.get if state.exists else ([], [])
-        held = RollingSensor(window_us, list(zip(ts0, px0, strict=True)))
-        last = ts0[-1] if len(ts0) else None
-        out = []
-        for ts, seq, px in _ordered(frames, price).itertuples(index=False):
-            if last is not None and ts < last:
-                out.append((key[0], ts, seq, None, None, None, None, None, True))
-                continue
-            last = ts
-            out.append((key[0], ts, seq, *held.update(int(ts), float(px)), False))
-        kept = list(held.held())
-        state.update(([t for t, _ in kept], [p for _, p in kept]))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in SENSOR_SCHEMA.split(", ")])
+        held_ts, held_px = (np.array(x) for x in state.get) if state.exists else (np.zeros(0, np.int64), np.zeros(0))
+        new = _ordered(frames, price)
+        ts = new["ts_us"].to_numpy(np.int64)
+        newest = np.maximum.accumulate(np.concatenate([held_ts[-1:], ts]))[len(held_ts[-1:]) :]
+        late = ts < newest
+        ts, px = (np.concatenate([old, x[~late]]) for old, x in ((held_ts, ts), (held_px, new[price].to_numpy(float))))
+        own = slice(len(held_ts), None)
+        out = new.assign(instrument=key[0], late=late, **dict.fromkeys(("rg", "dsp", "er", "caminho"), np.nan), tr=pd.array([None] * len(new), "Int64"))
+        for name, x in rolling(ts, px, window_us).items():
+            out.loc[~late, name] = x[own]
+        kept = ts > ts[-1] - window_us
+        state.update((ts[kept].tolist(), px[kept].tolist()))
+        yield out[[c.split()[0] for c in SENSOR_SCHEMA.split(", ")]]
 
     return ticks.groupBy("instrument").applyInPandasWithState(run, SENSOR_SCHEMA, SENSOR_STATE, "append", GroupStateTimeout.NoTimeout)
 
