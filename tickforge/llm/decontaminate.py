@@ -1,20 +1,23 @@
-"""Benchmark decontamination: candidates by shared word pairs, exact edit check. Nothing is missed.
+"""Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit check.
 
 Edit distance counts inserted, deleted and replaced words (lower-cased runs of letters, digits and non-ASCII bytes).
-A document leaks an item of n words where some window of it is within d = floor(rate * n) edits of the item. With
-`free_ends` (the queries) windows have any length, so words dropped or inserted cost one edit each; without, they have
-n words (fewer at the document's end), and what a copy drops or inserts is paid again at its end.
+A document leaks an item of n words where some window of it, of any length, is within d = floor(rate * n) edits of it.
 
 1. An edit touches at most two of the item's n - 1 word pairs, so a match keeps n - 1 - 2d of them within n + d words.
-   Places of a document without so many pairs known from items of n words (a bitmap of fixed size) can't match.
-2. Of any 2d + 1 pairs of an item a match keeps one. The 2d + 1 rarest in the benchmark are the item's keys; a kept key
-   tells where the item begins in the document to within d words.
-3. Places that share a key with an item of their length are joined with it, and verified by exact edit distance.
-
-Edge cases: null texts are empty and leak nothing; items of fewer than `MIN_WORDS` words identify nothing and are
-left out; a null doc_id or item_id is reported as null; rows that repeat a doc_id or item_id are told apart only by
-their texts; empty tables give no rows; extra columns are ignored. A rate of 0.4 or more leaves short items without
-pairs and is refused.
+   Windows without so many pairs known from items of n words (a bitmap of fixed size) can't match and go first.
+2. The CGK walk embeds a window: at step j it emits the current word and moves on if the word's j-th random bit is
+   set, so that windows few edits apart agree at most steps. A window has no end of its own: the walk goes on into the
+   text behind it, so dropped and inserted words cost one edit each. Windows begin every 1 + d // 4 words. A repeat
+   samples `SAMPLES` steps as its LSH key.
+3. The number of repeats is found for each item length apart: copies with all d edits, seen from the window that begins
+   nearest, are embedded, and repeats
+   are added, without a limit, until the target share of the copies has met its item. Other copies confirm it (tests).
+4. Windows that share a key with an item of their length are joined with it, and verified by exact edit distance.
+
+Edge cases: null texts are empty and leak nothing; items of fewer than `min_words` words (5, or 2 and more if asked: they
+must then occur word for word) identify nothing and are left out; a null doc_id or item_id is reported as null; rows
+that repeat a doc_id or item_id are told apart only by their texts; empty tables give no rows; extra columns are
+ignored. A rate of 0.4 or more leaves short items without pairs and is refused.
 """
 
 from __future__ import annotations
@@ -24,16 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .textarrays import LOWER, U64, mix, row_bounds, runs, signed, slices, span_hashes
+from .textarrays import LOWER, U64, keyed, mix, row_bounds, runs, signed, slices, span_hashes
 
-RATE = 0.2
+RATE, RECALL = 0.2, 0.999
 MIN_WORDS = 5
+#: Steps of a key, and how far apart they are: steps close to each other are in step or out of step together.
+SAMPLES, APART = 3, 3
+#: Edited copies that the repeats of a length are measured with.
+COPIES = 1000
 MAP_BITS = 1 << 24
-VERIFY_ROWS = 1024
+KEY_ROWS, HELD_ROWS, VERIFY_ROWS, HELD_WORDS = 256, 4096, 1024, 1 << 20
 _PAD = U64(0x2545F4914F6CDD1D)
 
 WORD_BYTE = np.zeros(256, bool)
@@ -62,21 +69,103 @@ def edits(n: int, rate: float) -> int:
     return math.floor(rate * n + 1e-9)
 
 
-def _last_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of the rows of a (k, m) to all beginnings of the rows of b (k, n), a row of the table at a time for all of them."""
-    steps = np.arange(b.shape[1] + 1)
-    row = np.broadcast_to(steps, (len(a), len(steps))).copy()
-    for i in range(1, a.shape[1] + 1):
-        new = np.empty_like(row)
-        new[:, 0] = i
-        np.minimum(row[:, 1:] + 1, row[:, :-1] + (b != a[:, i - 1 : i]), out=new[:, 1:])
-        row = np.minimum.accumulate(new - steps, axis=1) + steps
-    return row
+def stride(n: int, rate: float) -> int:
+    """Windows begin at every so many words of a text: a walk that begins some words off falls into step like one after edits."""
+    return 1 + edits(n, rate) // 4
+
 
+def window_words(n: int, rate: float) -> int:
+    """Words that a walk for items of n words sees."""
+    return n + edits(n, rate) + stride(n, rate) // 2
 
-def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of the rows of a (k, m) and b (k, n)."""
-    return _last_rows(a, b)[:, -1]
+
+def keys_at(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, width: int, first: int, last: int) -> np.ndarray:
+    """LSH keys (windows, repeats first to last) of the windows of `width` words of h from `starts`; _PAD stands from `ends` on.
+
+    Word by word, all windows and repeats at once: a walk that comes to a word at step j leaves it after the word's next
+    set bit. Bits are made once for each place of h, however many windows hold it.
+    """
+    salts = keyed(last, 41)[first:]
+    begin = mix(salts) % U64(max(1, 2 * n - (SAMPLES - 1) * APART))
+    sampled = begin[None, :] + U64(APART) * np.arange(SAMPLES, dtype=U64)[:, None]
+    blocks = int(sampled.max()) // 64 + 1
+    padded = np.append(h, _PAD)
+    out = np.empty((len(starts), len(salts)), U64)
+    one, low = U64(1), U64(63)
+    for lo in range(0, len(starts), KEY_ROWS):
+        start, end = starts[lo : lo + KEY_ROWS], ends[lo : lo + KEY_ROWS]
+        place = start[:, None] + np.arange(width + 1)
+        place[(place >= end[:, None]) | (np.arange(width + 1) == width)] = len(h)
+        used, own = np.unique(place, return_inverse=True)
+        with np.errstate(over="ignore"):
+            base = padded[used][:, None] + salts[None, :]
+            bits = [mix(base + U64(64 * q)) for q in range(blocks)]
+            step = np.zeros((len(start), len(salts)), U64)
+            at = np.zeros((SAMPLES, *step.shape), np.int16)
+            for i in range(width):
+                of = own[:, i]
+                q0, q1 = int(step.min()) >> 6, int(step.max()) >> 6
+                if q0 >= blocks:
+                    break
+                x = bits[q0].take(of, axis=0)
+                for q in range(q0 + 1, min(q1, blocks - 1) + 1):
+                    np.copyto(x, bits[q].take(of, axis=0), where=step >> U64(6) >= U64(q))
+                x >>= step & low
+                empty = np.nonzero(x == 0)
+                step += np.bitwise_count((x & (~x + one)) - one) + one
+                if len(empty[0]):  # the next bit lies in a later block
+                    nxt = (step[empty] - U64(65) >> U64(6)).astype(np.int64) + 1
+                    new = nxt.astype(U64) * U64(64)
+                    for q in range(1, blocks):
+                        sel = np.flatnonzero(nxt == q)
+                        y = bits[q][of[empty[0][sel]], empty[1][sel]]
+                        new[sel] += np.bitwise_count((y & (~y + one)) - one) + one
+                    step[empty] = new
+                for k in range(SAMPLES):
+                    at[k] += step <= sampled[k]
+            key = np.broadcast_to(salts + U64(n), step.shape)
+            for k in range(SAMPLES):
+                key = mix(key * U64(0x9E3779B97F4A7C15) + padded[place[np.arange(len(start))[:, None], at[k]]])
+        out[lo : lo + KEY_ROWS] = key
+    return out
+
+
+def keys(windows: np.ndarray, n: int, first: int, last: int) -> np.ndarray:
+    """The same of windows given as rows of word hashes, _PAD behind a text's or item's end."""
+    rows, width = windows.shape
+    starts = np.arange(rows) * width
+    return keys_at(windows.ravel(), starts, starts + width, n, width, first, last)
+
+
+def edited_copies(n: int, rate: float, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(items, windows): rows of n random words, padded, and copies of them with all edits allowed in a text of other words,
+    seen from the window that begins nearest."""
+    rng = np.random.default_rng([seed, n])
+    d, apart, width = edits(n, rate), stride(n, rate), window_words(n, rate)
+    items = rng.integers(1 << 63, size=(count, n)).astype(U64)
+    copies = rng.integers(1 << 63, size=(count, width)).astype(U64)
+    for item, copy in zip(items.tolist(), copies, strict=True):
+        for kind in rng.integers(3, size=d).tolist():
+            at = int(rng.integers(len(item) + (kind == 1)))
+            item[at : at + (kind != 1)] = [] if kind == 2 else [int(rng.integers(1 << 63))]
+        off = int(rng.integers(apart)) - apart // 2
+        item, at = item[max(-off, 0) :], max(off, 0)
+        copy[at : at + len(item)] = item[: width - at]
+    return np.concatenate([items, np.full((count, width - n), _PAD, U64)], axis=1), copies
+
+
+def repeats_for(n: int, rate: float, recall: float = RECALL) -> int:
+    """How many repeats let the share `recall` of the copies of an item of n words with all edits allowed meet the item;
+    and half as many again, since the same copies decide where to stop."""
+    if not edits(n, rate):
+        return 1
+    items, copies = edited_copies(n, rate, COPIES, 5)
+    repeats, step = 0, 8
+    while len(items) > (1 - recall) * COPIES:
+        met = (keys(items, n, repeats, repeats + step) == keys(copies, n, repeats, repeats + step)).any(axis=1)
+        items, copies = items[~met], copies[~met]
+        repeats += step
+    return repeats + repeats // 2
 
 
 def _bit_test(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -102,99 +191,102 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("item_id").slice(lo, hi - lo), pa.array(n), words], names=["item_id", "n", "words"])
 
 
-def _item_keys(items: DataFrame, rate: float) -> DataFrame:
-    """key, item, n, p: the pairs that every match of the item has one of, with their places in the item."""
-    pairs = items.select("item", "n", "words").mapInArrow(_placed_pairs, "item long, n long, p long, key long")
-    often = pairs.groupBy("key").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("often", "key", "p"))
-    return pairs.join(often, "key").withColumn("rank", rank).where(F.col("rank") <= 2 * F.floor(F.col("n") * rate + 1e-9) + 1).select("key", "item", "n", "p")
-
+def _item_keys(repeats: dict[int, int], rate: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, words in zip(batch.column("item").to_pylist(), batch.column("words"), strict=True):
+                n = len(words)
+                wide = np.concatenate([words.values.to_numpy().view(U64), np.full(window_words(n, rate) - n, _PAD, U64)])
+                key = keys(wide[None, :], n, 0, repeats[n])[0]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(key), pa.int64()), pa.array(signed(key))], names=["item", "key"])
 
-def _placed_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for item, words in zip(batch.column("item").to_pylist(), batch.column("words"), strict=True):
-            n = len(words)
-            key = _of_length(_pairs(words.values.to_numpy().view(U64)), n)
-            yield pa.RecordBatch.from_arrays([pa.array([item] * (n - 1), pa.int64()), pa.array([n] * (n - 1), pa.int64()), pa.array(np.arange(n - 1)), pa.array(signed(key))], names=["item", "n", "p", "key"])
+    return run
 
 
-def crowded(at: np.ndarray, need: int, width: int) -> np.ndarray:
-    """Which of the ascending places lie with `need` of them in some stretch of `width`."""
-    out = np.zeros(len(at) + 1, np.int64)
+def window_starts(at: np.ndarray, rows: np.ndarray, bounds: np.ndarray, need: int, width: int) -> np.ndarray:
+    """Ascending words at which windows of `width` words begin that hold `need` of the pairs at the ascending places `at`."""
     if len(at) < need:
-        return out[1:] > 0
-    first = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] < width)
-    np.add.at(out, first, 1)
-    np.add.at(out, first + need, -1)
-    return np.cumsum(out)[:-1] > 0
+        return at[:0]
+    i = np.flatnonzero((at[need - 1 :] - at[: len(at) - need + 1] < width - 1) & (rows[need - 1 :] == rows[: len(at) - need + 1]))
+    lo, hi = np.maximum(at[i + need - 1] - (width - 2), bounds[rows[i]]), at[i] + 1
+    lo = np.maximum(lo, np.append(0, np.maximum.accumulate(hi)[:-1])) if len(hi) else lo
+    size = np.maximum(hi - lo, 0)
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
-def _scan(lengths: list[int], pair_map, key_map, rate: float):
-    """Stretches of documents around the keys: doc_id, n, at (first word's number), words, and the keys with their places."""
+def nearest_starts(starts: np.ndarray, bounds: np.ndarray, apart: int) -> np.ndarray:
+    """For each of the ascending places the nearest one that is a multiple of `apart` words into its row, once."""
+    if apart == 1:
+        return starts
+    row = bounds[np.searchsorted(bounds, starts, side="right") - 1]
+    end = bounds[np.searchsorted(bounds, starts, side="right")] - 1
+    near = row + (starts - row + apart // 2) // apart * apart
+    return np.unique(np.minimum(near, row + (end - row) // apart * apart))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _scan(repeats: dict[int, int], pair_map, key_map, rate: float):
+    """Stretches of documents around windows that share keys with items: doc_id, at (number of the first word), words, keys."""
+
+    def found(batch: pa.RecordBatch, first_row: int, parts: list) -> Iterator[pa.RecordBatch]:
         pairs_known, keys_known = (np.frombuffer(m.value, np.uint8) for m in (pair_map, key_map))
+        h = np.concatenate([x for x, _ in parts])
+        sizes = np.concatenate([np.diff(b) for _, b in parts])
+        bounds = np.append(0, np.cumsum(sizes))
+        if len(h) < 2:
+            return
+        pairs = _pairs(h)
+        some = _bit_test(pairs_known, pairs)
+        cross = bounds[1:-1]
+        some[cross[(cross > 0) & (cross < len(h))] - 1] = False
+        some = np.flatnonzero(some)
+        pairs, rows = pairs[some], np.searchsorted(bounds, some, side="right") - 1
+        for n in repeats:
+            d, apart, width = edits(n, rate), stride(n, rate), window_words(n, rate)
+            known = _bit_test(pairs_known, _of_length(pairs, n))
+            starts = window_starts(some[known], rows[known], bounds, n - 1 - 2 * d, n + d)
+            starts = nearest_starts(starts, bounds, apart)
+            hits = []
+            for lo in range(0, len(starts), HELD_ROWS):
+                at = starts[lo : lo + HELD_ROWS]
+                end = bounds[np.searchsorted(bounds, at, side="right")]
+                k = keys_at(h, at, end, n, width, 0, repeats[n])
+                of, r = np.nonzero(_bit_test(keys_known, k))
+                hits.append((at[of], k[of, r]))
+            if not sum(len(x) for x, _ in hits):
+                continue
+            at, key = (np.concatenate(x) for x in zip(*hits, strict=True))
+            # Windows that begin within the same d + 1 words of a text are verified together.
+            row = np.searchsorted(bounds, at, side="right") - 1
+            group, last = np.unique(row << 32 | (at - bounds[row]) // (d + 1), return_inverse=True)
+            row, b = group >> 32, (group & 0xFFFFFFFF) * (d + 1)
+            from_, to = bounds[row] + np.maximum(b - d, 0), np.minimum(bounds[row] + b + n + 2 * d + apart, bounds[row + 1])
+            ends = np.append(0, np.cumsum(to - from_))
+            words = h[np.repeat(from_ - ends[:-1], to - from_) + np.arange(ends[-1])]
+            split = np.append(0, np.cumsum(np.bincount(last)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(first_row + row)), pa.array(from_ - bounds[row]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(words))),
+                    pa.ListArray.from_arrays(pa.array(split, pa.int32()), pa.array(signed(key[np.argsort(last, kind="stable")]))),
+                ], names=["doc_id", "at", "words", "keys"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, data, offsets in slices(batch.column("text")):
-                h, bounds = tokens(data, offsets)
-                if len(h) < 2:
-                    continue
-                pairs = _pairs(h)
-                some = _bit_test(pairs_known, pairs)
-                cross = bounds[1:-1]
-                some[cross[(cross > 0) & (cross < len(h))] - 1] = False
-                some = np.flatnonzero(some)
-                pairs = pairs[some]
-                for n in lengths:
-                    d = edits(n, rate)
-                    tagged = _of_length(pairs, n)
-                    known = _bit_test(pairs_known, tagged)
-                    at, key = some[known], tagged[known]
-                    held = crowded(at, n - 1 - 2 * d, n + d - 1)
-                    at, key = at[held], key[held]
-                    held = _bit_test(keys_known, key)
-                    at, key = at[held], key[held]
-                    if not len(at):
-                        continue
-                    rows = np.searchsorted(bounds, at, side="right") - 1
-                    reach = n + 2 * d + 1
-                    first = np.flatnonzero(np.append(True, (np.diff(at) > 2 * reach) | (np.diff(rows) > 0)))
-                    last = np.append(first[1:], len(at)) - 1
-                    starts = np.maximum(at[first] - reach, bounds[rows[first]])
-                    ends = np.minimum(at[last] + reach + 1, bounds[rows[first] + 1])
-                    own = rows[first]
-                    size = ends - starts
-                    ends_of = np.append(0, np.cumsum(size))
-                    words = h[np.repeat(starts - ends_of[:-1], size) + np.arange(ends_of[-1])]
-                    split = pa.array(np.append(first, len(at)), pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("doc_id").take(pa.array(lo + own)), pa.array(np.full(len(own), n)), pa.array(starts - bounds[own]), pa.ListArray.from_arrays(pa.array(ends_of, pa.int32()), pa.array(signed(words))),
-                            pa.ListArray.from_arrays(split, pa.array(signed(key))), pa.ListArray.from_arrays(split, pa.array(at - bounds[rows])),
-                        ], names=["doc_id", "n", "at", "words", "keys", "places"],
-                    )
+            parts, first_row, held = [], 0, 0
+            for lo, hi, data, offsets in slices(batch.column("text")):
+                parts.append(tokens(data, offsets))
+                held += len(parts[-1][0])
+                if held >= HELD_WORDS or hi == batch.num_rows:
+                    yield from found(batch, first_row, parts)
+                    parts, first_row, held = [], hi, 0
 
     return run
 
 
-def _whole_windows(item: np.ndarray, wide: np.ndarray, size: np.ndarray, starts: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(edits, start, words) of the window of n words, or fewer at the document's end, that is nearest to the item."""
-    n = item.shape[1]
-    best = np.full(len(item), n + 1), np.zeros(len(item), np.int64), np.full(len(item), n)
-    for s in range(int(starts.max(initial=0))):
-        m = np.minimum(n, size - s)
-        of = np.flatnonzero((m >= n - d) & (s < starts))
-        far = _last_rows(item[of], wide[of, s : s + n])[np.arange(len(of)), m[of]]
-        nearer = far < best[0][of]
-        for x, new in zip(best, (far, s, m[of]), strict=True):
-            x[of[nearer]] = new[nearer] if isinstance(new, np.ndarray) else new
-    return best
-
-
-def _free_windows(item: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest_windows(item: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(edits, start, words) of the window of any length that is nearest to the item; of equal ones the first, then the shortest.
 
-    The table of `_last_rows` with a free start: a cell holds its edits and, in the lower bits, where its window began.
+    The table of edit distances with a free start: a cell holds its edits and, in the lower bits, where its window began.
     """
     one = np.int64(1 << 32)
     steps = np.arange(wide.shape[1] + 1) * one
@@ -209,7 +301,7 @@ def _free_windows(item: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.nd
     return least >> 32, least & (one - 1), end - (least & (one - 1))
 
 
-def _verify(rate: float, free_ends: bool):
+def _verify(rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, VERIFY_ROWS):
@@ -218,48 +310,39 @@ def _verify(rate: float, free_ends: bool):
                 m, n = (np.asarray(x.value_lengths()).astype(np.int64) for x in (a, b))
                 flat_a, flat_b = (x.flatten().to_numpy().view(U64) for x in (a, b))
                 at_a, at_b = np.cumsum(m) - m, np.cumsum(n) - n
-                starts, at = batch.column("starts").to_numpy(), batch.column("at").to_numpy()
                 far, start, size = (np.zeros(len(m), np.int64) for _ in range(3))
                 for x in np.unique(n).tolist():
                     of = np.flatnonzero(n == x)
-                    item = flat_b[at_b[of][:, None] + np.arange(x)]
-                    place = np.arange(int(max(m[of].max(), (starts[of] + x).max())))
+                    place = np.arange(int(m[of].max()))
                     wide = np.where(place < m[of][:, None], flat_a[np.minimum(at_a[of][:, None] + place, len(flat_a) - 1)], _PAD)
-                    far[of], start[of], size[of] = _free_windows(item, wide) if free_ends else _whole_windows(item, wide, m[of], starts[of], edits(x, rate))
+                    far[of], start[of], size[of] = nearest_windows(flat_b[at_b[of][:, None] + np.arange(x)], wide)
                 most = np.array([edits(int(x), rate) for x in n])
-                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item"), pa.array(at + start), pa.array(size), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item"), pa.array(batch.column("at").to_numpy() + start), pa.array(size), pa.array(far)], names=["doc_id", "item_id", "start_word", "n_words", "edits"])
                 yield out.filter(pa.array(far <= most))
 
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, free_ends: bool = False) -> DataFrame:
-    """One row per document and leaked item, its nearest window: doc_id, item_id, start_word, n_words, edits."""
-    if not 0 <= rate < 0.4:
-        raise ValueError("rate is at least 0 and less than 0.4")
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per document and leaked item, the nearest window found: doc_id, item_id, start_word, n_words, edits."""
+    if not 0 <= rate < 0.4 or not 0 < recall < 1 or min_words < 2:
+        raise ValueError("rate is at least 0 and less than 0.4, recall between 0 and 1, min_words at least 2")
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.mapInArrow(_items, "item_id long, n long, words array<long>").where(F.col("n") >= MIN_WORDS)
+    items = items.mapInArrow(_items, "item_id long, n long, words array<long>").where(F.col("n") >= min_words)
     items = scratch.write(items.withColumn("item", F.xxhash64("words")), "items")
-    lengths = sorted(r.n for r in items.select("n").distinct().collect())
+    repeats = {r.n: repeats_for(r.n, rate, recall) for r in items.select("n").distinct().orderBy("n").collect()}
     distinct = items.dropDuplicates(["item"])
-    item_keys = scratch.write(_item_keys(distinct, rate), "keys")
+    item_keys = scratch.write(distinct.select("item", "words").mapInArrow(_item_keys(repeats, rate), "item long, key long"), "keys")
     pairs = items.select("words").mapInArrow(_item_pairs, "v long")
     maps = [spark.sparkContext.broadcast(_bitmap(x)) for x in (pairs, item_keys.select(F.col("key").alias("v")))]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(_scan(lengths, *maps, rate), "doc_id long, n long, at long, words array<long>, keys array<long>, places array<long>")
+    found = texts.mapInArrow(_scan(repeats, *maps, rate), "doc_id long, at long, words array<long>, keys array<long>")
     found = scratch.write(found.withColumn("id", F.monotonically_increasing_id()), "stretches")
-    # Where the item would begin, give or take d words; beginnings less than d + 1 apart are verified together.
-    near = found.select("id", F.explode(F.arrays_zip("keys", "places")).alias("k")).select("id", F.col("k.keys").alias("key"), F.col("k.places").alias("q")).join(item_keys, "key")
-    d = F.floor(F.col("n") * rate + 1e-9)
-    near = near.select("id", "item", F.floor((F.col("q") - F.col("p")) / (d + 1)).alias("b")).distinct()
-    near = near.join(found.select("id", "doc_id", "n", "at", "words"), "id").join(distinct.select("item", F.col("words").alias("item_words")), "item")
-    least = F.greatest(F.col("b") * (d + 1) - d, F.col("at"))
-    end = F.col("b") * (d + 1) + d + F.col("n") + d
-    near = near.withColumns({"least": least, "end": end})
-    near = near.select("doc_id", "item", F.col("least").alias("at"), F.expr("slice(words, cast(least - at + 1 as int), cast(end - least as int))").alias("words"), (F.col("end") - F.col("n") - F.col("least") + 1).alias("starts"), "item_words")
-    near = near.mapInArrow(_verify(rate, free_ends), "doc_id long, item_id long, start_word long, n_words long, edits long")
+    near = found.select("id", F.explode("keys").alias("key")).join(item_keys, "key").select("id", "item").distinct()
+    near = near.join(found.select("id", "doc_id", "at", "words"), "id").join(distinct.select("item", F.col("words").alias("item_words")), "item")
+    near = near.select("doc_id", "item", "at", "words", "item_words").mapInArrow(_verify(rate), "doc_id long, item_id long, start_word long, n_words long, edits long")
     best = near.groupBy("doc_id", F.col("item_id").alias("item")).agg(F.min(F.struct("edits", "start_word", "n_words")).alias("best"))
     named = items.select("item", "item_id")
     return best.join(named, "item").select("doc_id", "item_id", "best.start_word", "best.n_words", "best.edits").distinct()
@@ -273,7 +356,7 @@ def _item_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(signed(both))], names=["v"])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, free_ends: bool = False) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The documents that leak no item; rows without doc_id stay."""
-    gone = leaks(docs, benchmark, rate, free_ends).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = leaks(docs, benchmark, rate).where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
