@@ -34,6 +34,9 @@ class Job:
         fs, at = hadoop_path(self.spark, path)
         return fs.exists(at)
 
+    def month_of(self, files: str, year: int, month: int) -> str:
+        return f"{files}/{self.spec.name}/{year:04d}/{month:02d}"
+
     def partition(self, base: str, year: int, month: int, timeframe: str = "") -> str:
         return "/".join([base, f"instrument={self.spec.name}", *([f"timeframe={timeframe}"] if timeframe else []), f"year={year}", f"month={month}"])
 
@@ -41,7 +44,8 @@ class Job:
 def completeness(job: Job, year: int, month: int) -> tuple[str, int, str]:
     """The four states of the month's hours; `completo` if none failed. n: hours that call for action."""
     first, end = tables.month_bounds(year, month)
-    listing = binary.list_hours(job.spark, job.layout.raw(job.feed), job.spec.name, year, month) if job.exists(f"{job.layout.raw(job.feed)}/{job.spec.name}/{year:04d}/{month:02d}") else binary.no_hours(job.spark)
+    raw = job.layout.raw(job.feed)
+    listing = binary.list_hours(job.spark, raw, job.spec.name, year, month) if job.exists(job.month_of(raw, year, month)) else binary.no_hours(job.spark)
     states = quality.completeness(quality.hour_calendar(job.spark, first, end), listing.drop("instrument"))
     r = quality.completeness_counts(states).first()
     return ("completo" if r.complete else "incompleto"), r.falhou, f"presente {r.presente} vazio {r.vazio} ausente {r.ausente}"
@@ -50,6 +54,8 @@ def completeness(job: Job, year: int, month: int) -> tuple[str, int, str]:
 def parse(job: Job, year: int, month: int) -> tuple[str, int, str]:
     if job.exists(job.partition(job.layout.ticks, year, month)) and not job.force:
         return "ja_existe", 0, ""
+    if not job.exists(job.month_of(job.layout.raw(job.feed), year, month)):
+        return "sem_ticks", 0, ""
     ticks = binary.read_month(job.spark, job.layout.raw(job.feed), job.spec, year, month)
     n = sinks.ingest(quality.require_scale(ticks, job.spec), job.layout.ticks)
     return ("parseado" if n else "sem_ticks"), n, ""
@@ -64,7 +70,7 @@ def aggregate(job: Job, year: int, month: int) -> tuple[str, int, str]:
     nxt = (year + month // 12, month % 12 + 1)
     ticks = tables.read_partitioned(job.spark, job.layout.ticks, "ticks", job.spec.name, f"{year:04d}-{month:02d}", f"{nxt[0]:04d}-{nxt[1]:02d}")
     ticks = tables.month_with_overlap(ticks, year, month)
-    if ticks.isEmpty():
+    if ticks.where(F.col("ts_us") < tables.month_bounds(year, month)[1]).isEmpty():
         return "sem_ticks", 0, ""
     made = staged(bars.in_month(bars.aggregate_all(ticks), year, month), "bars")
     sinks.write_bars(made, job.layout.bars)
@@ -73,7 +79,7 @@ def aggregate(job: Job, year: int, month: int) -> tuple[str, int, str]:
 
 def check(job: Job, year: int, month: int) -> tuple[str, int, str]:
     """The month's M1 bars against the feed's own candles. Nothing compared is no agreement: it is an error."""
-    path = f"{job.layout.reference(job.feed)}/{job.spec.name}/{year:04d}/{month:02d}"
+    path = job.month_of(job.layout.reference(job.feed), year, month)
     if not job.exists(path):
         return "sem_referencia", 0, ""
     if not job.exists(job.partition(job.layout.bars, year, month, "M1")):

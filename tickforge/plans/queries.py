@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickforge import jobs
 from tickforge.functions import times, values
+from tickforge.layout import Layout
 from tickforge.operators import asof, bars, manifest, quality, sensor_spec, study, validate, windows
 from tickforge.operators.chunks import with_previous
 from tickforge.schemas import InstrumentSpec, OvernightCost
-from tickforge.sources import sinks, tables
+from tickforge.sources import binary, sinks, tables
 from tickforge.staging import shared_dir, staged
 from tickforge.streaming import stateful
 
@@ -708,6 +710,229 @@ def stream_bars(spark, sf_dir):
     return out.where("not late").drop("late")
 
 
+@query(_LATE + ", o AS (SELECT *, max(ts_us) OVER (PARTITION BY instrument ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM d) SELECT instrument, ts_us, bid AS close FROM o WHERE ts_us < newest")
+def stream_late_rows(spark, sf_dir):
+    """What a stream sets apart: ticks before the newest one of their series."""
+    root = _folder(spark, "late")
+    staged_at = f"{root}/ticks"
+    _disordered(spark, sf_dir).coalesce(1).write.parquet(staged_at)  # one file: a stream's order is that of its files
+    ticks = spark.readStream.schema("instrument string, ts_us long, seq long, bid double, ask double").parquet(staged_at)
+    stateful.bars(ticks, 3600).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/bars").awaitTermination()
+    return spark.read.schema(stateful.BAR_SCHEMA).parquet(f"{root}/bars").where("late").select("instrument", "ts_us", "close")
+
+
+@query(_SENSOR)
+def stream_sensor(spark, sf_dir):
+    """The rolling sensor as a stream, equal to the batch's."""
+    root = _folder(spark, "sensor")
+    staged_at = f"{root}/ticks"
+    _ticks(spark, sf_dir).coalesce(1).write.parquet(staged_at)
+    ticks = spark.readStream.schema("instrument string, ts_us long, seq long, bid double, ask double").parquet(staged_at)
+    stateful.sensor(ticks, _W).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/rows").awaitTermination()
+    return _rounded(spark.read.schema(stateful.SENSOR_SCHEMA).parquet(f"{root}/rows").where("not late").drop("late"))
+
+
+_PACKED = f"WITH {TICKS}, k AS (SELECT instrument, ts_us, seq, ts_us // 1000 * 1000 AS ms_us, CAST(round(bid * 100) AS BIGINT) / 100.0::DOUBLE AS bid, CAST(round(ask * 100) AS BIGINT) / 100.0::DOUBLE AS ask FROM t)"
+
+
+@query(_PACKED + f" SELECT instrument, ms_us AS ts_us, (ms_us // {HOUR}) * 10000000 + row_number() OVER (PARTITION BY instrument, ms_us // {HOUR} ORDER BY ts_us, seq) - 1 AS seq, bid, ask, 1.0::FLOAT AS bid_vol, 1.0::FLOAT AS ask_vol FROM k")
+def tick_files(spark, sf_dir):
+    """All ticks as LZMA files of an hour each, decoded again."""
+    return binary.decode_tick_files(binary.pack_ticks(_ticks(spark, sf_dir), SPEC), SPEC)
+
+
+@query(f"WITH {TICKS}, {_closed_sql(60_000_000)} SELECT instrument, ts_us, " + ", ".join(f"CAST(round({c} * 100) AS BIGINT) / 100.0::DOUBLE AS {c}" for c in ("open", "high", "low", "close")) + ", CAST(n_ticks AS FLOAT) AS volume FROM b")
+def candle_files(spark, sf_dir):
+    """Minute bars as LZMA files of a day each, decoded again."""
+    return binary.decode_candle_files(binary.pack_candles(bars.aggregate(_ticks(spark, sf_dir), 60), SPEC), SPEC)
+
+
+@query(f"WITH {TICKS} SELECT instrument, ts_us, seq, bid, ask, 2024 AS year, 1 AS month FROM t WHERE instrument = 'view' AND ts_us >= {JANUARY[0]} AND ts_us < {JANUARY[1]}")
+def partitioned_ticks(spark, sf_dir):
+    """All ticks written by instrument and month, one of each read back."""
+    path = _folder(spark, "ticks")
+    assert sinks.ingest(_ticks(spark, sf_dir), path) >= 0
+    return tables.read_partitioned(spark, path, "ticks", "view", "2024-01", "2024-01").drop("bid_vol", "ask_vol")
+
+
+@query(f"WITH {TICKS}, {_closed_sql(HOUR)} SELECT *, 'H1' AS timeframe, CAST(strftime(make_timestamp(ts_us), '%Y') AS INTEGER) AS year, CAST(strftime(make_timestamp(ts_us), '%m') AS INTEGER) AS month FROM b")
+def partitioned_bars(spark, sf_dir):
+    path = _folder(spark, "bars")
+    sinks.write_bars(bars.aggregate_all(_ticks(spark, sf_dir), {"H1": 3600}), path)
+    return tables.read_partitioned(spark, path, "bars")
+
+
+@query("SELECT epoch_us(date_trunc('milliseconds', ts)) AS ts_us, CASE WHEN event_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS side FROM events WHERE event_type = 'purchase'")
+def entries_csv(spark, sf_dir):
+    """Entries written as CSV with blanks and capitals, read and checked."""
+    path = _folder(spark, "entries")
+    e = tables.entries_from_events(spark, sf_dir)
+    e.select(times.iso_millis(F.col("ts_us")).alias("ts_utc"), F.concat(F.lit(" "), F.initcap("side")).alias("side"), F.lit("x").alias("more")).write.option("header", True).csv(path)
+    return tables.read_entries(spark, path).drop("entry_id")
+
+
+@query(
+    "SELECT strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS ts_utc, CASE WHEN o_orderkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS side, o_orderpriority AS symbol, o_totalprice AS preco_abertura, CAST(o_custkey AS DOUBLE) AS volume, strftime(o_orderdate, '%Y.%m.%d %H:%M:%S') AS ts_servidor FROM orders"
+)
+def deals_csv(spark, sf_dir):
+    """Orders as deals, written as one CSV and read back."""
+    path = _folder(spark, "deals")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    side = F.when(F.col("o_orderkey") % 2 == 0, "buy").otherwise("sell")
+    sinks.write_deals(o.select(times.micros(F.col("o_orderdate")).alias("ts_us"), side.alias("side"), F.col("o_orderpriority").alias("symbol"), F.col("o_custkey").cast("double").alias("volume"), F.col("o_totalprice").alias("preco_abertura"), F.date_format("o_orderdate", "yyyy.MM.dd HH:mm:ss").alias("ts_servidor")), path)
+    return tables.read_deals(spark, path)
+
+
+@query("SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'info' END AS lvl, CASE WHEN user_id % 3 = 0 THEN 'no-account' ELSE substr(sha256(CAST(user_id % 3 AS VARCHAR)), 1, 12) END AS account, CAST(strftime(ts, '%Y-%m-%d') AS DATE) AS day, count(*) AS n, count(*) AS without_broker FROM events GROUP BY ALL")
+def log_lines(spark, sf_dir):
+    """Events as log rows by account and day, read back: no account's rows lie with another's, nulls are written."""
+    path = _folder(spark, "log")
+    head = sinks.envelope("run", "queries", "events", "info")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    own = {"ts": times.iso_millis(times.micros(F.col("ts"))), "lvl": F.when(F.col("event_type") == "error", "error").otherwise("info"), "account_hash": F.when(F.col("user_id") % 3 != 0, values.short_hash((F.col("user_id") % 3).cast("string")))}
+    rows = e.select(*(own.get(k, F.lit(v).cast("string")).alias(k) for k, v in head.items()), F.when(F.col("event_type") == "error", "E1").alias("error_code"))
+    sinks.write_log(rows, path)
+    back = spark.read.json(path)
+    return back.groupBy("lvl", "account", "day").agg(F.count("*").alias("n"), F.count_if(F.col("broker_id").isNull()).alias("without_broker"))
+
+
+@query(f"WITH {TICKS}, {_ENTRIES}, v AS (SELECT * FROM t WHERE instrument = 'view') SELECT e.entry_id, count(*) AS ticks, count(*) FILTER (v.ts_us < e.ts_us) AS before, min(v.ts_us) AS first_us, max(v.ts_us) AS last_us FROM e JOIN v ON v.ts_us BETWEEN e.ts_us - 900000000 AND e.ts_us + 900000000 GROUP BY 1")
+def raw_around(spark, sf_dir):
+    """The raw ticks a quarter of an hour either side of each entry."""
+    e = _probes(spark, sf_dir).withColumnRenamed("ts_us", "start_ts")
+    out = asof.around(e, _ticks(spark, sf_dir), 15)
+    return out.groupBy("entry_id").agg(F.count("*").alias("ticks"), F.count_if(F.col("bar_ts") < F.col("start_ts")).alias("before"), F.min("bar_ts").alias("first_us"), F.max("bar_ts").alias("last_us"))
+
+
+_CASES = " ".join(f"WHEN {k} % 11 = {n} THEN '{name}'" for k in ("user_id",) for n, name in enumerate(values.CODES["swap_mode"]))
+
+
+@query(
+    f"SELECT event_id, CASE {_CASES} ELSE 'DESCONHECIDO' END AS swap_mode, ['sunday', 'monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday'][user_id % 7 + 1] AS day, coalesce(['netting', 'exchange', 'hedging'][user_id % 4 + 1], 'DESCONHECIDO') AS margin_mode, "
+    "coalesce(['disabled', 'longonly', 'shortonly', 'closeonly', 'full'][user_id % 6 + 1], 'DESCONHECIDO') AS trade_mode, coalesce(['forex', 'futures', 'cfd', 'cfdindex', 'cfdleverage', 'forex_no_leverage'][user_id % 8 + 1], 'OUTRO') AS calc_mode FROM events"
+)
+def code_names(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select("event_id", *(values.code_name(kind, F.col("user_id") % n).alias(kind) for kind, n in (("swap_mode", 11), ("day", 7), ("margin_mode", 4), ("trade_mode", 6), ("calc_mode", 8))))
+
+
+@query("SELECT o_orderkey, epoch_us(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH) AS first_us, epoch_us(date_trunc('month', o_orderdate)) AS end_us FROM orders")
+def complete_months(spark, sf_dir):
+    """The last whole month before each order."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select("o_orderkey", times.last_complete_month(times.micros(F.col("o_orderdate"))).alias("m")).select("o_orderkey", "m.first_us", "m.end_us")
+
+
+@query(f"WITH x AS (SELECT c_custkey, CAST(floor(c_custkey * 1.5::DOUBLE) AS BIGINT) AS s FROM customer) SELECT c_custkey, {_PRETTY} AS least FROM x")
+def time_left(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", times.least_time_left(F.col("c_custkey"), 1.5).alias("least"))
+
+
+@query("SELECT o_orderkey, 'https://feed.example/' || o_orderstatus || strftime(o_orderdate, '/%Y/') || lpad(CAST(month(o_orderdate) - 1 AS VARCHAR), 2, '0') || strftime(o_orderdate, '/%d/%H') || 'h_ticks.bi5' AS url FROM orders")
+def file_urls(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    d = F.col("o_orderdate")
+    return o.select("o_orderkey", values.file_url("https://feed.example/", "%s/%04d/%02d/%02d/%02dh_ticks.bi5", F.col("o_orderstatus"), F.year(d), F.month(d), F.day(d), F.hour(d)).alias("url"))
+
+
+@query("SELECT o_orderkey, epoch_us(o_orderdate) - 10800000000 AS ts_us, CAST((isodow(o_orderdate) - 1) AS INTEGER) AS weekday, o_orderkey % 5 = 0 AS placeholder, lower(trim(o_orderpriority)) = '1-urgent' AS urgent, round(-o_custkey * 0.01::DOUBLE, 9) + 0.0 AS swap FROM orders")
+def text_fields(spark, sf_dir):
+    """Times of a server three hours ahead, weekday names, placeholders, texts and points as a manifest has them."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    mark = F.when(F.col("o_orderkey") % 5 == 0, "verificar depois").otherwise("1.5")
+    return o.select(
+        "o_orderkey", times.parse_server_time(F.date_format("o_orderdate", "yyyy.MM.dd HH:mm:ss"), 3).alias("ts_us"), values.weekday_number(F.date_format("o_orderdate", "EEEE")).alias("weekday"),
+        values.is_placeholder(mark).alias("placeholder"), values.same_text(F.upper("o_orderpriority"), F.lit(" 1-urgent ")).alias("urgent"), F.round(values.swap_usd_oz(F.col("o_custkey"), F.lit(2)), 9).alias("swap"),
+    )
+
+
+@query(f"WITH {TICKS}, l AS (SELECT instrument, max(ts_us) AS last_us FROM t WHERE ts_us < {JANUARY[1]} GROUP BY 1) SELECT instrument, last_us, ({JANUARY[1]} - last_us) / 1000000.0::DOUBLE AS fresh_s, CASE WHEN instrument = 'error' THEN 'unknown' WHEN ({JANUARY[1]} - last_us) / 1000000.0 > 120 THEN 'dead' ELSE 'quiet' END AS feed FROM l")
+def feed_freshness(spark, sf_dir):
+    """At the end of January: silence of more than two minutes where that is unusual."""
+    t = _ticks(spark, sf_dir).where(F.col("ts_us") < JANUARY[1])
+    usual = t.where("instrument <> 'error'").select("instrument").distinct().select("instrument", F.lit(0).alias("minute"), F.lit(120.0).alias("usual_s"))
+    return stateful.freshness(t, usual, JANUARY[1])
+
+
+@query(
+    f"WITH {TICKS}, o AS (SELECT instrument, CAST(ts_us // {DAY} AS INTEGER) AS day, CAST(ts_us % {DAY} // 60000000 AS INTEGER) AS minute, (ts_us // {DAY} + 3) % 7 AS wd, bid AS v FROM t), "
+    f"d AS (SELECT instrument, day, minute, CASE WHEN wd <> 6 AND day % 10 <> 0 THEN quantile_cont(v, 0.5) END AS m FROM o GROUP BY instrument, day, minute, wd), "
+    "q AS (SELECT instrument, day, minute, quantile_cont(m, 0.9) OVER (PARTITION BY instrument, minute ORDER BY day ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS p FROM d) SELECT instrument, day, minute, round(p, 9) AS p90, round(0.25::DOUBLE * p, 9) AS step FROM q"
+)
+def baseline_p90(spark, sf_dir):
+    """The moving percentile without Sundays and closed days, and a step in proportion to it."""
+    t = _ticks(spark, sf_dir)
+    closed = t.select(times.day_of(F.col("ts_us")).alias("day")).distinct().where("day % 10 = 0")
+    out = sensor_spec.baseline_by_minute(t, "bid", 10, 0.9, "p90", closed)
+    return out.select("instrument", "day", "minute", F.round("p90", 9).alias("p90"), F.round(sensor_spec.step_size(F.col("p90"), 0.25), 9).alias("step"))
+
+
+_RG = lambda s, name: f"{name} AS (SELECT instrument, ts_us, seq, count(*) OVER w AS tr, max(bid) OVER w - min(bid) OVER w AS rg FROM t WINDOW w AS (PARTITION BY instrument ORDER BY ts_us RANGE BETWEEN {s * 1_000_000 - 1} PRECEDING AND CURRENT ROW))"
+
+
+@query(
+    f"WITH {TICKS}, {_RG(3600, 'mi')}, {_RG(_W, 'ma')}, o AS (SELECT instrument, CAST(ts_us // {DAY} AS INTEGER) AS day, CAST(ts_us % {DAY} // 60000000 AS INTEGER) AS minute, (ts_us // {DAY} + 3) % 7 AS wd, rg AS v FROM mi), "
+    "d AS (SELECT instrument, day, minute, CASE WHEN wd <> 6 THEN quantile_cont(v, 0.5) END AS m FROM o GROUP BY instrument, day, minute, wd), "
+    "q AS (SELECT instrument, day, minute, quantile_cont(m, 0.5) OVER (PARTITION BY instrument, minute ORDER BY day ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS base_rg FROM d), "
+    f"x AS (SELECT mi.instrument, mi.ts_us, mi.seq, mi.tr, base_rg, 0.7::DOUBLE * mi.rg + (1 - 0.7::DOUBLE) * ma.rg AS raw, lead(mi.ts_us) OVER (PARTITION BY mi.instrument ORDER BY mi.ts_us, mi.seq) AS nxt FROM mi JOIN ma USING (instrument, ts_us, seq) LEFT JOIN q ON q.instrument = mi.instrument AND q.day = mi.ts_us // {DAY} AND q.minute = mi.ts_us % {DAY} // 60000000), "
+    "y AS (SELECT *, CASE WHEN base_rg > 0 THEN least(1, greatest(0, raw / (2 * base_rg))) ELSE 0 END AS value FROM x) "
+    "SELECT instrument, ts_us, seq, round(raw, 6) AS raw_value, round(base_rg, 6) AS base_rg, round(value, 6) AS value, round(least(1, tr / 10.0::DOUBLE) * CASE WHEN base_rg IS NULL THEN 0 ELSE 1 END, 6) AS conf, (nxt - ts_us) / 1000.0::DOUBLE AS fresh_ms FROM y"
+)
+def sensor_value(spark, sf_dir):
+    """Short and long window mixed, over the usual range of the minute; confidence and how long each reading stood."""
+    t = _ticks(spark, sf_dir)
+    micro = staged(windows.components(t, 3600), "micro")
+    base = sensor_spec.baseline_by_minute(micro, "rg", 20)
+    out = sensor_spec.sensor_rows(micro, base, windows.components(t, _W))
+    return out.select("instrument", "ts_us", "seq", *(F.round(c, 6).alias(c) for c in ("raw_value", "base_rg", "value", "conf")), "fresh_ms")
+
+
+_CLIMAX = f"WITH {TICKS}, h AS (SELECT instrument, ts_us FROM t WHERE bid / 100 >= 0.75), e AS (SELECT instrument, ts_us FROM t WHERE seq % 40 = 0)"
+
+
+@query(
+    _CLIMAX + ", m AS (SELECT e.instrument, (h.ts_us - e.ts_us) / 1000000.0::DOUBLE AS s FROM e ASOF LEFT JOIN h ON h.instrument = e.instrument AND h.ts_us >= e.ts_us), f AS (SELECT instrument, CASE WHEN s <= 3600 THEN s END AS s FROM m) "
+    "SELECT instrument, count(*) AS events, count(s) AS detected, round(quantile_cont(s, 0.5), 6) AS latency_p50_s FROM f GROUP BY 1"
+)
+def detection_latency(spark, sf_dir):
+    events = _ticks(spark, sf_dir).where("seq % 40 = 0").select("instrument", "ts_us")
+    return sensor_spec.detection_latency(_states(spark, sf_dir), events, "CLIMAX", 3600).withColumn("latency_p50_s", F.round("latency_p50_s", 6))
+
+
+@query("SELECT count(*) FILTER (event_id % 9 <> 0) AS common, count(*) FILTER (event_id % 9 = 0) AS only_ours, 0 AS only_theirs, 0.0::DOUBLE AS largest, false AS agrees FROM events")
+def sensor_agreement(spark, sf_dir):
+    """The two forms of the sensor, row by row; the second without every ninth tick's reading."""
+    t = _ticks(spark, sf_dir)
+    out = sensor_spec.agreement(windows.components(t, _W), windows.components_blocks(t, _W).where("seq % 9 <> 0"), "rg")
+    return out.withColumn("largest", F.round("largest", 6))
+
+
+@query("WITH s AS (SELECT range AS n FROM range(0, 5401)) SELECT 'synthetic' AS instrument, " + f"{JANUARY[0]} + n * 1000000 AS ts_us, n AS seq, round(CASE WHEN n <= 1800 THEN 2000 - n / 1800.0::DOUBLE * 5 ELSE 1995 + (n - 1800) / 3600.0::DOUBLE * 15 END, 9) AS bid, round(CASE WHEN n <= 1800 THEN 2000 - n / 1800.0::DOUBLE * 5 ELSE 1995 + (n - 1800) / 3600.0::DOUBLE * 15 END + 0.2, 9) AS ask FROM s")
+def synthetic_series(spark, sf_dir):
+    """Down by 5 in half an hour, up by 15 in an hour."""
+    out = study.synthetic(spark, [(1800, 1995.0), (3600, 2010.0)], JANUARY[0], 2000.0, 0.2)
+    return out.withColumns({c: F.round(c, 9) for c in ("bid", "ask")})
+
+
+@query(_STATES + " SELECT CASE state WHEN 'presente' THEN 'ok' WHEN 'vazio' THEN 'empty' WHEN 'ausente' THEN 'absent' ELSE 'erro' END AS outcome, count(*) AS n FROM s GROUP BY 1")
+def download_tally(spark, sf_dir):
+    names = F.create_map(*(F.lit(x) for pair in (("presente", "ok"), ("vazio", "empty"), ("ausente", "absent"), ("falhou", "erro")) for x in pair))
+    return quality.tally(completeness(spark, sf_dir).select(names[F.col("state")].alias("outcome")))
+
+
+@query(
+    f"WITH {TICKS}, g(timeframe, step) AS (VALUES ('M1', 60000000), ('M5', 300000000), ('M15', 900000000), ('M30', 1800000000)), f AS (SELECT * FROM t WHERE instrument = 'view' AND ts_us < {JANUARY[1]} + 72 * {HOUR}), raw AS (SELECT DISTINCT timeframe, ts_us - ts_us % step AS label FROM f CROSS JOIN g), "
+    f"c AS (SELECT * FROM raw QUALIFY label < max(label) OVER (PARTITION BY timeframe)) SELECT '2024-01' AS month, 'agregado' AS first_state, 'ja_existe' AS second_state, count(*) AS n FROM c WHERE label >= {JANUARY[0]} AND label < {JANUARY[1]} UNION ALL SELECT '2023-12', 'sem_ticks', 'sem_ticks', 0"
+)
+def staged_runner(spark, sf_dir):
+    """The aggregate stage over two months, run twice: the second run finds what is there."""
+    layout = Layout(_folder(spark, "root"))
+    sinks.write_ticks(_ticks(spark, sf_dir).where("instrument = 'view'"), layout.ticks)
+    job = jobs.Job(spark, layout, InstrumentSpec("view", 2))
+    first, second = (jobs.outcomes(spark, jobs.run(job, "aggregate", "2023-12", "2024-01")) for _ in range(2))
+    return first.select("month", F.col("state").alias("first_state"), "n").join(second.select("month", F.col("state").alias("second_state")), "month")
+
+
 @query(f"WITH {TICKS} SELECT instrument, seq, round(bid - lag(bid) OVER (PARTITION BY instrument ORDER BY ts_us, seq), 9) AS move FROM t")
 def tick_moves(spark, sf_dir):
     cut = with_previous(_ticks(spark, sf_dir), ["instrument"], ["ts_us", "seq"], {"was": "bid"})

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.times import HOUR, floor_to
 from tickforge.schemas import CANDLE, TICK, InstrumentSpec
-from tickforge.staging import hadoop_path
 
 #: Fixed record layouts.
 TICK_RECORD = np.dtype([("ms", ">u4"), ("ask", ">u4"), ("bid", ">u4"), ("ask_vol", ">f4"), ("bid_vol", ">f4")])
@@ -103,13 +102,13 @@ def decode_candle_files(files: DataFrame, spec: InstrumentSpec) -> DataFrame:
 
 def _packed(rows: DataFrame, at: Column, layout: np.dtype, columns: dict[str, Column], order: list[str]) -> DataFrame:
     """path, content, instrument, at_us: a file's bytes for each instrument and `at`; rows in the given order."""
-    names = [*columns, *order]
+    names = list(columns)
     laid = rows.select("instrument", at.alias("at_us"), *(c.alias(n) for n, c in columns.items()), *(F.col(c).alias(f"__{c}") for c in order))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([f"__{c}" for c in order], kind="stable")
         out = np.zeros(len(pdf), layout)
-        for n in names[: len(columns)]:
+        for n in names:
             out[n] = pdf[n].to_numpy()
         head = pdf.iloc[0]
         return pd.DataFrame({"path": [f"{head['instrument']}/{head['at_us']}"], "content": [lzma.compress(out.tobytes(), lzma.FORMAT_ALONE)], "instrument": [head["instrument"]], "at_us": [head["at_us"]]})
@@ -133,9 +132,8 @@ def pack_candles(bars: DataFrame, spec: InstrumentSpec) -> DataFrame:
 
 
 def read_month(spark: SparkSession, path: str, spec: InstrumentSpec, year: int, month: int) -> DataFrame:
-    """One instrument's month of tick files; hours without a file are skipped, a month without any has no rows."""
-    fs, at = hadoop_path(spark, folder := f"{path}/{spec.name}/{year:04d}/{month:02d}")
-    return read_ticks(spark, folder, spec) if fs.exists(at) else spark.createDataFrame([], TICK)
+    """One instrument's month of tick files; hours without a file are skipped, a month without a folder is an error."""
+    return read_ticks(spark, f"{path}/{spec.name}/{year:04d}/{month:02d}", spec)
 
 
 def read_ticks(spark: SparkSession, path: str, spec: InstrumentSpec) -> DataFrame:
