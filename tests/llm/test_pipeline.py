@@ -57,9 +57,26 @@ def test_each_stage_works_on_its_predecessors_rows(spark, planted):
         if name == "near_dedup":
             assert ids == {r.doc_id for r in near_dedup.near_duplicates(docs, 5, 80, 100).where("kept").collect()}
         if name == "substring_dedup":
-            assert ids == {r.doc_id for r in rows} and {r.doc_id for r in substring_dedup.repeated_spans(docs).collect()} == {321, 322, 323}
+            assert ids == {r.doc_id for r in rows} and {r.doc_id for r in substring_dedup.repeated_passages(docs).collect()} == {321, 322, 323}
         if name == "decontamination":
             assert {r.doc_id for r in rows} - ids == {r.doc_id for r in decontaminate.leaks(docs, bench).collect()} == {330}
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), docs.schema)
+
+
+def test_edge_cases_of_the_whole_run(spark, tmp_path):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(rng.randrange(3, 9)))
+    long = " ".join(word() for _ in range(30_000))
+    rows = [(None, "no id here", None, "a"), (None, None, None, "b"), (1, "same row", "x", "c"), (1, "same row", "x", "c"), (2, long, "x", "d"), (3, "", None, "e"), (4, None, None, None), (5, "é 日本 \u2581 x", "x", "f")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, ids string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(((d, t) for d, t, *_ in rows), key=str)
+    none = tmp_path / "none"
+    spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(f"{none}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        (none / f"{name}.parquet").symlink_to(tmp_path / f"{name}.parquet")
+    assert corpus_pipeline.run(spark, str(none)).count() == 0

@@ -89,7 +89,7 @@ def brute_licenses(rows, templates, t):
     for d, text in rows:
         if text is None:
             continue
-        for unit in dict.fromkeys(re.sub(r"([.;!?])\s+", r"\1\n", text).split("\n") + text.split("\n") + [text]):
+        for unit in dict.fromkeys(re.sub(r"([.;!?])\s+", r"\1\n", text).split("\n") + text.split("\n") + re.split(r"\n[ \t\r]*\n", text) + [text]):
             g = grams(unit)
             near = [(2 * len(g & k) / (len(g) + len(k)), -i, name) for i, name, k in known if g and k]
             if near and max(near)[0] >= t:
@@ -101,10 +101,11 @@ def brute_licenses(rows, templates, t):
 
 def test_licenses_match_brute_force(spark):
     full = "Permission is hereby granted. Free of charge, to any person\nobtaining a copy of this software! And so on"
-    templates = [(i, *x) for i, x in enumerate(licenses.NOTICES)] + [(50, "whole", full), (51, "none", "one"), (52, "mit", licenses.NOTICES[1][1])]
+    templates = [(i, *x) for i, x in enumerate(licenses.TEMPLATES)] + [(50, "whole", full), (51, "none", "one"), (52, "mit", licenses.NOTICES[1][1])]
     rows = [
         (1, "Some text. Released under the MIT License. More text"), (2, "Licensed under CC BY-NC 4.0.\nother line"), (3, full), (4, "nothing here"), (5, None), (6, ""), (7, "word"), (None, "All rights reserved."),
         (8, "this work is licensed under the gnu general public license version 3"), (8, "Licensed under the Apache License version 2.0"), (9, "released released under the the MIT license license " * 3), (10, "x " * 50000),
+        (12, "Copyright (c) Someone\n\n" + "\n \n".join(t.replace(", ", ",\n", 3) for _, t in licenses.PARAGRAPHS[:3]) + "\n\nand code"), (13, licenses.PARAGRAPHS[10][1].replace("program", "library")),
         (11, "All rights reserved."), (11, "All rights reserved."),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("clash"))

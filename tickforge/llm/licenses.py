@@ -1,7 +1,7 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates. DataFrame functions only.
 
-A text's units are its sentences, its lines and the whole of it, so short notices are found inside long texts and
-licence files as such. A unit is normalised (lower case, all but letters and digits to blanks) and becomes a set of
+A text's units are its sentences, its lines, its paragraphs and the whole of it, so notices and the paragraphs of
+licence texts are found inside long texts, and short licence files as such. A unit is normalised (lower case, all but letters and digits to blanks) and becomes a set of
 word bigrams. A Dice coefficient of t needs sizes within t / (2 - t) of each other, so units outside the bounds of
 all templates go before any bigram is made, and a template is a unit's candidate only within its own bounds. Shared
 bigrams are counted by an equi-join on the bigram.
@@ -49,9 +49,29 @@ NOTICES = [
     ("proprietary", "All rights reserved."),
 ]
 
+#: Paragraphs of licence texts and the headers that files carry.
+PARAGRAPHS = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+]
+TEMPLATES = NOTICES + PARAGRAPHS
+
 
 def default_templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, *x) for i, x in enumerate(NOTICES)], "template_id long, license string, text string")
+    return spark.createDataFrame([(i, *x) for i, x in enumerate(TEMPLATES)], "template_id long, license string, text string")
 
 
 def _words(text: Column) -> Column:
@@ -96,7 +116,7 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None, thresho
 
     text = F.col("text").cast("string")
     sentences = F.split(F.regexp_replace(text, r"([.;!?])\s+", "$1\n"), "\n")
-    units = docs.where(may_match).select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.posexplode(F.array_distinct(F.concat(sentences, F.split(text, "\n"), F.array(text)))).alias("pos", "unit"))
+    units = docs.where(may_match).select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.posexplode(F.array_distinct(F.concat(sentences, F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.array(text)))).alias("pos", "unit"))
     units = units.withColumnRenamed("unit", "text").where(may_match).withColumnRenamed("text", "unit").select("doc_id", "uid", "pos", _words(F.col("unit")).alias("words"))
     # A set of n bigrams needs n + 1 words at least; more words than the upper bound can only be repeats of bigrams, seen below.
     units = units.where(F.size("words") - 1 >= F.lit(least * reach)).select("doc_id", "uid", "pos", _bigrams(F.col("words")).alias("grams")).withColumn("size", F.size("grams"))

@@ -85,7 +85,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
 """
 
-_NOTICES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.NOTICES))
+_NOTICES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
 _GRAMS = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
 _NORMAL = r"string_split(trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
 _LICENSES = f"""
@@ -95,10 +95,10 @@ known AS (SELECT template_id, license, {_GRAMS.format("w")} AS t FROM t_words),
 numbered AS (SELECT row_number() OVER () AS uid, doc_id, text FROM documents WHERE text IS NOT NULL),
 units AS (
   SELECT uid, doc_id, unnest(list_distinct(list_concat(
-    string_split(regexp_replace(text, '([.;!?])[\t\n\f\r\x0B ]+', '\1' || chr(10), 'g'), chr(10)), string_split(text, chr(10)), [text]))) AS unit
+    string_split(regexp_replace(text, '([.;!?])[\t\n\f\r\x0B ]+', '\1' || chr(10), 'g'), chr(10)), list_concat(string_split(text, chr(10)), list_concat(string_split_regex(text, '\n[ \t\r]*\n'), [text]))))) AS unit
   FROM numbered),
 words AS (SELECT uid, doc_id, unit, {_NORMAL.format("unit")} AS w FROM units WHERE length(unit) > 0),
-grams AS (SELECT uid, doc_id, unit, {_GRAMS.format("w")} AS g FROM words WHERE len(w) BETWEEN 2 AND 400),
+grams AS (SELECT uid, doc_id, unit, {_GRAMS.format("w")} AS g FROM words WHERE len(w) >= 2),
 scored AS (
   SELECT uid, doc_id, unit, template_id, license,
     CAST(2 * len(list_intersect(g, t)) AS DOUBLE) / (len(g) + len(t)) AS dice

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests), a temporary folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tickforge-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+from tickforge.staging import hadoop_path, shared_dir
 
 
 class Scratch:
-    """Written intermediate tables of one operator call. A written table cuts the lineage and outlives executors."""
+    """Written intermediate tables of one operator call, which go when the session ends. A written table cuts the lineage and outlives executors."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -30,10 +22,11 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
+        fs, root = hadoop_path(self.spark, self.root)
+        fs.deleteOnExit(root)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
         """Delete a table that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = hadoop_path(self.spark, self.path(name))
+        fs.delete(path, True)
