@@ -20,8 +20,10 @@ CANDLE = _struct(instrument=STR, ts_us=LONG, open=DBL, high=DBL, low=DBL, close=
 ENTRY = _struct(entry_id=LONG, ts_us=LONG, side=STR)
 DEAL = _struct(ts_utc=STR, side=STR, symbol=STR, volume=DBL, preco_abertura=DBL, ts_servidor=STR)
 SENSOR = _struct(instrument=STR, ts_us=LONG, seq=LONG, tr=LONG, rg=DBL, dsp=DBL, er=DBL, caminho=DBL)
+#: The fields of a log row, in the order in which they are written.
 LOG = _struct(**dict.fromkeys(["ts", "ts_srv", "run_id", "build_hash", "config_hash", "src", "comp", "lvl", "account_hash", "feed_id", "broker_id"], STR))
 
+#: The fields of a terminal's report, as it writes them.
 SPECS = _struct(
     schema=STR, run_id=STR, lido_em_utc=STR, terminal_build=INT, symbol=STR,
     account=_struct(hash=STR, source=STR, company=STR, server=STR, currency=STR, margin_mode=STR, margin_mode_raw=INT),
