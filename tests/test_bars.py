@@ -72,3 +72,11 @@ def test_month_edge(spark):
     july = bars.in_month(bars.aggregate(t, 300), 2026, 7).orderBy(F.desc("ts_us")).first()
     assert july.ts_us == (1785542400 - 300) * S
     assert bars.aggregate(ticks(spark, [(0, 3300), (60, 3301), (300, 3302)], spread=0.5), 300, "ask").first().open == 3300.5
+
+
+def test_the_newest_label_comes_from_the_same_scan(spark, tmp_path):
+    ticks(spark, [(60 * i, 3300 + i) for i in range(50)]).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    for made in (bars.aggregate(t, 300), bars.aggregate_all(t), bars.both_sides(t, 300)):
+        made.collect()
+        assert "ReusedExchange" in made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

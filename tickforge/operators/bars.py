@@ -41,6 +41,7 @@ def _closed(bars: DataFrame, series: list[str]) -> DataFrame:
     The newest label comes from the aggregated bars. Its aggregate reads all their columns, so that both sides of the
     join are one exchange of one scan.
     """
+    bars = bars.where(F.col("ts_us").isNotNull())  # said on both sides, else only one of them would infer it
     newest = bars.groupBy(*(F.col(c).alias(f"__{c}") for c in series)).agg(F.max(F.struct("ts_us", *(c for c in bars.columns if c != "ts_us"))).alias("__newest"))
     same = None
     for c in series:
