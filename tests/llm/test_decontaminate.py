@@ -49,12 +49,12 @@ def corpus():
     word = lambda: rng.choice("abcdefgh") + "".join(rng.choice("klmnoprstuäé") for _ in range(rng.randrange(1, 6)))
     vocabulary = [word() for _ in range(400)]
     some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(some(rng.randrange(8, 60)))) for i in range(25)] + [(90, "too short it"), (91, None), (92, "")]
+    items = [(i, " ".join(some(rng.randrange(8, 60)))) for i in range(18)] + [(90, "too short it"), (91, None), (92, "")]
     docs = []
-    for i in range(120):
+    for i in range(90):
         text = some(rng.randrange(0, 60))
         if i % 2 == 0:
-            leak = items[rng.randrange(25)][1].split()
+            leak = items[rng.randrange(18)][1].split()
             for _ in range(rng.randrange(0, dc.edits(len(leak), dc.RATE) + 2)):
                 p, kind = rng.randrange(len(leak)), rng.randrange(3)
                 leak[p : p + (kind != 1)] = [] if kind == 2 else [word()]
