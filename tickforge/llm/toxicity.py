@@ -23,12 +23,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .decontaminate import _bit_test, _bitmap
 from .labelled import training_rows
+from .shared import Scratch
 from .textarrays import LOWER, U64, runs, slices, span_hashes
 
 #: Most labelled documents of either class that are fitted on.
 PER_CLASS = 2000
 BUCKETS = 1 << 22
+#: Pairs of word and sentence that a gradient takes at once.
+BLOCK = 1 << 18
 PREFIXES = (4, 5, 6)
 MIN_DOCUMENTS = 3
 CHOOSE_EPOCHS, CHOOSE_RATE, L1, BIAS = 60, 0.3, 1e-3, -4.0
@@ -83,14 +87,42 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), batch.column("label").slice(lo, n), *lists], names=["doc_id", "label", "sentence", "bucket"])
 
 
+SAMPLE = "doc_id long, label int, sentence array<int>, bucket array<int>"
+
+
+def _telling(shared):
+    """The pairs whose bucket is known, and of a sentence without any its first pair, so that it still counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            size = pc.list_value_length(batch.column("bucket")).to_numpy()
+            sentence, bucket = (batch.column(c).flatten().to_numpy() for c in ("sentence", "bucket"))
+            doc = np.repeat(np.arange(len(size)), size)
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (sentence[1:] != sentence[:-1])
+            own = np.cumsum(new) - 1
+            keep = _bit_test(known, bucket.astype(U64))
+            keep |= new & (np.bincount(own, weights=keep) == 0)[own] if len(own) else keep
+            bounds = pa.array(np.append(0, np.cumsum(np.bincount(doc[keep], minlength=len(size)))), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *(pa.ListArray.from_arrays(bounds, pa.array(x[keep])) for x in (sentence, bucket))], names=["doc_id", "label", "sentence", "bucket"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = PER_CLASS) -> Model:
     rows = training_rows(docs, labels, "toxic", held_out, per_class)
-    table = rows.mapInArrow(_featurise, "doc_id long, label int, sentence array<int>, bucket array<int>").toArrow().sort_by("doc_id")
+    # Features of few documents say nothing: Spark counts them, and the driver gets the pairs of the others.
+    found = Scratch(docs.sparkSession, "toxicity").write(rows.mapInArrow(_featurise, SAMPLE), "features")
+    often = found.select(F.explode(F.array_distinct("bucket")).alias("v")).groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
+    known = docs.sparkSession.sparkContext.broadcast(_bitmap(often.select(F.col("v").cast("long").alias("v")), BUCKETS))
+    table = found.mapInArrow(_telling(known), SAMPLE).orderBy("doc_id").toArrow()
     y = table.column("label").to_numpy().astype(bool)
     if not len(y):
         return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), y)
     size = pc.list_value_length(table.column("bucket")).to_numpy()
-    words, local = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("bucket", "sentence"))
+    # Chunk by chunk, so that no second table is held.
+    words, local = (np.concatenate([x.flatten().to_numpy() for x in table.column(c).chunks]) for c in ("bucket", "sentence"))
     del table
     return train(words, local, np.repeat(np.arange(len(y), dtype=np.int32), size), y)
 
@@ -112,7 +144,7 @@ def train(words: np.ndarray, local: np.ndarray, doc: np.ndarray, y: np.ndarray)
         count[np.unique(words[lo:hi])] += 1
     often = count >= MIN_DOCUMENTS
     names, keep = np.flatnonzero(often), often[words]
-    words, in_sentence = (np.cumsum(often, dtype=np.int32) - 1)[words[keep]].astype(np.int64), sentence[keep].astype(np.int64)
+    words, in_sentence = (np.cumsum(often, dtype=np.int32) - 1)[words[keep]], sentence[keep]
     del new, sentence, local, doc, count, often, keep
     share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
     w, b = np.zeros(len(names)), BIAS
@@ -146,12 +178,22 @@ def train(words: np.ndarray, local: np.ndarray, doc: np.ndarray, y: np.ndarray)
 
 
 def _gradient(w, b, words, sentence, doc_of, times, y, share) -> tuple[np.ndarray, float]:
-    """Of the mean loss by word weights and bias. Sentence i stands `times[i]` times in its document."""
-    z = b + np.bincount(sentence, weights=w[words], minlength=len(doc_of))
+    """Of the mean loss by word weights and bias. Sentence i stands `times[i]` times in its document; sentences ascend.
+
+    Pairs are worked on in blocks, so that no array of their number is made beside them.
+    """
+    z, out = np.full(len(doc_of), b), np.zeros(len(w))
+    blocks = [slice(lo, lo + BLOCK) for lo in range(0, len(words), BLOCK)]
+    for x in blocks:
+        first = int(sentence[x.start])
+        part = np.bincount(sentence[x] - first, weights=w[words[x]])
+        z[first : first + len(part)] += part
     q = np.bincount(doc_of, weights=times * np.logaddexp(0, z), minlength=len(y))
     slope = np.where(y, -1 / np.maximum(np.expm1(np.minimum(q, 500)), 1e-6), 1.0) * share
     d = slope[doc_of] * times / (1 + np.exp(-np.clip(z, -500, 500)))
-    return np.bincount(words, weights=d[sentence], minlength=len(w)), float(d.sum())
+    for x in blocks:
+        out += np.bincount(words[x], weights=d[sentence[x]], minlength=len(w))
+    return out, float(d.sum())
 
 
 def sentence_scores(model: Model, bucket: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
