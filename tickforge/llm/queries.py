@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, merge_dropout, near_dedup, quality, shards, substring_dedup, token_files, topk, toxicity
+from . import decontaminate, infill, licenses, merge_dropout, merkle, mixing, near_dedup, quality, shards, substring_dedup, token_files, topk, toxicity
 from .labelled import remainder
 
 
@@ -67,6 +67,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; the copy that is verified has lost its line ends where crc32 of the doc_id is even."""
+    copy = F.when(remainder(2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verified(_table(spark, sf_dir, "documents"), copy)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.checked(_table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50)
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -125,5 +139,45 @@ FROM sets LEFT JOIN least ON u = doc_id
 """
 
 
+#: CRC-32 has no function in DuckDB: a bit at a time over the digits of doc_id.
+_CRC = """list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))), lambda s, b:
+  list_reduce(list_concat([xor(s, b)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::UBIGINT) ELSE v // 2 END))"""
+_LEAF = "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in merkle.FIELDS) + ")"
+_TREE = lambda name, first: f"""{name}(key, lvl, pos, n, digest) AS (
+  {first} UNION ALL
+  SELECT key, lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY key, lvl, pos // 3),
+{name}_steps AS (SELECT a.key, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {name} a JOIN {name} b ON a.key = b.key AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY ALL)"""
+_MERKLE = f"""
+WITH RECURSIVE d AS (SELECT *, row_number() OVER () AS uid, coalesce('s' || source, '') AS key, ({_CRC}) % 2 AS bit FROM documents),
+g AS (SELECT uid, doc_id, key, {_LEAF} AS leaf, CASE WHEN bit = 1 THEN replace(text, chr(10), '') ELSE text END AS text, source, lang, n_chars FROM d),
+h AS (SELECT uid, doc_id, key, leaf, {_LEAF} AS claimed, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY key) AS n FROM g),
+{_TREE("up", "SELECT key, 0, pos, n, leaf FROM h")},
+sub AS (SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+{_TREE("top", "SELECT 'all', 0, pos, n, subroot FROM sub")},
+way(uid, upper, lvl, pos, proof, folded) AS (
+  SELECT uid, false, 0, pos, '', claimed FROM h UNION ALL
+  SELECT w.uid, CASE WHEN s.lvl IS NULL THEN true ELSE w.upper END, CASE WHEN s.lvl IS NULL AND NOT w.upper THEN 0 ELSE w.lvl + 1 END, CASE WHEN s.lvl IS NULL AND NOT w.upper THEN sub.pos ELSE w.pos // 3 END,
+    proof || coalesce(s.l || s.r, ''), CASE WHEN s.lvl IS NULL THEN folded ELSE sha256(s.l || folded || s.r) END
+  FROM way w JOIN h USING (uid) JOIN sub ON sub.key = h.key
+  LEFT JOIN (SELECT false AS upper, * FROM up_steps UNION ALL SELECT true, * FROM top_steps) s ON s.upper = w.upper AND s.lvl = w.lvl AND s.pos = w.pos AND s.key = CASE WHEN w.upper THEN 'all' ELSE h.key END
+  WHERE s.lvl IS NOT NULL OR NOT w.upper),
+ended AS (SELECT uid, arg_max(proof, lvl) AS proof, arg_max(folded, lvl) AS folded FROM way WHERE upper GROUP BY uid)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM top WHERE n = 1) AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = (SELECT digest FROM top WHERE n = 1) AS verified
+FROM h JOIN ended USING (uid) JOIN sub ON sub.key = h.key
+"""
+
+_NUMBER = lambda k: f"CAST('0x' || substr(hash, {8 * k + 1}, 8) AS BIGINT)"
+_INFILL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash FROM documents),
+c AS (SELECT *, len(units) AS n, least({_NUMBER(0)} % (len(units) + 1), {_NUMBER(1)} % (len(units) + 1)) AS lo, greatest({_NUMBER(0)} % (len(units) + 1), {_NUMBER(1)} % (len(units) + 1)) AS hi,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_NUMBER(2)} % 100 >= 100 THEN 'plain' WHEN {_NUMBER(3)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, coalesce(array_to_string(list_slice(units, 1, lo), ''), '') AS prefix, coalesce(array_to_string(list_slice(units, lo + 1, hi), ''), '') AS middle, coalesce(array_to_string(list_slice(units, hi + 1, n), ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": _TOPK, "op5_minhash_near_dedup": _NEAR, "op10_license_scan": _LICENSES}
+    return {"op11_merkle_manifest": _MERKLE, "op12_fill_in_middle": _INFILL, "op3_exact_topk": _TOPK, "op5_minhash_near_dedup": _NEAR, "op10_license_scan": _LICENSES}
