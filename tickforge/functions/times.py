@@ -58,14 +58,16 @@ def iso_millis(ts: Column) -> Column:
 
 
 def pretty_duration(seconds: Column) -> Column:
-    """45s, 26min, 2h10, 3d04h."""
-    s = F.floor(seconds).cast("long")
-    part = lambda unit, size: F.floor(F.pmod(s, F.lit(size)) / unit).cast("int")
+    """45s below 90 seconds, 26min below 90 minutes, 2h10 below two days, else 3d04h; what is left of a unit is rounded, halves to even."""
+    s = F.greatest(F.lit(0.0), seconds.cast("double"))
+    minutes, hours = (F.bround(s / unit).cast("long") for unit in (60, 3600))
+    part = lambda x, n: F.pmod(x, F.lit(n)).cast("int")
     return (
-        F.when(s < 60, F.format_string("%ds", s))
-        .when(s < 3600, F.format_string("%dmin", F.floor(s / 60)))
-        .when(s < 86400, F.format_string("%dh%02d", F.floor(s / 3600), part(60, 3600)))
-        .otherwise(F.format_string("%dd%02dh", F.floor(s / 86400), part(3600, 86400)))
+        F.when(s.isNull() | seconds.isNull(), F.lit(None).cast("string"))
+        .when(s < 90, F.format_string("%ds", F.bround(s).cast("long")))
+        .when(s < 5400, F.format_string("%dmin", minutes))
+        .when(s < 172800, F.format_string("%dh%02d", F.floor(minutes / 60), part(minutes, 60)))
+        .otherwise(F.format_string("%dd%02dh", F.floor(hours / 24), part(hours, 24)))
     )
 
 

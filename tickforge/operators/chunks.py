@@ -31,11 +31,12 @@ def with_previous(df: DataFrame, key: list[str], order: list[str], values: dict[
     return out.withColumns({new: before[old] for new, old in values.items()}).drop("__chunk", "__prev", "__carry")
 
 
-def with_overlap(df: DataFrame, overlap_us: int, ts: str = "ts_us", chunk_us: int = DAY) -> DataFrame:
-    """Each row in its own chunk (`__own` true) and in the later chunks that begin within `overlap_us` after it."""
-    first = chunk_of(F.col(ts), chunk_us)
-    last = chunk_of(F.col(ts) + overlap_us, chunk_us)
-    return df.withColumn("__chunk", F.explode(F.sequence(first, last))).withColumn("__own", F.col("__chunk") == first)
+def with_overlap(df: DataFrame, overlap_us: int, ts: str = "ts_us", chunk_us: int = DAY, ahead_us: int = 0) -> DataFrame:
+    """Each row in its own chunk (`__own` true), in the later chunks that begin within `overlap_us` after it, and in the
+    earlier ones that end within `ahead_us` before it (for frames that look forward)."""
+    own = chunk_of(F.col(ts), chunk_us)
+    first, last = chunk_of(F.col(ts) - ahead_us, chunk_us), chunk_of(F.col(ts) + overlap_us, chunk_us)
+    return df.withColumn("__chunk", F.explode(F.sequence(first, last))).withColumn("__own", F.col("__chunk") == own)
 
 
 def with_rows_before(df: DataFrame, key: list[str], order: list[str], rows: int, ts: str = "ts_us", chunk_us: int = DAY, block: int = 4096) -> DataFrame:

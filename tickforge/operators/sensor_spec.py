@@ -20,19 +20,27 @@ STATES = ((0.25, "CALM"), (0.5, "NORMAL"), (0.75, "EXPANDING"))
 COST_CLASSES = ((0.10, "A"), (0.20, "B"))
 
 
-def baseline_by_minute(readings: DataFrame, value: str, days: int = 20, quantile: float = 0.5, name: str = "baseline", closed_days: DataFrame | None = None) -> DataFrame:
-    """instrument, day, minute, `name`: the quantile over the last `days` earlier days of that minute's daily median.
+def baselines(readings: DataFrame, wanted: dict[str, tuple[str, float]], days: int = 20, closed_days: DataFrame | None = None) -> DataFrame:
+    """instrument, day, minute, and for each wanted name (value, quantile): the quantile over the last `days` earlier days of that minute's daily median.
 
     Sundays and `closed_days` (day) count for no baseline. Minutes are 1440 series of one row a day, so windows stay small.
     """
-    own = readings.select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), F.col(value).alias("v"), weekday_of(F.col("ts_us")).alias("wd"))
-    daily = own.groupBy("instrument", "day", "minute", "wd").agg(F.percentile("v", F.lit(0.5)).alias("m"))
-    daily = daily.withColumn("m", F.when(F.col("wd") != 6, F.col("m")))
+    kept = list(dict.fromkeys(value for value, _ in wanted.values()))
+    own = readings.select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), *(F.col(c).alias(f"__{c}") for c in kept), weekday_of(F.col("ts_us")).alias("wd"))
+    daily = own.groupBy("instrument", "day", "minute", "wd").agg(*(F.percentile(f"__{c}", F.lit(0.5)).alias(f"__{c}") for c in kept))
+    counts = F.col("wd") != 6
     if closed_days is not None:
         closed = F.broadcast(closed_days.select("day", F.lit(True).alias("closed")).distinct())  # days of a calendar
-        daily = daily.join(closed, "day", "left").withColumn("m", F.when(F.col("closed").isNull(), F.col("m"))).drop("closed")
+        daily = daily.join(closed, "day", "left")
+        counts = counts & F.col("closed").isNull()
+    daily = daily.withColumns({f"__{c}": F.when(counts, F.col(f"__{c}")) for c in kept})
     w = Window.partitionBy("instrument", "minute").orderBy("day").rowsBetween(-days, -1)
-    return daily.select("instrument", "day", "minute", F.percentile("m", F.lit(quantile)).over(w).alias(name))
+    return daily.select("instrument", "day", "minute", *(F.percentile(f"__{value}", F.lit(q)).over(w).alias(name) for name, (value, q) in wanted.items()))
+
+
+def baseline_by_minute(readings: DataFrame, value: str, days: int = 20, quantile: float = 0.5, name: str = "baseline", closed_days: DataFrame | None = None) -> DataFrame:
+    """`baselines` of one value."""
+    return baselines(readings, {name: (value, quantile)}, days, closed_days)
 
 
 def relative_spread(ticks: DataFrame) -> DataFrame:
@@ -154,13 +162,11 @@ def variation(rows: DataFrame, value: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg((F.stddev_samp(value) / F.avg(value)).alias("cv"))
 
 
-def variants(spark) -> DataFrame:
-    """The grid of parameter variants: stage A windows and horizons, B alphas, C lookbacks and quantiles."""
-    a = spark.range(1).select(F.explode(F.array(*map(F.lit, (10, 20, 30, 60)))).alias("window_s")).withColumn("micro_scale", F.explode(F.array(*map(F.lit, (0.5, 1.0, 2.0, 4.0, 8.0)))))
-    b = spark.range(1).select(F.explode(F.array(*map(F.lit, (0.6, 0.7, 0.8)))).alias("alpha"))
-    c = spark.range(1).select(F.explode(F.array(*map(F.lit, (10, 20, 40)))).alias("days")).withColumn("quantile", F.explode(F.array(*map(F.lit, (0.5, 0.75, 0.9)))))
-    stages = [x.withColumn("stage", F.lit(s)) for x, s in ((a, "A"), (b, "B"), (c, "C"))]
-    return stages[0].unionByName(stages[1], True).unionByName(stages[2], True)
+def monotone(fifths: DataFrame, key: str) -> DataFrame:
+    """Per key of `quintiles`: whether all five are there and their means strictly increase."""
+    means = F.transform(F.array_sort(F.collect_list(F.struct("quintile", "mean"))), lambda x: x["mean"])
+    up = F.aggregate(F.sequence(F.lit(1), F.lit(4)), F.lit(True), lambda ok, i: ok & (F.get("__m", i) > F.get("__m", i - 1)))
+    return fifths.groupBy(key).agg(means.alias("__m")).select(key, F.when(F.size("__m") == 5, up).otherwise(F.lit(False)).alias("increasing"))  # five rows a key
 
 
 def cost_class(usd_oz: Column) -> Column:

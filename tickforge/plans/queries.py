@@ -618,20 +618,16 @@ def feed_offset(spark, sf_dir):
     return sensor_spec.feed_offset(t, t.withColumn("ts_us", F.col("ts_us") + 3 * HOUR), range(-4, 5)).withColumn("dispersion", F.round("dispersion", 9))
 
 
-@query(
-    "SELECT 'A' AS stage, w AS window_s, m::DOUBLE AS micro_scale, NULL::DOUBLE AS alpha, NULL::INTEGER AS days, NULL::DOUBLE AS quantile FROM (VALUES (10), (20), (30), (60)) a(w), (VALUES (0.5), (1), (2), (4), (8)) b(m) "
-    "UNION ALL SELECT 'B', NULL, NULL, a::DOUBLE, NULL, NULL FROM (VALUES (0.6), (0.7), (0.8)) c(a) UNION ALL SELECT 'C', NULL, NULL, NULL, d, q::DOUBLE FROM (VALUES (10), (20), (40)) e(d), (VALUES (0.5), (0.75), (0.9)) f(q)"
-)
-def variant_grid(spark, sf_dir):
-    return sensor_spec.variants(spark)
-
-
 @query("SELECT c_custkey, substr(sha256(CAST(c_custkey AS VARCHAR)), 1, 12) AS account_hash FROM customer")
 def account_hash(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", values.short_hash(F.col("c_custkey").cast("string")).alias("account_hash"))
 
 
-_PRETTY = "CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60) || 'min' WHEN s < 86400 THEN (s // 3600) || 'h' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') ELSE (s // 86400) || 'd' || lpad(CAST(s % 86400 // 3600 AS VARCHAR), 2, '0') || 'h' END"
+_PRETTY = (
+    "CASE WHEN s < 90 THEN CAST(round_even(s, 0) AS BIGINT) || 's' WHEN s < 5400 THEN CAST(round_even(s / 60.0, 0) AS BIGINT) || 'min' "
+    "WHEN s < 172800 THEN (CAST(round_even(s / 60.0, 0) AS BIGINT) // 60) || 'h' || lpad(CAST(CAST(round_even(s / 60.0, 0) AS BIGINT) % 60 AS VARCHAR), 2, '0') "
+    "ELSE (CAST(round_even(s / 3600.0, 0) AS BIGINT) // 24) || 'd' || lpad(CAST(CAST(round_even(s / 3600.0, 0) AS BIGINT) % 24 AS VARCHAR), 2, '0') || 'h' END"
+)
 
 
 @query(f"WITH x AS (SELECT event_id, user_id * 977 % 400000 AS s FROM events) SELECT event_id, {_PRETTY} AS pretty FROM x")
@@ -823,7 +819,7 @@ def complete_months(spark, sf_dir):
     return o.select("o_orderkey", times.last_complete_month(times.micros(F.col("o_orderdate"))).alias("m")).select("o_orderkey", "m.first_us", "m.end_us")
 
 
-@query(f"WITH x AS (SELECT c_custkey, CAST(floor(c_custkey * 1.5::DOUBLE) AS BIGINT) AS s FROM customer) SELECT c_custkey, {_PRETTY} AS least FROM x")
+@query(f"WITH x AS (SELECT c_custkey, c_custkey * 1.5::DOUBLE AS s FROM customer) SELECT c_custkey, {_PRETTY} AS least FROM x")
 def time_left(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", times.least_time_left(F.col("c_custkey"), 1.5).alias("least"))
 
