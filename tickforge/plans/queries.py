@@ -688,46 +688,6 @@ def manifest_numbers(spark, sf_dir):
     return manifest.human_numbers(_documents(spark)).drop("spread_usd_oz")
 
 
-@query(f"WITH {TICKS}, {_closed_sql(HOUR)} SELECT * FROM b")
-def stream_bars(spark, sf_dir):
-    """The stream's bars, written by a file sink and read again: equal to the batch's."""
-    from pyspark.errors import AnalysisException
-
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    ticks = events.select(F.col("event_type").alias("instrument"), times.micros(F.col("ts")).alias("ts_us"), times.micros(F.col("ts")).alias("seq"), F.col("value").alias("bid"))
-    root = _folder(spark, "stream")
-    run = stateful.bars(ticks, 3600).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/bars")
-    run.awaitTermination()
-    try:
-        out = spark.read.parquet(f"{root}/bars")
-    except AnalysisException:
-        out = spark.createDataFrame([], stateful.BAR_SCHEMA)
-    return out.where("not late").drop("late")
-
-
-@query(_LATE + ", o AS (SELECT *, max(ts_us) OVER (PARTITION BY instrument ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM d) SELECT instrument, ts_us, bid AS close FROM o WHERE ts_us < newest")
-def stream_late_rows(spark, sf_dir):
-    """What a stream sets apart: ticks before the newest one of their series."""
-    root = _folder(spark, "late")
-    staged_at = f"{root}/ticks"
-    _disordered(spark, sf_dir).coalesce(1).write.parquet(staged_at)  # one file: a stream's order is that of its files
-    ticks = spark.readStream.schema("instrument string, ts_us long, seq long, bid double, ask double").parquet(staged_at)
-    stateful.bars(ticks, 3600).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/bars").awaitTermination()
-    return spark.read.schema(stateful.BAR_SCHEMA).parquet(f"{root}/bars").where("late").select("instrument", "ts_us", "close")
-
-
-@query(_SENSOR)
-def stream_sensor(spark, sf_dir):
-    """The rolling sensor as a stream, equal to the batch's."""
-    root = _folder(spark, "sensor")
-    staged_at = f"{root}/ticks"
-    _ticks(spark, sf_dir).coalesce(1).write.parquet(staged_at)
-    ticks = spark.readStream.schema("instrument string, ts_us long, seq long, bid double, ask double").parquet(staged_at)
-    stateful.sensor(ticks, _W).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/rows").awaitTermination()
-    return _rounded(spark.read.schema(stateful.SENSOR_SCHEMA).parquet(f"{root}/rows").where("not late").drop("late"))
-
-
 _PACKED = f"WITH {TICKS}, k AS (SELECT instrument, ts_us, seq, ts_us // 1000 * 1000 AS ms_us, CAST(round(bid * 100) AS BIGINT) / 100.0::DOUBLE AS bid, CAST(round(ask * 100) AS BIGINT) / 100.0::DOUBLE AS ask FROM t)"
 
 

@@ -12,17 +12,28 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tickforge.operators.windows import rolling
 
 BAR_SCHEMA = "instrument string, ts_us long, open double, high double, low double, close double, range_usd_oz double, n_ticks long, late boolean"
 BAR_STATE = "label long, last_us long, open double, high double, low double, close double, n long"
 SENSOR_SCHEMA = "instrument string, ts_us long, seq long, tr long, rg double, dsp double, er double, caminho double, late boolean"
-SENSOR_STATE = "ts array<long>, px array<double>"
+#: Parts of a window in the sensor's state.
+PARTS = 8
 
 
-def _ordered(frames: Iterator[pd.DataFrame], price: str) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(["seq"], kind="stable")[["ts_us", "seq", price]]
+def _ordered(frames: Iterator[pd.DataFrame], price: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Times, seq and prices of a trigger's rows of one series, by seq."""
+    parts = [(f["seq"].to_numpy(np.int64), f["ts_us"].to_numpy(np.int64), f[price].to_numpy(float)) for f in frames]
+    seq, ts, px = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.argsort(seq, kind="stable")
+    return ts[by], seq[by], px[by]
+
+
+def _late(ts: np.ndarray, newest: int | None) -> np.ndarray:
+    """Which rows come after a later one of their series."""
+    return ts < np.maximum.accumulate(ts if newest is None else np.maximum(ts, newest))
 
 
 def bars(ticks: DataFrame, seconds: int, price: str = "bid") -> DataFrame:
@@ -31,51 +42,71 @@ def bars(ticks: DataFrame, seconds: int, price: str = "bid") -> DataFrame:
     if seconds <= 0:
         raise ValueError("seconds must be positive")
     step = seconds * 1_000_000
+    names = [c.split()[0] for c in BAR_SCHEMA.split(", ")]
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = list(state.get) if state.exists else None
-        out = []
-        for ts, _, px in _ordered(frames, price).itertuples(index=False):
-            ts, px = int(ts), float(px)
-            if now and ts < now[1]:
-                out.append((key[0], ts, px, px, px, px, 0.0, 1, True))
-                continue
+        ts, _, px = _ordered(frames, price)
+        held = state.get if state.exists else None
+        late = _late(ts, held[1] if held else None)
+        aside = pd.DataFrame({"ts_us": ts[late], **dict.fromkeys(("open", "high", "low", "close"), px[late]), "n": 1, "late": True})
+        ts, px = ts[~late], px[~late]
+        if not len(ts):
+            made = aside
+        else:
             label = ts - ts % step
-            if now and label == now[0]:
-                now = [label, ts, now[2], max(now[3], px), min(now[4], px), px, now[6] + 1]
-                continue
-            if now:
-                out.append((key[0], now[0], *now[2:6], now[3] - now[4], now[6], False))
-            now = [label, ts, px, px, px, px, 1]
-        if now:
-            state.update(tuple(now))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in BAR_SCHEMA.split(", ")])
+            first = np.flatnonzero(np.diff(label, prepend=label[0] - 1))
+            end = np.append(first[1:], len(ts))
+            made = pd.DataFrame({"ts_us": label[first], "open": px[first], "high": np.maximum.reduceat(px, first), "low": np.minimum.reduceat(px, first), "close": px[end - 1], "n": end - first})
+            if held and held[0] == label[0]:
+                made.loc[0, ["open", "high", "low", "n"]] = held[2], max(held[3], made["high"][0]), min(held[4], made["low"][0]), held[6] + made["n"][0]
+            elif held:
+                made = pd.concat([pd.DataFrame([(held[0], *held[2:])], columns=made.columns), made], ignore_index=True)
+            now = made.iloc[-1]
+            state.update((int(now["ts_us"]), int(ts[-1]), *(float(now[c]) for c in ("open", "high", "low", "close")), int(now["n"])))
+            made = pd.concat([made.iloc[:-1].assign(late=False), aside])
+        yield made.assign(instrument=key[0], range_usd_oz=made["high"] - made["low"], n_ticks=made["n"].astype("int64"), ts_us=made["ts_us"].astype("int64"))[names]
 
     return ticks.groupBy("instrument").applyInPandasWithState(run, BAR_SCHEMA, BAR_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+class Sensor(StatefulProcessor):
+    """State: the window's rows in parts of time, each an entry of a map in the store. A trigger adds to the newest part
+    and takes whole parts away once the window has left them; the others are not written again."""
+
+    def __init__(self, window_us: int, price: str):
+        self.window_us, self.price = window_us, price
+        self.part_us = max(1, window_us // PARTS)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.parts = handle.getMapState("window", "part long", "ts binary, px binary")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        held = {k[0]: (np.frombuffer(v[0], np.int64), np.frombuffer(v[1], np.float64)) for k, v in self.parts.iterator()}
+        old_ts, old_px = (np.concatenate([np.zeros(0, kind), *(held[k][i] for k in sorted(held))]) for i, kind in enumerate((np.int64, np.float64)))
+        ts, seq, px = _ordered(rows, self.price)
+        late = _late(ts, int(old_ts[-1]) if len(old_ts) else None)
+        out = pd.DataFrame({"instrument": key[0], "ts_us": ts, "seq": seq, "tr": pd.array([None] * len(ts), "Int64"), **dict.fromkeys(("rg", "dsp", "er", "caminho"), np.nan), "late": late})
+        ts, px = ts[~late], px[~late]
+        both = np.concatenate([old_ts, ts])
+        for name, x in rolling(both, np.concatenate([old_px, px]), self.window_us).items():
+            out.loc[~late, name] = x[len(old_ts) :]
+        oldest = (int(both[-1]) - self.window_us + 1) // self.part_us
+        for k in held:
+            if k < oldest:
+                self.parts.removeKey((k,))
+        part = ts // self.part_us
+        for k in np.unique(part[part >= oldest]).tolist():
+            was = held.get(k, (np.zeros(0, np.int64), np.zeros(0)))
+            self.parts.updateValue((k,), tuple(np.concatenate([a, b[part == k]]).tobytes() for a, b in zip(was, (ts, px), strict=True)))
+        yield out
+
+
 def sensor(ticks: DataFrame, window_s: float, price: str = "bid") -> DataFrame:
     """The rolling sensor as a stream; state is the window's rows. Late ticks are emitted as `late` rows without readings."""
     window_us = int(window_s * 1_000_000)
     if window_us <= 0:
         raise ValueError("the window must be positive")
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held_ts, held_px = (np.array(x) for x in state.get) if state.exists else (np.zeros(0, np.int64), np.zeros(0))
-        new = _ordered(frames, price)
-        ts = new["ts_us"].to_numpy(np.int64)
-        newest = np.maximum.accumulate(np.concatenate([held_ts[-1:], ts]))[len(held_ts[-1:]) :]
-        late = ts < newest
-        ts, px = (np.concatenate([old, x[~late]]) for old, x in ((held_ts, ts), (held_px, new[price].to_numpy(float))))
-        own = slice(len(held_ts), None)
-        out = new.assign(instrument=key[0], late=late, **dict.fromkeys(("rg", "dsp", "er", "caminho"), np.nan), tr=pd.array([None] * len(new), "Int64"))
-        for name, x in rolling(ts, px, window_us).items():
-            out.loc[~late, name] = x[own]
-        kept = ts > ts[-1] - window_us
-        state.update((ts[kept].tolist(), px[kept].tolist()))
-        yield out[[c.split()[0] for c in SENSOR_SCHEMA.split(", ")]]
-
-    return ticks.groupBy("instrument").applyInPandasWithState(run, SENSOR_SCHEMA, SENSOR_STATE, "append", GroupStateTimeout.NoTimeout)
+    return ticks.select("instrument", "ts_us", "seq", price).groupBy("instrument").transformWithStateInPandas(Sensor(window_us, price), SENSOR_SCHEMA, "Append", "None")
 
 
 def freshness(ticks: DataFrame, silence_s: DataFrame, now_us: int) -> DataFrame:
