@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,10 +97,40 @@ def test_draws_match_cells_and_fall_back(spark):
                 assert c.decile == d.decile
         again = study.draw(entries.repartition(3), cand.repartition(9), scheme, 7, seed=3).collect()
         assert {(d.entry_id, d.draw, d.cand_ts) for d in drawn} == {(d.entry_id, d.draw, d.cand_ts) for d in again}
-    lone = spark.createDataFrame([(1, 0, 0, None)], "entry_id long, weekday int, hour int, decile int")
+    lone = spark.createDataFrame([(1, MONDAY, None)], "entry_id long, ts_us long, pre_range double")
     assert all(d.fallback for d in study.draw(lone, cand.where("hour <> 0"), "horario", 3).collect())
 
 
+def test_volatility_is_matched_inside_the_pool_of_the_hour(spark):
+    week = 7 * DAY
+    pool = [(MONDAY + week * i, float(i)) for i in range(60)]  # a full hour: deciles of six
+    pool += [(MONDAY + HOUR + week * i, float(i) if i < 9 else float("nan")) for i in range(20)]  # nine finite: too few
+    pool += [(MONDAY + 2 * HOUR + week * i, float(i)) for i in range(12)] + [(MONDAY + 2 * HOUR + week * 12, None)]  # one or two a decile: too few
+    entries = [(1, MONDAY + 900 * week, 20.5), (2, MONDAY + HOUR, 3.0), (3, MONDAY + 2 * HOUR, 5.0), (4, MONDAY + 3 * HOUR, 20.5), (5, MONDAY, None), (6, MONDAY, 1e9)]
+    cand = spark.createDataFrame(pool, "ts_us long, pre_range double")
+    drawn = study.draw(spark.createDataFrame(entries, "entry_id long, ts_us long, pre_range double"), cand, "volatilidade", 200, seed=2).collect()
+    got = {e: {((d.cand_bar - MONDAY) % week // HOUR, (d.cand_bar - MONDAY) // week) for d in drawn if d.entry_id == e} for e in range(1, 7)}
+    flag = {e: {d.fallback for d in drawn if d.entry_id == e} for e in range(1, 7)}
+    cuts = np.quantile(np.arange(60.0), np.arange(1, 10) / 10)
+    decile = lambda x: int(np.searchsorted(cuts, x, side="right"))
+    assert got[1] == {(0, i) for i in range(60) if decile(i) == decile(20.5)} and flag[1] == {False}
+    assert got[6] == {(0, i) for i in range(60) if decile(i) == 9} and flag[6] == {False}
+    assert got[5] <= {(0, i) for i in range(60)} and len(got[5]) > 40 and flag[5] == {True}
+    assert got[2] == {(1, i) for i in range(20)} and flag[2] == {True}  # all of the hour, not finite ones too
+    assert got[3] == {(2, i) for i in range(12)} and flag[3] == {True}  # the finite ones of the hour
+    everywhere = [(0, i, float(i)) for i in range(60)] + [(1, i, float(i)) for i in range(9)] + [(2, i, float(i)) for i in range(12)]
+    cuts = np.quantile([x for *_, x in everywhere], np.arange(1, 10) / 10)
+    assert got[4] == {(h, i) for h, i, x in everywhere if decile(x) == decile(20.5)} and flag[4] == {True}  # an hour without a pool: the pool's deciles
+
+
+def test_an_interval_needs_replicates_not_values(spark):
+    rows = [(1.0, True, 0), (2.0, False, 0), (3.0, True, 1), (1.5, False, 1), (0.5, True, 2), (4.0, False, 2)]
+    v = spark.createDataFrame(rows, "x double, is_a boolean, episode long")
+    r = study.bootstrap(v, "x", "is_a", n=50).first()
+    assert r.lo is not None and 0 <= r.lo <= r.hi <= 1 and r.episodes == 3
+    assert study.bootstrap(v, "x", "is_a", n=9).first().lo is None
+
+
 def test_deciles_are_linear_cuts(spark):
     rows = [(MONDAY + 7 * DAY * i, float(i)) for i in range(20)] + [(MONDAY + HOUR + 7 * DAY * i, float("nan")) for i in range(20)]
     out = {r.pre_range: r.decile for r in study.with_cells(spark.createDataFrame(rows, "ts_us long, pre_range double")).collect()}

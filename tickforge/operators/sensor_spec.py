@@ -140,6 +140,11 @@ def logged(rows: DataFrame, every_s: int = 5) -> DataFrame:
 def spearman(rows: DataFrame, a: str, b: str, key: str) -> DataFrame:
     """Rank correlation per key, average ranks on ties."""
     both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(key, a, b).agg(F.count("*").alias("pairs"))
+    return spearman_counted(both, a, b, key)
+
+
+def spearman_counted(both: DataFrame, a: str, b: str, key: str) -> DataFrame:
+    """The same of counts: key, a, b and `pairs`, a row for each pair of values that are not null."""
     ranked = lambda name, out: counted(both, [key], name, {"n": F.sum("pairs")}).select(key, name, (F.col("n_below") + (F.col("n") + 1) / 2).alias(out))
     w = F.col("pairs")
     each = both.join(ranked(a, "ra"), [key, a]).join(ranked(b, "rb"), [key, b])

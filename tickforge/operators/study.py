@@ -19,6 +19,8 @@ EPISODE_GAPS_MIN = (5, 15, 60, 240)
 SCHEMES = ("aleatorio", "horario", "volatilidade")
 #: Least finite candidates for deciles, and least candidates within one.
 MIN_POOL, MIN_DECILE = 10, 5
+#: Least replicates of a bootstrap that have a value.
+MIN_REPLICATES = 10
 
 
 def episodes(entries: DataFrame, gap_min: float | Column, key: list[str] | None = None) -> DataFrame:
@@ -139,35 +141,54 @@ def with_cells(bars: DataFrame, value: str = "pre_range") -> DataFrame:
     return out.withColumn("decile", decile).drop("cuts")
 
 
-def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: int = 0) -> DataFrame:
+def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: int = 0, value: str = "pre_range") -> DataFrame:
     """k candidates with replacement for each entry: entry columns, `draw` (1..k), cand_ts (jittered by 0-59 s), fallback.
 
-    entries and candidates: weekday, hour, decile (from `with_cells`) and ts_us. Candidates are numbered inside their
-    cell; a hash of seed, entry and draw picks a number, and an equi-join on (cell, number) fetches it, so draws don't
-    depend on order or layout. A cell that can't serve falls back: no decile, or one with fewer than MIN_DECILE
-    candidates, to weekday and hour; those without candidates to the whole pool.
+    entries and candidates (the pool): ts_us and `value`; entries also entry_id. `aleatorio` draws from the whole pool,
+    `horario` from the entry's weekday and hour, or if the pool has none there from all. `volatilidade` starts from the
+    same and goes on to the candidates in the entry's decile, cut over the finite values there; with fewer than MIN_POOL
+    of these, or an entry without a finite value, it draws from all there, and where the decile has fewer than
+    MIN_DECILE, from the finite ones there. fallback: less was matched than the scheme asks for.
+
+    Candidates are numbered inside their cells; a hash of seed, entry and draw picks a number, and an equi-join on (cell,
+    number) fetches it, so draws don't depend on order or layout.
     """
     if scheme not in SCHEMES or k < 1:
         raise ValueError(f"scheme is one of {SCHEMES} and k positive")
-    names = {"aleatorio": [], "horario": ["weekday", "hour"], "volatilidade": ["weekday", "hour", "decile"]}
-    levels = {"volatilidade": ["volatilidade", "horario", "aleatorio"], "horario": ["horario", "aleatorio"], "aleatorio": ["aleatorio"]}[scheme]
-    label = lambda level: F.concat_ws("/", F.lit(level), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in names[level]))
-    levelled = candidates.select("ts_us", F.explode(F.array(*(label(x) for x in levels))).alias("cell"))
+    everywhere, x = F.lit("tudo"), F.col("__x")
+    keyed = lambda rows: rows.withColumns({"__x": F.col(value).cast("double"), "__hour": F.concat_ws("/", F.lit("hora"), weekday_of(F.col("ts_us")), hour_of(F.col("ts_us")))})
+    places = {"aleatorio": [everywhere], "horario": [F.col("__hour"), everywhere], "volatilidade": [F.col("__hour"), everywhere]}[scheme]
+    based = keyed(candidates).select("ts_us", "__x", F.explode(F.array(*places)).alias("base"))
+    cells = [F.col("base")]
+    if scheme == "volatilidade":
+        fine = based.where(finite(x))
+        cuts = quantiles(fine, ["base"], "__x", {f"c{i}": i / 10 for i in range(1, 10)}).join(fine.groupBy("base").agg(F.count("*").alias("finite_n")), "base")
+        cuts = staged(cuts.select("base", "finite_n", F.array(*(f"c{i}" for i in range(1, 10))).alias("cuts")), "cuts")  # 169 rows at most
+        based = based.join(cuts, "base", "left")
+        decile = F.size(F.filter("cuts", lambda c: c <= x)).cast("string")
+        cells += [F.when(finite(x), F.concat_ws("/", "base", F.lit("finitos"))), F.when(finite(x) & (F.col("finite_n") >= MIN_POOL), F.concat_ws("/", F.col("base"), decile))]
+    levelled = based.select("ts_us", F.explode(F.array_compact(F.array(*cells))).alias("cell"))
     # Places inside cells by buckets of time: counts of earlier buckets plus a rank in the own one.
     bucketed = levelled.withColumn("b", chunk_of(F.col("ts_us"), 30 * DAY))
     sizes = bucketed.groupBy("cell", "b").agg(F.count("*").alias("c"))
     before = sizes.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("cell").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
     numbered = bucketed.withColumn("r", F.row_number().over(Window.partitionBy("cell", "b").orderBy("ts_us"))).join(before, ["cell", "b"])
     numbered = numbered.select(F.col("cell").alias("c_cell"), (F.col("before") + F.col("r")).alias("c_no"), F.col("ts_us").alias("c_ts"))
-    counts = sizes.groupBy("cell").agg(F.sum("c").alias("n"))
-    cells = entries
-    for x in levels:
-        least = MIN_DECILE if x == "volatilidade" else 1
-        cells = cells.withColumn(f"cell_{x}", label(x))
-        cells = cells.join(counts.where(F.col("n") >= least).select(F.col("cell").alias(f"cell_{x}"), F.col("n").alias(f"n_{x}")), f"cell_{x}", "left")
-    able = lambda x: F.col(f"n_{x}").isNotNull() & (F.col("decile").isNotNull() if x == "volatilidade" else F.lit(True))
-    chosen = F.coalesce(*(F.when(able(x), F.struct(F.col(f"cell_{x}").alias("cell"), F.col(f"n_{x}").alias("n"), F.lit(x != scheme).alias("fallback"))) for x in levels))
-    picked = cells.withColumn("pick", chosen).where(F.col("pick").isNotNull()).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(k))))
+    counts = staged(sizes.groupBy("cell").agg(F.sum("c").alias("n")), "cells")
+    sized = lambda rows, cell, name: rows.join(counts.select(F.col("cell").alias("__cell"), F.col("n").alias(name)), cell == F.col("__cell"), "left").drop("__cell")
+    placed = sized(sized(keyed(entries), F.col("__hour"), "n_hour"), everywhere, "n_all")
+    hourly = F.col("n_hour").isNotNull() if scheme != "aleatorio" else F.lit(False)
+    placed = placed.withColumn("base", F.when(hourly, F.col("__hour")).otherwise(everywhere))
+    lost = F.lit(scheme != "aleatorio") & ~hourly
+    choice = lambda cell, n, fallback: F.struct(cell.alias("cell"), n.alias("n"), fallback.alias("fallback"))
+    whole = choice(F.col("base"), F.when(hourly, F.col("n_hour")).otherwise(F.col("n_all")), lost)
+    if scheme == "volatilidade":
+        placed = placed.join(cuts, "base", "left")
+        own, rest = F.concat_ws("/", F.col("base"), F.size(F.filter("cuts", lambda c: c <= x)).cast("string")), F.concat_ws("/", F.col("base"), F.lit("finitos"))
+        placed = sized(sized(placed, own, "n_own"), rest, "n_rest")
+        loose = ~finite(x) | x.isNull() | (F.coalesce("finite_n", F.lit(0)) < MIN_POOL)
+        whole = F.when(loose, choice(F.col("base"), F.when(hourly, F.col("n_hour")).otherwise(F.col("n_all")), F.lit(True))).when(F.col("n_own") >= MIN_DECILE, choice(own, F.col("n_own"), lost)).otherwise(choice(rest, F.col("n_rest"), F.lit(True)))
+    picked = placed.withColumn("pick", whole).where(F.col("pick.n").isNotNull()).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(k))))
     roll = lambda salt, n: dice(n, F.lit(seed), F.lit(salt), F.col("entry_id"), F.col("draw"))
     picked = picked.withColumn("no", roll(1, F.col("pick.n")) + 1)
     out = picked.join(numbered, (F.col("pick.cell") == F.col("c_cell")) & (F.col("no") == F.col("c_no")))
@@ -197,15 +218,15 @@ def superiority(values: DataFrame, column: str, is_a: str) -> DataFrame:
 
 
 def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode", n: int = 1000, seed: int = 0) -> DataFrame:
-    """CI95 of the superiority by resampling episodes: lo, hi, episodes; null below 3 episodes or 10 finite values.
+    """CI95 of the superiority by resampling episodes: lo, hi, episodes; null below 3 episodes, or 10 replicates that have values of both sides.
 
     A replicate counts each episode as often as it was drawn and ranks its values like `superiority`. Draws are hashes
     of seed, replicate and place, a row each; replicates are worked on apart from each other.
     """
     ok = staged(values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), F.col(episode).alias("e")), "values")
     names = numbered(ok.select("e").distinct().withColumn("all", F.lit(0)), ["all"], "e", "e", "no").select("e", "no")
-    total, rows = ok.agg(F.count_distinct("e"), F.count("*")).first()
-    if total < 3 or rows < 10:
+    total = ok.agg(F.count_distinct("e")).first()[0]
+    if total < 3:
         return values.sparkSession.createDataFrame([(None, None, total)], "lo double, hi double, episodes long")
     place = values.sparkSession.range(n * total).select(F.expr(f"id div {total}").alias("id"), F.pmod("id", F.lit(total)).alias("place"))
     draws = place.select("id", dice(total, F.lit(seed), F.col("id"), F.col("place")).alias("no")).groupBy("id", "no").agg(F.count("*").alias("times")).join(names, "no")
@@ -213,7 +234,8 @@ def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode
     drawn = drawn.groupBy("id", "x").agg(F.sum(F.col("a") * F.col("times")).alias("a"), F.sum(F.col("b") * F.col("times")).alias("b"))
     below = F.coalesce(F.sum("a").over(Window.partitionBy("id").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     each = drawn.withColumn("below", below).groupBy("id").agg(F.try_divide(F.sum(F.col("b") * (F.col("below") + F.col("a") / 2)), F.sum("a") * F.sum("b")).alias("p"))
-    return each.agg(F.percentile("p", F.lit(0.025)).alias("lo"), F.percentile("p", F.lit(0.975)).alias("hi"), F.lit(total).cast("long").alias("episodes"))  # n values
+    known = lambda q: F.when(F.count("p") >= MIN_REPLICATES, F.percentile("p", F.lit(q)))
+    return each.agg(known(0.025).alias("lo"), known(0.975).alias("hi"), F.lit(total).cast("long").alias("episodes"))  # n values
 
 
 def compare(real: DataFrame, drawn: DataFrame, column: str, treat_missing: str = "drop", n: int = 1000, seed: int = 0) -> DataFrame:

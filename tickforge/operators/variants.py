@@ -118,8 +118,8 @@ def scored(rows: DataFrame, variants: list[Variant], within: Column) -> list[tup
     """(score, readings) of each variant over the rows `within`: the mean over instruments of the rank correlation with the amplitude."""
     each = values(rows, variants).where(within & F.col("amplitude").isNotNull())
     long = each.select("instrument", "amplitude", F.posexplode(F.array(*(f"v{i}" for i in range(len(variants))))).alias("no", "value"))
-    keyed = long.select(F.concat_ws("/", F.col("no").cast("string"), "instrument").alias("key"), "value", "amplitude")
-    rho = sensor_spec.spearman(keyed, "value", "amplitude", "key").withColumn("no", F.substring_index("key", "/", 1).cast("int"))
+    keyed = long.where("value is not null").groupBy(F.concat_ws("/", F.col("no").cast("string"), "instrument").alias("key"), "value", "amplitude").agg(F.count("*").alias("pairs"))
+    rho = sensor_spec.spearman_counted(staged(keyed, "pairs"), "value", "amplitude", "key").withColumn("no", F.substring_index("key", "/", 1).cast("int"))
     found = {r.no: (r.score, r.n) for r in rho.groupBy("no").agg(F.round(F.avg("rho"), 6).alias("score"), F.sum("n").alias("n")).collect()}  # a row a variant
     return [found.get(i, (None, 0)) for i in range(len(variants))]
 

@@ -417,35 +417,29 @@ def prob_superiority(spark, sf_dir):
     return study.superiority(v, "bid", "is_a").withColumn("p", F.round("p", 9))
 
 
-def _drawn(spark, sf_dir, scheme):
-    candidates = study.with_cells(windows.pre_range(_h1(spark, sf_dir).where("instrument = 'view'"), 240), "pre_range")
-    entries = asof.backward(_probes(spark, sf_dir), candidates, ["weekday", "hour", "decile"]).where("match_ts is not null")
-    return study.draw(entries.select("entry_id", "ts_us", "side", "weekday", "hour", "decile"), study.pool(candidates, 24), scheme, 20, seed=1)
-
-
 _DICE = lambda n, *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT) % {n}"
+_POOL_H = max(study.HORIZONS_H)
 _DRAWS = f"""WITH {TICKS}, {_ENTRIES}, {_closed_sql(HOUR)}, r AS (SELECT ts_us, max(high) OVER w - min(low) OVER w AS r FROM b WHERE instrument = 'view' WINDOW w AS (ORDER BY ts_us RANGE BETWEEN {4 * HOUR - 1} PRECEDING AND CURRENT ROW)),
-pr AS (SELECT ts_us, lag(r) OVER (ORDER BY ts_us) AS x, CAST((ts_us // {DAY} + 3) % 7 AS INTEGER) AS weekday, CAST(ts_us % {DAY} // {HOUR} AS INTEGER) AS hour FROM r),
-cut AS (SELECT weekday, hour, quantile_cont(x, [{", ".join(str(k / 10) for k in range(1, 10))}]) AS cuts, count(x) AS n FROM pr GROUP BY ALL),
-cand AS (SELECT ts_us, weekday, hour, CASE WHEN x IS NOT NULL AND n >= 10 THEN len(list_filter(cuts, lambda c: c <= x)) END AS decile FROM pr JOIN cut USING (weekday, hour)),
-lv AS (SELECT ts_us, unnest(['aleatorio', 'horario/' || weekday || '/' || hour, 'volatilidade/' || weekday || '/' || hour || '/' || coalesce(CAST(decile AS VARCHAR), '-')]) AS cell FROM cand WHERE ts_us <= (SELECT max(ts_us) FROM pr) - {24 * HOUR}),
-num AS (SELECT cell, ts_us AS c_ts, row_number() OVER (PARTITION BY cell ORDER BY ts_us) AS no FROM lv), cnt AS (SELECT cell, count(*) AS n FROM lv GROUP BY 1),
-en AS (SELECT e.entry_id, e.ts_us, e.side, c.weekday, c.hour, c.decile FROM e ASOF JOIN cand c ON c.ts_us <= e.ts_us),
-ec AS (SELECT *, 'horario/' || weekday || '/' || hour AS ch, 'volatilidade/' || weekday || '/' || hour || '/' || coalesce(CAST(decile AS VARCHAR), '-') AS cv FROM en),
-en_n AS (SELECT ec.*, a.n AS na, h.n AS nh, CASE WHEN decile IS NOT NULL AND v.n >= 5 THEN v.n END AS nv FROM ec JOIN cnt a ON a.cell = 'aleatorio' LEFT JOIN cnt h ON h.cell = ch LEFT JOIN cnt v ON v.cell = cv),
-ch AS (SELECT entry_id, side, ts_us, 'aleatorio' AS scheme, 'aleatorio' AS cell, na AS n, false AS fallback FROM en_n
-  UNION ALL SELECT entry_id, side, ts_us, 'horario', CASE WHEN nh IS NOT NULL THEN ch ELSE 'aleatorio' END, coalesce(nh, na), nh IS NULL FROM en_n
-  UNION ALL SELECT entry_id, side, ts_us, 'volatilidade', CASE WHEN nv IS NOT NULL THEN cv WHEN nh IS NOT NULL THEN ch ELSE 'aleatorio' END, coalesce(nv, nh, na), nv IS NULL FROM en_n),
-dr AS (SELECT ch.*, draw, {_DICE("n", "1", "1", "entry_id", "draw")} + 1 AS no, {_DICE("60", "1", "2", "entry_id", "draw")} * 1000000 AS jitter FROM ch, (SELECT range AS draw FROM range(1, 21)))"""
+pr AS (SELECT ts_us, lag(r) OVER (ORDER BY ts_us) AS x, 'hora/' || ((ts_us // {DAY} + 3) % 7) || '/' || (ts_us % {DAY} // {HOUR}) AS h FROM r),
+ea AS (SELECT ts_us, x, unnest([h, 'tudo']) AS base FROM pr WHERE ts_us <= (SELECT max(ts_us) FROM pr) - {_POOL_H * HOUR}),
+cut AS (SELECT base, quantile_cont(x, [{", ".join(str(k / 10) for k in range(1, 10))}]) AS cuts, count(*) AS nf FROM ea WHERE x IS NOT NULL GROUP BY base),
+lv AS (SELECT ts_us, unnest([base, CASE WHEN x IS NOT NULL THEN base || '/finitos' END, CASE WHEN x IS NOT NULL AND nf >= 10 THEN base || '/' || len(list_filter(cuts, lambda c: c <= x)) END]) AS cell FROM ea LEFT JOIN cut USING (base)),
+num AS (SELECT cell, ts_us AS c_ts, row_number() OVER (PARTITION BY cell ORDER BY ts_us) AS no FROM lv WHERE cell IS NOT NULL), cnt AS (SELECT cell, count(*) AS n FROM num GROUP BY 1),
+en AS (SELECT e.entry_id, c.x, CASE WHEN c.h IN (SELECT cell FROM cnt) THEN c.h ELSE 'tudo' END AS base FROM e ASOF JOIN pr c ON c.ts_us <= e.ts_us),
+ec AS (SELECT en.*, nf, base || '/' || len(list_filter(cuts, lambda c: c <= x)) AS own FROM en LEFT JOIN cut USING (base)),
+ch AS (SELECT entry_id, 'aleatorio' AS scheme, 'tudo' AS cell, false AS fallback FROM ec UNION ALL SELECT entry_id, 'horario', base, base = 'tudo' FROM ec
+  UNION ALL SELECT entry_id, 'volatilidade', CASE WHEN x IS NULL OR coalesce(nf, 0) < 10 THEN base WHEN o.n >= 5 THEN own ELSE base || '/finitos' END, x IS NULL OR coalesce(nf, 0) < 10 OR coalesce(o.n, 0) < 5 OR base = 'tudo' FROM ec LEFT JOIN cnt o ON o.cell = own),
+dr AS (SELECT ch.*, draw, {_DICE("n", "1", "1", "entry_id", "draw")} + 1 AS no, {_DICE("60", "1", "2", "entry_id", "draw")} * 1000000 AS jitter FROM ch JOIN cnt USING (cell), (SELECT range AS draw FROM range(1, 21)))"""
 
 
 def _all_draws(spark, sf_dir):
-    """20 drawn entries for each real one under every scheme."""
+    """20 drawn entries for each real one under every scheme, from bars with the largest horizon ahead."""
     candidates = windows.pre_range(_h1(spark, sf_dir).where("instrument = 'view'"), 240)
-    candidates = staged(study.with_cells(candidates, "pre_range"), "candidates")
-    entries = asof.backward(_probes(spark, sf_dir), candidates, ["weekday", "hour", "decile"]).where("match_ts is not null")
-    entries = staged(entries.select("entry_id", "ts_us", "side", "weekday", "hour", "decile"), "entries")
-    pool = study.pool(candidates, 24)
+    candidates = staged(candidates.select("instrument", "ts_us", "pre_range"), "candidates")
+    entries = asof.backward(_probes(spark, sf_dir), candidates, ["pre_range"]).where("match_ts is not null")
+    # What is matched is the entry's bar: its weekday, its hour, the range before it.
+    entries = staged(entries.select("entry_id", F.col("match_ts").alias("ts_us"), "side", "pre_range"), "entries")
+    pool = staged(study.pool(candidates, _POOL_H), "pool")
     drawn = [study.draw(entries, pool, s, 20, seed=1).withColumn("scheme", F.lit(s)) for s in study.SCHEMES]
     return drawn[0].unionByName(drawn[1]).unionByName(drawn[2])
 
@@ -464,7 +458,7 @@ z AS (SELECT id, coalesce(a, 0)::DOUBLE AS a, coalesce(b, 0)::DOUBLE AS b, coale
 p AS (SELECT id, sum(b * (below + a / 2)) / (sum(a) * sum(b)) AS p FROM z GROUP BY 1)"""
 
 
-@query(_BOOT + " SELECT round(quantile_cont(p, 0.025), 9) AS lo, round(quantile_cont(p, 0.975), 9) AS hi, (SELECT total FROM total) AS episodes FROM p")
+@query(_BOOT + " SELECT CASE WHEN count(p) >= 10 THEN round(quantile_cont(p, 0.025), 9) END AS lo, CASE WHEN count(p) >= 10 THEN round(quantile_cont(p, 0.975), 9) END AS hi, (SELECT total FROM total) AS episodes FROM p")
 def bootstrap_ci(spark, sf_dir):
     real = study.episodes(tables.entries_from_events(spark, sf_dir), 240).join(_ticks(spark, sf_dir).select(F.col("seq").alias("entry_id"), "bid"), "entry_id")
     out = study.bootstrap(real.withColumn("is_a", F.col("side") == "buy"), "bid", "is_a")
