@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickforge.llm import decontaminate as dc
@@ -96,7 +98,7 @@ def test_nearest_windows():
             assert got[0][i] == far == distance(a[i], b[i][got[1][i] : got[1][i] + got[2][i]])
 
 
-@pytest.mark.parametrize("n", [5, 8, 16, 40, 59, 120, 300])
+@pytest.mark.parametrize("n", [5, 8, 16, 40, 60])
 def test_repeats_reach_the_target_on_other_copies(n):
     """Copies that the repeats were not measured with, all edits of them in one part of the item for some."""
     d = dc.edits(n, dc.RATE)
@@ -164,11 +166,71 @@ def test_very_long_text_and_repeated_rows(spark):
     assert got == [(1, 7, 300_000, 30, 0), (1, 8, 300_000, 30, 0), (2, 7, 0, 30, 0), (2, 8, 0, 30, 0)]
 
 
-def test_short_items_word_for_word_if_asked(spark):
-    docs = spark.createDataFrame([(1, "so the End came"), (2, "the very end"), (3, "end the")], "doc_id long, text string")
-    bench = spark.createDataFrame([(1, "the end"), (2, "end")], "item_id long, text string")
-    assert dc.leaks(docs, bench).count() == 0
-    assert [tuple(r) for r in dc.leaks(docs, bench, min_words=2).collect()] == [(1, 1, 1, 2, 0)]
+def test_short_items_word_for_word(spark):
+    docs = spark.createDataFrame([(1, "so the End came"), (2, "the very end"), (3, "end the"), (4, "at the long last end"), (5, "at the Long, last END")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the end"), (2, "end"), (3, "the long last end")], "item_id long, text string")
+    assert sorted(map(tuple, dc.leaks(docs, bench).collect())) == [(1, 1, 1, 2, 0), (4, 3, 1, 4, 0), (5, 3, 1, 4, 0)]
+    assert dc.leaks(docs, bench, min_words=5).count() == 0
+
+
+def test_segments_are_of_equal_length_and_one_keeps_its_share():
+    rng = random.Random(4)
+    for n in (1, 60, 61, 119, 120, 121, 1000, 5003):
+        bounds = dc.segment_bounds(n)
+        sizes = [b - a for a, b in zip(bounds, bounds[1:], strict=False)]
+        assert bounds[0] == 0 and bounds[-1] == n and max(sizes) <= dc.SEGMENT and max(sizes) - min(sizes) <= 1
+        for _ in range(20):  # however the edits lie
+            hit = [0] * len(sizes)
+            for _ in range(dc.edits(n, dc.RATE)):
+                hit[min(int(abs(rng.gauss(0, 0.6)) * len(sizes)), len(sizes) - 1)] += 1
+            assert any(e <= dc.edits(m, dc.RATE) for e, m in zip(hit, sizes, strict=True))
+
+
+def test_long_items_with_every_edit_allowed(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((61, 120, 300, 600, 1000, 5000))]
+    items += [(9, items[0][1] + [word() for _ in range(200)])]  # begins with another item
+    docs, want, within = [], set(), {}
+    for i, w in items[:6]:
+        for k in range(3 if len(w) < 5000 else 1):
+            copy, d = list(w), dc.edits(len(w), dc.RATE)
+            if k == 0:  # all in the first part
+                copy[:d] = [word() for _ in range(d)]
+            for _ in range(d if k else 0):
+                at, kind = rng.randrange(len(copy)), rng.randrange(3)
+                copy[at : at + (kind != 1)] = [] if kind == 2 else [word()]
+            docs.append((100 * i + k, " ".join([word() for _ in range(30 * k)] + copy + [word() for _ in range(25)])))
+            want.add((100 * i + k, i))
+            within[100 * i + k, i] = (d, 30 * k)
+        other = list(w)
+        for at in range(0, len(w), 3):  # too far off
+            other[at] = word()
+        docs.append((100 * i + 90, " ".join(other)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.leaks(table, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    for r in got:
+        d, at = within[r.doc_id, r.item_id]
+        assert r.edits <= d and abs(r.start_word - at) <= d
+
+
+def test_memory_of_long_items_is_that_of_short_ones():
+    rng = np.random.default_rng(6)
+    n = dc.SEGMENT
+    h = rng.integers(1 << 63, size=2 * dc.KEY_ROWS * 70).astype(np.uint64)
+    starts = np.arange(dc.KEY_ROWS) * 140  # windows that share no word: the worst case
+    tracemalloc.start()
+    dc.keys_at(h, starts, starts + 140, n, dc.window_words(n, dc.RATE), 0, dc.repeats_for(n, dc.RATE))
+    walk = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    item = rng.integers(1 << 63, size=5000).astype(np.uint64)
+    wide = np.concatenate([item, rng.integers(1 << 63, size=2200).astype(np.uint64)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(range(12)), pa.array([0] * 12), *(pa.ListArray.from_arrays(pa.array(np.arange(13) * len(x), pa.int32()), pa.array(np.tile(x, 12).view(np.int64))) for x in (wide, item))], names=["doc_id", "item", "at", "words", "item_words"])
+    (out,) = dc._verify(dc.RATE)(iter([batch]))
+    assert out.column("edits").to_pylist() == [0] * 12
+    assert walk < 100e6 and tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
 
 
 def test_no_leak_at_the_largest_distance_is_missed(spark):
