@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.times import DAY, HOUR
 
-from .chunks import chunk_of
+from .chunks import chunk_of, running_sum, with_previous
 
 
 def _asof(probes: DataFrame, rows: DataFrame, values: list[str], key: str, forward: bool, chunk_us: int) -> DataFrame:
@@ -68,6 +68,26 @@ def around(entries: DataFrame, ticks: DataFrame, minutes: int = 15, key: str = "
     return in_path(entries, ticks, minutes * 60_000_000, key, HOUR, before_us=minutes * 60_000_000)
 
 
+def stretches(entries: DataFrame, minutes: int = 15, key: str = "instrument") -> DataFrame:
+    """The time `minutes` either side of the entries (`start_ts`, `entry_id`), where it overlaps taken once: per entry its
+    columns and from_us, to_us of the stretch that holds it. Stretches of an instrument have no time in common."""
+    reach = minutes * 60_000_000
+    order = ["start_ts", "entry_id"]
+    cut = with_previous(entries, [key], order, {"__last": "start_ts"}, ts="start_ts")
+    apart = F.col("__last").isNull() | (F.col("start_ts") - F.col("__last") > 2 * reach)
+    laid = running_sum(cut.withColumn("__new", apart.cast("long")), [key], order, "__new", "__no", ts="start_ts").drop("__new", "__last")
+    # A busy day is one stretch of any number of entries: its bounds meet in partial sums, and come back by an equi-join.
+    bounds = laid.groupBy(F.col(key).alias("__k"), F.col("__no").alias("__n")).agg((F.min("start_ts") - reach).alias("from_us"), (F.max("start_ts") + reach).alias("to_us"))
+    return laid.join(bounds, (F.col(key) == F.col("__k")) & (F.col("__no") == F.col("__n"))).drop("__k", "__n", "__no")
+
+
+def within(held: DataFrame, ticks: DataFrame, key: str = "instrument", bucket_us: int = HOUR) -> DataFrame:
+    """The ticks inside the stretches `held` (key, from_us, to_us; none overlap), each once, with from_us of its stretch."""
+    cells = held.select(key, "from_us", "to_us").distinct().withColumn("__b", F.explode(F.sequence(chunk_of(F.col("from_us"), bucket_us), chunk_of(F.col("to_us"), bucket_us))))
+    near = ticks.withColumn("__b", chunk_of(F.col("ts_us"), bucket_us)).join(cells, [key, "__b"])
+    return near.where(F.col("ts_us").between(F.col("from_us"), F.col("to_us"))).drop("__b", "to_us")
+
+
 def rollovers(first_us: int, last_us: int, spark, hour: int = 21, triple_weekday: int | None = None) -> DataFrame:
     """(ts_us, weight) of the daily rollovers in [first, last]: 0 at weekends, 3 on the triple weekday, else 1."""
     from tickforge.functions.times import weekday_of

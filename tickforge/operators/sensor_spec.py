@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.times import HOUR, SECOND, day_of, floor_to, hour_of, minute_of_day, weekday_of
+from tickforge.staging import staged
 
 from .asof import backward, forward
 from .chunks import with_previous, with_rows_before
 from .ranks import counted, numbered, quantiles, tile
+from .windows import components_many
 
 STATES = ((0.25, "CALM"), (0.5, "NORMAL"), (0.75, "EXPANDING"))
 COST_CLASSES = ((0.10, "A"), (0.20, "B"))
@@ -174,6 +176,25 @@ def monotone(fifths: DataFrame, key: str) -> DataFrame:
     return fifths.groupBy(key).agg(means.alias("__m")).select(key, F.when(F.size("__m") == 5, up).otherwise(F.lit(False)).alias("increasing"))  # five rows a key
 
 
+def usual_range(ticks: DataFrame, window_s: int) -> DataFrame:
+    """instrument, minute, base_rg: the median over all days but Sundays of a minute's daily median range. 1440 rows an instrument."""
+    rg = components_many(ticks, (window_s,)).select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), F.col(f"rg_{window_s}").alias("rg"))
+    daily = rg.where(F.pmod(F.col("day") + 3, F.lit(7)) != 6).groupBy("instrument", "minute", "day").agg(F.percentile("rg", F.lit(0.5)).alias("m"))
+    return daily.groupBy("instrument", "minute").agg(F.percentile("m", F.lit(0.5)).alias("base_rg"))
+
+
+def cross_feed(ours: DataFrame, theirs: DataFrame, window_s: int, most: float = 0.15) -> DataFrame:
+    """Whether distances taken from base_rg carry over from one feed to another: per instrument the other clock's offset
+    (found by `feed_offset`, and taken off), the minutes of day that both have, the coefficient of variation of
+    base_rg(ours) / base_rg(theirs) over them, and whether that is below `most`."""
+    offset = staged(feed_offset(ours, theirs).select("instrument", "offset_h"), "offset")  # a row an instrument
+    aligned = theirs.join(offset, "instrument").withColumn("ts_us", F.col("ts_us") - F.col("offset_h") * HOUR).drop("offset_h")
+    both = usual_range(ours, window_s).join(usual_range(aligned, window_s).withColumnRenamed("base_rg", "__theirs"), ["instrument", "minute"])
+    ratio = F.when((F.col("__theirs") > 0) & F.col("base_rg").isNotNull(), F.col("base_rg") / F.col("__theirs"))
+    out = both.groupBy("instrument").agg(F.count(ratio).alias("minutes"), F.try_divide(F.stddev_samp(ratio), F.avg(ratio)).alias("cv"))
+    return out.join(offset, "instrument").select("instrument", "offset_h", "minutes", "cv", (F.col("cv") < most).alias("passed"))
+
+
 def cost_class(usd_oz: Column) -> Column:
     out = F.when(usd_oz.isNull(), F.lit(None).cast("string"))
     for limit, name in COST_CLASSES:

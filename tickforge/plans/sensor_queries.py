@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickforge.functions.times import micros
 from tickforge.operators import sensor_spec, variants, windows
+from tickforge.sources import sinks
 from tickforge.staging import staged
 
-from .queries import _RG, DAY, _closed_sql, _ticks, query
+from .queries import _RG, DAY, HOUR, TICKS, _closed_sql, _folder, _ticks, query
 
 FEED = """t AS (SELECT 'feed' AS instrument, epoch_us(ts) AS ts_us, event_id AS seq, value AS bid, value + CAST(0.01 AS DOUBLE) * CAST(json_extract(props, '$.k') AS DOUBLE) AS ask FROM events)"""
 AHEAD = 300_000_000
@@ -64,6 +66,46 @@ def amplitude_by_quintile(spark, sf_dir):
     return fifths.join(sensor_spec.monotone(fifths, "instrument"), "instrument").withColumn("mean", F.round("mean", 6))
 
 
+_BASE = lambda name, of: f"""{name}_r AS (SELECT ts_us, max(bid) OVER w - min(bid) OVER w AS rg FROM {of} WINDOW w AS (ORDER BY ts_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)),
+{name}_d AS (SELECT ts_us // {DAY} AS day, ts_us % {DAY} // 60000000 AS minute, quantile_cont(rg, 0.5) AS m FROM {name}_r WHERE (ts_us // {DAY} + 3) % 7 <> 6 GROUP BY 1, 2),
+{name} AS (SELECT minute, quantile_cont(m, 0.5) AS base FROM {name}_d GROUP BY 1)"""
+
+
+@query(
+    f"WITH {FEED}, o AS (SELECT ts_us + {3 * HOUR} AS ts_us, bid * (1.01::DOUBLE + (seq % 3) * 0.001::DOUBLE) AS bid FROM t WHERE seq % 7 <> 0), "
+    f"p AS (SELECT h, ts_us - h * {HOUR} AS ts_us, bid AS theirs FROM o, (SELECT range AS h FROM range(-12, 13))), m AS (SELECT p.h, p.ts_us, p.theirs, t.ts_us AS met, t.bid FROM p ASOF JOIN t ON t.ts_us <= p.ts_us), "
+    "d AS (SELECT h, stddev_samp(bid - theirs) AS dispersion FROM m WHERE met >= ts_us - 60000000 GROUP BY 1), f AS (SELECT h FROM d WHERE dispersion IS NOT NULL ORDER BY dispersion, h LIMIT 1), "
+    f"s AS (SELECT ts_us - (SELECT h FROM f) * {HOUR} AS ts_us, bid FROM o), {_BASE('a', 't')}, {_BASE('b', 's')}, r AS (SELECT a.base / b.base AS x FROM a JOIN b USING (minute) WHERE b.base > 0) "
+    "SELECT 'feed' AS instrument, CAST((SELECT h FROM f) AS INTEGER) AS offset_h, count(*) AS minutes, round(stddev_samp(x) / avg(x), 6) AS cv, stddev_samp(x) / avg(x) < 0.15 AS passed FROM r"
+)
+def cross_feed(spark, sf_dir):
+    """Criterion 8: a second feed of the same market, its clock three hours on, its prices a little higher, every seventh tick filtered."""
+    ours = _feed(spark, sf_dir)
+    theirs = ours.where("seq % 7 <> 0").select("instrument", (F.col("ts_us") + 3 * HOUR).alias("ts_us"), "seq", (F.col("bid") * (F.lit(1.01) + F.pmod("seq", F.lit(3)) * F.lit(0.001))).alias("bid"))
+    return sensor_spec.cross_feed(ours, theirs, 3600).withColumn("cv", F.round("cv", 6))
+
+
+_TRADES = "e AS (SELECT event_id AS entry_id, epoch_us(ts) AS start_ts, ['click', 'error', 'purchase', 'signup', 'view'][event_id % 5 + 1] AS instrument FROM events WHERE event_type = 'purchase')"
+
+
+@query(
+    f"WITH {TICKS}, {_TRADES}, l AS (SELECT *, lag(start_ts) OVER (PARTITION BY instrument ORDER BY start_ts, entry_id) AS last FROM e), n AS (SELECT *, sum(CASE WHEN last IS NULL OR start_ts - last > 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY instrument ORDER BY start_ts, entry_id) AS no FROM l), "
+    "w AS (SELECT instrument, min(start_ts) - 900000000 AS from_us, max(start_ts) + 900000000 AS to_us, count(*) AS trades FROM n GROUP BY instrument, no) "
+    "SELECT w.instrument, from_us, to_us, trades, count(t.seq) AS ticks, count(DISTINCT t.seq) AS different, min(t.ts_us) AS first_us, max(t.ts_us) AS last_us FROM w LEFT JOIN t ON t.instrument = w.instrument AND t.ts_us BETWEEN from_us AND to_us GROUP BY ALL"
+)
+def trade_windows(spark, sf_dir):
+    """The raw ticks around all trades, written once each and read back: no stretch holds a tick twice, each trade finds its own."""
+    path = _folder(spark, "windows")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'purchase'")
+    names = F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view")))
+    trades = e.select(F.col("event_id").alias("entry_id"), micros(F.col("ts")).alias("start_ts"), F.get(names, F.pmod("event_id", F.lit(5)).cast("int")).alias("instrument"))
+    sinks.write_windows(trades, _ticks(spark, sf_dir), path)
+    stretches = spark.read.parquet(f"{path}/trades").groupBy("instrument", "from_us", "to_us").agg(F.count("*").alias("trades"))
+    ticks = spark.read.parquet(f"{path}/ticks").groupBy("instrument", "from_us").agg(F.count("*").alias("ticks"), F.count_distinct("seq").alias("different"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
+    out = stretches.join(ticks, ["instrument", "from_us"], "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("ticks", "different")})
+
+
 def _unit(x: str) -> str:
     return f"CASE WHEN {x} IS NULL OR u_{x} IS NULL THEN NULL WHEN {x} + u_{x} = 0 THEN 0 ELSE {x} / ({x} + u_{x}) END AS n_{x}"
 

@@ -7,11 +7,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tickforge.functions.times import iso_millis
+from tickforge.functions.times import day_of, iso_millis
 from tickforge.layout import NO_ACCOUNT
+from tickforge.operators import asof
 from tickforge.operators.bars import with_partitions
 from tickforge.schemas import BAR, DEAL, LOG, TICK
+from tickforge.staging import staged
 
 LEVELS = ("info", "warn", "error")
 
@@ -21,8 +24,8 @@ def _write(rows: DataFrame, path: str, schema, by: list[str]) -> None:
     missing = [f.name for f in schema if f.name not in cut.columns]
     cut = cut.withColumns({n: F.lit(None) for n in missing}) if missing else cut
     typed = cut.select(*(F.col(f.name).cast(f.dataType) for f in schema), "year", "month")
-    # A partition's rows meet in few files, in time order.
-    typed.repartition(*by).sortWithinPartitions(*by, "ts_us").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+    # A day of a partition meets in one file, in time order: a month of a busy instrument is no single task.
+    typed.repartition(*by, day_of(F.col("ts_us"))).sortWithinPartitions(*by, "ts_us").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
 def write_ticks(ticks: DataFrame, path: str) -> None:
@@ -33,6 +36,15 @@ def write_bars(bars: DataFrame, path: str) -> None:
     _write(bars, path, BAR, ["instrument", "timeframe", "year", "month"])
 
 
+def write_windows(entries: DataFrame, ticks: DataFrame, path: str, minutes: int = 15) -> None:
+    """The raw ticks `minutes` either side of every trade (entry_id, instrument, start_ts), a tick near several of them
+    written once: `path`/ticks by instrument and month, and `path`/trades, which names each trade's stretch."""
+    held = staged(asof.stretches(entries, minutes), "stretches")
+    schema = StructType([*TICK.fields, StructField("from_us", LongType())])
+    _write(asof.within(held, ticks), f"{path}/ticks", schema, ["instrument", "year", "month"])
+    held.write.mode("overwrite").parquet(f"{path}/trades")
+
+
 def ingest(ticks: DataFrame, path: str) -> int:
     """Writes ticks and returns how many, counted while writing."""
     from pyspark.sql import Observation
