@@ -10,10 +10,11 @@ os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     return s

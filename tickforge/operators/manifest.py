@@ -109,10 +109,6 @@ def counts(findings: DataFrame) -> DataFrame:
     return findings.groupBy("severidade").agg(F.count("*").alias("n"))
 
 
-def exit_code(findings: DataFrame) -> int:
-    return int(not findings.where(F.col("severidade") == ERRO).isEmpty())
-
-
 def human_numbers(docs: DataFrame) -> DataFrame:
     """Per document: a point's and a tick's worth, the swap a night in USD per ounce by side, and the current spread."""
     s = _pick(docs, "specs")

@@ -51,13 +51,22 @@ def counted(rows: DataFrame, key: list[str], value: str, weights: dict[str, Colu
 
 
 def quantiles(rows: DataFrame, key: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
-    """key and each named quantile of the values that are not null, linear between neighbours (like `percentile`)."""
-    each = _values(rows, key, value, {"n": F.count("*")})
-    c = _below(each, key, value, ["n"]).join(each.groupBy(*key).agg(F.sum("n").alias("__total")), key)
-    holds = lambda rank: F.max(F.when((F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n")), F.col(value)))
+    """key and each named quantile of the values that are not null, linear between neighbours (like `percentile`).
+
+    Selection: the sums of buckets say which of them hold the wanted ranks, and the values of those alone are ranked.
+    """
+    each = _bucketed(rows.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count("*").alias("n")), key, value)
+    each = staged(each, "values")
+    w = Window.partitionBy(*key)
+    sizes = each.groupBy(*key, "__bucket").agg(F.sum("n").alias("__n"))  # a row a bucket
+    sizes = sizes.withColumns({"__before": F.coalesce(F.sum("__n").over(w.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "__total": F.sum("__n").over(w)})
     at = {name: F.lit(p) * (F.col("__total") - 1) for name, p in probabilities.items()}
-    ends = [e for name, x in at.items() for e in (holds(F.floor(x)).alias(f"__lo_{name}"), holds(F.ceil(x)).alias(f"__hi_{name}"))]
-    out = c.groupBy(*key, "__total").agg(*ends)
+    ranks = {f"__{end}_{name}": f(x) for name, x in at.items() for end, f in (("lo", F.floor), ("hi", F.ceil))}
+    wanted = sizes.where(F.exists(F.array(*ranks.values()), lambda r: (F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))).drop("__n")
+    below = F.col("__before") + F.coalesce(F.sum("n").over(Window.partitionBy(*key, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = each.join(wanted, [*key, "__bucket"]).withColumn("__below", below)
+    holds = lambda rank: F.max(F.when((F.col("__below") <= rank) & (rank < F.col("__below") + F.col("n")), F.col(value)))
+    out = held.groupBy(*key, "__total").agg(*(holds(rank).alias(name) for name, rank in ranks.items()))
     between = lambda name: F.col(f"__lo_{name}") * (F.lit(1.0) - (at[name] - F.floor(at[name]))) + F.col(f"__hi_{name}") * (at[name] - F.floor(at[name]))
     return out.select(*key, *(between(name).alias(name) for name in probabilities))
 

@@ -49,8 +49,3 @@ def top_divergences(ours: DataFrame, reference: DataFrame, n: int = 10, key: tup
     """The n common labels with the largest difference in any field, earliest first among equals."""
     m = matched(ours, reference, key).where("in_ours and in_reference")
     return m.withColumn("worst", F.greatest(*(F.col(f"d_{f}") for f in FIELDS))).orderBy(F.desc("worst"), *key).limit(n).select(*key, *(f"d_{f}" for f in FIELDS), "worst")
-
-
-def stage_outcome(ours: DataFrame, reference: DataFrame) -> str:
-    """sem_barras, sem_referencia or comparado."""
-    return "sem_barras" if ours.isEmpty() else "sem_referencia" if reference.isEmpty() else "comparado"

@@ -702,7 +702,7 @@ def partitioned_ticks(spark, sf_dir):
     """All ticks written by instrument and month, one of each read back."""
     path = _folder(spark, "ticks")
     assert sinks.ingest(_ticks(spark, sf_dir), path) >= 0
-    return tables.read_partitioned(spark, path, "ticks", "view", "2024-01", "2024-01").drop("bid_vol", "ask_vol")
+    return tables.read_partitioned(spark, path, "ticks", "view", "2024-01", "2024-01", required=True).drop("bid_vol", "ask_vol")
 
 
 @query(f"WITH {TICKS}, {_closed_sql(HOUR)} SELECT *, 'H1' AS timeframe, CAST(strftime(make_timestamp(ts_us), '%Y') AS INTEGER) AS year, CAST(strftime(make_timestamp(ts_us), '%m') AS INTEGER) AS month FROM b")

@@ -13,8 +13,8 @@ from tickforge.functions.values import plain_text
 from tickforge.schemas import BAR, DEAL, SPECS, SPECS_ID, TICK, FeedConfig, InstrumentSpec
 
 
-def read_partitioned(spark: SparkSession, path: str, kind: str, instrument: str | None = None, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Ticks or bars written by `sinks`, between two months 'YYYY-MM' (inclusive). Partition and time filters reach the scan."""
+def read_partitioned(spark: SparkSession, path: str, kind: str, instrument: str | None = None, first: str | None = None, last: str | None = None, required: bool = False) -> DataFrame:
+    """Ticks or bars written by `sinks`, between two months 'YYYY-MM' (inclusive). Partition and time filters reach the scan. required: an error if there are none."""
     base = {"ticks": TICK, "bars": BAR}[kind]
     rows = spark.read.schema(T.StructType([*base.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])).parquet(path)
     number = F.col("year") * 12 + F.col("month")
@@ -22,7 +22,8 @@ def read_partitioned(spark: SparkSession, path: str, kind: str, instrument: str
         if bound:
             y, m = map(int, bound.split("-"))
             rows = rows.where(keep(y * 12 + m))
-    return rows.where(F.col("instrument") == instrument) if instrument else rows
+    rows = rows.where(F.col("instrument") == instrument) if instrument else rows
+    return require_rows(rows, f"{kind} of {instrument or 'all'} from {first} to {last}") if required else rows
 
 
 def month_bounds(year: int, month: int) -> tuple[int, int]:
