@@ -10,7 +10,8 @@
    passage is missed, whatever the bitmap's size; a fuller one only prunes less.
 
 Edge cases: null texts are empty and repeat nothing; within one text later occurrences are repeated too; a null doc_id
-takes no part; rows that share a doc_id don't repeat each other and each keeps its first occurrence, `text_hash` (32
+takes no part; a text that repeats itself without a break keeps its first period only, since every later window overlaps
+the first one (a word a hundred times stays once); rows that share a doc_id don't repeat each other and each keeps its first occurrence, `text_hash` (32
 bits of a hash of the text) tells their passages apart; rows with equal doc_id and text count as one; texts of any
 length are worked on as a whole, one at a time; extra columns are ignored or kept.
 """
