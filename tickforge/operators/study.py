@@ -158,15 +158,15 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
     everywhere, x = F.lit("tudo"), F.col("__x")
     keyed = lambda rows: rows.withColumns({"__x": F.col(value).cast("double"), "__hour": F.concat_ws("/", F.lit("hora"), weekday_of(F.col("ts_us")), hour_of(F.col("ts_us")))})
     places = {"aleatorio": [everywhere], "horario": [F.col("__hour"), everywhere], "volatilidade": [F.col("__hour"), everywhere]}[scheme]
-    based = keyed(candidates).select("ts_us", "__x", F.explode(F.array(*places)).alias("base"))
-    cells = [F.col("base")]
+    based = keyed(candidates).select("ts_us", "__x", F.explode(F.array(*places)).alias("__base"))
+    cells = [F.col("__base")]
     if scheme == "volatilidade":
         fine = based.where(finite(x))
-        cuts = quantiles(fine, ["base"], "__x", {f"c{i}": i / 10 for i in range(1, 10)}).join(fine.groupBy("base").agg(F.count("*").alias("finite_n")), "base")
-        cuts = staged(cuts.select("base", "finite_n", F.array(*(f"c{i}" for i in range(1, 10))).alias("cuts")), "cuts")  # 169 rows at most
-        based = based.join(cuts, "base", "left")
-        decile = F.size(F.filter("cuts", lambda c: c <= x)).cast("string")
-        cells += [F.when(finite(x), F.concat_ws("/", "base", F.lit("finitos"))), F.when(finite(x) & (F.col("finite_n") >= MIN_POOL), F.concat_ws("/", F.col("base"), decile))]
+        cuts = quantiles(fine, ["__base"], "__x", {f"c{i}": i / 10 for i in range(1, 10)}).join(fine.groupBy("__base").agg(F.count("*").alias("__finite")), "__base")
+        cuts = staged(cuts.select("__base", "__finite", F.array(*(f"c{i}" for i in range(1, 10))).alias("__cuts")), "cuts")  # 169 rows at most
+        based = based.join(cuts, "__base", "left")
+        decile = F.size(F.filter("__cuts", lambda c: c <= x)).cast("string")
+        cells += [F.when(finite(x), F.concat_ws("/", "__base", F.lit("finitos"))), F.when(finite(x) & (F.col("__finite") >= MIN_POOL), F.concat_ws("/", F.col("__base"), decile))]
     levelled = based.select("ts_us", F.explode(F.array_compact(F.array(*cells))).alias("cell"))
     # Places inside cells by buckets of time: counts of earlier buckets plus a rank in the own one.
     bucketed = levelled.withColumn("b", chunk_of(F.col("ts_us"), 30 * DAY))
@@ -176,18 +176,18 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
     numbered = numbered.select(F.col("cell").alias("c_cell"), (F.col("before") + F.col("r")).alias("c_no"), F.col("ts_us").alias("c_ts"))
     counts = staged(sizes.groupBy("cell").agg(F.sum("c").alias("n")), "cells")
     sized = lambda rows, cell, name: rows.join(counts.select(F.col("cell").alias("__cell"), F.col("n").alias(name)), cell == F.col("__cell"), "left").drop("__cell")
-    placed = sized(sized(keyed(entries), F.col("__hour"), "n_hour"), everywhere, "n_all")
-    hourly = F.col("n_hour").isNotNull() if scheme != "aleatorio" else F.lit(False)
-    placed = placed.withColumn("base", F.when(hourly, F.col("__hour")).otherwise(everywhere))
+    placed = sized(sized(keyed(entries), F.col("__hour"), "__n_hour"), everywhere, "__n_all")
+    hourly = F.col("__n_hour").isNotNull() if scheme != "aleatorio" else F.lit(False)
+    placed = placed.withColumn("__base", F.when(hourly, F.col("__hour")).otherwise(everywhere))
     lost = F.lit(scheme != "aleatorio") & ~hourly
     choice = lambda cell, n, fallback: F.struct(cell.alias("cell"), n.alias("n"), fallback.alias("fallback"))
-    whole = choice(F.col("base"), F.when(hourly, F.col("n_hour")).otherwise(F.col("n_all")), lost)
+    whole = choice(F.col("__base"), F.when(hourly, F.col("__n_hour")).otherwise(F.col("__n_all")), lost)
     if scheme == "volatilidade":
-        placed = placed.join(cuts, "base", "left")
-        own, rest = F.concat_ws("/", F.col("base"), F.size(F.filter("cuts", lambda c: c <= x)).cast("string")), F.concat_ws("/", F.col("base"), F.lit("finitos"))
-        placed = sized(sized(placed, own, "n_own"), rest, "n_rest")
-        loose = ~finite(x) | x.isNull() | (F.coalesce("finite_n", F.lit(0)) < MIN_POOL)
-        whole = F.when(loose, choice(F.col("base"), F.when(hourly, F.col("n_hour")).otherwise(F.col("n_all")), F.lit(True))).when(F.col("n_own") >= MIN_DECILE, choice(own, F.col("n_own"), lost)).otherwise(choice(rest, F.col("n_rest"), F.lit(True)))
+        placed = placed.join(cuts, "__base", "left")
+        own, rest = F.concat_ws("/", F.col("__base"), F.size(F.filter("__cuts", lambda c: c <= x)).cast("string")), F.concat_ws("/", F.col("__base"), F.lit("finitos"))
+        placed = sized(sized(placed, own, "__n_own"), rest, "__n_rest")
+        loose = ~finite(x) | x.isNull() | (F.coalesce("__finite", F.lit(0)) < MIN_POOL)
+        whole = F.when(loose, choice(F.col("__base"), F.when(hourly, F.col("__n_hour")).otherwise(F.col("__n_all")), F.lit(True))).when(F.col("__n_own") >= MIN_DECILE, choice(own, F.col("__n_own"), lost)).otherwise(choice(rest, F.col("__n_rest"), F.lit(True)))
     picked = placed.withColumn("pick", whole).where(F.col("pick.n").isNotNull()).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(k))))
     roll = lambda salt, n: dice(n, F.lit(seed), F.lit(salt), F.col("entry_id"), F.col("draw"))
     picked = picked.withColumn("no", roll(1, F.col("pick.n")) + 1)

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.sessions import Sessions
-from tickforge.session import SETTINGS
 from tickforge.staging import hadoop_path
 from tickforge.streaming import sessions, stateful
 
@@ -34,7 +33,6 @@ def streamed(rows: DataFrame, order: str, build: Callable[[DataFrame], DataFrame
         fs.setTimes(path, began + 10 * i, -1)
     fs, out = hadoop_path(spark, f"{root}/out")
     fs.mkdirs(out)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", SETTINGS["spark.sql.streaming.stateStore.providerClass"])
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     run = build(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/out")
     run.awaitTermination()

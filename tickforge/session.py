@@ -17,3 +17,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def with_rocksdb(spark: SparkSession) -> SparkSession:
+    """The store that operators with several states a key need, for the streams that start from now on."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, SETTINGS[key])
+    return spark

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tickforge.functions.sessions import Sessions
+from tickforge.session import with_rocksdb
 
 SILENCE_SCHEMA = "instrument string, at_us long, last_us long, feed string"
 EPISODE_SCHEMA = "instrument string, episode long, side string, first_us long, last_us long, n long, closed_by string, entry_id long, late boolean"
@@ -101,6 +102,7 @@ class Silence(_Timed):
 def _clocked(rows: DataFrame, clock: str, delay: str) -> DataFrame:
     if clock not in CLOCKS:
         raise ValueError(f"clock is one of {list(CLOCKS)}")
+    with_rocksdb(rows.sparkSession)
     return rows.withColumn("event_time", F.timestamp_micros("ts_us")).withWatermark("event_time", delay) if clock == "event" else rows
 
 

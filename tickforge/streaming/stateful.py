@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tickforge.operators.windows import rolling
+from tickforge.session import with_rocksdb
 
 BAR_SCHEMA = "instrument string, ts_us long, open double, high double, low double, close double, range_usd_oz double, n_ticks long, late boolean"
 BAR_STATE = "label long, last_us long, open double, high double, low double, close double, n long"
@@ -106,6 +107,7 @@ def sensor(ticks: DataFrame, window_s: float, price: str = "bid") -> DataFrame:
     window_us = int(window_s * 1_000_000)
     if window_us <= 0:
         raise ValueError("the window must be positive")
+    with_rocksdb(ticks.sparkSession)
     return ticks.select("instrument", "ts_us", "seq", price).groupBy("instrument").transformWithStateInPandas(Sensor(window_us, price), SENSOR_SCHEMA, "Append", "None")
 
 
