@@ -171,9 +171,15 @@ def completeness_total(spark, sf_dir):
     return out.select("presente", "vazio", "ausente", "falhou", F.size("missing").cast("long").alias("listed"), F.array_max("missing").alias("last_listed"), "complete")
 
 
-@query(f"SELECT range * {HOUR} AS hour_us FROM range({JANUARY[0] // HOUR}, {JANUARY[1] // HOUR})")
+@query(f"WITH {TICKS}, b AS (SELECT min(ts_us) // {HOUR} AS a, max(ts_us) // {HOUR} + 1 AS z FROM t) SELECT hour_us, state, row_number() OVER (ORDER BY hour_us DESC) AS turn FROM (SELECT h.range * {HOUR} AS hour_us, CASE WHEN n IS NULL THEN 'falhou' ELSE 'presente' END AS state FROM range((SELECT a FROM b), (SELECT z FROM b)) h LEFT JOIN (SELECT ts_us // {HOUR} AS hour, count(*) AS n FROM t WHERE instrument = 'error' GROUP BY 1) k ON k.hour = h.range)")
 def hours_reverse(spark, sf_dir):
-    return quality.hour_calendar(spark, *JANUARY, reverse=True)
+    """The hours from the first tick to the last, newest first as a download goes, and which of them `error` has ticks in."""
+    t = _ticks(spark, sf_dir)
+    first, last = t.agg(F.coalesce(F.min("ts_us"), F.lit(0)), F.coalesce(F.max("ts_us"), F.lit(-1))).first()
+    calendar = quality.hour_calendar(spark, first // HOUR * HOUR, (last // HOUR + 1) * HOUR, reverse=True)
+    seen = t.where("instrument = 'error'").select(times.floor_to(F.col("ts_us"), 3600).alias("hour_us")).distinct().withColumn("seen", F.lit(True))
+    out = calendar.join(seen, "hour_us", "left").withColumn("turn", F.lit((last // HOUR + 1)) - F.floor(F.col("hour_us") / HOUR))
+    return out.select("hour_us", F.when(F.col("seen"), "presente").otherwise("falhou").alias("state"), "turn")
 
 
 _CHAIN = f"""WITH {TICKS}, h AS (SELECT instrument, ts_us - ts_us % {HOUR} AS hour_us, arg_min(bid, (ts_us, seq)) AS first_bid, min(ts_us) AS first_us, arg_max(bid, (ts_us, seq)) AS last_bid, max(ts_us) AS last_us FROM t GROUP BY ALL),
@@ -593,12 +599,17 @@ def cost_profile(spark, sf_dir):
     return t.groupBy("instrument", "cost_class").agg(F.count("*").alias("n"))
 
 
-@query("SELECT h AS hours, c.side, round(s.n * CASE WHEN c.side = 'buy' THEN 0.5 ELSE -0.1 END::DOUBLE, 6) + 0.0 AS hold_cost FROM (VALUES (1, 0), (24, 1), (72, 5), (168, 7)) s(h, n), (VALUES ('buy'), ('sell')) c(side)")
+@query(
+    f"WITH {_ENTRIES}, {_ROLL}, x AS (SELECT entry_id, side, ts_us, [1, 24, 72, 168][entry_id % 4 + 1] AS hours FROM e), y AS (SELECT x.*, (SELECT coalesce(sum(w), 0)::BIGINT FROM k WHERE roll_us > x.ts_us AND roll_us <= x.ts_us + x.hours * {HOUR}) AS nights FROM x) "
+    "SELECT hours, side, CAST(ts_us % 86400000000 // 3600000000 AS INTEGER) AS hour, count(*) AS n, sum(nights)::BIGINT AS nights, round(sum(nights * CASE WHEN side = 'buy' THEN 0.5 ELSE -0.1 END::DOUBLE), 6) + 0.0 AS hold_cost FROM y GROUP BY ALL"
+)
 def hold_costs(spark, sf_dir):
-    """What holding from a Monday noon costs over 1, 24, 72 and 168 hours."""
-    start = 19723 * DAY + 12 * HOUR
-    grid = spark.range(1).select(F.explode(F.array(*map(F.lit, (1, 24, 72, 168)))).alias("hours")).withColumn("side", F.explode(F.array(F.lit("buy"), F.lit("sell"))))
-    return grid.withColumn("hold_cost", F.round(study.swap_paid(F.lit(start), F.lit(start) + F.col("hours") * HOUR, F.col("side"), COST), 6) + F.lit(0.0))
+    """What holding each entry for 1, 24, 72 or 168 hours costs, by side and hour of day."""
+    e = tables.entries_from_events(spark, sf_dir).withColumn("hours", F.get(F.array(*map(F.lit, (1, 24, 72, 168))), F.pmod("entry_id", F.lit(4)).cast("int")))
+    end = F.col("ts_us") + F.col("hours") * HOUR
+    count = asof.nights(end, 0, COST.rollover_hour, COST.triple_weekday) - asof.nights(F.col("ts_us"), 0, COST.rollover_hour, COST.triple_weekday)
+    each = e.withColumns({"nights": count.cast("long"), "cost": study.swap_paid(F.col("ts_us"), end, F.col("side"), COST), "hour": times.hour_of(F.col("ts_us"))})
+    return each.groupBy("hours", "side", "hour").agg(F.count("*").alias("n"), F.sum("nights").alias("nights"), (F.round(F.sum("cost"), 6) + F.lit(0.0)).alias("hold_cost"))
 
 
 @query(
