@@ -135,3 +135,16 @@ def test_deciles_are_linear_cuts(spark):
     rows = [(MONDAY + 7 * DAY * i, float(i)) for i in range(20)] + [(MONDAY + HOUR + 7 * DAY * i, float("nan")) for i in range(20)]
     out = {r.pre_range: r.decile for r in study.with_cells(spark.createDataFrame(rows, "ts_us long, pre_range double")).collect()}
     assert out[0.0] == 0 and out[19.0] == 9 and out[10.0] == 5
+
+
+def test_synthetic_legs_across_blocks(spark):
+    rows = [("A", i, 1 + i % 3, float(i)) for i in range(9000)] + [("A", 9000, 0, 5.0), ("B", 3, 2, 10.0)]
+    got = study.synthetic(spark.createDataFrame(rows, "instrument string, leg long, seconds long, price double"), MONDAY, 4.0, 0.5)
+    want, px = {0: 4.0}, 4.0
+    for _, _, seconds, end in rows[:9000]:
+        at = max(want)
+        want |= {at + j: px + (end - px) * j / seconds for j in range(1, seconds + 1)}
+        px = end
+    a = {r.seq: r for r in got.where("instrument = 'A'").collect()}
+    assert {n: r.bid for n, r in a.items()} == pytest.approx(want) and all(r.ts_us == MONDAY + n * 1_000_000 for n, r in a.items())
+    assert [(r.seq, r.bid, r.ask) for r in got.where("instrument = 'B'").orderBy("seq").collect()] == [(0, 4.0, 4.5), (1, 7.0, 7.5), (2, 10.0, 10.5)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.times import DAY, HOUR, MINUTE, SECOND, hour_of, weekday_of
@@ -196,14 +196,19 @@ def draw(entries: DataFrame, candidates: DataFrame, scheme: str, k: int, seed: i
     return out.select(*entries.columns, "draw", (F.col("c_ts") + jitter).alias("cand_ts"), F.col("c_ts").alias("cand_bar"), F.col("pick.fallback").alias("fallback"))
 
 
-def synthetic(spark: SparkSession, legs: list[tuple[int, float]], start_us: int, first: float, spread: float, instrument: str = "synthetic") -> DataFrame:
-    """Ticks a second apart that go from `first` in straight legs of (seconds, end price): a series whose results are known."""
-    out, at, px = spark.range(1).select(F.lit(0).cast("long").alias("n"), F.lit(float(first)).alias("bid")), 0, float(first)
-    for seconds, end in legs:
-        share = (F.col("id") + 1) / F.lit(float(seconds))
-        out = out.unionByName(spark.range(seconds).select((F.col("id") + 1 + at).alias("n"), (F.lit(px) + F.lit(end - px) * share).alias("bid")))
-        at, px = at + seconds, float(end)
-    return out.select(F.lit(instrument).alias("instrument"), (F.lit(start_us) + F.col("n") * SECOND).alias("ts_us"), F.col("n").alias("seq"), "bid", (F.col("bid") + spread).alias("ask"))
+def synthetic(legs: DataFrame, start_us: int, first: float, spread: float, key: str = "instrument") -> DataFrame:
+    """Ticks a second apart that go from `first` in straight legs: series whose results are known.
+
+    legs: key, leg (their order), seconds (1 or more; others add no tick), price (where the leg ends). A series of many
+    legs is no task of its own: a leg needs the price before it and the seconds until it, both carried over blocks of legs.
+    """
+    used = legs.where("seconds >= 1")
+    laid = with_previous(used, [key], ["leg"], {"__from": "price"}, ts="leg", chunk_us=4096)
+    laid = running_sum(laid, [key], ["leg"], "seconds", "__until", ts="leg", chunk_us=4096)
+    at = laid.withColumns({"__from": F.coalesce("__from", F.lit(float(first))), "__i": F.explode(F.sequence(F.lit(1).cast("long"), F.col("seconds").cast("long")))})
+    ticks = at.select(key, (F.col("__until") - F.col("seconds") + F.col("__i")).cast("long").alias("seq"), (F.col("__from") + (F.col("price") - F.col("__from")) * F.col("__i") / F.col("seconds")).alias("bid"))
+    starts = used.select(key).distinct().select(key, F.lit(0).cast("long").alias("seq"), F.lit(float(first)).alias("bid"))
+    return starts.unionByName(ticks).select(key, (F.lit(start_us) + F.col("seq") * SECOND).alias("ts_us"), "seq", "bid", (F.col("bid") + spread).alias("ask"))
 
 
 def superiority(values: DataFrame, column: str, is_a: str) -> DataFrame:

@@ -662,35 +662,65 @@ OFFERED = {
     "specs.trade_tick_size": "0.01", "specs.trade_stops_level": "20", "specs.volume_min": "0.1", "specs.volume_max": "50.0", "specs.volume_step": "0.1", "specs.filling_mode": "FOK|IOC", "specs.currency_profit": "USD",
     "swap.long": "-6.25", "swap.short": "1.5", "swap.mode": "POINTS", "swap.rollover3days": "Friday",
 }
-#: document, the path of the server's report that is changed there, and its value.
-_CHANGED = [("digits", "specs.digits", "3"), ("mode", "swap.mode", "INTEREST_OPEN"), ("filling", "specs.filling_mode", "FOK|BOC"), ("account", "account.source", "demo"), ("swap", "swap.short", "2.5")]
 
 
-def _documents(spark):
-    rows = [("same", side, p, v) for side, of in (("manifest", DECLARED), ("specs", OFFERED)) for p, v in of.items()]
-    for doc, path, value in _CHANGED:
-        rows += [(doc, side, p, v) for side, of in (("manifest", DECLARED), ("specs", {**OFFERED, path: value})) for p, v in of.items()]
-    return spark.createDataFrame(rows, "doc string, side string, path string, value string")
-
-
-_FINDINGS = """(VALUES ('account', 'is_demo', 'false', 'demo', 'erro'), ('digits', 'specs.point', '0.001', '0.01', 'erro'), ('digits', 'symbol.digits', '2', '3', 'erro'), ('filling', 'execution.filling', 'FOK|IOC', 'IOC', 'erro'),
-  ('filling', 'execution.filling', 'FOK|IOC', 'BOC', 'info'), ('mode', 'swap.mode', 'POINTS', 'INTEREST_OPEN', 'erro'), ('swap', 'swap.sell_points', '1.5', '2.5', 'erro')) f(doc, campo, manifesto, servidor, severidade)"""
-
-
-@query(f"SELECT * FROM {_FINDINGS}")
+def _documents(spark, sf_dir):
+    """A manifest and a server's report for each part, by path; keys that some numbers divide have a field that is off, empty or absent."""
+    k, price_digits = F.col("p_partkey"), F.pmod("p_partkey", F.lit(3)) + 1
+    every = lambda n: F.pmod(k, F.lit(n)) == 0
+    alias = F.concat("p_name", F.lit(".x"))
+    point = F.element_at(F.array(*map(F.lit, ("0.1", "0.01", "0.001"))), price_digits.cast("int"))
+    declared = DECLARED | {
+        "symbol.resolve": F.when(every(19), F.lit("gone")).otherwise(F.concat_ws("|", "p_name", alias)), "symbol.contract_oz": F.col("p_size") * 100,
+        "symbol.digits": F.when(every(13), F.lit("VERIFICAR")).otherwise(price_digits.cast("string")), "swap.sell_points": F.when(~every(17), F.lit("1.5")),
+    }
+    offered = OFFERED | {
+        "symbol": alias, "specs.digits": F.when(every(7), F.pmod(price_digits, F.lit(3)) + 1).otherwise(price_digits), "specs.point": point,
+        "specs.trade_contract_size": F.concat(F.col("p_size") * 100 + every(23).cast("int"), F.lit(".0")), "specs.trade_tick_size": F.when(every(5), F.lit("0.5")).otherwise(point),
+        "specs.filling_mode": F.when(every(6), F.lit("FOK|BOC")).when(F.pmod(k, F.lit(6)) == 1, F.lit("FOK")).otherwise(F.lit("FOK|IOC")), "account.source": F.when(every(29), F.lit("demo")).otherwise(F.lit("real")),
+        "swap.mode": F.when(every(31), F.lit("INTEREST_OPEN")).otherwise(F.lit("POINTS")), "swap.long": F.when(F.pmod(k, F.lit(10)) == 3, F.lit("-7")).otherwise(F.lit("-6.25")),
+    }
+    absent = {"specs.volume_max": every(37)}
+    text = lambda v: (F.lit(v) if isinstance(v, str) else v).cast("string")
+    leaf = lambda side, p, v: F.when(~absent.get(p, F.lit(False)), F.struct(F.lit(side).alias("side"), F.lit(p).alias("path"), text(v).alias("value")))
+    leaves = [leaf(side, p, v) for side, of in (("manifest", declared), ("specs", offered)) for p, v in of.items()]
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return part.select(k.cast("string").alias("doc"), F.explode(F.array_compact(F.array(*leaves))).alias("leaf")).select("doc", "leaf.*")
+
+
+_PARTS = """p AS (SELECT p_partkey AS k, p_name || '.x' AS s, p_size * 100 AS oz, CASE WHEN p_partkey % 7 = 0 THEN (1 + p_partkey % 3) % 3 + 1 ELSE 1 + p_partkey % 3 END AS d, 1 + p_partkey % 3 AS d0,
+  ['0.1', '0.01', '0.001'] AS pts FROM part)"""
+_FINDINGS = f"""WITH {_PARTS}, f AS (
+  SELECT k, 'symbol.resolve' AS campo, 'gone' AS manifesto, s AS servidor, 'erro' AS severidade FROM p WHERE k % 19 = 0
+  UNION ALL SELECT k, 'symbol.contract_oz', CAST(oz AS VARCHAR), (oz + 1) || '.0', 'erro' FROM p WHERE k % 23 = 0
+  UNION ALL SELECT k, 'symbol.digits', 'VERIFICAR', CAST(d AS VARCHAR), 'pendente' FROM p WHERE k % 13 = 0
+  UNION ALL SELECT k, 'symbol.digits', CAST(d0 AS VARCHAR), CAST(d AS VARCHAR), 'erro' FROM p WHERE k % 13 <> 0 AND k % 7 = 0
+  UNION ALL SELECT k, 'symbol.volume_max', '50', NULL, 'erro' FROM p WHERE k % 37 = 0
+  UNION ALL SELECT k, 'execution.filling', 'FOK|IOC', 'IOC', 'erro' FROM p WHERE k % 6 < 2
+  UNION ALL SELECT k, 'execution.filling', 'FOK|IOC', 'BOC', 'info' FROM p WHERE k % 6 = 0
+  UNION ALL SELECT k, 'swap.mode', 'POINTS', 'INTEREST_OPEN', 'erro' FROM p WHERE k % 31 = 0
+  UNION ALL SELECT k, 'swap.buy_points', '-6.25', '-7', 'erro' FROM p WHERE k % 31 <> 0 AND k % 10 = 3
+  UNION ALL SELECT k, 'swap.sell_points', NULL, '1.5', 'pendente' FROM p WHERE k % 31 <> 0 AND k % 17 = 0
+  UNION ALL SELECT k, 'is_demo', 'false', 'demo', 'erro' FROM p WHERE k % 29 = 0
+  UNION ALL SELECT k, 'specs.point', pts[d], pts[d0], 'erro' FROM p WHERE d <> d0
+  UNION ALL SELECT k, 'specs.trade_tick_size', pts[d0], '0.5', 'info' FROM p WHERE k % 5 = 0)"""
+
+
+@query(_FINDINGS + " SELECT CAST(k AS VARCHAR) AS doc, campo, manifesto, servidor, severidade FROM f")
 def manifest_check(spark, sf_dir):
-    """A coherent pair of documents, and the same with one field changed each."""
-    return manifest.verify(_documents(spark)).drop("nota")
+    """What a manifest and a report for each part disagree on."""
+    return manifest.verify(_documents(spark, sf_dir)).drop("nota")
 
 
-@query(f"SELECT severidade, count(*) AS n FROM {_FINDINGS} GROUP BY 1")
+@query(_FINDINGS + " SELECT severidade, count(*) AS n FROM f GROUP BY 1")
 def manifest_counts(spark, sf_dir):
-    return manifest.counts(manifest.verify(_documents(spark)))
+    return manifest.counts(manifest.verify(_documents(spark, sf_dir)))
 
 
-@query("SELECT doc, d AS point_usd_oz, 5000 * d AS point_usd_lot, 6.25 * d AS swap_buy_usd_oz, -s * d AS swap_sell_usd_oz FROM (VALUES ('same', 0.01::DOUBLE, 1.5), ('digits', 0.001, 1.5), ('mode', 0.01, 1.5), ('filling', 0.01, 1.5), ('account', 0.01, 1.5), ('swap', 0.01, 2.5)) v(doc, d, s)")
+@query(f"WITH {_PARTS} SELECT CAST(k AS VARCHAR) AS doc, CAST(pts[d] AS DOUBLE) AS point_usd_oz, round((oz + (k % 23 = 0)::INT) * CAST(pts[d] AS DOUBLE), 9) AS point_usd_lot, round(CASE WHEN k % 10 = 3 THEN 7 ELSE 6.25 END * CAST(pts[d] AS DOUBLE), 9) AS swap_buy_usd_oz, round(-1.5 * CAST(pts[d] AS DOUBLE), 9) AS swap_sell_usd_oz FROM p")
 def manifest_numbers(spark, sf_dir):
-    return manifest.human_numbers(_documents(spark)).drop("spread_usd_oz")
+    out = manifest.human_numbers(_documents(spark, sf_dir)).drop("spread_usd_oz")
+    return out.select("doc", "point_usd_oz", *(F.round(c, 9).alias(c) for c in ("point_usd_lot", "swap_buy_usd_oz", "swap_sell_usd_oz")))
 
 
 _PACKED = f"WITH {TICKS}, k AS (SELECT instrument, ts_us, seq, ts_us // 1000 * 1000 AS ms_us, CAST(round(bid * 100) AS BIGINT) / 100.0::DOUBLE AS bid, CAST(round(ask * 100) AS BIGINT) / 100.0::DOUBLE AS ask FROM t)"
@@ -868,11 +898,18 @@ def sensor_agreement(spark, sf_dir):
     return out.withColumn("largest", F.round("largest", 6))
 
 
-@query("WITH s AS (SELECT range AS n FROM range(0, 5401)) SELECT 'synthetic' AS instrument, " + f"{JANUARY[0]} + n * 1000000 AS ts_us, n AS seq, round(CASE WHEN n <= 1800 THEN 2000 - n / 1800.0::DOUBLE * 5 ELSE 1995 + (n - 1800) / 3600.0::DOUBLE * 15 END, 9) AS bid, round(CASE WHEN n <= 1800 THEN 2000 - n / 1800.0::DOUBLE * 5 ELSE 1995 + (n - 1800) / 3600.0::DOUBLE * 15 END + 0.2, 9) AS ask FROM s")
+@query(
+    """WITH l AS (SELECT 'nation ' || c_nationkey AS instrument, c_custkey AS leg, 1 + c_custkey % 40 AS seconds, c_acctbal AS price FROM customer),
+e AS (SELECT *, sum(seconds) OVER w AS until, coalesce(lag(price) OVER w, 2000.0) AS first FROM l WINDOW w AS (PARTITION BY instrument ORDER BY leg)),
+s AS (SELECT instrument, CAST(until - seconds + i AS BIGINT) AS n, first + (price - first) * i / seconds::DOUBLE AS bid FROM (SELECT *, unnest(range(1, seconds + 1)) AS i FROM e) UNION ALL SELECT DISTINCT instrument, 0, 2000.0 FROM l) """
+    + f"SELECT instrument, {JANUARY[0]} + n * 1000000 AS ts_us, n AS seq, round(bid, 9) AS bid, round(bid + 0.2, 9) AS ask FROM s"
+)
 def synthetic_series(spark, sf_dir):
-    """Down by 5 in half an hour, up by 15 in an hour."""
-    out = study.synthetic(spark, [(1800, 1995.0), (3600, 2010.0)], JANUARY[0], 2000.0, 0.2)
-    return out.withColumns({c: F.round(c, 9) for c in ("bid", "ask")})
+    """A series a nation that goes through its customers' balances in straight legs."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    legs = c.select(F.concat(F.lit("nation "), "c_nationkey").alias("instrument"), F.col("c_custkey").alias("leg"), (F.pmod("c_custkey", F.lit(40)) + 1).alias("seconds"), F.col("c_acctbal").cast("double").alias("price"))
+    out = study.synthetic(legs, JANUARY[0], 2000.0, 0.2)
+    return out.withColumns({x: F.round(x, 9) for x in ("bid", "ask")})
 
 
 @query(_STATES + " SELECT CASE state WHEN 'presente' THEN 'ok' WHEN 'vazio' THEN 'empty' WHEN 'ausente' THEN 'absent' ELSE 'erro' END AS outcome, count(*) AS n FROM s GROUP BY 1")
