@@ -148,3 +148,49 @@ def test_synthetic_legs_across_blocks(spark):
     a = {r.seq: r for r in got.where("instrument = 'A'").collect()}
     assert {n: r.bid for n, r in a.items()} == pytest.approx(want) and all(r.ts_us == MONDAY + n * 1_000_000 for n, r in a.items())
     assert [(r.seq, r.bid, r.ask) for r in got.where("instrument = 'B'").orderBy("seq").collect()] == [(0, 4.0, 4.5), (1, 7.0, 7.5), (2, 10.0, 10.5)]
+
+
+def test_block_extremes_find_what_the_path_has(spark):
+    rng = np.random.default_rng(5)
+    cost = OvernightCost(0.4, -0.3, triple_weekday=2, rollover_hour=21)
+    # Minutes of nine days with holes of all sizes: some minutes, hours, and a weekend.
+    at = np.array([m for m in range(9 * 1440) if rng.random() < 0.4 and not (m // 60) % 7 == 3 and not 4 * 1440 < m < 6 * 1440])
+    mid = 2000 + np.cumsum(rng.normal(0, 0.3, at.size))
+    hi, lo = mid + rng.random(at.size), mid - rng.random(at.size)
+    b = spark.createDataFrame([("X", MONDAY + int(m) * MINUTE, float(h), float(x), float(h) + 0.2, float(x) + 0.2) for m, h, x in zip(at, hi, lo)], "instrument string, ts_us long, bid_high double, bid_low double, ask_high double, ask_low double")
+    which = rng.integers(0, at.size, 120)
+    which[:3] = 0, at.size - 1, at.size - 2
+    sides = [("buy", "sell")[i % 2] for i in range(which.size)]
+    prices = [float(mid[i] + (1 if s == "buy" else -1) * rng.exponential(6)) for i, s in zip(which, sides)]
+    e = spark.createDataFrame([("X", n, s, MONDAY + int(at[i]) * MINUTE, p) for n, (i, s, p) in enumerate(zip(which, sides, prices))], "instrument string, entry_id long, side string, start_ts long, price double")
+    got = {r.entry_id: r for r in study.evaluate(e, b, cost, (5, 60, 100)).collect()}
+    nights = lambda m: sum((1, 1, 3, 1, 1, 0, 0)[d % 7] for d in range(9) if d * 1440 + 21 * 60 <= m)
+    late = 0
+    for n, (i, s, p) in enumerate(zip(which, sides, prices)):
+        span = [j for j in range(i, at.size) if at[j] <= at[i] + 6000]
+        sign, rate = (1, 0.4) if s == "buy" else (-1, -0.3)
+        gain = {j: hi[j] - p if s == "buy" else p - (lo[j] + 0.2) for j in span}
+        paid = {j: (nights(at[j]) - nights(at[i])) * rate for j in span}
+        green = next((j for j in span if gain[j] > 0), None)
+        net = next((j for j in span if gain[j] - paid[j] > 0), None)
+        end = span[-1] if green is None else green
+        worst = min(lo[j] - p if s == "buy" else p - (hi[j] + 0.2) for j in span if j <= end)
+        hours = lambda j: None if j is None else pytest.approx((at[j] - at[i]) / 60)
+        r = got[n]
+        assert (r.horas_ate_verde, r.horas_ate_verde_liq) == (hours(green), hours(net)), n
+        assert r.mae_usd_oz == pytest.approx(max(0, -worst)) and r.swap_usd_oz == pytest.approx(paid[end])
+        assert r.verde_em == {h: None if at[i] + 60 * h > at[-1] else green is not None and at[green] <= at[i] + 60 * h for h in (5.0, 60.0, 100.0)}
+        late += green is not None and at[green] - at[i] > 1440
+    assert late > 5
+    with pytest.raises(ValueError):
+        study.evaluate(e, b, cost, (5,), seconds=7)
+
+
+def test_a_horizon_is_some_dozen_pieces(spark):
+    spans = [(0, 10080), (59, 60), (17, 17), (60, 119), (59, 1441), (1439, 1440), (333, 9000), (1440, 2879), (61, 10141)]
+    df = spark.createDataFrame(spans, "a long, b long").select("a", "b", study.pieces(F.col("a"), F.col("b"), 60).alias("p"))
+    for r in df.collect():
+        minutes = [m for x in r.p for w in ((1, 60, 1440)[x.level],) for m in range(x.lo * w, (x.hi + 1) * w)]
+        assert minutes == list(range(r.a, r.b + 1)) and len(r.p) <= 60
+        if r.b - r.a >= 10000:
+            assert len(r.p) <= 12

@@ -10,7 +10,7 @@ from tickforge.functions.values import dice, finite, side_sign
 from tickforge.schemas import OvernightCost
 from tickforge.staging import staged
 
-from .asof import in_path, nights
+from .asof import nights
 from .chunks import chunk_of, running_sum, with_previous
 from .ranks import counted, numbered, quantiles
 
@@ -48,28 +48,109 @@ def swap_paid(from_us: Column, to_us: Column, side: Column, cost: OvernightCost)
     return count * F.when(side == "buy", F.lit(float(cost.buy))).otherwise(F.lit(float(cost.sell)))
 
 
-def evaluate(entries: DataFrame, bars: DataFrame, cost: OvernightCost, horizons_h: tuple[float, ...] = HORIZONS_H, key: str = "instrument", coverage: DataFrame | None = None) -> DataFrame:
+EXTREMES = {"bid_high": F.max, "bid_low": F.min, "ask_high": F.max, "ask_low": F.min, "last": F.max}
+#: Levels of block extremes above the bars: hours in a day, and what is looked up: a block, it and its parent's later blocks, it and its parent's earlier ones.
+HOURS_A_DAY = 24
+WHOLE, ONWARD, UPTO = 0, 1, 2
+
+
+def extremes(bars: DataFrame, key: str, seconds: int = 60, offset_us: int = 0) -> DataFrame:
+    """Extremes of the bars (level 0), hours (1) and days (2, from `offset_us` after midnight): key, level, block, part, the extremes, last (bar).
+
+    part WHOLE is the block; ONWARD and UPTO reach from it to the end of its hour or day, and from their start to it. These
+    exist for each block of an hour or day that has any bar, so a stretch of time is a few of them wherever bars are missing.
+    """
+    per_hour = HOUR // (seconds * SECOND)
+    leaf = bars.select(key, chunk_of(F.col("ts_us") - offset_us, seconds * SECOND).alias("block"), *(c for c in EXTREMES if c != "last"), F.col("ts_us").alias("last"))
+
+    def parents(rows, n):
+        return rows.groupBy(key, F.floor(F.col("block") / n).alias("block")).agg(*(f(c).alias(c) for c, f in EXTREMES.items()))
+
+    def parts(rows, above, n, level):
+        every = above.select(key, F.col("block").alias("__in"), F.explode(F.sequence(F.col("block") * n, F.col("block") * n + n - 1)).alias("block")).join(rows, [key, "block"], "left")
+        w = Window.partitionBy(key, "__in").orderBy("block")  # 60 rows at most, or 3600 of bars of seconds
+        frames = {ONWARD: w.rowsBetween(0, Window.unboundedFollowing), UPTO: w.rowsBetween(Window.unboundedPreceding, 0)}
+        reach = {part: [f(c).over(frame).alias(c) for c, f in EXTREMES.items()] for part, frame in frames.items()}
+        each = every.select(key, "block", F.struct(F.lit(WHOLE).alias("part"), *EXTREMES).alias("p0"), *(F.struct(F.lit(part).alias("part"), *cols).alias(f"p{part}") for part, cols in reach.items()))
+        return each.select(key, F.lit(level).alias("level"), "block", F.explode(F.array("p0", "p1", "p2")).alias("p")).select(key, "level", "block", "p.*").where(F.col("last").isNotNull())
+
+    hours = parents(leaf, per_hour)
+    days = parents(hours, HOURS_A_DAY)
+    top = days.select(key, F.lit(2).alias("level"), "block", F.lit(WHOLE).alias("part"), *EXTREMES)
+    return parts(leaf, hours, per_hour, 0).unionByName(parts(hours, days, HOURS_A_DAY, 1)).unionByName(top)
+
+
+PIECE = "struct<level:int,block:bigint,part:int,lo:bigint,hi:bigint>"
+
+
+def _piece(level: int, block: Column, part: int, lo: Column, hi: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), block.cast("long").alias("block"), F.lit(part).alias("part"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi")).cast(PIECE)
+
+
+def _each(level: int, lo: Column, hi: Column) -> Column:
+    """The blocks lo..hi of a level, one by one."""
+    return F.transform(F.sequence(lo.cast("long"), hi.cast("long")), lambda x: _piece(level, x, WHOLE, x, x))
+
+
+def pieces(first: Column, last: Column, per_hour: int) -> Column:
+    """The bars' places first..last as pieces in order of time: two ends of hours, two of days, whole days; the bars or hours themselves if they are of one hour or day."""
+
+    def between(level, a, b, n, inner):
+        up, down = F.floor(a / n), F.floor(b / n)
+        ends = F.concat(F.array(_piece(level, a, ONWARD, a, up * n + n - 1)), inner(up + 1, down - 1), F.array(_piece(level, b, UPTO, down * n, b)))
+        return F.when(a > b, F.array().cast(f"array<{PIECE}>")).when(up == down, _each(level, a, b)).otherwise(ends)
+
+    days = lambda a, b: F.when(a > b, F.array().cast(f"array<{PIECE}>")).otherwise(_each(2, a, b))
+    return between(0, first, last, per_hour, lambda p, q: between(1, p, q, HOURS_A_DAY, days))
+
+
+def evaluate(entries: DataFrame, bars: DataFrame, cost: OvernightCost, horizons_h: tuple[float, ...] = HORIZONS_H, key: str = "instrument", coverage: DataFrame | None = None, seconds: int = 60) -> DataFrame:
     """Per entry: mae_usd_oz, horas_ate_verde, horas_ate_verde_liq (after carry), swap_usd_oz, verde_em (horizon -> green, null if censored).
 
-    entries: key, entry_id, side, start_ts (label of the entry's bar), price. bars: key, ts_us, bid_high, bid_low, ask_high, ask_low.
+    entries: key, entry_id, side, start_ts (label of the entry's bar), price. bars: key, ts_us (multiples of `seconds`, which
+    divide an hour), bid_high, bid_low, ask_high, ask_low.
     Times count from the bar's label, the entry's bar counts whole, and the path holds both its ends.
+
+    No path is formed: an entry looks at the extremes of some dozen pieces of its horizon, then opens the first one that turns
+    green down to the bar. Days begin at the rollover, so carry is the same throughout a piece.
     """
     if not horizons_h or min(horizons_h) <= 0:
         raise ValueError("horizons are positive hours")
-    sign = side_sign(F.col("side"))
-    long = F.col("side") == "buy"
+    if seconds <= 0 or HOUR % (seconds * SECOND):
+        raise ValueError("bars' seconds divide an hour")
+    step, offset = seconds * SECOND, cost.rollover_hour * HOUR
+    per_hour = HOUR // step
+    sign, long = side_sign(F.col("side")), F.col("side") == "buy"
     keys = [key, "entry_id", "side", "start_ts", "price"]
-    carry = lambda to: swap_paid(F.col("start_ts"), F.col(to), F.col("side"), cost)
-    # First pass: when each entry turns green. Second: the worst up to then. Both are plain aggregates over a range join.
+    levels = staged(extremes(bars, key, seconds, offset), "extremes").withColumnRenamed(key, "__key")
+    place = lambda ts: chunk_of(ts - offset, step)
+    reach = int(max(horizons_h) * HOUR)
+
+    def looked_up(rows, how="inner"):
+        """rows with the extremes of their piece `p`."""
+        same = (rows[key] == levels["__key"]) & (F.col("p.level") == levels["level"]) & (F.col("p.block") == levels["block"]) & (F.col("p.part") == levels["part"])
+        return rows.join(levels, same, how)
+
+    width = F.element_at(F.array(F.lit(step), F.lit(HOUR), F.lit(DAY)), F.col("p.level") + 1)
+    began = F.lit(offset) + F.col("p.lo") * width
     gain = sign * (F.when(long, F.col("bid_high")).otherwise(F.col("ask_low")) - F.col("price"))
-    path = in_path(entries.select(*keys), bars, int(max(horizons_h) * HOUR), key).withColumn("gain", gain)
-    turned = path.groupBy(*keys).agg(
-        F.min(F.when(F.col("gain") > 0, F.col("bar_ts"))).alias("green"), F.min(F.when(F.col("gain") - carry("bar_ts") > 0, F.col("bar_ts"))).alias("green_net"), F.max("bar_ts").alias("last_bar")
-    )
+    paid = F.when(F.col("net"), swap_paid(F.col("start_ts"), began, F.col("side"), cost)).otherwise(F.lit(0.0))
+    turns = F.min(F.when(gain - paid > 0, F.struct(began.alias("at"), F.col("p").alias("p")))).alias("found")
+    spread = entries.select(*keys, F.explode(F.array(F.lit(False), F.lit(True))).alias("net"), F.explode(pieces(place(F.col("start_ts")), place(F.col("start_ts") + reach), per_hour)).alias("p"))
+    found = looked_up(spread).groupBy(*keys, "net").agg(F.max("last").alias("last_bar"), turns)
+    # Opened twice: a day to hours, hours to bars; what is a bar already stays.
+    for _ in range(2):
+        level, lo, hi = (F.col(f"found.p.{c}") for c in ("level", "lo", "hi"))
+        opened = (
+            F.when(level == 2, _each(1, lo * HOURS_A_DAY, lo * HOURS_A_DAY + HOURS_A_DAY - 1)).when((level == 1) & (lo == hi), _each(0, lo * per_hour, lo * per_hour + per_hour - 1))
+            .when(level == 1, _each(1, lo, hi)).otherwise(_each(0, lo, hi))
+        )
+        found = looked_up(found.select(*keys, "net", "last_bar", F.explode_outer(opened).alias("p")), "left").groupBy(*keys, "net", "last_bar").agg(turns)
+    turned = found.groupBy(*keys).agg(F.max(F.when(~F.col("net"), F.col("found.at"))).alias("green"), F.max(F.when(F.col("net"), F.col("found.at"))).alias("green_net"), F.max("last_bar").alias("last_bar"))
     turned = turned.withColumn("until", F.coalesce("green", "last_bar"))
     kept = [*keys, "green", "green_net", "until"]
     loss = sign * (F.when(long, F.col("bid_low")).otherwise(F.col("ask_high")) - F.col("price"))
-    worst = in_path(turned.select(*kept), bars, int(max(horizons_h) * HOUR), key, until="until").groupBy(*kept).agg(F.min(loss).alias("loss"))
+    worst = looked_up(turned.select(*kept, F.explode(pieces(place(F.col("start_ts")), place(F.col("until")), per_hour)).alias("p"))).groupBy(*kept).agg(F.min(loss).alias("loss"))
     if coverage is None:
         coverage = bars.groupBy(key).agg(F.max("ts_us").alias("covered"))
     out = worst.join(coverage, key)
@@ -80,7 +161,7 @@ def evaluate(entries: DataFrame, bars: DataFrame, cost: OvernightCost, horizons_
     )))
     return out.select(
         key, "entry_id", "side", "start_ts", F.greatest(F.lit(0.0), -F.col("loss")).alias("mae_usd_oz"), hours("green").alias("horas_ate_verde"),
-        hours("green_net").alias("horas_ate_verde_liq"), carry("until").alias("swap_usd_oz"), green.alias("verde_em"),
+        hours("green_net").alias("horas_ate_verde_liq"), swap_paid(F.col("start_ts"), F.col("until"), F.col("side"), cost).alias("swap_usd_oz"), green.alias("verde_em"),
     )
 
 

@@ -330,47 +330,60 @@ def episode_gaps(spark, sf_dir):
     return study.episode_sizes(tables.entries_from_events(spark, sf_dir).drop("instrument"))
 
 
+def _study_ticks(spark, sf_dir):
+    """All ticks as one series, which the purchases are entries into."""
+    return _ticks(spark, sf_dir).withColumn("instrument", F.lit("all"))
+
+
+def _study_probes(spark, sf_dir):
+    return _probes(spark, sf_dir).withColumn("instrument", F.lit("all"))
+
+
 def _study_bars(spark, sf_dir):
-    return bars.both_sides(_ticks(spark, sf_dir).where("instrument = 'view'"), 3600)
+    return bars.both_sides(_study_ticks(spark, sf_dir), 60)
 
 
 def _placed(spark, sf_dir):
     """Entries on their bar, at the first tick's price; outside the bars' coverage they are left out."""
-    probes = _probes(spark, sf_dir)
+    probes = _study_probes(spark, sf_dir)
     covered = _study_bars(spark, sf_dir)
     at_bar = asof.backward(probes, covered, ["bid_high"]).select("entry_id", "ts_us", "side", "instrument", F.col("match_ts").alias("start_ts"))
     last = covered.groupBy("instrument").agg(F.max("ts_us").alias("last_bar"))
     inside = at_bar.join(last, "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
-    priced = asof.forward(inside, _ticks(spark, sf_dir), ["bid", "ask"])
+    priced = asof.forward(inside, _study_ticks(spark, sf_dir), ["bid", "ask"])
     return priced.select("instrument", "entry_id", "ts_us", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
 
 
 def _evaluated(spark, sf_dir):
-    return study.evaluate(_placed(spark, sf_dir).drop("ts_us"), _study_bars(spark, sf_dir), COST, (24, 72))
+    return study.evaluate(_placed(spark, sf_dir).drop("ts_us"), staged(_study_bars(spark, sf_dir), "bars"), COST)
 
 
-_STUDY = f"""WITH {TICKS}, {_ENTRIES}, {_ROLL}, v AS (SELECT * FROM t WHERE instrument = 'view'),
-raw AS (SELECT ts_us - ts_us % {HOUR} AS label, max(bid) AS bid_high, min(bid) AS bid_low, max(ask) AS ask_high, min(ask) AS ask_low FROM v GROUP BY 1),
-b AS (SELECT * FROM raw WHERE label < (SELECT max(label) FROM raw)),
-s AS (SELECT e.*, b.label AS start_ts FROM e ASOF JOIN b ON b.label <= e.ts_us WHERE e.ts_us <= (SELECT max(label) FROM b)),
-p AS (SELECT s.entry_id, s.side, s.ts_us, s.start_ts, CASE WHEN s.side = 'buy' THEN v.ask ELSE v.bid END AS price FROM s ASOF JOIN v ON v.ts_us >= s.ts_us),
-c AS (SELECT roll_us, sum(w) OVER (ORDER BY roll_us) AS cum FROM k),
+def _judge_sql(horizons: tuple[int, ...]) -> str:
+    """From p (entry_id, side, start_ts, price) and b (minute bars): z, a row an entry."""
+    green = ", ".join(f"CASE WHEN start_ts + {h * HOUR} <= (SELECT max(label) FROM b) THEN coalesce(green <= start_ts + {h * HOUR}, false) END AS verde_{h}" for h in horizons)
+    return f"""c AS (SELECT roll_us, sum(w) OVER (ORDER BY roll_us) AS cum FROM k),
 bc AS (SELECT b.*, c.cum FROM b ASOF JOIN c ON c.roll_us <= b.label),
 path AS (SELECT p.*, bc.label, CASE WHEN side = 'buy' THEN bc.bid_high - price ELSE price - bc.ask_low END AS gain, CASE WHEN side = 'buy' THEN bc.bid_low - price ELSE price - bc.ask_high END AS loss,
   (bc.cum - s0.cum) * CASE WHEN side = 'buy' THEN 0.5::DOUBLE ELSE -0.1::DOUBLE END AS swap
-  FROM p JOIN bc ON bc.label BETWEEN p.start_ts AND p.start_ts + {72 * HOUR} JOIN bc s0 ON s0.label = p.start_ts),
+  FROM p JOIN bc ON bc.label BETWEEN p.start_ts AND p.start_ts + {max(horizons) * HOUR} JOIN bc s0 ON s0.label = p.start_ts),
 g AS (SELECT entry_id, min(label) FILTER (gain > 0) AS green, min(label) FILTER (gain - swap > 0) AS green_net FROM path GROUP BY 1),
 r AS (SELECT path.entry_id, side, start_ts, green, green_net, greatest(0, -min(loss)) AS mae, arg_max(swap, label) AS swap FROM path JOIN g USING (entry_id) WHERE green IS NULL OR label <= green GROUP BY ALL),
-z AS (SELECT entry_id, side, start_ts, round(mae, 6) AS mae_usd_oz, round((green - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde, round((green_net - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde_liq, round(swap, 6) + 0.0 AS swap_usd_oz,
-  CASE WHEN start_ts + {24 * HOUR} <= (SELECT max(label) FROM b) THEN coalesce(green <= start_ts + {24 * HOUR}, false) END AS verde_24,
-  CASE WHEN start_ts + {72 * HOUR} <= (SELECT max(label) FROM b) THEN coalesce(green <= start_ts + {72 * HOUR}, false) END AS verde_72 FROM r)"""
+z AS (SELECT entry_id, side, start_ts, round(mae, 6) AS mae_usd_oz, round((green - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde, round((green_net - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde_liq, round(swap, 6) + 0.0 AS swap_usd_oz, {green} FROM r)"""
 
 
-@query(_STUDY + " SELECT * REPLACE (coalesce(CAST(verde_24 AS VARCHAR), 'censored') AS verde_24, coalesce(CAST(verde_72 AS VARCHAR), 'censored') AS verde_72) FROM z")
+_MINUTES = f"""raw AS (SELECT ts_us - ts_us % 60000000 AS label, max(bid) AS bid_high, min(bid) AS bid_low, max(ask) AS ask_high, min(ask) AS ask_low FROM t GROUP BY 1),
+b AS (SELECT * FROM raw WHERE label < (SELECT max(label) FROM raw)), lt AS (SELECT ts_us, min_by(bid, seq) AS bid, min_by(ask, seq) AS ask FROM t GROUP BY 1)"""
+_STUDY = f"""WITH {TICKS}, {_ENTRIES}, {_ROLL}, {_MINUTES},
+s AS (SELECT e.*, b.label AS start_ts FROM e ASOF JOIN b ON b.label <= e.ts_us WHERE e.ts_us <= (SELECT max(label) FROM b)),
+p AS (SELECT s.entry_id, s.side, s.ts_us, s.start_ts, CASE WHEN s.side = 'buy' THEN v.ask ELSE v.bid END AS price FROM s ASOF JOIN lt v ON v.ts_us >= s.ts_us),
+{_judge_sql(study.HORIZONS_H)}"""
+
+
+@query(_STUDY + " SELECT * REPLACE (" + ", ".join(f"coalesce(CAST(verde_{h} AS VARCHAR), 'censored') AS verde_{h}" for h in study.HORIZONS_H) + ") FROM z")
 def mae_green(spark, sf_dir):
     r = _evaluated(spark, sf_dir)
     num = {c: F.round(c, 6) + F.lit(0.0) for c in ("mae_usd_oz", "horas_ate_verde", "horas_ate_verde_liq", "swap_usd_oz")}
-    green = {f"verde_{h}": F.coalesce(F.element_at("verde_em", F.lit(float(h))).cast("string"), F.lit("censored")) for h in (24, 72)}
+    green = {f"verde_{h}": F.coalesce(F.element_at("verde_em", F.lit(float(h))).cast("string"), F.lit("censored")) for h in study.HORIZONS_H}
     return r.withColumns(num | green).select("entry_id", "side", "start_ts", *num, *green)
 
 
@@ -384,7 +397,7 @@ def not_green_fraction(spark, sf_dir):
     _STUDY + " SELECT side, count(*) AS n, " + ", ".join(f"count({c}) AS {c}_n, round(quantile_cont({c}, 0.5), 6) AS {c}_p50, round(quantile_cont({c}, 0.9), 6) AS {c}_p90, max({c}) AS {c}_max" for c in ("mae_usd_oz", "horas_ate_verde", "swap_usd_oz")) + " FROM z GROUP BY side"
 )
 def result_summary(spark, sf_dir):
-    out = study.summary(mae_green_rows(spark, sf_dir), (24, 72), ["side"])
+    out = study.summary(mae_green_rows(spark, sf_dir), by=["side"])
     keep = [f"{c}_{k}" for c in ("mae_usd_oz", "horas_ate_verde", "swap_usd_oz") for k in ("n", "p50", "p90", "max")]
     return out.select("side", "n", *(F.round(c, 6).alias(c) if not c.endswith("_n") else c for c in keep))
 
@@ -395,11 +408,11 @@ def mae_green_rows(spark, sf_dir):
 
 
 @query(
-    f"WITH {TICKS}, {_ENTRIES}, v AS (SELECT * FROM t WHERE instrument = 'view'), raw AS (SELECT ts_us - ts_us % {HOUR} AS label, count(*) AS n FROM v GROUP BY 1), b AS (SELECT * FROM raw WHERE label < (SELECT max(label) FROM raw)) "
+    f"WITH {TICKS}, {_ENTRIES}, {_MINUTES} "
     f"SELECT e.entry_id, count(*) AS bars, min(b.label) AS first_bar, max(b.label) AS last_bar FROM e JOIN b ON b.label BETWEEN e.ts_us AND e.ts_us + {24 * HOUR} GROUP BY 1"
 )
 def path_slices(spark, sf_dir):
-    e = _probes(spark, sf_dir).withColumnRenamed("ts_us", "start_ts")
+    e = _study_probes(spark, sf_dir).withColumnRenamed("ts_us", "start_ts")
     out = asof.in_path(e, _study_bars(spark, sf_dir), 24 * HOUR)
     return out.groupBy("entry_id").agg(F.count("*").alias("bars"), F.min("bar_ts").alias("first_bar"), F.max("bar_ts").alias("last_bar"))
 
@@ -477,7 +490,7 @@ def _judged(entries: DataFrame, ticks: DataFrame, covered: DataFrame) -> DataFra
     inside = at_bar.join(covered.groupBy("instrument").agg(F.max("ts_us").alias("last_bar")), "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
     priced = asof.forward(inside, ticks, ["bid", "ask"])
     placed = priced.select("instrument", "entry_id", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
-    return study.evaluate(placed, covered, COST, (24, 72))
+    return study.evaluate(placed, covered, COST, (24, 72), seconds=3600)
 
 
 def study_report(spark, sf_dir):
