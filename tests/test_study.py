@@ -194,3 +194,19 @@ def test_a_horizon_is_some_dozen_pieces(spark):
         assert minutes == list(range(r.a, r.b + 1)) and len(r.p) <= 60
         if r.b - r.a >= 10000:
             assert len(r.p) <= 12
+
+
+def test_bootstrap_by_groups_and_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(g, float(rng.integers(0, 12)) if rng.random() < 0.6 else 3.0, bool(rng.random() < 0.4), int(rng.integers(0, 9))) for g in ("p", "q") for _ in range(120)] + [("lone", 1.0, True, 0)]
+    v = spark.createDataFrame(rows, "g string, x double, is_a boolean, episode long")
+    whole = {r.g: r for r in study.bootstrap(v, "x", "is_a", n=40, seed=3, by=["g"]).collect()}
+    monkeypatch.setattr(study, "BLOCK_VALUES", 3)
+    monkeypatch.setattr(study, "BLOCK_ROWS", 5)
+    assert {r.g: r for r in study.bootstrap(v, "x", "is_a", n=40, seed=3, by=["g"]).collect()} == whole
+    alone = study.bootstrap(v.where("g = 'q'").drop("g"), "x", "is_a", n=40, seed=3).first()
+    assert (alone.lo, alone.hi, alone.episodes) == (whole["q"].lo, whole["q"].hi, whole["q"].episodes) and whole["lone"].lo is None
+    p = {r.g: r.p for r in study.superiority(v, "x", "is_a", ["g"]).collect()}
+    for g in ("p", "q"):
+        a, b = ([x for h, x, s, _ in rows if h == g and s == side] for side in (True, False))
+        assert p[g] == pytest.approx(np.mean([(x < y) + (x == y) / 2 for x in a for y in b])) and whole[g].lo <= p[g] <= whole[g].hi

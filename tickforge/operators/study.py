@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -292,36 +294,89 @@ def synthetic(legs: DataFrame, start_us: int, first: float, spread: float, key:
     return starts.unionByName(ticks).select(key, (F.lit(start_us) + F.col("seq") * SECOND).alias("ts_us"), "seq", "bid", (F.col("bid") + spread).alias("ask"))
 
 
-def superiority(values: DataFrame, column: str, is_a: str) -> DataFrame:
-    """P(a < b) + P(a = b) / 2 over finite values: one row p, n_a, n_b.
+def _sides(values: DataFrame, column: str, is_a: str, by: list[str], *more: Column) -> DataFrame:
+    """by, x and how many of a and of b, of the finite values."""
+    x = F.col(column).cast("double")
+    return values.where(finite(x)).withColumn("__all", F.lit(0)).select(*by, "__all", x.alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), *more)
+
+
+def superiority(values: DataFrame, column: str, is_a: str, by: list[str] | None = None) -> DataFrame:
+    """P(a < b) + P(a = b) / 2 over finite values: (by,) p, n_a, n_b; without `by` one row.
 
     By counts of each distinct value, so pairs are never formed.
     """
-    ok = values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"))
-    ranked = counted(ok.withColumn("all", F.lit(0)), ["all"], "x", {"a": F.sum("a"), "b": F.sum("b")})
-    out = ranked.agg(F.sum(F.col("b") * (F.col("a_below") + F.col("a") / 2)).alias("u"), F.coalesce(F.sum("a"), F.lit(0)).alias("n_a"), F.coalesce(F.sum("b"), F.lit(0)).alias("n_b"))
-    return out.select(F.try_divide("u", F.col("n_a") * F.col("n_b")).alias("p"), "n_a", "n_b")
+    by = by or []
+    ranked = counted(_sides(values, column, is_a, by), [*by, "__all"], "x", {"a": F.sum("a"), "b": F.sum("b")})
+    out = ranked.groupBy(*by).agg(F.sum(F.col("b") * (F.col("a_below") + F.col("a") / 2)).alias("u"), F.coalesce(F.sum("a"), F.lit(0)).alias("n_a"), F.coalesce(F.sum("b"), F.lit(0)).alias("n_b"))
+    return out.select(*by, F.try_divide("u", F.col("n_a") * F.col("n_b")).alias("p"), "n_a", "n_b")
+
+
+#: Distinct values worked on together, and rows a task takes of them.
+BLOCK_VALUES, BLOCK_ROWS = 256, 20_000
+
+
+def _drawn_sums(n: int):
+    """(function) one block's rows -> per distinct value how often a and b hold it in each replicate."""
 
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        xs, at = np.unique(rows["x"].to_numpy(), return_inverse=True)
+        a, b = np.zeros((xs.size, n), np.int64), np.zeros((xs.size, n), np.int64)
+        for i, ids, times, in_a, in_b in zip(at, rows["ids"], rows["times"], rows["a"], rows["b"]):
+            a[i, ids] += np.asarray(times, np.int64) * in_a
+            b[i, ids] += np.asarray(times, np.int64) * in_b
+        head = {c: [rows[c].iloc[0]] * xs.size for c in rows.columns if c not in ("x", "a", "b", "ids", "times", "__salt")}
+        return pd.DataFrame(head | {"x": xs, "a": list(a), "b": list(b)})
 
-def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode", n: int = 1000, seed: int = 0) -> DataFrame:
-    """CI95 of the superiority by resampling episodes: lo, hi, episodes; null below 3 episodes, or 10 replicates that have values of both sides.
+    return run
 
-    A replicate counts each episode as often as it was drawn and ranks its values like `superiority`. Draws are hashes
-    of seed, replicate and place, a row each; replicates are worked on apart from each other.
+
+def _block_sums(rows: pd.DataFrame) -> pd.DataFrame:
+    """A block's replicates: the sums of a and of b, and of b's over a's of the block below them, halves for ties."""
+    _, at = np.unique(rows["x"].to_numpy(), return_inverse=True)
+    a, b = (np.zeros((at.max() + 1, len(rows["a"].iloc[0])), np.int64) for _ in range(2))
+    np.add.at(a, at, np.stack(rows["a"].to_list()))
+    np.add.at(b, at, np.stack(rows["b"].to_list()))
+    u = (b * (np.cumsum(a, axis=0) - a + a / 2)).sum(axis=0)
+    head = {c: [rows[c].iloc[0]] for c in rows.columns if c not in ("x", "a", "b")}
+    return pd.DataFrame(head | {"a": [a.sum(axis=0)], "b": [b.sum(axis=0)], "u": [u]})
+
+
+def bootstrap(values: DataFrame, column: str, is_a: str, episode: str = "episode", n: int = 1000, seed: int = 0, by: list[str] | None = None) -> DataFrame:
+    """CI95 of the superiority by resampling episodes: (by,) lo, hi, episodes; null below 3 episodes, or 10 replicates that have values of both sides.
+
+    A replicate counts each episode as often as it was drawn and ranks its values like `superiority`. Draws are hashes of
+    seed, replicate and place; an episode carries the replicates that drew it as an array. Values are worked on in blocks of
+    BLOCK_VALUES distinct ones, whose rows are split over tasks where they are many; only sums of blocks have a row a replicate.
     """
-    ok = staged(values.where(finite(F.col(column).cast("double"))).select(F.col(column).cast("double").alias("x"), F.col(is_a).cast("long").alias("a"), (~F.col(is_a)).cast("long").alias("b"), F.col(episode).alias("e")), "values")
-    names = numbered(ok.select("e").distinct().withColumn("all", F.lit(0)), ["all"], "e", "e", "no").select("e", "no")
-    total = ok.agg(F.count_distinct("e")).first()[0]
-    if total < 3:
-        return values.sparkSession.createDataFrame([(None, None, total)], "lo double, hi double, episodes long")
-    place = values.sparkSession.range(n * total).select(F.expr(f"id div {total}").alias("id"), F.pmod("id", F.lit(total)).alias("place"))
-    draws = place.select("id", dice(total, F.lit(seed), F.col("id"), F.col("place")).alias("no")).groupBy("id", "no").agg(F.count("*").alias("times")).join(names, "no")
-    drawn = ok.groupBy("e", "x").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).join(draws, "e")
-    drawn = drawn.groupBy("id", "x").agg(F.sum(F.col("a") * F.col("times")).alias("a"), F.sum(F.col("b") * F.col("times")).alias("b"))
-    below = F.coalesce(F.sum("a").over(Window.partitionBy("id").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    each = drawn.withColumn("below", below).groupBy("id").agg(F.try_divide(F.sum(F.col("b") * (F.col("below") + F.col("a") / 2)), F.sum("a") * F.sum("b")).alias("p"))
+    by = by or []
+    group = [*by, "__all"]
+    ok = _sides(values, column, is_a, by, F.col(episode).alias("e")).groupBy(*group, "e", "x").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    ok = staged(ok, "values")
+    names = numbered(ok.select(*group, "e").distinct(), group, "e", "e", "no").select(*group, "e", "no")
+    total = ok.groupBy(*group).agg(F.count_distinct("e").alias("episodes"))
+    names = staged(names.join(total, group), "episodes")
+    draws = names.select(*group, "episodes", F.col("no").alias("place"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("id"))
+    draws = draws.select(*group, "id", dice(F.col("episodes"), F.lit(seed), F.col("id"), F.col("place")).alias("no")).groupBy(*group, "no", "id").agg(F.count("*").alias("times"))
+    drawn = draws.groupBy(*group, "no").agg(F.collect_list(F.struct("id", "times")).alias("d"))  # n entries at most
+    drawn = drawn.select(*group, "no", F.col("d.id").alias("ids"), F.col("d.times").cast("array<int>").alias("times")).join(names.where("episodes >= 3").drop("episodes"), [*group, "no"]).drop("no")
+    places = numbered(ok.select(*group, "x").distinct(), group, "x", "x", "__place").select(*group, "x", F.floor(F.col("__place") / BLOCK_VALUES).alias("__block"))
+    placed = staged(ok.join(places, [*group, "x"]), "placed")
+    sizes = placed.groupBy(*group, "__block").agg(F.floor(F.count("*") / BLOCK_ROWS + 1).alias("__parts"))
+    cut = placed.join(sizes, [*group, "__block"]).withColumn("__salt", F.pmod(F.xxhash64("e", "x"), F.col("__parts"))).drop("__parts")
+    full = cut.join(drawn, [*group, "e"]).drop("e")
+    kinds = dict(values.dtypes) | {"__all": "int"}
+    head = ", ".join(f"`{c}` {kinds[c]}" for c in group) + ", `__block` long"
+    part = full.groupBy(*group, "__block", "__salt").applyInPandas(_drawn_sums(n), head + ", x double, a array<long>, b array<long>")
+    block = staged(part.groupBy(*group, "__block").applyInPandas(_block_sums, head + ", a array<long>, b array<long>, u array<double>"), "blocks")
+    each = block.select(*group, "__block", F.posexplode(F.arrays_zip("a", "b", "u")).alias("id", "s")).select(*group, "__block", "id", "s.*")
+    below = F.coalesce(F.sum("a").over(Window.partitionBy(*group, "id").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    each = each.withColumn("below", below).groupBy(*group, "id").agg(F.try_divide(F.sum(F.col("u") + F.col("b") * F.col("below")), F.sum("a") * F.sum("b")).alias("p"))
     known = lambda q: F.when(F.count("p") >= MIN_REPLICATES, F.percentile("p", F.lit(q)))
-    return each.agg(known(0.025).alias("lo"), known(0.975).alias("hi"), F.lit(total).cast("long").alias("episodes"))  # n values
+    ci = each.groupBy(*group).agg(known(0.025).alias("lo"), known(0.975).alias("hi"))  # n values
+    out = total.join(ci, group, "left")
+    if by:
+        return out.select(*by, "lo", "hi", "episodes")
+    return out.groupBy().agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.coalesce(F.max("episodes"), F.lit(0)).alias("episodes"))
 
 
 def compare(real: DataFrame, drawn: DataFrame, column: str, treat_missing: str = "drop", n: int = 1000, seed: int = 0) -> DataFrame:
