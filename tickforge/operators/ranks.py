@@ -67,7 +67,7 @@ def quantiles(rows: DataFrame, key: list[str], value: str, probabilities: dict[s
     held = each.join(wanted, [*key, "__bucket"]).withColumn("__below", below)
     holds = lambda rank: F.max(F.when((F.col("__below") <= rank) & (rank < F.col("__below") + F.col("n")), F.col(value)))
     out = held.groupBy(*key, "__total").agg(*(holds(rank).alias(name) for name, rank in ranks.items()))
-    between = lambda name: F.col(f"__lo_{name}") * (F.lit(1.0) - (at[name] - F.floor(at[name]))) + F.col(f"__hi_{name}") * (at[name] - F.floor(at[name]))
+    between = lambda name: F.col(f"__lo_{name}") + (F.col(f"__hi_{name}") - F.col(f"__lo_{name}")) * (at[name] - F.floor(at[name]))
     return out.select(*key, *(between(name).alias(name) for name in probabilities))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickforge import jobs
 from tickforge.functions import times, values
 from tickforge.layout import Layout
-from tickforge.operators import asof, bars, manifest, quality, sensor_spec, study, validate, windows
+from tickforge.operators import asof, bars, manifest, quality, report, sensor_spec, study, validate, windows
 from tickforge.operators.chunks import with_previous
 from tickforge.schemas import InstrumentSpec, OvernightCost
 from tickforge.sources import binary, sinks, tables
@@ -27,7 +27,7 @@ SQL: dict[str, str] = {}
 
 TICKS = """t AS (SELECT event_type AS instrument, epoch_us(ts) AS ts_us, event_id AS seq, value AS bid,
   value + CAST(0.01 AS DOUBLE) * CAST(json_extract(props, '$.k') AS DOUBLE) AS ask FROM events)"""
-HOUR, DAY = times.HOUR, times.DAY
+MINUTE, HOUR, DAY = times.MINUTE, times.HOUR, times.DAY
 HOURS = {"H1": 3600, "H4": 14400, "D1": 86400}
 SPEC = InstrumentSpec("events", 2, plausible_range=(1.0, 200.0))
 COST = OvernightCost(buy=0.5, sell=-0.1, triple_weekday=2, rollover_hour=21)
@@ -343,19 +343,23 @@ def _study_bars(spark, sf_dir):
     return bars.both_sides(_study_ticks(spark, sf_dir), 60)
 
 
-def _placed(spark, sf_dir):
-    """Entries on their bar, at the first tick's price; outside the bars' coverage they are left out."""
-    probes = _study_probes(spark, sf_dir)
-    covered = _study_bars(spark, sf_dir)
-    at_bar = asof.backward(probes, covered, ["bid_high"]).select("entry_id", "ts_us", "side", "instrument", F.col("match_ts").alias("start_ts"))
+def _inside(entries: DataFrame, covered: DataFrame) -> DataFrame:
+    """Entries (instrument, entry_id, ts_us, side) with the label of their bar; outside the bars' coverage they are left out."""
+    at_bar = asof.backward(entries, covered, ["bid_high"]).select("entry_id", "ts_us", "side", "instrument", F.col("match_ts").alias("start_ts"))
     last = covered.groupBy("instrument").agg(F.max("ts_us").alias("last_bar"))
-    inside = at_bar.join(last, "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
-    priced = asof.forward(inside, _study_ticks(spark, sf_dir), ["bid", "ask"])
-    return priced.select("instrument", "entry_id", "ts_us", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
+    return at_bar.join(last, "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
+
+
+def _judged(inside: DataFrame, ticks: DataFrame, covered: DataFrame) -> DataFrame:
+    """Entries on their bar, at the first tick's price, evaluated over all horizons."""
+    priced = asof.forward(inside, ticks, ["bid", "ask"])
+    placed = priced.select("instrument", "entry_id", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
+    return study.evaluate(placed, covered, COST)
 
 
 def _evaluated(spark, sf_dir):
-    return study.evaluate(_placed(spark, sf_dir).drop("ts_us"), staged(_study_bars(spark, sf_dir), "bars"), COST)
+    covered = staged(_study_bars(spark, sf_dir), "bars")
+    return _judged(_inside(_study_probes(spark, sf_dir), covered), _study_ticks(spark, sf_dir), covered)
 
 
 def _judge_sql(horizons: tuple[int, ...]) -> str:
@@ -367,8 +371,8 @@ path AS (SELECT p.*, bc.label, CASE WHEN side = 'buy' THEN bc.bid_high - price E
   (bc.cum - s0.cum) * CASE WHEN side = 'buy' THEN 0.5::DOUBLE ELSE -0.1::DOUBLE END AS swap
   FROM p JOIN bc ON bc.label BETWEEN p.start_ts AND p.start_ts + {max(horizons) * HOUR} JOIN bc s0 ON s0.label = p.start_ts),
 g AS (SELECT entry_id, min(label) FILTER (gain > 0) AS green, min(label) FILTER (gain - swap > 0) AS green_net FROM path GROUP BY 1),
-r AS (SELECT path.entry_id, side, start_ts, green, green_net, greatest(0, -min(loss)) AS mae, arg_max(swap, label) AS swap FROM path JOIN g USING (entry_id) WHERE green IS NULL OR label <= green GROUP BY ALL),
-z AS (SELECT entry_id, side, start_ts, round(mae, 6) AS mae_usd_oz, round((green - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde, round((green_net - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde_liq, round(swap, 6) + 0.0 AS swap_usd_oz, {green} FROM r)"""
+rs AS (SELECT path.entry_id, side, start_ts, green, green_net, greatest(0, -min(loss)) AS mae, arg_max(swap, label) AS swap FROM path JOIN g USING (entry_id) WHERE green IS NULL OR label <= green GROUP BY ALL),
+z AS (SELECT entry_id, side, start_ts, round(mae, 6) AS mae_usd_oz, round((green - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde, round((green_net - start_ts) / {HOUR}.0::DOUBLE, 6) AS horas_ate_verde_liq, round(swap, 6) + 0.0 AS swap_usd_oz, {green} FROM rs)"""
 
 
 _MINUTES = f"""raw AS (SELECT ts_us - ts_us % 60000000 AS label, max(bid) AS bid_high, min(bid) AS bid_low, max(ask) AS ask_high, min(ask) AS ask_low FROM t GROUP BY 1),
@@ -438,13 +442,13 @@ def prob_superiority(spark, sf_dir):
 
 _DICE = lambda n, *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT) % {n}"
 _POOL_H = max(study.HORIZONS_H)
-_DRAWS = f"""WITH {TICKS}, {_ENTRIES}, {_closed_sql(HOUR)}, r AS (SELECT ts_us, max(high) OVER w - min(low) OVER w AS r FROM b WHERE instrument = 'view' WINDOW w AS (ORDER BY ts_us RANGE BETWEEN {4 * HOUR - 1} PRECEDING AND CURRENT ROW)),
+_DRAWS = f"""WITH {TICKS.replace("event_type AS instrument", "'all' AS instrument")}, {_ENTRIES}, {_closed_sql(MINUTE)}, r AS (SELECT ts_us, max(high) OVER w - min(low) OVER w AS r FROM b WINDOW w AS (ORDER BY ts_us RANGE BETWEEN {15 * MINUTE - 1} PRECEDING AND CURRENT ROW)),
 pr AS (SELECT ts_us, lag(r) OVER (ORDER BY ts_us) AS x, 'hora/' || ((ts_us // {DAY} + 3) % 7) || '/' || (ts_us % {DAY} // {HOUR}) AS h FROM r),
 ea AS (SELECT ts_us, x, unnest([h, 'tudo']) AS base FROM pr WHERE ts_us <= (SELECT max(ts_us) FROM pr) - {_POOL_H * HOUR}),
 cut AS (SELECT base, quantile_cont(x, [{", ".join(str(k / 10) for k in range(1, 10))}]) AS cuts, count(*) AS nf FROM ea WHERE x IS NOT NULL GROUP BY base),
 lv AS (SELECT ts_us, unnest([base, CASE WHEN x IS NOT NULL THEN base || '/finitos' END, CASE WHEN x IS NOT NULL AND nf >= 10 THEN base || '/' || len(list_filter(cuts, lambda c: c <= x)) END]) AS cell FROM ea LEFT JOIN cut USING (base)),
 num AS (SELECT cell, ts_us AS c_ts, row_number() OVER (PARTITION BY cell ORDER BY ts_us) AS no FROM lv WHERE cell IS NOT NULL), cnt AS (SELECT cell, count(*) AS n FROM num GROUP BY 1),
-en AS (SELECT e.entry_id, c.x, CASE WHEN c.h IN (SELECT cell FROM cnt) THEN c.h ELSE 'tudo' END AS base FROM e ASOF JOIN pr c ON c.ts_us <= e.ts_us),
+en AS (SELECT e.entry_id, c.x, CASE WHEN c.h IN (SELECT cell FROM cnt) THEN c.h ELSE 'tudo' END AS base FROM e ASOF JOIN pr c ON c.ts_us <= e.ts_us WHERE e.ts_us <= (SELECT max(ts_us) FROM pr)),
 ec AS (SELECT en.*, nf, base || '/' || len(list_filter(cuts, lambda c: c <= x)) AS own FROM en LEFT JOIN cut USING (base)),
 ch AS (SELECT entry_id, 'aleatorio' AS scheme, 'tudo' AS cell, false AS fallback FROM ec UNION ALL SELECT entry_id, 'horario', base, base = 'tudo' FROM ec
   UNION ALL SELECT entry_id, 'volatilidade', CASE WHEN x IS NULL OR coalesce(nf, 0) < 10 THEN base WHEN o.n >= 5 THEN own ELSE base || '/finitos' END, x IS NULL OR coalesce(nf, 0) < 10 OR coalesce(o.n, 0) < 5 OR base = 'tudo' FROM ec LEFT JOIN cnt o ON o.cell = own),
@@ -453,9 +457,10 @@ dr AS (SELECT ch.*, draw, {_DICE("n", "1", "1", "entry_id", "draw")} + 1 AS no,
 
 def _all_draws(spark, sf_dir):
     """20 drawn entries for each real one under every scheme, from bars with the largest horizon ahead."""
-    candidates = windows.pre_range(_h1(spark, sf_dir).where("instrument = 'view'"), 240)
+    candidates = windows.pre_range(bars.aggregate(_study_ticks(spark, sf_dir), 60), 15)
     candidates = staged(candidates.select("instrument", "ts_us", "pre_range"), "candidates")
-    entries = asof.backward(_probes(spark, sf_dir), candidates, ["pre_range"]).where("match_ts is not null")
+    last = candidates.groupBy("instrument").agg(F.max("ts_us").alias("last_bar"))
+    entries = asof.backward(_study_probes(spark, sf_dir), candidates, ["pre_range"]).join(last, "instrument").where("match_ts is not null and ts_us <= last_bar")
     # What is matched is the entry's bar: its weekday, its hour, the range before it.
     entries = staged(entries.select("entry_id", F.col("match_ts").alias("ts_us"), "side", "pre_range"), "entries")
     pool = staged(study.pool(candidates, _POOL_H), "pool")
@@ -484,37 +489,57 @@ def bootstrap_ci(spark, sf_dir):
     return out.select(F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"), "episodes")
 
 
-def _judged(entries: DataFrame, ticks: DataFrame, covered: DataFrame) -> DataFrame:
-    """entries (instrument, entry_id, ts_us, side) on their bar, at the first tick's price, evaluated over 24 and 72 hours."""
-    at_bar = asof.backward(entries, covered, ["bid_high"]).select("entry_id", "ts_us", "side", "instrument", F.col("match_ts").alias("start_ts"))
-    inside = at_bar.join(covered.groupBy("instrument").agg(F.max("ts_us").alias("last_bar")), "instrument").where(F.col("start_ts").isNotNull() & (F.col("ts_us") <= F.col("last_bar"))).drop("last_bar")
-    priced = asof.forward(inside, ticks, ["bid", "ask"])
-    placed = priced.select("instrument", "entry_id", "side", "start_ts", F.when(F.col("side") == "buy", F.col("ask")).otherwise(F.col("bid")).alias("price"))
-    return study.evaluate(placed, covered, COST, (24, 72), seconds=3600)
-
-
+_GREEN = ", ".join(f"verde_{h}" for h in study.HORIZONS_H)
+_FIGURES = [("entradas", "n", "count(*)")] + [(m, f, q.format(m)) for m in study.MEASURES for f, q in (("n", "count({})"), ("p50", "quantile_cont({}, 0.5)"), ("p90", "quantile_cont({}, 0.9)"), ("max", "max({})"))]
+_FIGURES += [(f"nao_virou_{h}h", f, q) for h in study.HORIZONS_H for f, q in (("n", f"count(verde_{h})"), ("censuradas", f"count(*) FILTER (verde_{h} IS NULL)"), ("fracao", f"avg(CASE WHEN verde_{h} THEN 0.0 WHEN NOT verde_{h} THEN 1.0 END)"))]
+_REPORT = f"""{_DRAWS}, {_ROLL}, {_MINUTES.replace("raw AS", "mraw AS").replace("FROM raw", "FROM mraw").replace("b AS (SELECT * FROM mraw", "mb AS (SELECT * FROM mraw")},
+ins AS (SELECT e.*, mb.label AS start_ts FROM e ASOF JOIN mb ON mb.label <= e.ts_us WHERE e.ts_us <= (SELECT max(label) FROM mb)),
+asked AS (SELECT 'real' AS bloco, entry_id, side, start_ts, ts_us, false AS fallback FROM ins
+  UNION ALL SELECT scheme, entry_id, side, c_ts, c_ts + jitter, fallback FROM dr JOIN num USING (cell, no) JOIN ins USING (entry_id)),
+priced AS (SELECT a.*, CASE WHEN a.side = 'buy' THEN v.ask ELSE v.bid END AS price FROM asked a ASOF JOIN lt v ON v.ts_us >= a.ts_us),
+p AS (SELECT row_number() OVER () AS entry_id, side, start_ts, price FROM (SELECT DISTINCT side, start_ts, price FROM priced)),
+{_judge_sql(study.HORIZONS_H).replace("FROM b ASOF", "FROM mb b ASOF").replace("FROM b)", "FROM mb)")},
+x0 AS (SELECT entry_id, ts_us, side FROM ins), {", ".join(_episode_sql(g, f"x{g}").replace("FROM e WINDOW", "FROM x0 WINDOW") for g in study.EPISODE_GAPS_MIN)},
+z2 AS (SELECT p.side, p.start_ts, p.price, z.* EXCLUDE (side, start_ts, entry_id) FROM p JOIN z USING (entry_id)),
+res AS (SELECT q.bloco, q.entry_id, q.fallback, x60.episode, z2.* EXCLUDE (side, start_ts, price) FROM priced q JOIN z2 USING (side, start_ts, price) JOIN x60 ON x60.entry_id = q.entry_id),
+vals AS (SELECT s.scheme, r.episode, true AS a, r.mae_usd_oz AS x, r.horas_ate_verde AS y FROM res r, (SELECT DISTINCT scheme FROM dr) s WHERE r.bloco = 'real' UNION ALL SELECT bloco, episode, false, mae_usd_oz, horas_ate_verde FROM res WHERE bloco <> 'real'),
+rk AS (SELECT scheme, m, x, count(*) FILTER (a)::DOUBLE AS na, count(*) FILTER (NOT a)::DOUBLE AS nb FROM (SELECT scheme, 'mae_usd_oz' AS m, a, x FROM vals UNION ALL SELECT scheme, 'horas_ate_verde', a, y FROM vals WHERE y IS NOT NULL) GROUP BY ALL),
+sup AS (SELECT scheme, m, sum(nb * (coalesce(below, 0) + na / 2)) / (sum(na) * sum(nb)) AS p FROM (SELECT *, sum(na) OVER (PARTITION BY scheme, m ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM rk) GROUP BY ALL),
+names AS (SELECT episode, row_number() OVER (ORDER BY episode) - 1 AS no FROM (SELECT DISTINCT episode FROM x60)), total AS (SELECT count(*) AS total FROM names),
+tm AS (SELECT id, no, count(*) AS times FROM (SELECT id, {_DICE("total", "0", "id", "place")} AS no FROM total, (SELECT range AS id FROM range(1000)), range((SELECT count(*) FROM names)) pl(place)) GROUP BY ALL),
+ev AS (SELECT scheme, episode, x, count(*) FILTER (a) AS na, count(*) FILTER (NOT a) AS nb FROM vals GROUP BY ALL),
+bw AS (SELECT scheme, id, x, sum(times * na)::DOUBLE AS a, sum(times * nb)::DOUBLE AS b FROM tm JOIN names USING (no) JOIN ev USING (episode) GROUP BY ALL),
+bp AS (SELECT scheme, id, sum(b * (coalesce(below, 0) + a / 2)) / (sum(a) * sum(b)) AS p FROM (SELECT *, sum(a) OVER (PARTITION BY scheme, id ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM bw) GROUP BY ALL),
+bc2 AS (SELECT scheme, quantile_cont(p, 0.025) AS lo, quantile_cont(p, 0.975) AS hi FROM bp GROUP BY 1),
+sz AS ({" UNION ALL ".join(f"SELECT {g} AS gap, episode, count(*) AS size FROM x{g} GROUP BY episode" for g in study.EPISODE_GAPS_MIN)}),
+wide AS (SELECT bloco, {", ".join(f'{q} AS f{i}' for i, (_, _, q) in enumerate(_FIGURES))} FROM res GROUP BY bloco),
+figures AS ({" UNION ALL ".join(f"SELECT bloco, '{m}' AS medida, '{f}' AS campo, f{i}::DOUBLE AS valor FROM wide" for i, (m, f, _) in enumerate(_FIGURES))}
+  UNION ALL SELECT scheme, m, 'p_real_menor', p FROM sup UNION ALL SELECT scheme, 'mae_usd_oz', 'ic95_min', lo FROM bc2 UNION ALL SELECT scheme, 'mae_usd_oz', 'ic95_max', hi FROM bc2
+  UNION ALL SELECT scheme, 'entradas', 'recuos', count(DISTINCT entry_id) FILTER (fallback) FROM ch JOIN ins USING (entry_id) GROUP BY 1
+  UNION ALL SELECT 'real', 'entradas', 'fora_do_historico', (SELECT count(*) FROM e) - (SELECT count(*) FROM ins)
+  UNION ALL SELECT 'episodios', 'gap_' || gap || 'min', 'n_efetivo', count(*) FROM sz GROUP BY gap
+  UNION ALL SELECT 'episodios', 'episodios', unnest(['n_efetivo', 'maior', 'p50']), unnest([count(*)::DOUBLE, max(size)::DOUBLE, quantile_cont(size::DOUBLE, 0.5)]) FROM sz WHERE gap = 60)"""
+
+
+@query(_REPORT + " SELECT bloco, medida, campo, round(valor, 6) AS valor FROM figures")
 def study_report(spark, sf_dir):
-    """Real entries against drawn ones, a row a scheme and measure: p, its interval by episodes, n, fallbacks, entries outside coverage."""
-    ticks = staged(_ticks(spark, sf_dir).where("instrument = 'view'"), "ticks")
-    covered = staged(bars.both_sides(ticks, 3600), "bars")
-    probes = staged(study.episodes(_probes(spark, sf_dir), 240), "probes")
-    real = staged(_judged(probes.drop("episode"), ticks, covered).join(probes.select("entry_id", "episode"), "entry_id"), "real")
-    drawn = staged(_all_draws(spark, sf_dir).select("scheme", F.col("entry_id").alias("of"), "side", F.col("cand_ts").alias("ts_us"), "fallback").withColumn("entry_id", F.monotonically_increasing_id()), "drawn")
-    judged = _judged(drawn.select("entry_id", "ts_us", "side", F.lit("view").alias("instrument")), ticks, covered)
-    # A drawn entry belongs to the episode of the real one that it was drawn for.
-    judged = judged.join(drawn.select("entry_id", "scheme", "of", "fallback"), "entry_id").join(probes.select(F.col("entry_id").alias("of"), "episode"), "of")
-    judged = staged(judged, "judged")
-    out = None
-    for scheme in study.SCHEMES:
-        mine = judged.where(F.col("scheme") == scheme)
-        more = mine.agg(F.count_if("fallback").alias("fallbacks"), (F.lit(probes.count()) - F.lit(real.count())).alias("discarded"))
-        for measure in ("mae_usd_oz", "horas_ate_verde"):
-            row = study.compare(real, mine, measure, n=200).join(more, F.lit(True)).select(F.lit(scheme).alias("scheme"), F.lit(measure).alias("measure"), "*")
-            out = row if out is None else out.unionByName(row)
-    return out
-
-
-QUERIES["study_report"] = study_report
+    """Real entries beside drawn ones: all figures of the study."""
+    ticks = staged(_study_ticks(spark, sf_dir), "ticks")
+    covered = staged(bars.both_sides(ticks, 60), "bars")
+    probes = _study_probes(spark, sf_dir)
+    inside = staged(_inside(probes, covered), "inside")
+    grouped = staged(study.episodes(inside.select("entry_id", "ts_us", "side"), 60).select("entry_id", "episode"), "grouped")
+    drawn = _all_draws(spark, sf_dir).select("scheme", F.col("entry_id").alias("of"), "side", "cand_ts", "cand_bar", "fallback", F.concat_ws("/", "scheme", "entry_id", "draw").alias("entry_id"))
+    drawn = staged(drawn, "drawn")
+    # A drawn entry belongs to the episode of the real one that it was drawn for. All of them are judged at once.
+    asked = inside.withColumn("entry_id", F.concat_ws("/", F.lit("real"), "entry_id")).unionByName(drawn.select(F.lit("all").alias("instrument"), "entry_id", F.col("cand_ts").alias("ts_us"), "side", F.col("cand_bar").alias("start_ts")))
+    judged = staged(_judged(asked, ticks, covered), "judged").drop("side")
+    judged = judged.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in study.MEASURES})
+    real = judged.join(grouped.withColumn("entry_id", F.concat_ws("/", F.lit("real"), "entry_id")), "entry_id")
+    fake = judged.join(drawn.select("entry_id", "scheme", "of", "fallback"), "entry_id").join(grouped.withColumnRenamed("entry_id", "of"), "of")
+    outside = probes.join(inside.select("entry_id"), "entry_id", "left_anti")
+    out = report.report(inside, staged(real, "real"), staged(fake, "fake"), 60, outside)
+    return out.withColumn("valor", F.round("valor", 6))
 
 
 _ROWS = r"""WITH r AS (SELECT page_id, regexp_extract_all(html, '(?is)<(?:nav)\b[^>]*>(.*?)</(?:nav)>', 1) AS rows FROM pages), x AS (SELECT page_id, unnest(rows) AS row, generate_subscripts(rows, 1) - 1 AS n FROM r),
