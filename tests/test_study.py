@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fixtures import ticks
 from tickforge.functions.times import DAY, HOUR, MINUTE
-from tickforge.operators import asof, bars, study
+from tickforge.operators import asof, bars, report, study
 from tickforge.schemas import OvernightCost
 
 MONDAY = 20514 * DAY  # 2026-03-02
@@ -210,3 +210,36 @@ def test_bootstrap_by_groups_and_blocks(spark, monkeypatch):
     for g in ("p", "q"):
         a, b = ([x for h, x, s, _ in rows if h == g and s == side] for side in (True, False))
         assert p[g] == pytest.approx(np.mean([(x < y) + (x == y) / 2 for x in a for y in b])) and whole[g].lo <= p[g] <= whole[g].hi
+
+
+def test_report_has_every_figure(spark):
+    rng = np.random.default_rng(2)
+    entries = spark.createDataFrame([(i, MONDAY + i * 40 * MINUTE, "buy") for i in range(6)] + [(6, MONDAY + 9 * HOUR, "sell")], "entry_id long, ts_us long, side string")
+    episode = [1] * 6 + [2]
+
+    def result(at, **more):
+        green = float(rng.integers(1, 30)) if rng.random() < 0.7 else None
+        return more | dict(episode=episode[at], mae_usd_oz=float(rng.integers(0, 9)), horas_ate_verde=green, horas_ate_verde_liq=green, swap_usd_oz=0.5, verde_em={5.0: None if at == 6 else green is not None and green <= 5})
+
+    kinds = "episode int, mae_usd_oz double, horas_ate_verde double, horas_ate_verde_liq double, swap_usd_oz double, verde_em map<double, boolean>"
+    real = [result(i, entry_id=i) for i in range(7)]
+    fake = [result(i, of=i, scheme=s, fallback=i == 2 and s == "horario") for s in study.SCHEMES for i in range(7) for _ in range(4)]
+    r, d = spark.createDataFrame(real, "entry_id long, " + kinds), spark.createDataFrame(fake, "of long, scheme string, fallback boolean, " + kinds)
+    out = report.report(entries, r, d, 60, entries.limit(3), n=20, horizons_h=(5,)).collect()
+    got = {(x.bloco, x.medida, x.campo): x.valor for x in out}
+    assert len(got) == len(out)
+    assert got["real", "entradas", "n"] == 7 and got["real", "entradas", "fora_do_historico"] == 3 and got["aleatorio", "entradas", "n"] == 28
+    assert (got["horario", "entradas", "recuos"], got["aleatorio", "entradas", "recuos"]) == (1, 0)
+    assert got["episodios", "episodios", "n_efetivo"] == 2 and got["episodios", "episodios", "maior"] == 6 and got["episodios", "gap_5min", "n_efetivo"] == 7
+    for block in ("real", *study.SCHEMES):
+        mine = real if block == "real" else [x for x in fake if x["scheme"] == block]
+        mae, green = [x["mae_usd_oz"] for x in mine], [x["horas_ate_verde"] for x in mine if x["horas_ate_verde"] is not None]
+        assert [got[block, "mae_usd_oz", f] for f in ("n", "p50", "p90", "max")] == pytest.approx([len(mae), np.quantile(mae, 0.5), np.quantile(mae, 0.9), max(mae)])
+        assert got[block, "horas_ate_verde", "n"] == len(green)
+        known = [x["verde_em"][5.0] for x in mine if x["verde_em"][5.0] is not None]
+        assert (got[block, "nao_virou_5h", "n"], got[block, "nao_virou_5h", "censuradas"]) == (len(known), len(mine) - len(known)) and got[block, "nao_virou_5h", "fracao"] == pytest.approx(np.mean([not k for k in known]))
+        if block != "real":
+            for m in ("mae_usd_oz", "horas_ate_verde"):
+                a, b = ([x[m] for x in rows if x[m] is not None] for rows in (real, mine))
+                assert got[block, m, "p_real_menor"] == pytest.approx(np.mean([(x < y) + (x == y) / 2 for x in a for y in b]))
+            assert got[block, "mae_usd_oz", "ic95_min"] is None  # two episodes are too few
