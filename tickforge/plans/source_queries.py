@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.sources import binary, feed
+from tickforge.sources import binary, feed, tables
 
 from .queries import _PACKED, DAY, HOUR, JANUARY, SPEC, TICKS, _folder, _ticks, query
 
@@ -38,3 +38,20 @@ def feed_source(spark, sf_dir):
 def feed_hours(spark, sf_dir):
     """Hours read, empty and absent, as the parse of a month counts them."""
     return feed.counts(_landed(spark, sf_dir).option("rows", "hours").load())
+
+
+@query(
+    "SELECT strftime(o_orderdate, '%Y.%m.%d') || ' 10:20:30' AS ts_servidor, epoch_us(o_orderdate) + 26430000000 AS ts_us, CASE WHEN o_orderkey % 3 = 0 THEN 'GOLD' ELSE 'SILVER.x' END AS symbol, "
+    "CASE WHEN o_orderkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS side, o_orderkey % 50 + 0.5::DOUBLE AS volume, CAST(o_totalprice AS DOUBLE) AS preco_abertura FROM orders WHERE o_orderkey % 3 = 0"
+)
+def terminal_positions(spark, sf_dir):
+    """The positions of one symbol, read from reports that terminals would write of all orders; titles and balance rows stand among them."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key, cell = F.col("o_orderkey"), lambda *c: F.concat(F.lit("<td>"), *c, F.lit("</td>"))
+    even = F.pmod(key, F.lit(2)) == 0
+    price = F.format_number("o_totalprice", 2)
+    cells = [cell(F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit(" 10:20:30")), cell(F.lit("")), cell(key.cast("string")), cell(F.when(F.pmod(key, F.lit(3)) == 0, F.lit("GOLD")).otherwise(F.lit("SILVER.x")))]
+    cells += [cell(F.when(even, F.lit("Buy")).otherwise(F.lit("SELL"))), cell((F.pmod(key, F.lit(50)) + 0.5).cast("string")), cell(F.translate(price, ",", " "))]
+    other = F.when(even, F.lit("<tr><th>Time</th><th>Position</th></tr>")).otherwise(F.lit("<tr><td>2024.01.01 00:00:00</td><td>1</td><td>-</td><td>balance</td><td>5</td><td>6</td></tr>"))
+    pages = o.select(key.alias("no"), F.concat(F.lit("<table>"), other, F.lit("<tr>"), *cells, F.lit("</tr></table>")).alias("html"))
+    return tables.positions(tables.html_rows(pages, "no"), 3, "GOLD").select("ts_servidor", "ts_us", "symbol", "side", "volume", "preco_abertura")
