@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge.sources import binary, feed, tables
+from tickforge.sources import binary, feed, sinks, tables
 
 from .queries import _PACKED, DAY, HOUR, JANUARY, SPEC, TICKS, _folder, _ticks, query
 
@@ -55,3 +55,15 @@ def terminal_positions(spark, sf_dir):
     other = F.when(even, F.lit("<tr><th>Time</th><th>Position</th></tr>")).otherwise(F.lit("<tr><td>2024.01.01 00:00:00</td><td>1</td><td>-</td><td>balance</td><td>5</td><td>6</td></tr>"))
     pages = o.select(key.alias("no"), F.concat(F.lit("<table>"), other, F.lit("<tr>"), *cells, F.lit("</tr></table>")).alias("html"))
     return tables.positions(tables.html_rows(pages, "no"), 3, "GOLD").select("ts_servidor", "ts_us", "symbol", "side", "volume", "preco_abertura")
+
+
+@query(f"WITH {TICKS} SELECT 'run-1' AS run_id, instrument, count(*) AS n, min(ts_us) AS first_us, max(ts_us) AS last_us, max(bid) AS top FROM t GROUP BY instrument")
+def report_file(spark, sf_dir):
+    """A JSON report with its envelope, what all ticks of each series come to, written and read back."""
+    each = _ticks(spark, sf_dir).groupBy("instrument").agg(F.count("*").alias("n"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"), F.max("bid").alias("top"))
+    body = each.agg(F.sort_array(F.collect_list(F.struct(*each.columns))).alias("series"))  # a row a series
+    path = _folder(spark, "report")
+    sinks.write_report({"run_id": "run-1"}, body, path)
+    kinds = ", ".join(f"{c}: {t}" for c, t in each.dtypes)
+    read = spark.read.schema(f"run_id string, payload struct<series: array<struct<{kinds}>>>").json(path)
+    return read.select("run_id", F.explode("payload.series").alias("s")).select("run_id", "s.*")
