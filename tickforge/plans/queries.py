@@ -432,11 +432,11 @@ def vol_decile(spark, sf_dir):
 
 
 @query(
-    "WITH a AS (SELECT value AS x FROM events WHERE event_type = 'view'), b AS (SELECT value AS x FROM events WHERE event_type = 'click') "
+    "WITH a AS (SELECT value AS x FROM events WHERE event_type = 'view'), b AS (SELECT value AS x FROM events WHERE event_type <> 'view') "
     "SELECT round(sum(CASE WHEN a.x < b.x THEN 1.0 WHEN a.x = b.x THEN 0.5 ELSE 0 END)::DOUBLE / count(*), 9) AS p, (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b FROM a, b"
 )
 def prob_superiority(spark, sf_dir):
-    v = _ticks(spark, sf_dir).where("instrument in ('view', 'click')").select("bid", (F.col("instrument") == "view").alias("is_a"))
+    v = _ticks(spark, sf_dir).select("bid", (F.col("instrument") == "view").alias("is_a"))
     return study.superiority(v, "bid", "is_a").withColumn("p", F.round("p", 9))
 
 
