@@ -651,14 +651,14 @@ def hold_costs(spark, sf_dir):
 
 
 @query(
-    f"WITH {TICKS}, v AS (SELECT * FROM t WHERE instrument = 'view'), p AS (SELECT h AS offset_h, ts_us + {3 * HOUR} - h * {HOUR} AS ts_us, bid AS theirs FROM v, (SELECT range AS h FROM range(-4, 5))), "
-    "m AS (SELECT p.offset_h, p.theirs, p.ts_us, v.ts_us AS m, v.bid FROM p ASOF JOIN v ON v.ts_us <= p.ts_us), d AS (SELECT offset_h, stddev_samp(bid - theirs) AS dispersion, count(*) AS n FROM m WHERE m >= ts_us - 60000000 GROUP BY 1) "
-    "SELECT 'view' AS instrument, CAST(offset_h AS INTEGER) AS offset_h, round(dispersion, 9) AS dispersion, n FROM d WHERE dispersion IS NOT NULL ORDER BY dispersion, offset_h LIMIT 1"
+    f"WITH {TICKS}, p AS (SELECT instrument, h AS offset_h, ts_us + {3 * HOUR} - h * {HOUR} AS ts_us, bid AS theirs FROM t, (SELECT range AS h FROM range(-12, 13))), "
+    "m AS (SELECT p.instrument, p.offset_h, p.theirs, p.ts_us, t.ts_us AS m, t.bid FROM p ASOF JOIN t ON t.instrument = p.instrument AND t.ts_us <= p.ts_us), d AS (SELECT instrument, offset_h, stddev_samp(bid - theirs) AS dispersion, count(*) AS n FROM m WHERE m >= ts_us - 60000000 GROUP BY ALL) "
+    "SELECT instrument, CAST(offset_h AS INTEGER) AS offset_h, round(dispersion, 9) AS dispersion, n FROM d WHERE dispersion IS NOT NULL QUALIFY row_number() OVER (PARTITION BY instrument ORDER BY dispersion, offset_h) = 1"
 )
 def feed_offset(spark, sf_dir):
-    """The feed against itself, its clock set back by three hours."""
-    t = _ticks(spark, sf_dir).where("instrument = 'view'")
-    return sensor_spec.feed_offset(t, t.withColumn("ts_us", F.col("ts_us") + 3 * HOUR), range(-4, 5)).withColumn("dispersion", F.round("dispersion", 9))
+    """Each feed against itself, its clock set back by three hours."""
+    t = _ticks(spark, sf_dir)
+    return sensor_spec.feed_offset(t, t.withColumn("ts_us", F.col("ts_us") + 3 * HOUR)).withColumn("dispersion", F.round("dispersion", 9))
 
 
 @query("SELECT c_custkey, substr(sha256(CAST(c_custkey AS VARCHAR)), 1, 12) AS account_hash FROM customer")
