@@ -127,3 +127,16 @@ def test_logs_of_two_accounts_lie_apart(spark, tmp_path):
     rows = spark.createDataFrame([tuple(sinks.envelope("r", "s", "c", "info", account_hash=a).values()) for a in ("aa", "bb", None)], ", ".join(f"{c} string" for c in sinks.LOG.fieldNames()))
     sinks.write_log(rows, f"{tmp_path}/log")
     assert {p.name for p in (tmp_path / "log" / "comp=c").iterdir() if p.is_dir()} == {"account=aa", "account=bb", "account=no-account"}
+
+
+def test_weights_stand_for_rows(spark):
+    from tickforge.operators import sensor_spec
+
+    rows = [("k", float(i % 7), i, float(i * i % 11), 1 + i % 4) for i in range(23)]
+    few = spark.createDataFrame(rows, "k string, x double, i long, y double, w long")
+    many = few.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("w"))))
+    key = lambda r: (r.quintile, pytest.approx(r.mean), r.n)
+    want = sorted(sensor_spec.quintiles(many, "x", "y", "k", "i").collect())
+    assert [key(r) for r in sorted(sensor_spec.quintiles(few, "x", "y", "k", "i", "w").collect())] == [key(r) for r in want]
+    a, b = sensor_spec.spearman(few, "x", "y", "k", "w").first(), sensor_spec.spearman(many, "x", "y", "k").first()
+    assert (a.rho, a.n) == (pytest.approx(b.rho), b.n)

@@ -15,7 +15,7 @@ from tickforge.staging import staged
 
 from .asof import backward, forward
 from .chunks import with_previous, with_rows_before
-from .ranks import counted, numbered, quantiles, tile
+from .ranks import counted, numbered, quantiles, tile, tiles
 from .windows import components_many
 
 STATES = ((0.25, "CALM"), (0.5, "NORMAL"), (0.75, "EXPANDING"))
@@ -139,9 +139,9 @@ def logged(rows: DataFrame, every_s: int = 5) -> DataFrame:
     return cut.where(fresh).drop("__s", "__t")
 
 
-def spearman(rows: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    """Rank correlation per key, average ranks on ties."""
-    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(key, a, b).agg(F.count("*").alias("pairs"))
+def spearman(rows: DataFrame, a: str, b: str, key: str, weight: str | None = None) -> DataFrame:
+    """Rank correlation per key, average ranks on ties; with `weight` a row stands for so many."""
+    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(key, a, b).agg((F.sum(weight) if weight else F.count("*")).alias("pairs"))
     return spearman_counted(both, a, b, key)
 
 
@@ -156,8 +156,14 @@ def spearman_counted(both: DataFrame, a: str, b: str, key: str) -> DataFrame:
     return out.select(key, F.try_divide("ab", F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"), "n")
 
 
-def quintiles(rows: DataFrame, by: str, outcome: str, key: str, order: str) -> DataFrame:
-    """Mean outcome in each fifth of the key's rows by `by` (ties by `order`): monotone if the sensor means anything."""
+def quintiles(rows: DataFrame, by: str, outcome: str, key: str, order: str, weight: str | None = None) -> DataFrame:
+    """Mean outcome in each fifth of the key's rows by `by` (ties by `order`): monotone if the sensor means anything.
+    weight: a row stands for so many, which may fall into two fifths."""
+    if weight:
+        placed = numbered(rows.select(key, by, order, outcome, weight), [key], by, order, "place", weight)
+        laid = placed.join(rows.groupBy(key).agg(F.sum(weight).alias("total")), key)
+        each = laid.select(key, outcome, F.explode(tiles(F.col("place"), F.col(weight), F.col("total"), 5)).alias("t"))
+        return each.groupBy(key, F.col("t.tile").alias("quintile")).agg((F.sum(F.col(outcome) * F.col("t.n")) / F.sum("t.n")).alias("mean"), F.sum("t.n").alias("n"))
     placed = numbered(rows.select(key, by, order, outcome), [key], by, order, "place")
     total = rows.groupBy(key).agg(F.count("*").alias("total"))
     laid = placed.join(total, key).withColumn("quintile", tile(F.col("place"), F.col("total"), 5))
@@ -176,20 +182,20 @@ def monotone(fifths: DataFrame, key: str) -> DataFrame:
     return fifths.groupBy(key).agg(means.alias("__m")).select(key, F.when(F.size("__m") == 5, up).otherwise(F.lit(False)).alias("increasing"))  # five rows a key
 
 
-def usual_range(ticks: DataFrame, window_s: int) -> DataFrame:
+def usual_range(ticks: DataFrame, window_s: int, peers: bool = False) -> DataFrame:
     """instrument, minute, base_rg: the median over all days but Sundays of a minute's daily median range. 1440 rows an instrument."""
-    rg = components_many(ticks, (window_s,)).select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), F.col(f"rg_{window_s}").alias("rg"))
+    rg = components_many(ticks, (window_s,), peers=peers).select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), F.col(f"rg_{window_s}").alias("rg"))
     daily = rg.where(F.pmod(F.col("day") + 3, F.lit(7)) != 6).groupBy("instrument", "minute", "day").agg(F.percentile("rg", F.lit(0.5)).alias("m"))
     return daily.groupBy("instrument", "minute").agg(F.percentile("m", F.lit(0.5)).alias("base_rg"))
 
 
-def cross_feed(ours: DataFrame, theirs: DataFrame, window_s: int, most: float = 0.15) -> DataFrame:
+def cross_feed(ours: DataFrame, theirs: DataFrame, window_s: int, most: float = 0.15, peers: bool = False) -> DataFrame:
     """Whether distances taken from base_rg carry over from one feed to another: per instrument the other clock's offset
     (found by `feed_offset`, and taken off), the minutes of day that both have, the coefficient of variation of
     base_rg(ours) / base_rg(theirs) over them, and whether that is below `most`."""
     offset = staged(feed_offset(ours, theirs).select("instrument", "offset_h"), "offset")  # a row an instrument
     aligned = theirs.join(offset, "instrument").withColumn("ts_us", F.col("ts_us") - F.col("offset_h") * HOUR).drop("offset_h")
-    both = usual_range(ours, window_s).join(usual_range(aligned, window_s).withColumnRenamed("base_rg", "__theirs"), ["instrument", "minute"])
+    both = usual_range(ours, window_s, peers).join(usual_range(aligned, window_s, peers).withColumnRenamed("base_rg", "__theirs"), ["instrument", "minute"])
     ratio = F.when((F.col("__theirs") > 0) & F.col("base_rg").isNotNull(), F.col("base_rg") / F.col("__theirs"))
     out = both.groupBy("instrument").agg(F.count(ratio).alias("minutes"), F.try_divide(F.stddev_samp(ratio), F.avg(ratio)).alias("cv"))
     return out.join(offset, "instrument").select("instrument", "offset_h", "minutes", "cv", (F.col("cv") < most).alias("passed"))
