@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +244,29 @@ def test_report_has_every_figure(spark):
                 a, b = ([x[m] for x in rows if x[m] is not None] for rows in (real, mine))
                 assert got[block, m, "p_real_menor"] == pytest.approx(np.mean([(x < y) + (x == y) / 2 for x in a for y in b]))
             assert got[block, "mae_usd_oz", "ic95_min"] is None  # two episodes are too few
+
+
+def test_draws_are_the_dice_and_travel_packed(spark):
+    """A draw goes to its episode as four bytes, an episode carries a byte a replicate; no array of replicates a row."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tickforge.functions.values import dice
+
+    n, total = 30, 5000
+    rows = pd.DataFrame({"__all": 0, "episodes": total, "place": np.arange(total)})
+    packed = pd.concat(study._draws(["__all"], n, 7)([rows]))
+    assert packed["codes"].map(len).sum() == 4 * n * total
+    times = pd.concat(study._times(["__all"], n)(r) for _, r in packed.groupby("__block"))
+    assert times["times"].map(len).max() == n
+    got = {(no, r): int(t) for no, ts in zip(times["no"], times["times"]) for r, t in enumerate(np.frombuffer(ts, np.uint8)) if t}
+    draws = spark.range(total).select("id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("r")).select(dice(total, F.lit(7), F.col("r"), F.col("id")).alias("no"), "r")
+    assert got == {(r.no, r.r): r["count"] for r in draws.groupBy("no", "r").count().collect()}
+
+
+def test_a_value_of_many_rows_is_split(spark, monkeypatch):
+    rows = [(float(i % 3), i % 2 == 0, i // 2) for i in range(90)] + [(float(i), i % 2 == 0, i) for i in range(20)]
+    v = spark.createDataFrame(rows, "x double, is_a boolean, episode long")
+    whole = study.bootstrap(v, "x", "is_a", n=40, seed=3).first()
+    monkeypatch.setattr(study, "BLOCK_ROWS", 8)  # the values 0, 1 and 2 have some 30 rows each
+    assert study.bootstrap(v, "x", "is_a", n=40, seed=3).first() == whole
