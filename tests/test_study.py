@@ -270,3 +270,20 @@ def test_a_value_of_many_rows_is_split(spark, monkeypatch):
     whole = study.bootstrap(v, "x", "is_a", n=40, seed=3).first()
     monkeypatch.setattr(study, "BLOCK_ROWS", 8)  # the values 0, 1 and 2 have some 30 rows each
     assert study.bootstrap(v, "x", "is_a", n=40, seed=3).first() == whole
+
+
+def test_entries_of_one_bar_and_price_are_judged_once(spark):
+    t = ticks(spark, [(7 * i, 100 + (i * 5) % 11) for i in range(900)], instrument="X")
+    cost = OvernightCost(buy=0.5, sell=-0.1, triple_weekday=2, rollover_hour=21)
+    start = F.floor(F.col("ts_us") / MINUTE) * MINUTE
+    few = t.where("seq in (20, 300)").select("instrument", F.lit("buy").alias("side"), start.alias("start_ts"), F.lit(104.5).alias("price"), F.col("seq").alias("of"))
+    many = few.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(50)))).withColumn("entry_id", F.col("of") * 100 + F.col("i"))
+    out = study.evaluate(many, bars.both_sides(t, 60), cost, (1,))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Aggregate" in x and "entry_id" in x for x in plan)
+    one = {r.entry_id: r for r in study.evaluate(few.withColumn("entry_id", F.col("of")), bars.both_sides(t, 60), cost, (1,)).collect()}
+    rows = out.collect()
+    assert len(rows) == 100 == len({r.entry_id for r in rows})
+    for r in rows:
+        w = one[r.entry_id // 100]
+        assert (r.mae_usd_oz, r.horas_ate_verde, r.horas_ate_verde_liq, r.swap_usd_oz, r.verde_em) == (w.mae_usd_oz, w.horas_ate_verde, w.horas_ate_verde_liq, w.swap_usd_oz, w.verde_em)
