@@ -56,3 +56,11 @@ def test_distances_of_two_feeds(spark):
     # A feed that loses most of its range in some hours does not carry over.
     calm = late.withColumn("bid", F.when(F.pmod(F.col("ts_us"), F.lit(24 * HOUR)) < 12 * HOUR, F.lit(100) + F.col("bid") / 1000).otherwise(F.col("bid")))
     assert not sensor_spec.cross_feed(ours, calm, 600).first().passed
+
+
+def test_offsets_meet_in_chunks_of_an_hour(spark):
+    t = ticks(spark, [(30 * i, 100 + i % 13) for i in range(300)])
+    found = sensor_spec.feed_offset(t, t.withColumn("ts_us", F.col("ts_us") + 2 * HOUR))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(ts_us" in plan and "86400000000" not in plan
+    assert (found.first().offset_h, found.first().n) == (2, 300)

@@ -211,11 +211,12 @@ def cost_class(usd_oz: Column) -> Column:
 def feed_offset(ours: DataFrame, theirs: DataFrame, hours: range = range(-12, 13)) -> DataFrame:
     """The hour offset of another feed's clock, by the least dispersion of price differences: instrument, offset_h, dispersion, n.
 
-    ours, theirs: instrument, ts_us, bid, seq. The offsets are a fixed list; only the other feed's rows are copied for each.
+    ours, theirs: instrument, ts_us, bid, seq. The offsets are a fixed list; only the other feed's rows are copied for each,
+    so chunks of the join are an hour, not a day: a busy day's copies would meet in one task.
     """
     probes = theirs.withColumn("offset_h", F.explode(F.array(*(F.lit(h) for h in hours))))
     probes = probes.select("instrument", "offset_h", (F.col("ts_us") - F.col("offset_h") * HOUR).alias("ts_us"), F.col("bid").alias("their_bid"))
-    met = backward(probes, ours, ["bid"]).where(F.col("match_ts") >= F.col("ts_us") - 60 * SECOND)
+    met = backward(probes, ours, ["bid"], chunk_us=HOUR).where(F.col("match_ts") >= F.col("ts_us") - 60 * SECOND)
     each = met.groupBy("instrument", "offset_h").agg(F.stddev_samp(F.col("bid") - F.col("their_bid")).alias("dispersion"), F.count("*").alias("n"))
     best = each.where(F.col("dispersion").isNotNull()).groupBy("instrument").agg(F.min(F.struct("dispersion", "offset_h", "n")).alias("b"))
     return best.select("instrument", "b.offset_h", "b.dispersion", "b.n")
