@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from fixtures import T0, ticks
 from tickforge.functions.times import pretty_duration
 from tickforge.operators import sensor_spec, variants, windows
 from tickforge.plans import sensor_queries
+from tickforge.plans.queries import SQL
 
 
 def walk(n, seed=3, most=40):
@@ -85,6 +87,19 @@ def test_each_stage_starts_from_the_winner_before(spark):
     assert (won["holdout"].alpha, won["holdout"].macro) == (won["C"].alpha, won["C"].macro)
 
 
+def test_the_sweep_counts_ticks_of_one_time_as_its_sql(spark, tmp_path):
+    """A join by the time lets each of p ticks meet all p in four windows and the amplitude: p ** 6 readings of that time."""
+    path = tmp_path / "events.parquet"
+    at = "first_value(ts) OVER (PARTITION BY CASE WHEN event_id % 9 < 3 THEN event_id // 9 ELSE -event_id END ORDER BY event_id)"
+    c = duckdb.connect()
+    c.execute(f"COPY (SELECT * REPLACE ({at} AS ts) FROM '/root/testdata/sf0.001/events.parquet' ORDER BY event_id) TO '{path}' (FORMAT parquet)")
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{path}'")
+    got = sensor_queries.variant_grid(spark, str(tmp_path))
+    want = c.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL['variant_grid']})").fetchall()
+    key = lambda r: (r[0], r[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key) and max(r[9] for r in want) > 1000
+
+
 @pytest.mark.parametrize(("seconds", "text"), [(0, "0s"), (45, "45s"), (75, "75s"), (-5, "0s"), (1560, "26min"), (5000, "83min"), (7800, "2h10"), (108000, "30h00"), (70176, "19h30"), (273600, "3d04h"), (None, None)])
 def test_durations(spark, seconds, text):
     assert spark.range(1).select(pretty_duration(F.lit(seconds).cast("double")).alias("x")).first().x == text

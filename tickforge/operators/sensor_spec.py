@@ -22,14 +22,15 @@ STATES = ((0.25, "CALM"), (0.5, "NORMAL"), (0.75, "EXPANDING"))
 COST_CLASSES = ((0.10, "A"), (0.20, "B"))
 
 
-def baselines(readings: DataFrame, wanted: dict[str, tuple[str, float]], days: int = 20, closed_days: DataFrame | None = None) -> DataFrame:
+def baselines(readings: DataFrame, wanted: dict[str, tuple[str, float]], days: int = 20, closed_days: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """instrument, day, minute, and for each wanted name (value, quantile): the quantile over the last `days` earlier days of that minute's daily median.
 
     Sundays and `closed_days` (day) count for no baseline. Minutes are 1440 series of one row a day, so windows stay small.
+    weight: a reading stands for so many.
     """
     kept = list(dict.fromkeys(value for value, _ in wanted.values()))
-    own = readings.select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), *(F.col(c).alias(f"__{c}") for c in kept), weekday_of(F.col("ts_us")).alias("wd"))
-    daily = own.groupBy("instrument", "day", "minute", "wd").agg(*(F.percentile(f"__{c}", F.lit(0.5)).alias(f"__{c}") for c in kept))
+    own = readings.select("instrument", day_of(F.col("ts_us")).alias("day"), minute_of_day(F.col("ts_us")).alias("minute"), *(F.col(c).alias(f"__{c}") for c in kept), weekday_of(F.col("ts_us")).alias("wd"), (F.col(weight) if weight else F.lit(1)).alias("__weight"))
+    daily = own.groupBy("instrument", "day", "minute", "wd").agg(*(F.percentile(f"__{c}", F.lit(0.5), F.col("__weight")).alias(f"__{c}") for c in kept))
     counts = F.col("wd") != 6
     if closed_days is not None:
         closed = F.broadcast(closed_days.select("day", F.lit(True).alias("closed")).distinct())  # days of a calendar
