@@ -1,4 +1,5 @@
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from fixtures import ticks
 from tickforge import jobs
 from tickforge.functions.times import DAY, HOUR
 from tickforge.layout import Layout
-from tickforge.operators import asof, ranks, study
+from tickforge.operators import asof, ranks, sensor_spec, study
 from tickforge.schemas import InstrumentSpec
 from tickforge.sources import binary, sinks
 
@@ -140,3 +141,19 @@ def test_weights_stand_for_rows(spark):
     assert [key(r) for r in sorted(sensor_spec.quintiles(few, "x", "y", "k", "i", "w").collect())] == [key(r) for r in want]
     a, b = sensor_spec.spearman(few, "x", "y", "k", "w").first(), sensor_spec.spearman(many, "x", "y", "k").first()
     assert (a.rho, a.n) == (pytest.approx(b.rho), b.n)
+
+
+def test_cuts_of_ranks_are_read_from_a_table(spark):
+    """Approximate quantiles differ with the order of their parts: computed twice, they cut buckets and sums differently."""
+    rows = spark.createDataFrame([("k", float(i % 7)) for i in range(50)], "key string, v double")
+    for out in (ranks.counted(rows, ["key"], "v"), ranks.numbered(rows.withColumn("o", F.col("v")), ["key"], "v", "o", "place")):
+        assert "approx" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_average_ranks_of_weighted_pairs(spark):
+    rows = spark.createDataFrame([("k", 1.0, 2.0, 3), ("k", 1.0, 5.0, 1), ("k", 4.0, 5.0, 2), ("k", 6.0, 1.0, 1)], "key string, a double, b double, pairs long")
+    found = sensor_spec.spearman_counted(rows, "a", "b", "key")
+    long = [(r.a, r.b) for r in rows.collect() for _ in range(r.pairs)]
+    rank = lambda xs: [sum(y < x for y in xs) + (xs.count(x) + 1) / 2 for x in xs]
+    a, b = rank([x for x, _ in long]), rank([y for _, y in long])
+    assert (found.first().rho, found.first().n) == (pytest.approx(statistics.correlation(a, b)), 7)

@@ -147,12 +147,14 @@ def spearman(rows: DataFrame, a: str, b: str, key: str, weight: str | None = Non
 
 
 def spearman_counted(both: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    """The same of counts: key, a, b and `pairs`, a row for each pair of values that are not null."""
+    """The same of counts: key, a, b and `pairs`, a row for each pair of values that are not null.
+
+    Average ranks of n rows have the mean (n + 1) / 2 whatever their ties, so ranks are met with the pairs once.
+    """
     ranked = lambda name, out: counted(both, [key], name, {"n": F.sum("pairs")}).select(key, name, (F.col("n_below") + (F.col("n") + 1) / 2).alias(out))
     w = F.col("pairs")
     each = both.join(ranked(a, "ra"), [key, a]).join(ranked(b, "rb"), [key, b])
-    sums = each.groupBy(key).agg(F.sum(w).alias("n"), F.sum(w * F.col("ra")).alias("sa"), F.sum(w * F.col("rb")).alias("sb"))
-    mean = each.join(sums, key).withColumns({"da": F.col("ra") - F.col("sa") / F.col("n"), "db": F.col("rb") - F.col("sb") / F.col("n")})
+    mean = each.join(both.groupBy(key).agg(F.sum(w).alias("n")), key).withColumns({"da": F.col("ra") - (F.col("n") + 1) / 2, "db": F.col("rb") - (F.col("n") + 1) / 2})
     out = mean.groupBy(key, "n").agg(F.sum(w * F.col("da") * F.col("db")).alias("ab"), F.sum(w * F.col("da") * F.col("da")).alias("aa"), F.sum(w * F.col("db") * F.col("db")).alias("bb"))
     return out.select(key, F.try_divide("ab", F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"), "n")
 
