@@ -83,12 +83,16 @@ def state_of(value: Column) -> Column:
 
 
 def sensor_rows(components: DataFrame, baseline: DataFrame, macro: DataFrame | None = None, alpha: float = 0.7, warm_up: int = 10, now_us: int | None = None) -> DataFrame:
-    """components (rg, er, tr ...) with their day-and-minute baseline (`baseline`): base_rg, raw_value, value, state, dq, conf, fresh_ms.
+    """components (rg, tr, er ...) with their day-and-minute baseline (`baseline`): base_rg, raw_value, value, state, dq (their er, if they have it), conf, fresh_ms.
 
     macro: the components of a longer window (instrument, ts_us, seq, rg), mixed in with 1 - alpha; without it micro
     stands alone. fresh_ms counts from the reading to now_us, or to the next reading of the instrument (null for its last).
     """
-    keyed = components.withColumns({"day": day_of(F.col("ts_us")), "minute": minute_of_day(F.col("ts_us"))})
+    rows = components
+    if now_us is None:  # before the joins, which would be made again for the ends of chunks
+        back = rows.withColumn("__t", -F.col("ts_us")).withColumn("__s", -F.col("seq"))
+        rows = with_previous(back, ["instrument"], ["__t", "__s"], {"__next": "__t"}, ts="__t").drop("__t", "__s")
+    keyed = rows.withColumns({"day": day_of(F.col("ts_us")), "minute": minute_of_day(F.col("ts_us"))})
     out = keyed.join(baseline.withColumnRenamed("baseline", "base_rg"), ["instrument", "day", "minute"], "left").drop("day", "minute")
     if macro is None:
         out = out.withColumn("raw_value", F.col("rg"))
@@ -97,11 +101,10 @@ def sensor_rows(components: DataFrame, baseline: DataFrame, macro: DataFrame | N
         out = out.join(longer, ["instrument", "ts_us", "seq"], "left").withColumn("raw_value", raw_value(F.col("rg"), F.coalesce("__macro", "rg"), alpha)).drop("__macro")
     out = out.withColumn("value", normalised(F.col("raw_value"), F.col("base_rg") * 2))
     conf = F.least(F.lit(1.0), F.col("tr") / warm_up) * F.when(F.col("base_rg").isNull(), 0.0).otherwise(1.0)
-    out = out.withColumns({"state": state_of(F.col("value")), "dq": F.col("er"), "conf": conf})
-    if now_us is not None:
-        return out.withColumn("fresh_ms", (F.lit(now_us) - F.col("ts_us")) / 1000)
-    back = with_previous(out.withColumn("__t", -F.col("ts_us")).withColumn("__s", -F.col("seq")), ["instrument"], ["__t", "__s"], {"__next": "__t"}, ts="__t")
-    return back.withColumn("fresh_ms", (-F.col("__next") - F.col("ts_us")) / 1000).drop("__t", "__s", "__next")
+    quality = {"dq": F.col("er")} if "er" in components.columns else {}
+    out = out.withColumns({"state": state_of(F.col("value")), **quality, "conf": conf})
+    until = F.lit(now_us) if now_us is not None else -F.col("__next")
+    return out.withColumn("fresh_ms", (until - F.col("ts_us")) / 1000).drop("__next")
 
 
 def detection_latency(rows: DataFrame, events: DataFrame, state: str = "CLIMAX", within_s: float = 300.0) -> DataFrame:
