@@ -1,9 +1,15 @@
+import os
+import uuid
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import ticks
+from tickforge import staging
+from tickforge.functions.digests import first_digits
 from tickforge.functions.times import DAY, HOUR, MINUTE
 from tickforge.operators import asof, bars, report, study
 from tickforge.schemas import OvernightCost
@@ -287,3 +293,72 @@ def test_entries_of_one_bar_and_price_are_judged_once(spark):
     for r in rows:
         w = one[r.entry_id // 100]
         assert (r.mae_usd_oz, r.horas_ate_verde, r.horas_ate_verde_liq, r.swap_usd_oz, r.verde_em) == (w.mae_usd_oz, w.horas_ate_verde, w.horas_ate_verde_liq, w.swap_usd_oz, w.verde_em)
+
+
+def test_a_block_of_draws_is_counted_once(spark, monkeypatch):
+    """Packed rows grow with the episodes, and so do blocks: a count as long as a block for each row would be quadratic."""
+    rows = pd.DataFrame({"__all": 0, "episodes": 9000, "place": np.arange(9000)})
+    packed = pd.concat(study._draws(["__all"], 12, 5)([rows]))
+    block = packed[packed["__block"] == 1]
+    assert len(block) > 3
+    calls, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or count(*a, **k))
+    times = study._times(["__all"], 12)(block)
+    assert len(calls) == 1 and sum(np.frombuffer(t, np.uint8).sum() for t in times["times"]) == block["codes"].map(len).sum() / 4
+
+
+def test_groups_of_as_many_episodes_share_their_draws(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(g, float(rng.integers(0, 40)), bool(rng.random() < 0.5), e) for g, many in (("p", 30), ("q", 30), ("r", 17)) for e in range(many) for _ in range(3)]
+    v = spark.createDataFrame(rows, "g string, x double, is_a boolean, episode long")
+    draws = study._draws  # watched in the workers, which leave what they drew in files
+    folder = staging.shared_dir(spark) + "/draws-" + uuid.uuid4().hex
+    at = folder.removeprefix("file://")
+    os.makedirs(at)
+
+    def watched(group, n, seed):
+        run = draws(group, n, seed)
+
+        def each(batches):
+            for out in run(batches):
+                with open(f"{at}/{uuid.uuid4().hex}", "w") as f:
+                    f.write(str(out["codes"].map(len).sum() // 4))
+                yield out
+
+        return each
+
+    monkeypatch.setattr(study, "_draws", watched)
+    whole = {r.g: r for r in study.bootstrap(v, "x", "is_a", n=40, seed=3, by=["g"]).collect()}
+    made = [int(open(f"{at}/{f}").read()) for f in os.listdir(at)]
+    assert sum(made) == 40 * (30 + 17)
+    monkeypatch.undo()
+    for g in "pqr":
+        alone = study.bootstrap(v.where(F.col("g") == g).drop("g"), "x", "is_a", n=40, seed=3).first()
+        assert (alone.lo, alone.hi, alone.episodes) == (whole[g].lo, whole[g].hi, whole[g].episodes)
+
+
+def test_a_replicate_is_its_draws_ranked(spark, monkeypatch):
+    """Against the plain way: each replicate's episodes drawn by the digests, its pairs counted one by one; with large values and strips of few replicates."""
+    rng = np.random.default_rng(4)
+    rows = [(float(rng.integers(0, 6)), bool(rng.random() < 0.4), int(rng.integers(0, 7)) * 3) for _ in range(90)]
+    n, names = 30, sorted({e for *_, e in rows})
+    p = []
+    for r in range(n):
+        drawn = [names[int(md5(b"2|%d|%d" % (r, place)).hexdigest()[:15], 16) % len(names)] for place in range(len(names))]
+        a, b = ([x for e in drawn for x, s, f in rows if f == e and s == side] for side in (True, False))
+        p.append(np.mean([(x < y) + (x == y) / 2 for x in a for y in b]))
+    v = spark.createDataFrame(rows, "x double, is_a boolean, episode long")
+    for most in (study.BLOCK_ROWS, 8):
+        monkeypatch.setattr(study, "BLOCK_ROWS", most)
+        monkeypatch.setattr(study, "STRIP_BYTES", most)
+        got = study.bootstrap(v, "x", "is_a", n=n, seed=2).first()
+        assert (got.lo, got.hi, got.episodes) == (pytest.approx(np.quantile(p, 0.025)), pytest.approx(np.quantile(p, 0.975)), len(names))
+
+
+def test_array_digests_are_those_of_texts(spark):
+    for size, numbers in ((1, [0, 7, 9]), (6, [10, 99]), (7, [123456]), (40, [10**14, 10**15 - 1])):
+        heads = [bytes(33 + (i + j) % 90 for j in range(size)) for i in range(3)]
+        got = first_digits(heads, np.array(numbers))
+        assert [[int(x) for x in row] for row in got] == [[int(md5(h + b"%d" % x).hexdigest()[:15], 16) for x in numbers] for h in heads]
+    with pytest.raises(ValueError):
+        first_digits([b"x" * 50], np.array([123456]))
