@@ -362,3 +362,39 @@ def test_array_digests_are_those_of_texts(spark):
         assert [[int(x) for x in row] for row in got] == [[int(md5(h + b"%d" % x).hexdigest()[:15], 16) for x in numbers] for h in heads]
     with pytest.raises(ValueError):
         first_digits([b"x" * 50], np.array([123456]))
+
+
+def test_rolls_are_the_dice_of_every_scheme(spark):
+    ids = ["7", "real/123456", "x" * 60, "å/9"]
+    e = spark.createDataFrame([(i,) for i in ids], "entry_id string")
+    k, seed = 12, 4
+    got = {r.entry_id: list(r[study._rolls_of(k, seed)]) for r in study.with_rolls(e, k, seed).collect()}
+    assert got == {i: [int(md5(f"{seed}|{salt}|{i}|{d}".encode()).hexdigest()[:15], 16) for salt in (1, 2) for d in range(1, k + 1)] for i in ids}
+    pool = spark.createDataFrame([(MONDAY + i * HOUR, float(i % 7)) for i in range(400)], "ts_us long, pre_range double")
+    entries = spark.createDataFrame([(i, MONDAY + i * HOUR, float(i)) for i in range(5)], "entry_id long, ts_us long, pre_range double")
+    for scheme in study.SCHEMES:
+        once, own = (study.draw(x, pool, scheme, k, seed=seed) for x in (study.with_rolls(entries, k, seed), entries))
+        assert once.columns == own.columns and sorted(once.collect()) == sorted(own.collect())
+        bars_of = {r.ts_us: i for i, r in enumerate(pool.orderBy("ts_us").collect())}
+        if scheme == "aleatorio":
+            for r in own.collect():
+                assert bars_of[r.cand_bar] == values_dice(seed, 1, r.entry_id, r.draw) % 400 and r.cand_ts - r.cand_bar == values_dice(seed, 2, r.entry_id, r.draw) % 60 * 1_000_000
+
+
+def values_dice(*parts):
+    return int(md5("|".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+
+
+def test_counted_results_are_those_of_each_row(spark):
+    rng = np.random.default_rng(6)
+    kinds = "bloco string, mae_usd_oz double, horas_ate_verde double, horas_ate_verde_liq double, swap_usd_oz double, verde_em map<double, boolean>, n int"
+    rows = []
+    for i in range(60):
+        green = float(rng.integers(1, 9)) if rng.random() < 0.7 else None
+        rows.append(("a" if i % 3 else "b", float(rng.integers(0, 9)), green, None if i % 3 == 0 else green, 0.5, {5.0: None if i % 7 == 0 else green is not None and green <= 5}, int(rng.integers(1, 30))))
+    few = spark.createDataFrame(rows, kinds)
+    many = spark.createDataFrame([r for r in rows for _ in range(r[-1])], kinds).drop("n")
+    key = lambda r: r.bloco
+    assert sorted(study.summary(few, (5,), ["bloco"], "n").collect(), key=key) == sorted(study.summary(many, (5,), ["bloco"]).collect(), key=key)
+    p = [study.superiority(x.withColumn("is_a", F.col("bloco") == "a"), "mae_usd_oz", "is_a", weight=w).first() for x, w in ((few, "n"), (many, None))]
+    assert p[0] == p[1]
